@@ -24,6 +24,15 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_BROADCAST_ROWS = 4_000_000
 
 
+_MEASURED: list[DataFrame] = []
+
+
+def release_measured() -> None:
+    """Unpersist the small sides measured so far (call once their jobs ran)."""
+    while _MEASURED:
+        _MEASURED.pop().unpersist()
+
+
 @dataclass(frozen=True)
 class SizedSide:
     frame: DataFrame
@@ -51,6 +60,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     The persisted blocks are recomputed from lineage if an executor is lost.
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _MEASURED.append(cached)
     rows, payload = measure(cached)
     small = rows <= max_rows and payload <= max_bytes
     return SizedSide(F.broadcast(cached) if small else cached, rows, payload, small)

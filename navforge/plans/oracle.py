@@ -125,11 +125,11 @@ FROM allocation_base GROUP BY ALL"""),
         ("asset_allocation", """
 SELECT b.fund_id, b.valuation_date, b.currency, b.fund_name, b.fund_type, b.manager,
        b.asset_class, b.market_value, t.total_market_value,
-       CASE WHEN t.total_market_value <> 0 THEN CAST(
+       CASE WHEN t.total_market_value <> 0 THEN CAST(CAST(
          ((((2 * CAST(b.market_value * 100 AS HUGEINT) * 10000000000
               + CAST(t.total_market_value * 100 AS HUGEINT))
              // (2 * CAST(t.total_market_value * 100 AS HUGEINT)) + 50) // 100 + 5000) // 10000)
-         AS DECIMAL(38,0)) / 100 END AS allocation_pct
+         AS DECIMAL(35,0)) * 0.01 AS DECIMAL(35,2)) END AS allocation_pct
 FROM allocation_base b
 LEFT JOIN allocation_totals t
   ON b.fund_id = t.fund_id AND b.valuation_date = t.valuation_date

@@ -43,6 +43,16 @@ def read_bronze_csv(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFr
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in spec.bronze_columns])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than the cluster
+    has cores (e.g. one unsplittable file); inputs that are already split
+    finely enough are returned untouched, so large loads pay no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def write_bronze_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
