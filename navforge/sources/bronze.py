@@ -43,6 +43,13 @@ def read_bronze_csv(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFr
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in spec.bronze_columns])
 
 
+def load_bronze_csv(spark: SparkSession, root: str,
+                    datasets: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """Raw frames for every dataset from ``<root>/<dataset>`` (a file or a folder)."""
+    return {n: read_bronze_csv(spark, f"{root.rstrip('/')}/{n}", DATASETS[n])
+            for n in (datasets or tuple(DATASETS))}
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin an input that arrives in fewer partitions than the cluster
     has cores (e.g. one unsplittable file); inputs that are already split
