@@ -37,39 +37,39 @@ def _predicate(rule) -> str:
     raise TypeError(rule)
 
 
-def _dataset_ctes(spec: DatasetSpec, dedupe_refs: bool) -> list[tuple[str, str]]:
+def _dataset_ctes(spec: DatasetSpec, dedupe_refs: bool, p: str = "") -> list[tuple[str, str]]:
     n = spec.name
     trims = ", ".join(f"trim({c}) AS {spec.rename.get(c, c)}" for c in spec.bronze_columns)
     extra = [f"try_strptime({d.raw}, '%Y-%m-%d') AS {d.parsed}" for d in spec.dates]
     for d in spec.decimals:
         raw = f"replace({d.raw}, ',', '.')" if d.decimal_comma else d.raw
         extra.append(f"TRY_CAST({raw} AS DECIMAL({d.precision},{d.scale})) AS {d.out}")
-    ctes = [(f"std_{n}", f"SELECT {trims} FROM bronze_{n}"),
-            (f"prs_{n}", f"SELECT *, {', '.join(extra)} FROM std_{n}")]
-    cur = f"prs_{n}"
+    ctes = [(f"{p}std_{n}", f"SELECT {trims} FROM bronze_{n}"),
+            (f"{p}prs_{n}", f"SELECT *, {', '.join(extra)} FROM {p}std_{n}")]
+    cur = f"{p}prs_{n}"
     if spec.key:
         keys = ", ".join(spec.key)
         on = " AND ".join(f"b.{k} = c.{k}" for k in spec.key)
-        ctes.append((f"cnt_{n}", f"SELECT {keys}, count(*) AS {spec.count_column} "
+        ctes.append((f"{p}cnt_{n}", f"SELECT {keys}, count(*) AS {spec.count_column} "
                                  f"FROM {cur} GROUP BY {keys}"))
-        ctes.append((f"key_{n}", f"SELECT b.*, c.{spec.count_column} FROM {cur} b "
-                                 f"LEFT JOIN cnt_{n} c ON {on}"))
-        cur = f"key_{n}"
+        ctes.append((f"{p}key_{n}", f"SELECT b.*, c.{spec.count_column} FROM {cur} b "
+                                 f"LEFT JOIN {p}cnt_{n} c ON {on}"))
+        cur = f"{p}key_{n}"
     for i, ref in enumerate(spec.references):
         distinct = "DISTINCT " if dedupe_refs else ""
-        ctes.append((f"ref{i}_{n}", f"SELECT b.*, r.{ref.out} FROM {cur} b LEFT JOIN "
-                                    f"(SELECT {distinct}id AS {ref.out} FROM silver_{ref.dataset}) r "
+        ctes.append((f"{p}ref{i}_{n}", f"SELECT b.*, r.{ref.out} FROM {cur} b LEFT JOIN "
+                                    f"(SELECT {distinct}id AS {ref.out} FROM {p}silver_{ref.dataset}) r "
                                     f"ON b.{ref.column} = r.{ref.out}"))
-        cur = f"ref{i}_{n}"
+        cur = f"{p}ref{i}_{n}"
     cases = ", ".join(f"CASE WHEN {_predicate(r)} THEN {_q(r.code)} END" for r in spec.rules)
-    ctes.append((f"val_{n}", f"SELECT *, list_filter([{cases}], lambda x: x IS NOT NULL) "
+    ctes.append((f"{p}val_{n}", f"SELECT *, list_filter([{cases}], lambda x: x IS NOT NULL) "
                              f"AS dq_issues FROM {cur}"))
     helpers = set(spec.helper_columns)
     keep = [c for c in _validated_columns(spec) if c not in helpers and c != "dq_issues"]
     dates = [f"CAST({d.parsed} AS DATE) AS {d.out}" for d in spec.dates]
-    ctes.append((f"silver_{n}", f"SELECT {', '.join(keep + dates)} FROM val_{n} "
+    ctes.append((f"{p}silver_{n}", f"SELECT {', '.join(keep + dates)} FROM {p}val_{n} "
                                 f"WHERE len(dq_issues) = 0"))
-    ctes.append((f"quarantine_{n}", f"SELECT * FROM val_{n} WHERE len(dq_issues) > 0"))
+    ctes.append((f"{p}quarantine_{n}", f"SELECT * FROM {p}val_{n} WHERE len(dq_issues) > 0"))
     return ctes
 
 
@@ -155,17 +155,21 @@ LEFT JOIN latest_cashflow_date c ON f.id = c.fund_id"""),
     ]
 
 
-def _ops_ctes() -> list[tuple[str, str]]:
+def _metrics_sql(p: str = "") -> str:
     parts = []
     for n in DATASETS:
         parts.append(f"""
 SELECT {_q(n)} AS dataset,
        (SELECT count(*) FROM bronze_{n}) AS total_records,
-       (SELECT count(*) FROM val_{n} WHERE len(dq_issues) = 0) AS valid_records,
-       (SELECT count(*) FROM val_{n} WHERE len(dq_issues) > 0) AS invalid_records""")
-    metrics = ("SELECT dataset, total_records, valid_records, invalid_records, "
-               "round(CAST(valid_records AS DOUBLE) / total_records * 100, 2) AS dq_score "
-               "FROM (" + " UNION ALL ".join(parts) + ")")
+       (SELECT count(*) FROM {p}val_{n} WHERE len(dq_issues) = 0) AS valid_records,
+       (SELECT count(*) FROM {p}val_{n} WHERE len(dq_issues) > 0) AS invalid_records""")
+    return ("SELECT dataset, total_records, valid_records, invalid_records, "
+            "round(CAST(valid_records AS DOUBLE) / total_records * 100, 2) AS dq_score "
+            "FROM (" + " UNION ALL ".join(parts) + ")")
+
+
+def _ops_ctes() -> list[tuple[str, str]]:
+    metrics = _metrics_sql()
     issues = " UNION ALL ".join(
         f"SELECT {_q(n)} AS dataset, unnest(dq_issues) AS dq_issue FROM quarantine_{n}"
         for n in DATASETS)
@@ -181,15 +185,25 @@ SELECT {_q(n)} AS dataset,
     ]
 
 
-def chain_ctes(dedupe_refs: bool = True) -> list[tuple[str, str]]:
+# Prefix of the second chain that keeps the reference's join fan-out.
+FANOUT = "fo_"
+
+
+def chain_ctes(dedupe_refs: bool = True, with_fanout_run: bool = False) -> list[tuple[str, str]]:
     ctes = [(f"bronze_{n}", ADAPTER_SQL[n].strip()) for n in DATASETS]
     for spec in DATASETS.values():
         ctes += _dataset_ctes(spec, dedupe_refs)
-    return ctes + _gold_ctes() + _ops_ctes()
+    ctes += _gold_ctes() + _ops_ctes()
+    if with_fanout_run:
+        for spec in DATASETS.values():
+            ctes += _dataset_ctes(spec, False, FANOUT)
+        ctes.append((f"{FANOUT}dq_metrics", _metrics_sql(FANOUT)))
+    return ctes
 
 
-def with_chain(select: str, dedupe_refs: bool = True) -> str:
-    body = ",\n".join(f"{name} AS (\n{sql.strip()}\n)" for name, sql in chain_ctes(dedupe_refs))
+def with_chain(select: str, dedupe_refs: bool = True, with_fanout_run: bool = False) -> str:
+    body = ",\n".join(f"{name} AS (\n{sql.strip()}\n)"
+                      for name, sql in chain_ctes(dedupe_refs, with_fanout_run))
     return f"WITH {body}\n{select.strip()}"
 
 

@@ -8,15 +8,21 @@ out of the compared output; issue arrays are compared as comma-joined text.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from navforge.operators import gold, reports
 from navforge.operators.quality import attach_key_count, attach_reference, standardize
 from navforge.plans import oracle
 from navforge.plans.chain import Chain, issues_as_text
-from navforge.sources.bronze import row_counts
+from navforge.session import ensure_checkpoint_dir
+from navforge.sources.bronze import load_bronze_csv, row_counts, write_bronze_csv
+from navforge.sources.sinks import Lakehouse
+from navforge.streaming.ingest import ingest_new_files
 from navforge.specs import DATASETS, MARKET_PRICES, POSITIONS, TRANSACTIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +31,11 @@ _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, with_fanout_run: bool = False):
     def deco(fn: Query) -> Query:
         _QUERIES[name] = fn
         if sql is not None:
-            _ORACLE[name] = oracle.with_chain(sql)
+            _ORACLE[name] = oracle.with_chain(sql, with_fanout_run=with_fanout_run)
         return fn
     return deco
 
@@ -141,3 +147,190 @@ _NAV_COLUMNS = ["fund_id", "valuation_date", "currency", "nav_amount", "investor
                 "position_count", "fund_name", "fund_type", "manager"]
 register("preview_fund_nav_daily", _preview_sql("fund_nav_daily", _NAV_COLUMNS, 10))(
     _preview_query("fund_nav_daily", 10))
+
+_SILVER_POSITION_COLUMNS = ["id", "fund_id", "investor_id", "asset_class", "currency", "units",
+                            "market_value", "valuation_date"]
+register("preview_silver_positions",
+         _preview_sql("silver_positions", _SILVER_POSITION_COLUMNS, 20))(
+    lambda spark, sf_dir: (lambda df: df.orderBy(
+        *[F.col(c).asc_nulls_first() for c in df.columns]).limit(20))(
+        Chain(spark, sf_dir).silver("positions")))
+
+
+# -- raw CSV ingestion ------------------------------------------------------------
+def _scratch(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+_NULLIF = ", ".join(f"NULLIF({c}, '') AS {c}" for c in POSITIONS.bronze_columns)
+
+
+@register("bronze_load", f"SELECT {_NULLIF} FROM bronze_positions")
+def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw positions written as CSV and loaded back through the bronze reader
+    (header, all text, columns matched by name).  Empty cells read as NULL."""
+    root = _scratch(spark, "bronze-load")
+    write_bronze_csv(Chain(spark, sf_dir).bronze["positions"], f"{root}/positions")
+    return load_bronze_csv(spark, root, ("positions",))["positions"]
+
+
+@register("bronze_stream_ingest", f"SELECT {_NULLIF} FROM bronze_positions")
+def bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental ingestion: files are picked up once.  The raw CSV is loaded
+    by an available-now file stream, then the stream is run again with no new
+    files; the target holds every row exactly once."""
+    root = _scratch(spark, "bronze-stream")
+    write_bronze_csv(Chain(spark, sf_dir).bronze["positions"], f"{root}/incoming")
+    for _ in range(2):
+        ingest_new_files(spark, f"{root}/incoming", POSITIONS, f"{root}/bronze",
+                         f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/bronze")
+
+
+# -- metrics history and trend (two runs: fan-out semantics, then deduplicated) ----
+_RUN_1 = dt.datetime(2024, 1, 1)
+_RUN_2 = dt.datetime(2024, 1, 2)
+
+
+def _two_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = Chain(spark, sf_dir, dedupe_refs=False, run_ts=F.lit(_RUN_1)).dq_metrics
+    second = Chain(spark, sf_dir, dedupe_refs=True, run_ts=F.lit(_RUN_2)).dq_metrics
+    root = _scratch(spark, "dq-metrics")
+    lake = Lakehouse(root)
+    lake.write(first, "ops", "dq_metrics", mode="append")
+    lake.write(second, "ops", "dq_metrics", mode="append")
+    return lake.read(spark, "ops", "dq_metrics")
+
+
+_METRIC_COLS = "dataset, total_records, valid_records, invalid_records, dq_score"
+
+
+@register("dq_metrics_history",
+          f"SELECT {_METRIC_COLS} FROM {oracle.FANOUT}dq_metrics "
+          f"UNION ALL SELECT {_METRIC_COLS} FROM dq_metrics", with_fanout_run=True)
+def dq_metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_run_history(spark, sf_dir).drop("execution_date")
+
+
+@register("dq_trend", f"""
+SELECT dataset, dq_score, lag(dq_score) OVER (PARTITION BY dataset ORDER BY run) AS previous_dq_score,
+       dq_score - lag(dq_score) OVER (PARTITION BY dataset ORDER BY run) AS dq_score_change
+FROM (SELECT 1 AS run, * FROM {oracle.FANOUT}dq_metrics UNION ALL SELECT 2 AS run, * FROM dq_metrics)
+""", with_fanout_run=True)
+def dq_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.dq_trend(_two_run_history(spark, sf_dir)).select(
+        "dataset", "dq_score", "previous_dq_score", "dq_score_change")
+
+
+# -- dashboard and governance reports -------------------------------------------
+def _latest_sql(attrs: str) -> str:
+    cols = f"fund_id, valuation_date, currency, {attrs}nav_amount"
+    return f"""(SELECT n.* FROM (SELECT DISTINCT {cols} FROM fund_nav_daily) n
+      JOIN (SELECT fund_id, max(valuation_date) AS d FROM fund_nav_daily GROUP BY fund_id) l
+        ON n.fund_id = l.fund_id AND n.valuation_date = l.d)"""
+
+
+@register("kpi_summary", f"""
+SELECT 'total_nav' AS kpi, currency, CAST(sum(nav_amount) AS DECIMAL(38,2)) AS value
+FROM {_latest_sql('')} GROUP BY currency
+UNION ALL
+SELECT 'total_cashflow', currency, CAST(sum(total_amount) AS DECIMAL(38,2))
+FROM fund_cashflows GROUP BY currency
+UNION ALL
+SELECT 'active_funds', NULL, CAST(count(DISTINCT id) AS DECIMAL(38,2))
+FROM silver_funds WHERE status = 'Active'
+UNION ALL
+SELECT 'active_investors', NULL, CAST(count(DISTINCT id) AS DECIMAL(38,2))
+FROM silver_investors WHERE status = 'Active'""")
+def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Chain(spark, sf_dir)
+    return reports.kpi_summary(c.fund_nav_daily, c.fund_cashflows, c.silver("funds"),
+                               c.silver("investors"))
+
+
+@register("nav_by_fund_type", f"""
+SELECT fund_type, currency, CAST(sum(nav_amount) AS DECIMAL(38,2)) AS nav_amount,
+       count(DISTINCT fund_id) AS fund_count
+FROM {_latest_sql('fund_type, ')} GROUP BY fund_type, currency""")
+def nav_by_fund_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.nav_by_fund_type(Chain(spark, sf_dir).fund_nav_daily)
+
+
+@register("nav_by_manager_top10", f"""
+SELECT * FROM (
+  SELECT manager, currency, nav_amount,
+         CAST(row_number() OVER (PARTITION BY currency
+                                 ORDER BY nav_amount DESC NULLS LAST, manager ASC NULLS LAST)
+              AS INTEGER) AS rank
+  FROM (SELECT manager, currency, CAST(sum(nav_amount) AS DECIMAL(38,2)) AS nav_amount
+        FROM {_latest_sql('manager, ')} GROUP BY manager, currency))
+WHERE rank <= 10""")
+def nav_by_manager_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.nav_by_manager_top(Chain(spark, sf_dir).fund_nav_daily, 10)
+
+
+def _distribution_sql(column: str, alias: str) -> str:
+    return f"""
+SELECT {alias}, fund_count,
+       round(fund_count * CAST(100.0 AS DOUBLE) / sum(fund_count) OVER (), 2) AS share_pct
+FROM (SELECT {column} AS {alias}, count(DISTINCT id) AS fund_count
+      FROM silver_funds GROUP BY {column})"""
+
+
+@register("fund_type_distribution", _distribution_sql("type", "fund_type"))
+def fund_type_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.fund_type_distribution(Chain(spark, sf_dir).silver("funds"))
+
+
+@register("risk_distribution", _distribution_sql("risk_level", "risk_level"))
+def risk_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.risk_distribution(Chain(spark, sf_dir).silver("funds"))
+
+
+@register("price_outliers", """
+SELECT p.asset_id, p.fund_id, p.price_date, p.currency, p.close_price, s.mean_price,
+       s.stddev_price
+FROM silver_market_prices p
+JOIN (SELECT asset_id, currency, avg(CAST(close_price AS DOUBLE)) AS mean_price,
+             stddev_samp(CAST(close_price AS DOUBLE)) AS stddev_price
+      FROM silver_market_prices GROUP BY asset_id, currency) s
+  ON p.asset_id = s.asset_id AND p.currency = s.currency
+WHERE abs(CAST(p.close_price AS DOUBLE) - s.mean_price) > 3 * s.stddev_price""")
+def price_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.price_outliers(Chain(spark, sf_dir).silver("market_prices"))
+
+
+@register("retention_silver", """
+SELECT * FROM silver_positions
+WHERE valuation_date >= (SELECT max(valuation_date) FROM silver_positions) - INTERVAL 24 MONTH""")
+def retention_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.apply_retention(Chain(spark, sf_dir).silver("positions"), "valuation_date",
+                                   "silver")
+
+
+@register("retention_gold", """
+SELECT * FROM fund_nav_daily
+WHERE valuation_date >= (SELECT max(valuation_date) FROM fund_nav_daily) - INTERVAL 84 MONTH""")
+def retention_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.apply_retention(Chain(spark, sf_dir).fund_nav_daily, "valuation_date", "gold")
+
+
+@register("sla_freshness", """
+SELECT valuation_date, CAST(valuation_date + INTERVAL 1 DAY + INTERVAL 9 HOUR AS TIMESTAMP) AS deadline,
+       CAST(now() AS TIMESTAMP) <= CAST(valuation_date + INTERVAL 1 DAY + INTERVAL 9 HOUR AS TIMESTAMP)
+         AS sla_met
+FROM (SELECT DISTINCT valuation_date FROM fund_nav_daily)""")
+def sla_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Chain(spark, sf_dir)
+    nav = gold.fund_nav_daily(c.silver("positions"), c.silver("funds"), F.current_timestamp())
+    return reports.sla_freshness(nav).drop("published_at")
+
+
+@register("investor_positions_masked", """
+SELECT investor_id, sha256(investor_name) AS investor_name_hash, country, risk_profile,
+       investor_type, fund_id, fund_name, fund_type, manager, valuation_date, currency,
+       market_value, units, position_count
+FROM investor_positions""")
+def investor_positions_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.mask_investor_names(Chain(spark, sf_dir).investor_positions)
