@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from navforge.operators import gold, ops
 from navforge.operators.joins import release_measured
 from navforge.operators.quality import quarantine_rows, valid_rows, validate
+from navforge.session import ensure_checkpoint_dir
 from navforge.sources.bronze import spread
 from navforge.sources.sinks import Lakehouse
 from navforge.specs import DATASETS
@@ -57,8 +58,26 @@ def ingest_bronze(lake: Lakehouse, bronze: dict[str, DataFrame], timer: Timer |
         timer(f"bronze_{name}", lambda df=df, name=name: lake.write(spread(df), "bronze", name))
 
 
+def _materialize(df: DataFrame, mode: str) -> DataFrame:
+    """How the validated frame is shared by its two split writes.
+
+    ``persist``: executor memory/disk, recomputed from lineage for lost blocks;
+    ``checkpoint``: written once to the shared ``spark.checkpoint.dir`` (lineage
+    cut, survives executor loss without recomputation; costs one extra write);
+    ``recompute``: nothing kept, each split recomputes validation (two scans).
+    """
+    if mode == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if mode == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if mode == "recompute":
+        return df
+    raise ValueError(f"unknown materialize mode {mode!r}")
+
+
 def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_refs: bool = True,
-                 timer: Timer | None = None) -> None:
+                 timer: Timer | None = None, materialize: str = "persist") -> None:
     """Validate each dataset once; write the valid and the quarantine split and
     append its metrics row.  References are read from silver tables already
     written in this run (funds and investors come first)."""
@@ -67,13 +86,14 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
         def step(name=name, spec=spec):
             bronze = lake.read(spark, "bronze", name)
             refs = {r.dataset: lake.read(spark, "silver", r.dataset) for r in spec.references}
-            validated = validate(bronze, spec, refs, dedupe_refs).persist(
-                StorageLevel.MEMORY_AND_DISK)
+            validated = validate(bronze, spec, refs, dedupe_refs)
+            shared = _materialize(validated, materialize)
             try:
-                lake.write(valid_rows(validated, spec, run_ts), "silver", name)
-                lake.write(quarantine_rows(validated, run_ts), "ops", f"dq_{name}_quarantine")
+                lake.write(valid_rows(shared, spec, run_ts), "silver", name)
+                lake.write(quarantine_rows(shared, run_ts), "ops", f"dq_{name}_quarantine")
             finally:
-                validated.unpersist()
+                if materialize == "persist":
+                    shared.unpersist()
             metrics = ops.dq_metrics_written(
                 name, lake.read(spark, "bronze", name), lake.read(spark, "silver", name),
                 lake.read(spark, "ops", f"dq_{name}_quarantine"), run_ts)
@@ -116,7 +136,8 @@ def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None)
 
 
 def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | None = None,
-        run_ts: Column | None = None, dedupe_refs: bool = True) -> dict[str, float]:
+        run_ts: Column | None = None, dedupe_refs: bool = True,
+        materialize: str = "persist") -> dict[str, float]:
     """Run every layer; ``bronze`` (dataset -> raw frame) is ingested first when
     given, else the bronze tables already in ``lake`` are used.  Returns the
     seconds spent per step."""
@@ -124,7 +145,7 @@ def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | Non
     run_ts = run_ts if run_ts is not None else run_timestamp()
     if bronze is not None:
         ingest_bronze(lake, bronze, timer)
-    build_silver(spark, lake, run_ts, dedupe_refs, timer)
+    build_silver(spark, lake, run_ts, dedupe_refs, timer, materialize)
     build_gold(spark, lake, run_ts, timer)
     build_ops(spark, lake, timer)
     return timer.steps
