@@ -78,8 +78,8 @@ def _materialize(df: DataFrame, mode: str) -> DataFrame:
 
 def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_refs: bool = True,
                  timer: Timer | None = None, materialize: str = "persist") -> None:
-    """Validate each dataset once; write the valid and the quarantine split and
-    append its metrics row.  References are read from silver tables already
+    """Validate each dataset once; write the valid and the quarantine split, then
+    append one metrics row per dataset.  References are read from silver tables already
     written in this run (funds and investors come first)."""
     timer = timer or Timer()
     for name, spec in DATASETS.items():
@@ -94,11 +94,14 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
             finally:
                 if materialize == "persist":
                     shared.unpersist()
-            metrics = ops.dq_metrics_written(
-                name, lake.read(spark, "bronze", name), lake.read(spark, "silver", name),
-                lake.read(spark, "ops", f"dq_{name}_quarantine"), run_ts)
-            lake.write(metrics, "ops", "dq_metrics", mode="append")
         timer(f"silver_{name}", step)
+    # One append for the run: a metrics row per dataset, counted from the tables
+    # as written (Parquet footers only).
+    metrics = reduce(DataFrame.unionByName, [
+        ops.dq_metrics_written(n, lake.read(spark, "bronze", n), lake.read(spark, "silver", n),
+                               lake.read(spark, "ops", f"dq_{n}_quarantine"), run_ts)
+        for n in DATASETS])
+    timer("dq_metrics", lambda: lake.write(metrics, "ops", "dq_metrics", mode="append"))
 
 
 def build_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
