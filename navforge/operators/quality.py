@@ -62,34 +62,42 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
     return joined.select(*cols, count.cast("bigint").alias(count_column))
 
 
-def reference_keys(ref: DataFrame, out: str, dedupe: bool = True) -> DataFrame:
-    keys = ref.select(F.col("id").alias(out))
-    return keys.where(F.col(out).isNotNull()).distinct() if dedupe else keys
+def prepare_reference(ref: DataFrame, dedupe: bool = True, measured: bool = True) -> DataFrame:
+    """The valid ids of a referenced dataset, ready to be looked up.
 
+    ``dedupe=True`` keeps each id once, so a repeated id in the referenced
+    table cannot multiply rows; ``dedupe=False`` keeps every copy and with it
+    the fan-out of a plain join.  Measured once, the result can serve every
+    dataset that references it (the broadcast hint survives projections).
+    """
+    keys = ref.select("id").where(F.col("id").isNotNull())
+    keys = keys.distinct() if dedupe else keys
+    return broadcast_if_small(keys).frame if measured else keys
 
-def attach_reference(df: DataFrame, column: str, ref: DataFrame, out: str,
-                     dedupe: bool = True, measured: bool = True) -> DataFrame:
-    """Left lookup of ``column`` in the valid ids of ``ref``; ``out`` is NULL when unknown.
 
-    ``dedupe=True`` looks up distinct ids, so a repeated id in the referenced
-    table cannot multiply rows; ``dedupe=False`` keeps the plain join and
-    its fan-out.
-    """
-    keys = reference_keys(ref, out, dedupe)
-    side = broadcast_if_small(keys).frame if measured else keys
+def attach_reference(df: DataFrame, column: str, keys: DataFrame, out: str) -> DataFrame:
+    """Left lookup of ``column`` in prepared ``keys``; ``out`` is NULL when unknown."""
+    side = keys.select(F.col("id").alias(out))
     return df.join(side, df[column] == side[out], "left")
 
 
 def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] | None = None,
-             dedupe_refs: bool = True, measured: bool = True) -> DataFrame:
-    """Standardised rows + key count + reference lookups + ``dq_issues`` array."""
+             dedupe_refs: bool = True, measured: bool = True,
+             prepared: bool = False) -> DataFrame:
+    """Standardised rows + key count + reference lookups + ``dq_issues`` array.
+
+    ``refs`` maps a referenced dataset to its silver table, or, with
+    ``prepared=True``, to the output of :func:`prepare_reference`.
+    """
     df = standardize(bronze, spec)
     if spec.key:
         df = attach_key_count(df, spec.key, spec.count_column, measured)
     for ref in spec.references:
         if not refs or ref.dataset not in refs:
             raise ValueError(f"{spec.name}: reference dataset {ref.dataset!r} not given")
-        df = attach_reference(df, ref.column, refs[ref.dataset], ref.out, dedupe_refs, measured)
+        keys = refs[ref.dataset] if prepared else \
+            prepare_reference(refs[ref.dataset], dedupe_refs, measured)
+        df = attach_reference(df, ref.column, keys, ref.out)
     return df.withColumn(ISSUES, issue_codes(spec.rules))
 
 
@@ -114,14 +122,3 @@ def quarantine_rows(validated: DataFrame, run_ts: Column | None = None) -> DataF
     if run_ts is not None:
         out = out.withColumn("quarantined_at", run_ts)
     return out
-
-
-def build_silver(bronze: dict[str, DataFrame], specs: dict[str, DatasetSpec],
-                 dedupe_refs: bool = True, measured: bool = True) -> dict[str, DataFrame]:
-    """Validated frames for every dataset in dependency order (refs from silver)."""
-    validated: dict[str, DataFrame] = {}
-    silver: dict[str, DataFrame] = {}
-    for name, spec in specs.items():
-        validated[name] = validate(bronze[name], spec, silver, dedupe_refs, measured)
-        silver[name] = valid_rows(validated[name], spec)
-    return validated

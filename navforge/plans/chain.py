@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navforge.operators import gold, ops
-from navforge.operators.quality import ISSUES, quarantine_rows, valid_rows, validate
+from navforge.operators.joins import broadcast_if_small
+from navforge.operators.quality import (
+    ISSUES, prepare_reference, quarantine_rows, valid_rows, validate,
+)
 from navforge.sources.bronze import fixture_bronze
 from navforge.specs import DATASETS
 
@@ -29,17 +32,26 @@ class Chain:
         self.measured = measured
         self.run_ts = run_ts
         self._validated: dict[str, DataFrame] = {}
+        self._refs: dict[str, DataFrame] = {}
+        self._dims: dict[str, DataFrame] = {}
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
         return fixture_bronze(self.spark, self.sf_dir)
 
+    def reference(self, name: str) -> DataFrame:
+        """Valid ids of ``name``, prepared (and size-checked) once per chain."""
+        if name not in self._refs:
+            self._refs[name] = prepare_reference(self.silver(name), self.dedupe_refs,
+                                                 self.measured)
+        return self._refs[name]
+
     def validated(self, name: str) -> DataFrame:
         if name not in self._validated:
             spec = DATASETS[name]
-            refs = {r.dataset: self.silver(r.dataset) for r in spec.references}
+            refs = {r.dataset: self.reference(r.dataset) for r in spec.references}
             self._validated[name] = validate(self.bronze[name], spec, refs, self.dedupe_refs,
-                                             self.measured)
+                                             self.measured, prepared=True)
         return self._validated[name]
 
     def silver(self, name: str) -> DataFrame:
@@ -49,25 +61,32 @@ class Chain:
         return quarantine_rows(self.validated(name))
 
     # -- gold ---------------------------------------------------------------
+    def dim(self, name: str) -> DataFrame:
+        """Gold dimension projection of a silver table, size-checked once per chain."""
+        if name not in self._dims:
+            d = gold.DIMENSIONS[name](self.silver(name))
+            self._dims[name] = broadcast_if_small(d).frame if self.measured else d
+        return self._dims[name]
+
     @cached_property
     def fund_nav_daily(self) -> DataFrame:
-        return gold.fund_nav_daily(self.silver("positions"), self.silver("funds"),
-                                   measured=self.measured)
+        return gold.fund_nav_daily(self.silver("positions"), self.dim("funds"),
+                                   dims_prepared=True)
 
     @cached_property
     def investor_positions(self) -> DataFrame:
-        return gold.investor_positions(self.silver("positions"), self.silver("funds"),
-                                       self.silver("investors"), measured=self.measured)
+        return gold.investor_positions(self.silver("positions"), self.dim("funds"),
+                                       self.dim("investors"), dims_prepared=True)
 
     @cached_property
     def fund_cashflows(self) -> DataFrame:
-        return gold.fund_cashflows(self.silver("transactions"), self.silver("funds"),
-                                   measured=self.measured)
+        return gold.fund_cashflows(self.silver("transactions"), self.dim("funds"),
+                                   dims_prepared=True)
 
     @cached_property
     def asset_allocation(self) -> DataFrame:
-        return gold.asset_allocation(self.silver("positions"), self.silver("funds"),
-                                     measured=self.measured)
+        return gold.asset_allocation(self.silver("positions"), self.dim("funds"),
+                                     dims_prepared=True)
 
     @cached_property
     def latest_nav(self) -> DataFrame:

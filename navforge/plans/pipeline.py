@@ -25,8 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navforge.operators import gold, ops
-from navforge.operators.joins import release_measured
-from navforge.operators.quality import quarantine_rows, valid_rows, validate
+from navforge.operators.joins import broadcast_if_small, release_measured
+from navforge.operators.quality import (
+    prepare_reference, quarantine_rows, valid_rows, validate,
+)
 from navforge.session import ensure_checkpoint_dir
 from navforge.sources.bronze import spread
 from navforge.sources.sinks import Lakehouse
@@ -82,11 +84,19 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
     append one metrics row per dataset.  References are read from silver tables already
     written in this run (funds and investors come first)."""
     timer = timer or Timer()
+    prepared: dict[str, DataFrame] = {}  # valid ids per referenced dataset, measured once
+
+    def reference(dataset: str) -> DataFrame:
+        if dataset not in prepared:
+            prepared[dataset] = prepare_reference(lake.read(spark, "silver", dataset),
+                                                  dedupe_refs)
+        return prepared[dataset]
+
     for name, spec in DATASETS.items():
         def step(name=name, spec=spec):
             bronze = lake.read(spark, "bronze", name)
-            refs = {r.dataset: lake.read(spark, "silver", r.dataset) for r in spec.references}
-            validated = validate(bronze, spec, refs, dedupe_refs)
+            refs = {r.dataset: reference(r.dataset) for r in spec.references}
+            validated = validate(bronze, spec, refs, dedupe_refs, prepared=True)
             shared = _materialize(validated, materialize)
             try:
                 lake.write(valid_rows(shared, spec, run_ts), "silver", name)
@@ -110,15 +120,27 @@ def build_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
     silver = {n: lake.read(spark, "silver", n) for n in DATASETS}
     funds, investors = silver["funds"], silver["investors"]
     positions, transactions = silver["positions"], silver["transactions"]
+    # Dimensions are size-checked once for the whole layer; the broadcast hint
+    # (when granted) survives the projections each gold table applies.
+    dims: dict[str, DataFrame] = {}
+
+    def dim(name: str) -> DataFrame:
+        if name not in dims:
+            dims[name] = broadcast_if_small(gold.DIMENSIONS[name](silver[name])).frame
+        return dims[name]
+
     timer("fund_nav_daily", lambda: lake.write(
-        gold.fund_nav_daily(positions, funds, run_ts), "gold", "fund_nav_daily"))
+        gold.fund_nav_daily(positions, dim("funds"), run_ts, dims_prepared=True), "gold",
+        "fund_nav_daily"))
     timer("investor_positions", lambda: lake.write(
-        gold.investor_positions(positions, funds, investors, run_ts), "gold",
-        "investor_positions"))
+        gold.investor_positions(positions, dim("funds"), dim("investors"), run_ts,
+                                dims_prepared=True), "gold", "investor_positions"))
     timer("fund_cashflows", lambda: lake.write(
-        gold.fund_cashflows(transactions, funds, run_ts), "gold", "fund_cashflows"))
+        gold.fund_cashflows(transactions, dim("funds"), run_ts, dims_prepared=True), "gold",
+        "fund_cashflows"))
     timer("asset_allocation", lambda: lake.write(
-        gold.asset_allocation(positions, funds, run_ts), "gold", "asset_allocation"))
+        gold.asset_allocation(positions, dim("funds"), run_ts, dims_prepared=True), "gold",
+        "asset_allocation"))
     # The summary starts from the NAV table just written, not a recomputation.
     timer("api_fund_summary", lambda: lake.write(
         gold.api_fund_summary(funds, lake.read(spark, "gold", "fund_nav_daily"), transactions,

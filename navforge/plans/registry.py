@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navforge.operators import gold, reports
+from navforge.operators import gold, ops, reports
 from navforge.operators.quality import attach_key_count, attach_reference, standardize
 from navforge.plans import oracle
 from navforge.plans.chain import Chain, issues_as_text
@@ -100,7 +100,7 @@ def reference_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = Chain(spark, sf_dir)
     df = standardize(chain.bronze["transactions"], TRANSACTIONS)
     for ref in TRANSACTIONS.references:
-        df = attach_reference(df, ref.column, chain.silver(ref.dataset), ref.out)
+        df = attach_reference(df, ref.column, chain.reference(ref.dataset), ref.out)
     return df.select("id", "fund_id", "investor_id", "valid_fund_id", "valid_investor_id")
 
 
@@ -124,8 +124,7 @@ def _ops_query(attr: str) -> Query:
     return q
 
 
-for _attr in ("dq_metrics", "dq_latest_summary", "pipeline_health"):
-    register(_attr, f"SELECT * FROM {_attr}")(_ops_query(_attr))
+register("dq_metrics", "SELECT * FROM dq_metrics")(_ops_query("dq_metrics"))
 
 register("dq_issue_summary", "SELECT * FROM dq_issue_summary")(_gold_query("dq_issue_summary"))
 
@@ -194,6 +193,7 @@ _RUN_2 = dt.datetime(2024, 1, 2)
 
 
 def _two_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs appended to a metrics table, read back."""
     first = Chain(spark, sf_dir, dedupe_refs=False, run_ts=F.lit(_RUN_1)).dq_metrics
     second = Chain(spark, sf_dir, dedupe_refs=True, run_ts=F.lit(_RUN_2)).dq_metrics
     root = _scratch(spark, "dq-metrics")
@@ -213,6 +213,25 @@ def dq_metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_run_history(spark, sf_dir).drop("execution_date")
 
 
+def _two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of two runs over the same tables, as a history would hold them."""
+    first = Chain(spark, sf_dir, dedupe_refs=False, run_ts=F.lit(_RUN_1)).dq_metrics
+    second = Chain(spark, sf_dir, dedupe_refs=True, run_ts=F.lit(_RUN_2)).dq_metrics
+    return first.unionByName(second)
+
+
+@register("dq_latest_summary", "SELECT * FROM dq_metrics")
+def dq_latest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest of two runs per dataset (the deduplicated run)."""
+    return ops.dq_latest_summary(_two_runs(spark, sf_dir)).drop("execution_date")
+
+
+@register("pipeline_health", "SELECT * FROM pipeline_health")
+def pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = ops.dq_latest_summary(_two_runs(spark, sf_dir))
+    return ops.pipeline_health(latest).drop("execution_date")
+
+
 @register("dq_trend", f"""
 SELECT dataset, dq_score, lag(dq_score) OVER (PARTITION BY dataset ORDER BY run) AS previous_dq_score,
        dq_score - lag(dq_score) OVER (PARTITION BY dataset ORDER BY run) AS dq_score_change

@@ -11,7 +11,8 @@ from navforge.functions.parse import parse_decimal, parse_timestamp
 from navforge.functions.rules import issue_codes
 from navforge.operators import gold, ops
 from navforge.operators.quality import (
-    attach_key_count, attach_reference, quarantine_rows, valid_rows, validate,
+    attach_key_count, attach_reference, prepare_reference, quarantine_rows, valid_rows,
+    validate,
 )
 from navforge.specs import (
     FUNDS, INVESTORS, MARKET_PRICES, POSITIONS, TRANSACTIONS, Allowed, Bound, Known, Parsed,
@@ -87,8 +88,9 @@ def test_composite_key_with_null_part_has_no_count(spark):
 def test_reference_dedupe_prevents_fan_out(spark):
     base = spark.createDataFrame([("T1", "F1"), ("T2", "F9")], "id string, fund_id string")
     funds = spark.createDataFrame([("F1",), ("F1",)], "id string")
-    assert attach_reference(base, "fund_id", funds, "valid_fund_id", dedupe=True).count() == 2
-    assert attach_reference(base, "fund_id", funds, "valid_fund_id", dedupe=False).count() == 3
+    for dedupe, rows in ((True, 2), (False, 3)):
+        keys = prepare_reference(funds, dedupe=dedupe)
+        assert attach_reference(base, "fund_id", keys, "valid_fund_id").count() == rows
 
 
 def test_split_columns_follow_published_layout(spark):
