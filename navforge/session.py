@@ -51,3 +51,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 128 << 20,
+                  min_partitions: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so the initial shuffle partitions of a
+    job reading ``input_bytes`` hold about ``target_partition_bytes`` each (AQE then
+    coalesces small ones and splits skewed ones).  Returns the number set."""
+    floor = min_partitions or 2 * spark.sparkContext.defaultParallelism
+    n = max(floor, -(-input_bytes // target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    return n
+
