@@ -3,19 +3,36 @@
 Overwrite replaces data and schema (Parquet rewrites its schema on overwrite);
 append adds rows (the metrics history).  The format is a parameter so a
 deployment with a table format on the classpath can switch to it.
+
+Schemas of tables written (or read) through one ``Lakehouse`` are remembered,
+so reading a table back needs no schema-inference job.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
 
+def _nullable(dt: T.DataType) -> T.DataType:
+    """The type as a file source reads it back: every level nullable."""
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True)
+                             for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_nullable(dt.elementType), True)
+    if isinstance(dt, T.MapType):
+        return T.MapType(_nullable(dt.keyType), _nullable(dt.valueType), True)
+    return dt
 
-@dataclass(frozen=True)
+
+@dataclass
 class Lakehouse:
     root: str
     fmt: str = "parquet"
+    _schemas: dict[str, T.StructType] = field(default_factory=dict, repr=False)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -27,7 +44,19 @@ class Lakehouse:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(path)
+        known = self._schemas.get(path)
+        schema = _nullable(df.schema)
+        if mode == "append" and known is not None and known != schema:
+            self._schemas.pop(path, None)  # appended rows changed the shape: infer again
+        elif not partition_by:
+            self._schemas[path] = schema
         return path
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.format(self.fmt).load(self.path(layer, table))
+        path = self.path(layer, table)
+        reader = spark.read.format(self.fmt)
+        if path in self._schemas:
+            return reader.schema(self._schemas[path]).load(path)
+        df = reader.load(path)
+        self._schemas[path] = _nullable(df.schema)
+        return df
