@@ -32,6 +32,10 @@ def dq_metrics(dataset: str, bronze: DataFrame, validated: DataFrame,
         F.count_if(~F.col("_bronze") & (F.col("_n") == 0)).alias("valid_records"),
         F.count_if(~F.col("_bronze") & (F.col("_n") > 0)).alias("invalid_records"),
     )
+    return _metrics_row(counts, dataset, run_ts)
+
+
+def _metrics_row(counts: DataFrame, dataset: str, run_ts: Column | None) -> DataFrame:
     score = F.round(F.try_divide(F.col("valid_records"), F.col("total_records")) * 100, 2)
     out = counts.select(F.lit(dataset).alias("dataset"), "total_records", "valid_records",
                         "invalid_records", score.cast("double").alias("dq_score"))
@@ -57,12 +61,7 @@ def dq_metrics_written(dataset: str, bronze: DataFrame, valid: DataFrame,
         F.count_if(F.col("_part") == 1).alias("valid_records"),
         F.count_if(F.col("_part") == 2).alias("invalid_records"),
     )
-    score = F.round(F.try_divide(F.col("valid_records"), F.col("total_records")) * 100, 2)
-    out = counts.select(F.lit(dataset).alias("dataset"), "total_records", "valid_records",
-                        "invalid_records", score.cast("double").alias("dq_score"))
-    if run_ts is not None:
-        out = out.withColumn("execution_date", run_ts)
-    return out
+    return _metrics_row(counts, dataset, run_ts)
 
 
 def dq_issue_summary(quarantines: dict[str, DataFrame]) -> DataFrame:

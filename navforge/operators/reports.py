@@ -81,7 +81,7 @@ def nav_by_manager_top(nav_daily: DataFrame, n: int = 10, measured: bool = True)
             .where(F.col("rank") <= n))
 
 
-def _share(counts: DataFrame, by: str) -> DataFrame:
+def _share(counts: DataFrame) -> DataFrame:
     # The window spans the per-category counts only (one row per category).
     total = F.sum("fund_count").over(Window.partitionBy())
     return counts.withColumn(
@@ -92,13 +92,13 @@ def fund_type_distribution(funds: DataFrame) -> DataFrame:
     """Funds per type (distinct ids) and each type's share in percent."""
     counts = funds.groupBy(F.col("type").alias("fund_type")).agg(
         F.count_distinct("id").alias("fund_count"))
-    return _share(counts, "fund_type")
+    return _share(counts)
 
 
 def risk_distribution(funds: DataFrame) -> DataFrame:
     """Funds per risk level (distinct ids) and share in percent."""
     counts = funds.groupBy("risk_level").agg(F.count_distinct("id").alias("fund_count"))
-    return _share(counts, "risk_level")
+    return _share(counts)
 
 
 def price_outliers(prices: DataFrame, k: float = 3.0, measured: bool = True) -> DataFrame:
