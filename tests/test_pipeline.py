@@ -51,3 +51,16 @@ def test_full_run_and_rerun(spark, scratch):
     for t in GOLD:
         after = lake.read(spark, "gold", t).drop("created_at").collect()
         assert sorted(map(tuple, after), key=str) == sorted(map(tuple, before[t]), key=str), t
+
+
+def test_cli_run_from_csv(spark, scratch, capsys):
+    from navforge.__main__ import main
+
+    for name, df in fixture_bronze(spark, SF_SMALL).items():
+        write_bronze_csv(df, f"{scratch}/raw/{name}")
+    assert main(["run", "--raw", f"{scratch}/raw", "--lake", f"{scratch}/lake"]) == 0
+    assert "pipeline_health" in capsys.readouterr().out
+    lake = Lakehouse(f"{scratch}/lake")
+    assert lake.read(spark, "ops", "pipeline_health").count() == 5
+    assert main(["list"]) == 0
+    assert "fund_nav_daily" in capsys.readouterr().out.split()
