@@ -53,14 +53,63 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                       max_rows: int = DEFAULT_BROADCAST_ROWS) -> SizedSide:
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(key, str(default)))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
+                       max_rows: int | None = None) -> SizedSide:
     """Persist ``df``, measure it, and hint a broadcast only under both bounds.
 
-    The persisted blocks are recomputed from lineage if an executor is lost.
+    Bounds default to the session settings ``navforge.broadcast.maxBytes`` and
+    ``navforge.broadcast.maxRows`` (64 MB / 4M rows when unset).  The persisted
+    blocks are recomputed from lineage if an executor is lost.
     """
+    if max_bytes is None:
+        max_bytes = _conf_int(df, "navforge.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES)
+    if max_rows is None:
+        max_rows = _conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     _MEASURED.append(cached)
     rows, payload = measure(cached)
     small = rows <= max_rows and payload <= max_bytes
     return SizedSide(F.broadcast(cached) if small else cached, rows, payload, small)
+
+
+# A key with more rows than this is spread over SALT_BUCKETS shuffle partitions.
+DEFAULT_HOT_KEY_ROWS = 1_000_000
+DEFAULT_SALT_BUCKETS = 64
+
+
+def salted_left_join(big: DataFrame, counted: DataFrame, key: list[str], count_column: str,
+                     hot_rows: int | None = None, buckets: int | None = None) -> DataFrame:
+    """``big LEFT JOIN counted USING (key)`` as a shuffle join that splits hot keys.
+
+    ``counted`` holds one row per key with ``count_column`` = that key's number of
+    rows in ``big``, so the hot keys are known exactly.  Their (few) keys are
+    broadcast to tag hot rows; a hot row gets a salt from a hash of the row
+    (deterministic, so retried tasks route rows identically) and the hot keys of
+    ``counted`` are replicated once per salt.  Rows with a NULL key part (which
+    never match) are spread the same way.  All other rows join on salt 0.
+    """
+    hot_rows = hot_rows if hot_rows is not None else _conf_int(
+        big, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
+    buckets = buckets if buckets is not None else _conf_int(
+        big, "navforge.skew.saltBuckets", DEFAULT_SALT_BUCKETS)
+    hot = counted.where(F.col(count_column) > hot_rows).select(
+        *key, F.lit(True).alias("__hot"))
+    hot_side = broadcast_if_small(hot).frame
+    tagged = big.join(hot_side, key, "left")
+    any_null = F.lit(False)
+    for k in key:
+        any_null = any_null | F.col(k).isNull()
+    spread = F.coalesce(F.col("__hot"), F.lit(False)) | any_null
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    left = tagged.withColumn("__salt", F.when(spread, F.pmod(row_hash, F.lit(buckets)))
+                             .otherwise(F.lit(0)).cast("int")).drop("__hot")
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))) \
+        .otherwise(F.array(F.lit(0)))
+    right = (counted.join(hot, key, "left")
+             .withColumn("__salt", F.explode(salts)).drop("__hot"))
+    return left.join(right, [*key, "__salt"], "left").drop("__salt")
+

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from navforge.functions.parse import parse_decimal, parse_timestamp, trimmed
 from navforge.functions.rules import issue_codes
-from navforge.operators.joins import broadcast_if_small
+from navforge.operators.joins import broadcast_if_small, salted_left_join
 from navforge.specs import DatasetSpec
 
 ISSUES = "dq_issues"
@@ -35,11 +35,6 @@ def _all_not_null(cols: tuple[str, ...] | list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 
 
-def _join_small(big: DataFrame, small: DataFrame, on, how: str, measured: bool) -> DataFrame:
-    side = broadcast_if_small(small).frame if measured else small
-    return big.join(side, on=on, how=how)
-
-
 def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
                      measured: bool = True) -> DataFrame:
     """Add ``count_column``: how often the row's key occurs; NULL when a key part is NULL.
@@ -48,7 +43,9 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
     map-side combined, so a key holding a third of all rows costs one partial
     count per task).  Every other non-NULL key counts 1.  Same values as a
     left join of the full ``groupBy(key).count()``, without shuffling the
-    wide rows when the repeated-key set is small.
+    wide rows when the repeated-key set is small.  When it is too large to
+    broadcast, the shuffle join salts the hot keys, whose row counts are known
+    from the set itself (:func:`~navforge.operators.joins.salted_left_join`).
     """
     repeated = (
         df.where(_all_not_null(key))
@@ -57,7 +54,12 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
         .where(F.col(_DUP_N) > 1)
     )
     cols = df.columns
-    joined = _join_small(df, repeated, list(key), "left", measured)
+    if not measured:
+        joined = df.join(repeated, list(key), "left")
+    else:
+        side = broadcast_if_small(repeated)
+        joined = df.join(side.frame, list(key), "left") if side.broadcast else \
+            salted_left_join(df, side.frame, list(key), _DUP_N)
     count = F.when(_all_not_null(key), F.coalesce(F.col(_DUP_N), F.lit(1)))
     return joined.select(*cols, count.cast("bigint").alias(count_column))
 
