@@ -81,9 +81,10 @@ DEFAULT_HOT_KEY_ROWS = 1_000_000
 DEFAULT_SALT_BUCKETS = 64
 
 
-def salted_left_join(big: DataFrame, counted: DataFrame, key: list[str], count_column: str,
-                     hot_rows: int | None = None, buckets: int | None = None) -> DataFrame:
-    """``big LEFT JOIN counted USING (key)`` as a shuffle join that splits hot keys.
+def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column: str,
+                how: str = "left", hot_rows: int | None = None,
+                buckets: int | None = None) -> DataFrame:
+    """``big <how> JOIN counted USING (key)`` as a shuffle join that splits hot keys.
 
     ``counted`` holds one row per key with ``count_column`` = that key's number of
     rows in ``big``, so the hot keys are known exactly.  Their (few) keys are
@@ -111,5 +112,5 @@ def salted_left_join(big: DataFrame, counted: DataFrame, key: list[str], count_c
         .otherwise(F.array(F.lit(0)))
     right = (counted.join(hot, key, "left")
              .withColumn("__salt", F.explode(salts)).drop("__hot"))
-    return left.join(right, [*key, "__salt"], "left").drop("__salt")
+    return left.join(right, [*key, "__salt"], how).drop("__salt")
 

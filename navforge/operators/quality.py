@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from navforge.functions.parse import parse_decimal, parse_timestamp, trimmed
 from navforge.functions.rules import issue_codes
-from navforge.operators.joins import broadcast_if_small, salted_left_join
+from navforge.operators.joins import broadcast_if_small, salted_join
 from navforge.specs import DatasetSpec
 
 ISSUES = "dq_issues"
@@ -45,7 +45,7 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
     left join of the full ``groupBy(key).count()``, without shuffling the
     wide rows when the repeated-key set is small.  When it is too large to
     broadcast, the shuffle join salts the hot keys, whose row counts are known
-    from the set itself (:func:`~navforge.operators.joins.salted_left_join`).
+    from the set itself (:func:`~navforge.operators.joins.salted_join`).
     """
     repeated = (
         df.where(_all_not_null(key))
@@ -59,7 +59,7 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
     else:
         side = broadcast_if_small(repeated)
         joined = df.join(side.frame, list(key), "left") if side.broadcast else \
-            salted_left_join(df, side.frame, list(key), _DUP_N)
+            salted_join(df, side.frame, list(key), _DUP_N, "left")
     count = F.when(_all_not_null(key), F.coalesce(F.col(_DUP_N), F.lit(1)))
     return joined.select(*cols, count.cast("bigint").alias(count_column))
 

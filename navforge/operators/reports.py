@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navforge.operators.joins import broadcast_if_small
+from navforge.operators.joins import broadcast_if_small, salted_join
 
 KPI_VALUE = "decimal(38,2)"
 
@@ -105,15 +105,20 @@ def price_outliers(prices: DataFrame, k: float = 3.0, measured: bool = True) ->
     """Prices further than ``k`` sample standard deviations from their asset's
     mean (per asset and currency).  Statistics come from a partial/final
     aggregate and are joined back, so a hot asset never lands in one task."""
-    stats = prices.groupBy("asset_id", "currency").agg(
+    key = ["asset_id", "currency"]
+    stats = prices.groupBy(*key).agg(
         F.avg(F.col("close_price").cast("double")).alias("mean_price"),
-        F.stddev_samp(F.col("close_price").cast("double")).alias("stddev_price"))
-    stats = stats.withColumnRenamed("asset_id", "_a").withColumnRenamed("currency", "_c")
-    if measured:
-        stats = broadcast_if_small(stats).frame
-    cond = (prices["asset_id"] == stats["_a"]) & (prices["currency"] == stats["_c"])
+        F.stddev_samp(F.col("close_price").cast("double")).alias("stddev_price"),
+        F.count(F.lit(1)).alias("_n"))
+    if not measured:
+        joined = prices.join(stats, key, "inner")
+    else:
+        side = broadcast_if_small(stats)
+        # past the broadcast bound: shuffle join with hot assets salted (counts are known)
+        joined = prices.join(side.frame, key, "inner") if side.broadcast else \
+            salted_join(prices, side.frame, key, "_n", "inner")
     dev = F.abs(F.col("close_price").cast("double") - F.col("mean_price"))
-    return (prices.join(stats, cond, "inner")
+    return (joined
             .where(dev > F.lit(k) * F.col("stddev_price"))
             .select("asset_id", "fund_id", "price_date", "currency", "close_price",
                     "mean_price", "stddev_price"))

@@ -76,3 +76,26 @@ def test_sla_freshness(spark):
         "valuation_date date, created_at timestamp")
     got = {r["valuation_date"]: r["sla_met"] for r in reports.sla_freshness(nav).collect()}
     assert got == {dt.date(2024, 1, 1): True, dt.date(2024, 1, 2): False}
+
+
+def test_price_outliers_broadcast_and_salted_paths_agree(spark):
+    from decimal import Decimal
+
+    rows = [("A1", "F1", dt.date(2024, 3, d), "EUR", Decimal("10.0000")) for d in range(1, 21)]
+    rows.append(("A1", "F1", dt.date(2024, 3, 21), "EUR", Decimal("100.0000")))  # outlier
+    rows += [("A2", "F1", dt.date(2024, 3, d), "USD", Decimal(str(5 + d % 2))) for d in range(1, 9)]
+    prices = spark.createDataFrame(
+        rows, "asset_id string, fund_id string, price_date date, currency string, "
+              "close_price decimal(18,4)")
+    fast = sorted(map(tuple, reports.price_outliers(prices).collect()), key=str)
+    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "5",
+            "navforge.skew.saltBuckets": "4"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        salted = sorted(map(tuple, reports.price_outliers(prices).collect()), key=str)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert salted == fast
+    assert [(r[0], r[2]) for r in fast] == [("A1", dt.date(2024, 3, 21))]
