@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from navforge.operators.quality import ISSUES
 from navforge.specs import HEALTH_FALLBACK, HEALTH_THRESHOLDS
 
-METRIC_COLUMNS = ["dataset", "total_records", "valid_records", "invalid_records", "dq_score",
-                  "execution_date"]
-
-
 def dq_metrics(dataset: str, bronze: DataFrame, validated: DataFrame,
                run_ts: Column | None = None) -> DataFrame:
     """One metrics row for a dataset, computed by one aggregate job.

@@ -30,7 +30,9 @@ def test_full_run_and_rerun(spark, scratch):
     steps = pipeline.run(spark, lake, bronze=load_bronze_csv(spark, csv_root))
     assert "silver_positions" in steps and "pipeline_health" in steps
 
-    counts = {n: lake.read(spark, "bronze", n).count() for n in DATASETS}
+    counts = {r["table_name"]: r["row_count"]
+              for r in pipeline.bronze_row_counts(spark, lake).collect()}
+    assert sorted(counts) == sorted(DATASETS)
     for n in DATASETS:
         valid = lake.read(spark, "silver", n).count()
         bad = lake.read(spark, "ops", f"dq_{n}_quarantine").count()

@@ -219,3 +219,19 @@ def test_key_count_salted_fallback_matches_plain_join(spark):
     assert salted == plain
     assert {r[1]: r[2] for r in salted} == {0: 5, 1: 5, 2: 5, 3: 5, 4: 5, 10: 2, 11: 2, 20: 1,
                                              30: None, 31: None, 32: None}
+
+
+def test_size_shuffles_targets_partition_bytes(spark):
+    from navforge.session import size_shuffles
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                             "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                             "spark.sql.files.maxPartitionBytes")}
+    try:
+        assert size_shuffles(spark, 100 * (128 << 20)) == 100
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+        floor = 2 * spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, 1) == floor
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
