@@ -13,6 +13,7 @@ splitting handles hot keys.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -24,13 +25,20 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_BROADCAST_ROWS = 4_000_000
 
 
-_MEASURED: list[DataFrame] = []
+_LOCAL = threading.local()  # small sides persisted by the current thread
+
+
+def _measured() -> list[DataFrame]:
+    if not hasattr(_LOCAL, "frames"):
+        _LOCAL.frames = []
+    return _LOCAL.frames
 
 
 def release_measured() -> None:
-    """Unpersist the small sides measured so far (call once their jobs ran)."""
-    while _MEASURED:
-        _MEASURED.pop().unpersist()
+    """Unpersist the small sides this thread measured (call once their jobs ran)."""
+    frames = _measured()
+    while frames:
+        frames.pop().unpersist()
 
 
 @dataclass(frozen=True)
@@ -70,7 +78,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
     if max_rows is None:
         max_rows = _conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _MEASURED.append(cached)
+    _measured().append(cached)
     rows, payload = measure(cached)
     small = rows <= max_rows and payload <= max_bytes
     return SizedSide(F.broadcast(cached) if small else cached, rows, payload, small)

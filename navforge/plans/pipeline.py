@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -41,23 +42,42 @@ def run_timestamp(now: dt.datetime | None = None) -> Column:
 
 
 class Timer:
-    def __init__(self) -> None:
+    """Runs pipeline steps, alone or as a wave of independent steps.
+
+    Steps of one wave are submitted from ``workers`` threads; Spark schedules
+    their jobs side by side, so one step's driver-side planning and small
+    stages overlap another's tasks.  Each step releases the small sides it
+    measured (tracked per thread) when it ends.
+    """
+
+    def __init__(self, workers: int = 1) -> None:
         self.steps: dict[str, float] = {}
+        self.workers = max(1, workers)
 
     def __call__(self, name: str, fn: Callable[[], object]) -> object:
-        """Run one step; the small sides it measured are released afterwards."""
         t0 = time.perf_counter()
         try:
             return fn()
         finally:
             release_measured()
-            self.steps[name] = round(time.perf_counter() - t0, 3)
+            if not name.startswith("_"):  # "_name": a group whose steps time themselves
+                self.steps[name] = round(time.perf_counter() - t0, 3)
+
+    def wave(self, steps: dict[str, Callable[[], object]]) -> None:
+        if self.workers == 1 or len(steps) == 1:
+            for name, fn in steps.items():
+                self(name, fn)
+            return
+        with ThreadPoolExecutor(max_workers=min(self.workers, len(steps))) as pool:
+            futures = [pool.submit(self, name, fn) for name, fn in steps.items()]
+            for f in futures:
+                f.result()  # re-raise the first failure
 
 
 def ingest_bronze(lake: Lakehouse, bronze: dict[str, DataFrame], timer: Timer | None = None) -> None:
     timer = timer or Timer()
-    for name, df in bronze.items():
-        timer(f"bronze_{name}", lambda df=df, name=name: lake.write(spread(df), "bronze", name))
+    timer.wave({f"bronze_{name}": (lambda df=df, name=name: lake.write(spread(df), "bronze", name))
+                for name, df in bronze.items()})
 
 
 def _materialize(df: DataFrame, mode: str) -> DataFrame:
@@ -81,21 +101,16 @@ def _materialize(df: DataFrame, mode: str) -> DataFrame:
 def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_refs: bool = True,
                  timer: Timer | None = None, materialize: str = "persist") -> None:
     """Validate each dataset once; write the valid and the quarantine split, then
-    append one metrics row per dataset.  References are read from silver tables already
-    written in this run (funds and investors come first)."""
+    append one metrics row per dataset.  References are read from silver tables
+    written in this run: funds and investors form the first wave, the datasets
+    referencing them the second."""
     timer = timer or Timer()
-    prepared: dict[str, DataFrame] = {}  # valid ids per referenced dataset, measured once
 
-    def reference(dataset: str) -> DataFrame:
-        if dataset not in prepared:
-            prepared[dataset] = prepare_reference(lake.read(spark, "silver", dataset),
-                                                  dedupe_refs)
-        return prepared[dataset]
+    def step(name: str, refs: dict[str, DataFrame]) -> Callable[[], None]:
+        spec = DATASETS[name]
 
-    for name, spec in DATASETS.items():
-        def step(name=name, spec=spec):
+        def run_step() -> None:
             bronze = lake.read(spark, "bronze", name)
-            refs = {r.dataset: reference(r.dataset) for r in spec.references}
             validated = validate(bronze, spec, refs, dedupe_refs, prepared=True)
             shared = _materialize(validated, materialize)
             try:
@@ -104,7 +119,19 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
             finally:
                 if materialize == "persist":
                     shared.unpersist()
-        timer(f"silver_{name}", step)
+        return run_step
+
+    referenced = {r.dataset for spec in DATASETS.values() for r in spec.references}
+    first = [n for n in DATASETS if not DATASETS[n].references]
+    second = [n for n in DATASETS if DATASETS[n].references]
+    timer.wave({f"silver_{n}": step(n, {}) for n in first})
+    # valid ids of each referenced dataset, size-checked once for the whole wave
+    prepared = {d: prepare_reference(lake.read(spark, "silver", d), dedupe_refs)
+                for d in sorted(referenced)}
+    try:
+        timer.wave({f"silver_{n}": step(n, prepared) for n in second})
+    finally:
+        release_measured()
     # One append for the run: a metrics row per dataset, counted from the tables
     # as written (Parquet footers only).
     metrics = reduce(DataFrame.unionByName, [
@@ -118,29 +145,28 @@ def build_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
                timer: Timer | None = None) -> None:
     timer = timer or Timer()
     silver = {n: lake.read(spark, "silver", n) for n in DATASETS}
-    funds, investors = silver["funds"], silver["investors"]
-    positions, transactions = silver["positions"], silver["transactions"]
+    funds, positions, transactions = silver["funds"], silver["positions"], silver["transactions"]
     # Dimensions are size-checked once for the whole layer; the broadcast hint
     # (when granted) survives the projections each gold table applies.
-    dims: dict[str, DataFrame] = {}
-
-    def dim(name: str) -> DataFrame:
-        if name not in dims:
-            dims[name] = broadcast_if_small(gold.DIMENSIONS[name](silver[name])).frame
-        return dims[name]
-
-    timer("fund_nav_daily", lambda: lake.write(
-        gold.fund_nav_daily(positions, dim("funds"), run_ts, dims_prepared=True), "gold",
-        "fund_nav_daily"))
-    timer("investor_positions", lambda: lake.write(
-        gold.investor_positions(positions, dim("funds"), dim("investors"), run_ts,
-                                dims_prepared=True), "gold", "investor_positions"))
-    timer("fund_cashflows", lambda: lake.write(
-        gold.fund_cashflows(transactions, dim("funds"), run_ts, dims_prepared=True), "gold",
-        "fund_cashflows"))
-    timer("asset_allocation", lambda: lake.write(
-        gold.asset_allocation(positions, dim("funds"), run_ts, dims_prepared=True), "gold",
-        "asset_allocation"))
+    dims = {n: broadcast_if_small(project(silver[n])).frame
+            for n, project in gold.DIMENSIONS.items()}
+    try:
+        timer.wave({
+            "fund_nav_daily": lambda: lake.write(
+                gold.fund_nav_daily(positions, dims["funds"], run_ts, dims_prepared=True),
+                "gold", "fund_nav_daily"),
+            "investor_positions": lambda: lake.write(
+                gold.investor_positions(positions, dims["funds"], dims["investors"], run_ts,
+                                        dims_prepared=True), "gold", "investor_positions"),
+            "fund_cashflows": lambda: lake.write(
+                gold.fund_cashflows(transactions, dims["funds"], run_ts, dims_prepared=True),
+                "gold", "fund_cashflows"),
+            "asset_allocation": lambda: lake.write(
+                gold.asset_allocation(positions, dims["funds"], run_ts, dims_prepared=True),
+                "gold", "asset_allocation"),
+        })
+    finally:
+        release_measured()
     # The summary starts from the NAV table just written, not a recomputation.
     timer("api_fund_summary", lambda: lake.write(
         gold.api_fund_summary(funds, lake.read(spark, "gold", "fund_nav_daily"), transactions,
@@ -150,23 +176,30 @@ def build_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
 def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None) -> None:
     timer = timer or Timer()
     quarantines = {n: lake.read(spark, "ops", f"dq_{n}_quarantine") for n in DATASETS}
-    timer("dq_issue_summary", lambda: lake.write(
-        ops.dq_issue_summary(quarantines), "ops", "dq_issue_summary"))
-    timer("dq_latest_summary", lambda: lake.write(
-        ops.dq_latest_summary(lake.read(spark, "ops", "dq_metrics")), "ops",
-        "dq_latest_summary"))
-    timer("pipeline_health", lambda: lake.write(
-        ops.pipeline_health(lake.read(spark, "ops", "dq_latest_summary")), "ops",
-        "pipeline_health"))
+
+    def latest_then_health() -> None:  # health reads the latest summary just written
+        timer("dq_latest_summary", lambda: lake.write(
+            ops.dq_latest_summary(lake.read(spark, "ops", "dq_metrics")), "ops",
+            "dq_latest_summary"))
+        timer("pipeline_health", lambda: lake.write(
+            ops.pipeline_health(lake.read(spark, "ops", "dq_latest_summary")), "ops",
+            "pipeline_health"))
+
+    timer.wave({
+        "dq_issue_summary": lambda: lake.write(
+            ops.dq_issue_summary(quarantines), "ops", "dq_issue_summary"),
+        "_latest_then_health": latest_then_health,
+    })
 
 
 def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | None = None,
         run_ts: Column | None = None, dedupe_refs: bool = True,
-        materialize: str = "persist") -> dict[str, float]:
+        materialize: str = "persist", workers: int = 4) -> dict[str, float]:
     """Run every layer; ``bronze`` (dataset -> raw frame) is ingested first when
-    given, else the bronze tables already in ``lake`` are used.  Returns the
+    given, else the bronze tables already in ``lake`` are used.  Independent
+    steps run ``workers`` at a time (1 = one after another).  Returns the
     seconds spent per step."""
-    timer = Timer()
+    timer = Timer(workers)
     run_ts = run_ts if run_ts is not None else run_timestamp()
     if bronze is not None:
         ingest_bronze(lake, bronze, timer)

@@ -28,15 +28,16 @@ def test_stream_ingest_loads_each_file_once(spark, scratch):
     assert spark.read.parquet(f"{scratch}/bronze").count() == raw.count()
 
 
-def test_checkpoint_and_recompute_modes_match_persist(spark, scratch):
+def test_materialize_modes_and_concurrency_agree(spark, scratch):
     bronze = fixture_bronze(spark, SF_SMALL)
     out = {}
-    for mode in ("persist", "checkpoint", "recompute"):
-        lake = Lakehouse(f"{scratch}/{mode}")
-        pipeline.run(spark, lake, bronze=bronze, materialize=mode)
-        out[mode] = sorted(map(tuple, lake.read(spark, "gold", "asset_allocation")
-                               .drop("created_at").collect()), key=str)
-    assert out["persist"] == out["checkpoint"] == out["recompute"]
+    for mode, workers in (("persist", 4), ("checkpoint", 4), ("recompute", 4), ("persist", 1)):
+        lake = Lakehouse(f"{scratch}/{mode}{workers}")
+        pipeline.run(spark, lake, bronze=bronze, materialize=mode, workers=workers)
+        out[(mode, workers)] = sorted(map(tuple, lake.read(spark, "gold", "asset_allocation")
+                                          .drop("created_at").collect()), key=str)
+    first = out[("persist", 4)]
+    assert all(v == first for v in out.values())  # modes and sequential vs concurrent agree
 
 
 def test_retention_windows(spark):
