@@ -61,7 +61,7 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
+def conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
@@ -74,9 +74,9 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
     blocks are recomputed from lineage if an executor is lost.
     """
     if max_bytes is None:
-        max_bytes = _conf_int(df, "navforge.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES)
+        max_bytes = conf_int(df, "navforge.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES)
     if max_rows is None:
-        max_rows = _conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
+        max_rows = conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     _measured().append(cached)
     rows, payload = measure(cached)
@@ -101,9 +101,9 @@ def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column
     ``counted`` are replicated once per salt.  Rows with a NULL key part (which
     never match) are spread the same way.  All other rows join on salt 0.
     """
-    hot_rows = hot_rows if hot_rows is not None else _conf_int(
+    hot_rows = hot_rows if hot_rows is not None else conf_int(
         big, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
-    buckets = buckets if buckets is not None else _conf_int(
+    buckets = buckets if buckets is not None else conf_int(
         big, "navforge.skew.saltBuckets", DEFAULT_SALT_BUCKETS)
     hot = counted.where(F.col(count_column) > hot_rows).select(
         *key, F.lit(True).alias("__hot"))

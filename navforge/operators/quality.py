@@ -6,6 +6,7 @@ with a single plan built from a :class:`~navforge.specs.DatasetSpec`.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,11 +14,14 @@ from pyspark.sql import functions as F
 
 from navforge.functions.parse import parse_decimal, parse_timestamp, trimmed
 from navforge.functions.rules import issue_codes
-from navforge.operators.joins import broadcast_if_small, salted_join
+from navforge.operators.joins import (
+    DEFAULT_HOT_KEY_ROWS, broadcast_if_small, conf_int, salted_join,
+)
 from navforge.specs import DatasetSpec
 
 ISSUES = "dq_issues"
 _DUP_N = "__dup_n"
+_REF_N = "__ref_n"
 
 
 def standardize(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -64,7 +68,16 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
     return joined.select(*cols, count.cast("bigint").alias(count_column))
 
 
-def prepare_reference(ref: DataFrame, dedupe: bool = True, measured: bool = True) -> DataFrame:
+@dataclass(frozen=True)
+class PreparedKeys:
+    """Valid ids of a referenced dataset (column ``id``) and how to join them."""
+
+    frame: DataFrame
+    broadcast: bool  # size-checked and under the bound: hinted for a broadcast join
+    checked: bool = True  # False: size unknown, the join is left to Spark/AQE
+
+
+def prepare_reference(ref: DataFrame, dedupe: bool = True, measured: bool = True) -> PreparedKeys:
     """The valid ids of a referenced dataset, ready to be looked up.
 
     ``dedupe=True`` keeps each id once, so a repeated id in the referenced
@@ -74,13 +87,28 @@ def prepare_reference(ref: DataFrame, dedupe: bool = True, measured: bool = True
     """
     keys = ref.select("id").where(F.col("id").isNotNull())
     keys = keys.distinct() if dedupe else keys
-    return broadcast_if_small(keys).frame if measured else keys
+    if not measured:
+        return PreparedKeys(keys, broadcast=False, checked=False)
+    side = broadcast_if_small(keys)
+    return PreparedKeys(side.frame, side.broadcast)
+
 
+def attach_reference(df: DataFrame, column: str, keys: PreparedKeys, out: str) -> DataFrame:
+    """Left lookup of ``column`` in prepared ``keys``; ``out`` is NULL when unknown.
 
-def attach_reference(df: DataFrame, column: str, keys: DataFrame, out: str) -> DataFrame:
-    """Left lookup of ``column`` in prepared ``keys``; ``out`` is NULL when unknown."""
-    side = keys.select(F.col("id").alias(out))
-    return df.join(side, df[column] == side[out], "left")
+    Past the broadcast bound the lookup is a shuffle join; the lookup column's
+    hot values are then found by one narrow aggregate over ``df`` (partial
+    counts, so a value holding a third of all rows costs one count per task)
+    and salted like the key-count join.
+    """
+    side = keys.frame.select(F.col("id").alias(out))
+    if keys.broadcast or not keys.checked:
+        return df.join(side, df[column] == side[out], "left")
+    hot_rows = conf_int(df, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
+    freq = (df.where(F.col(column).isNotNull()).groupBy(column)
+            .agg(F.count(F.lit(1)).alias(_REF_N)).where(F.col(_REF_N) > hot_rows))
+    counted = side.select(F.col(out).alias(column), F.col(out)).join(freq, column, "left")
+    return salted_join(df, counted, [column], _REF_N, "left").select(*df.columns, out)
 
 
 def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] | None = None,
@@ -89,7 +117,7 @@ def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] |
     """Standardised rows + key count + reference lookups + ``dq_issues`` array.
 
     ``refs`` maps a referenced dataset to its silver table, or, with
-    ``prepared=True``, to the output of :func:`prepare_reference`.
+    ``prepared=True``, to its :class:`PreparedKeys` (see :func:`prepare_reference`).
     """
     df = standardize(bronze, spec)
     if spec.key:

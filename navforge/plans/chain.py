@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from navforge.operators import gold, ops
 from navforge.operators.joins import broadcast_if_small
 from navforge.operators.quality import (
-    ISSUES, prepare_reference, quarantine_rows, valid_rows, validate,
+    ISSUES, PreparedKeys, prepare_reference, quarantine_rows, valid_rows, validate,
 )
 from navforge.sources.bronze import fixture_bronze
 from navforge.specs import DATASETS
@@ -32,14 +32,14 @@ class Chain:
         self.measured = measured
         self.run_ts = run_ts
         self._validated: dict[str, DataFrame] = {}
-        self._refs: dict[str, DataFrame] = {}
+        self._refs: dict[str, PreparedKeys] = {}
         self._dims: dict[str, DataFrame] = {}
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
         return fixture_bronze(self.spark, self.sf_dir)
 
-    def reference(self, name: str) -> DataFrame:
+    def reference(self, name: str) -> PreparedKeys:
         """Valid ids of ``name``, prepared (and size-checked) once per chain."""
         if name not in self._refs:
             self._refs[name] = prepare_reference(self.silver(name), self.dedupe_refs,

@@ -235,3 +235,27 @@ def test_size_shuffles_targets_partition_bytes(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_reference_lookup_salted_fallback_matches_broadcast(spark):
+    base = spark.createDataFrame(
+        [(f"T{i}", "F1" if i < 6 else ("F2" if i < 8 else None if i == 8 else "F9"))
+         for i in range(10)], "id string, fund_id string")
+    funds = spark.createDataFrame([("F1",), ("F2",), ("F3",)], "id string")
+    fast = sorted(map(tuple, attach_reference(base, "fund_id", prepare_reference(funds),
+                                              "valid_fund_id").collect()), key=str)
+    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "3",
+            "navforge.skew.saltBuckets": "4"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        keys = prepare_reference(funds)
+        assert not keys.broadcast
+        out = attach_reference(base, "fund_id", keys, "valid_fund_id")
+        assert out.columns == ["id", "fund_id", "valid_fund_id"]
+        salted = sorted(map(tuple, out.collect()), key=str)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert salted == fast
+    assert sum(1 for r in fast if r[2] == "F1") == 6
