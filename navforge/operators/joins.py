@@ -17,7 +17,7 @@ import threading
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Broadcast bound: rows are shipped to every executor, so keep it modest.
@@ -89,6 +89,11 @@ DEFAULT_HOT_KEY_ROWS = 1_000_000
 DEFAULT_SALT_BUCKETS = 64
 
 
+def salt(buckets: int) -> Column:
+    """A bucket in [0, buckets) spread evenly over rows, copies included."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets))
+
+
 def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column: str,
                 how: str = "left", hot_rows: int | None = None,
                 buckets: int | None = None) -> DataFrame:
@@ -96,10 +101,12 @@ def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column
 
     ``counted`` holds one row per key with ``count_column`` = that key's number of
     rows in ``big``, so the hot keys are known exactly.  Their (few) keys are
-    broadcast to tag hot rows; a hot row gets a salt from a hash of the row
-    (deterministic, so retried tasks route rows identically) and the hot keys of
-    ``counted`` are replicated once per salt.  Rows with a NULL key part (which
-    never match) are spread the same way.  All other rows join on salt 0.
+    broadcast to tag hot rows; a hot row gets a salt from a hash of its position
+    in the input (so even exact copies of one row spread evenly) and the hot keys
+    of ``counted`` are replicated once per salt.  Rows with a NULL key part (which
+    never match) are spread the same way.  All other rows join on salt 0.  The
+    salt only routes rows; any salt gives the same result, and Spark reruns a
+    stage whole if a retried task could route differently.
     """
     hot_rows = hot_rows if hot_rows is not None else conf_int(
         big, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
@@ -113,8 +120,7 @@ def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column
     for k in key:
         any_null = any_null | F.col(k).isNull()
     spread = F.coalesce(F.col("__hot"), F.lit(False)) | any_null
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
-    left = tagged.withColumn("__salt", F.when(spread, F.pmod(row_hash, F.lit(buckets)))
+    left = tagged.withColumn("__salt", F.when(spread, salt(buckets))
                              .otherwise(F.lit(0)).cast("int")).drop("__hot")
     salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))) \
         .otherwise(F.array(F.lit(0)))

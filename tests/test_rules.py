@@ -259,3 +259,13 @@ def test_reference_lookup_salted_fallback_matches_broadcast(spark):
             spark.conf.unset(k)
     assert salted == fast
     assert sum(1 for r in fast if r[2] == "F1") == 6
+
+
+def test_salt_spreads_exact_copies(spark):
+    from navforge.operators.joins import salt
+
+    copies = spark.createDataFrame([("a", 1)] * 400, "k string, v int").repartition(2)
+    counts = {r["s"]: r["n"] for r in copies.select(salt(8).alias("s")).groupBy("s")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(counts) == set(range(8))
+    assert max(counts.values()) < 3 * 400 / 8
