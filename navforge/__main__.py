@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--materialize", default="persist",
                    choices=["persist", "checkpoint", "recompute"])
     r.add_argument("--workers", type=int, default=4, help="independent steps run at once")
+    r.add_argument("--register", action="store_true",
+                   help="also name the tables <layer>.<table> in the session catalog")
     r.add_argument("--keep-fanout", action="store_true",
                    help="look references up without de-duplicating their ids")
     i = sub.add_parser("ingest", help="load raw files not loaded before")
@@ -53,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
         from navforge.sources.sinks import Lakehouse
 
         bronze = load_bronze_csv(spark, args.raw) if args.raw else None
-        steps = pipeline.run(spark, Lakehouse(args.lake, args.format), bronze=bronze,
+        lake = Lakehouse(args.lake, args.format, register=args.register)
+        steps = pipeline.run(spark, lake, bronze=bronze,
                              dedupe_refs=not args.keep_fanout, materialize=args.materialize,
                              workers=args.workers)
         print(json.dumps(steps))

@@ -10,12 +10,16 @@ so reading a table back needs no schema-inference job.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_CATALOG_LOCK = threading.Lock()
+
+
 def _nullable(dt: T.DataType) -> T.DataType:
     """The type as a file source reads it back: every level nullable."""
     if isinstance(dt, T.StructType):
@@ -30,8 +34,13 @@ def _nullable(dt: T.DataType) -> T.DataType:
 
 @dataclass
 class Lakehouse:
+    """``register=True`` also names every written table ``<layer>.<table>`` in the
+    session catalog (an external table over the path), so it can be read with
+    ``spark.table`` or SQL."""
+
     root: str
     fmt: str = "parquet"
+    register: bool = False
     _schemas: dict[str, T.StructType] = field(default_factory=dict, repr=False)
 
     def path(self, layer: str, table: str) -> str:
@@ -50,8 +59,19 @@ class Lakehouse:
             self._schemas.pop(path, None)  # appended rows changed the shape: infer again
         elif not partition_by:
             self._schemas[path] = schema
+        if self.register:
+            self._register(df.sparkSession, layer, table, path)
         return path
 
+    def _register(self, spark: SparkSession, layer: str, table: str, path: str) -> None:
+        # Re-created on every write: an overwrite may change the schema.  Dropping an
+        # external table leaves its files alone.
+        with _CATALOG_LOCK:  # steps of one wave write (and register) concurrently
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+            spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{table}`")
+            spark.sql(f"CREATE TABLE `{layer}`.`{table}` USING {self.fmt} "
+                      f"LOCATION '{path.replace(chr(39), chr(39) * 2)}'")
+
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         path = self.path(layer, table)
         reader = spark.read.format(self.fmt)

@@ -66,3 +66,13 @@ def test_cli_run_from_csv(spark, scratch, capsys):
     assert lake.read(spark, "ops", "pipeline_health").count() == 5
     assert main(["list"]) == 0
     assert "fund_nav_daily" in capsys.readouterr().out.split()
+
+
+def test_registered_tables_readable_by_name(spark, scratch):
+    lake = Lakehouse(f"{scratch}/lake", register=True)
+    pipeline.run(spark, lake, bronze=fixture_bronze(spark, SF_SMALL))
+    assert spark.table("gold.fund_nav_daily").count() == \
+        lake.read(spark, "gold", "fund_nav_daily").count() > 0
+    assert spark.sql("SELECT count(*) FROM ops.pipeline_health").first()[0] == 5
+    pipeline.run(spark, lake)  # rerun: tables re-registered over the new files
+    assert spark.table("ops.dq_metrics").count() == 10
