@@ -16,7 +16,9 @@ SF_MEDIUM = "/root/testdata/sf0.01"
 def spark():
     from navforge.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8, app_name="navforge-tests")
+    warehouse = tempfile.mkdtemp(prefix="navforge-warehouse-")  # catalog tables of the tests
+    s = build_session(master="local[*]", shuffle_partitions=8, app_name="navforge-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

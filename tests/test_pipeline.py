@@ -76,3 +76,18 @@ def test_registered_tables_readable_by_name(spark, scratch):
     assert spark.sql("SELECT count(*) FROM ops.pipeline_health").first()[0] == 5
     pipeline.run(spark, lake)  # rerun: tables re-registered over the new files
     assert spark.table("ops.dq_metrics").count() == 10
+
+
+def test_cli_query_and_ingest(spark, scratch, capsys):
+    from navforge.__main__ import main
+
+    assert main(["query", "risk_distribution", "--sf-dir", SF_SMALL, "--rows", "5"]) == 0
+    assert "share_pct" in capsys.readouterr().out
+    raw = fixture_bronze(spark, SF_SMALL, ("market_prices",))["market_prices"]
+    write_bronze_csv(raw, f"{scratch}/incoming/b1")
+    args = ["ingest", "--raw", f"{scratch}/incoming/*", "--dataset", "market_prices",
+            "--target", f"{scratch}/bronze", "--checkpoint", f"{scratch}/_ckpt"]
+    assert main(args) == 0
+    assert f'"rows_added": {raw.count()}' in capsys.readouterr().out
+    assert main(args) == 0
+    assert '"rows_added": 0' in capsys.readouterr().out
