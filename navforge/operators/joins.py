@@ -99,8 +99,9 @@ def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column
                 buckets: int | None = None) -> DataFrame:
     """``big <how> JOIN counted USING (key)`` as a shuffle join that splits hot keys.
 
-    ``counted`` holds one row per key with ``count_column`` = that key's number of
-    rows in ``big``, so the hot keys are known exactly.  Their (few) keys are
+    ``counted`` holds the right-hand rows with ``count_column`` = the key's number
+    of rows in ``big`` (NULL or small for keys that are not hot), so the hot keys
+    are known exactly.  Their (few) keys are
     broadcast to tag hot rows; a hot row gets a salt from a hash of its position
     in the input (so even exact copies of one row spread evenly) and the hot keys
     of ``counted`` are replicated once per salt.  Rows with a NULL key part (which
@@ -112,8 +113,9 @@ def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column
         big, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
     buckets = buckets if buckets is not None else conf_int(
         big, "navforge.skew.saltBuckets", DEFAULT_SALT_BUCKETS)
-    hot = counted.where(F.col(count_column) > hot_rows).select(
-        *key, F.lit(True).alias("__hot"))
+    # distinct: ``counted`` may repeat a key (a lookup that keeps fan-out)
+    hot = counted.where(F.col(count_column) > hot_rows).select(*key).distinct() \
+        .withColumn("__hot", F.lit(True))
     hot_side = broadcast_if_small(hot).frame
     tagged = big.join(hot_side, key, "left")
     any_null = F.lit(False)

@@ -269,3 +269,23 @@ def test_salt_spreads_exact_copies(spark):
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert set(counts) == set(range(8))
     assert max(counts.values()) < 3 * 400 / 8
+
+
+def test_reference_lookup_salted_fallback_keeps_fan_out_mode(spark):
+    base = spark.createDataFrame([(f"T{i}", "F1" if i < 6 else "F2") for i in range(8)],
+                                 "id string, fund_id string")
+    funds = spark.createDataFrame([("F1",), ("F1",), ("F2",)], "id string")
+    plain = attach_reference(base, "fund_id", prepare_reference(funds, dedupe=False),
+                             "valid_fund_id").count()
+    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "3",
+            "navforge.skew.saltBuckets": "4"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        keys = prepare_reference(funds, dedupe=False)
+        salted = attach_reference(base, "fund_id", keys, "valid_fund_id").count()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert not keys.broadcast
+    assert salted == plain == 6 * 2 + 2
