@@ -55,3 +55,27 @@ def test_nav_total_equals_silver_market_value_for_unique_funds(spark):
     mv = chain.silver("positions").join(unique_funds, "fund_id").agg(
         F.sum("market_value")).first()[0]
     assert nav == mv
+
+
+def test_fixture_split_counts_sf0001(spark):
+    # FIXTURES.md section D (deduplicated references): (valid, quarantine) per dataset
+    expected = {"funds": (9, 2), "investors": (132, 20), "transactions": (1001, 505),
+                "positions": (3999, 2014), "market_prices": (139, 65)}
+    chain = Chain(spark, SF_SMALL)
+    got = {n: (chain.silver(n).count(), chain.quarantine(n).count()) for n in DATASETS}
+    assert got == expected
+
+
+def test_all_46_codes_fire_at_sf001(spark):
+    from tests.conftest import SF_MEDIUM
+
+    assert Chain(spark, SF_MEDIUM).dq_issue_summary.count() == 46
+    # FIXTURES.md section D lists the counts under reference (fan-out) semantics
+    rows = Chain(spark, SF_MEDIUM, dedupe_refs=False).dq_issue_summary.collect()
+    by_code = {(r["dataset"], r["dq_issue"]): r["issue_count"] for r in rows}
+    assert len(by_code) == 46
+    assert by_code[("investors", "DUPLICATE_INVESTOR_ID")] == 42
+    assert by_code[("funds", "INVALID_FUND_TYPE")] == 5
+    assert by_code[("market_prices", "DUPLICATE_MARKET_PRICE_KEY")] == 262
+    assert by_code[("transactions", "UNKNOWN_FUND_ID")] == 2673
+    assert by_code[("positions", "UNKNOWN_INVESTOR_ID")] == 6533
