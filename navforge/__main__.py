@@ -2,6 +2,7 @@
 
     python -m navforge run --raw <csv_root> --lake <root> [--materialize persist|checkpoint|recompute]
     python -m navforge run --lake <root>                 # rerun over the bronze tables in <root>
+    python -m navforge run --raw <csv_root> --incremental <checkpoint_root> --lake <root>
     python -m navforge ingest --raw <dir> --dataset positions --target <path> --checkpoint <path>
     python -m navforge query <name> --sf-dir <dir> [--rows 20]
     python -m navforge list
@@ -19,6 +20,8 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run", help="bronze -> silver -> gold -> ops, every layer written")
     r.add_argument("--raw", help="folder with one CSV file or folder per dataset")
+    r.add_argument("--incremental", metavar="CHECKPOINT_ROOT",
+                   help="append only raw files not loaded before (stream checkpoints here)")
     r.add_argument("--lake", required=True)
     r.add_argument("--format", default="parquet")
     r.add_argument("--materialize", default="persist",
@@ -54,8 +57,12 @@ def main(argv: list[str] | None = None) -> int:
         from navforge.sources.bronze import load_bronze_csv
         from navforge.sources.sinks import Lakehouse
 
-        bronze = load_bronze_csv(spark, args.raw) if args.raw else None
         lake = Lakehouse(args.lake, args.format, register=args.register)
+        bronze = None
+        if args.raw and args.incremental:
+            pipeline.ingest_bronze_incremental(spark, lake, args.raw, args.incremental)
+        elif args.raw:
+            bronze = load_bronze_csv(spark, args.raw)
         steps = pipeline.run(spark, lake, bronze=bronze,
                              dedupe_refs=not args.keep_fanout, materialize=args.materialize,
                              workers=args.workers)

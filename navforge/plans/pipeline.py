@@ -34,6 +34,7 @@ from navforge.session import ensure_checkpoint_dir
 from navforge.sources.bronze import spread
 from navforge.sources.sinks import Lakehouse
 from navforge.specs import DATASETS
+from navforge.streaming.ingest import ingest_new_files
 
 
 def run_timestamp(now: dt.datetime | None = None) -> Column:
@@ -80,6 +81,18 @@ def ingest_bronze(lake: Lakehouse, bronze: dict[str, DataFrame], timer: Timer |
                 for name, df in bronze.items()})
 
 
+def ingest_bronze_incremental(spark: SparkSession, lake: Lakehouse, raw_root: str,
+                              checkpoint_root: str, timer: Timer | None = None) -> None:
+    """Append to ``bronze/<dataset>`` the raw files of ``<raw_root>/<dataset>/`` not
+    loaded before (file stream, available-now trigger, one checkpoint per dataset
+    under ``checkpoint_root``, which must be shared storage on a cluster)."""
+    timer = timer or Timer()
+    root, ckpt = raw_root.rstrip("/"), checkpoint_root.rstrip("/")
+    timer.wave({f"bronze_{n}": (lambda n=n, spec=spec: ingest_new_files(
+        spark, f"{root}/{n}", spec, lake.path("bronze", n), f"{ckpt}/{n}", lake.fmt))
+        for n, spec in DATASETS.items()})
+
+
 def _materialize(df: DataFrame, mode: str) -> DataFrame:
     """How the validated frame is shared by its two split writes.
 

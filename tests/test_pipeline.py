@@ -91,3 +91,19 @@ def test_cli_query_and_ingest(spark, scratch, capsys):
     assert f'"rows_added": {raw.count()}' in capsys.readouterr().out
     assert main(args) == 0
     assert '"rows_added": 0' in capsys.readouterr().out
+
+
+def test_incremental_bronze_loads_each_file_once(spark, scratch):
+    from navforge.__main__ import main
+
+    for name, df in fixture_bronze(spark, SF_SMALL).items():
+        write_bronze_csv(df, f"{scratch}/raw/{name}")
+    args = ["run", "--raw", f"{scratch}/raw", "--incremental", f"{scratch}/_ckpt",
+            "--lake", f"{scratch}/lake"]
+    assert main(args) == 0
+    lake = Lakehouse(f"{scratch}/lake")
+    first = {n: lake.read(spark, "bronze", n).count() for n in DATASETS}
+    assert main(args) == 0  # same files again: nothing appended, same silver
+    assert {n: lake.read(spark, "bronze", n).count() for n in DATASETS} == first
+    assert lake.read(spark, "silver", "positions").count() + \
+        lake.read(spark, "ops", "dq_positions_quarantine").count() == first["positions"]
