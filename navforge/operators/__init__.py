@@ -1,0 +1 @@
+"""DataFrame operators of the silver, gold and ops layers."""

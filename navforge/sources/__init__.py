@@ -1,0 +1 @@
+"""Readers, fixture derivation and table sinks."""
