@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -83,10 +84,13 @@ def release_shuffles(spark: SparkSession) -> None:
 
     The cleaner acts once the driver's garbage collector has found the old
     plans unreachable; between the passes of a long operator that is worth
-    asking for, as each pass may have shuffled as much as the input.
+    asking for, as each pass may have shuffled as much as the input.  It takes
+    two rounds: the first frees the plans, the second what they referred to.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES

@@ -6,19 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from navforge.llm.common import table
+from navforge.llm.embedding_dedup import near_vectors
+from navforge.llm.minhash_dedup import near_duplicates
 from navforge.llm.substring_dedup import substring_dedup
+from navforge.llm.topk import exact_top_k
+from navforge.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back as chunk rows."""
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents left after removal of repeated 20-word windows."""
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked at cosine 0.95, with components."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents linked at 0.8 of their 2-word shingles, with components."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, per_cent=80)
+
+
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best rows for every embedding whose id is divisible by 100."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_substring_dedup,)}
+    return {f.__name__: f for f in (
+        op1_warc, op2_substring_dedup, op5_embedding_dedup, op8_minhash_dedup, op9_exact_topk)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -181,7 +181,9 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first_run = False
         at = np.flatnonzero(kind < 2)
         if len(at):
-            yield from emit(_MARK, kind[at], np.full(len(at), part, np.int32), h[at], h2[at],
+            sure = kind[at] == 0  # needs no hash any more
+            yield from emit(_MARK, kind[at], np.full(len(at), part, np.int32),
+                            pa.array(h[at], mask=sure), pa.array(h2[at], mask=sure),
                             doc[at], longs(batch, "tag")[at], pos[at])
     if key is not None:
         yield from emit(_MARK, [2], [part], [key[0]], [key[1]], [None], [None], [None])
