@@ -11,13 +11,22 @@ from pyspark.sql import functions as F
 from navforge.llm.common import table
 from navforge.llm.embedding_dedup import near_vectors
 from navforge.llm.minhash_dedup import near_duplicates
+from navforge.llm.packing import pack_sequences
+from navforge.llm.pii import find_personal_data, fit_personal_data
 from navforge.llm.substring_dedup import substring_dedup
 from navforge.llm.topk import exact_top_k
+from navforge.llm.toxicity import fit_labels, held_out, score_toxicity
 from navforge.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back as chunk rows."""
     return archive_round_trip(table(spark, sf_dir, "pages"))
@@ -28,11 +37,25 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 2048 ids."""
+    return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings linked at cosine 0.95, with components."""
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_labels(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select(
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents linked at 0.8 of their 2-word shingles, with components."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, per_cent=80)
@@ -43,9 +66,16 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_personal_data(docs, fit_personal_data(docs)).drop("text", "added")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_warc, op2_substring_dedup, op5_embedding_dedup, op8_minhash_dedup, op9_exact_topk)}
+        op1_warc, op2_substring_dedup, op4_packing, op5_embedding_dedup, op7_toxicity,
+        op8_minhash_dedup, op9_exact_topk, op10_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:
