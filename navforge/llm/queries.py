@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from navforge.llm.common import table
 from navforge.llm.embedding_dedup import near_vectors
 from navforge.llm.minhash_dedup import near_duplicates
+from navforge.llm.mixing import mix_to_targets
 from navforge.llm.packing import pack_sequences
 from navforge.llm.pii import find_personal_data, fit_personal_data
 from navforge.llm.substring_dedup import substring_dedup
+from navforge.llm.token_counts import count_tokens
 from navforge.llm.topk import exact_top_k
 from navforge.llm.toxicity import fit_labels, held_out, score_toxicity
 from navforge.llm.warc import archive_round_trip
@@ -37,6 +39,24 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+#: Shares of all words that the mixture aims at.
+MIX_TARGETS = {"en": 0.48, "de": 0.17, "fr": 0.17, "es": 0.16, "junk": 0.02}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of the mixture: a document's language, or junk where its
+    quality label is 0."""
+    return labels.select("doc_id", "quality").join(docs.select("doc_id", "lang"), "doc_id").select(
+        "doc_id", F.when(F.col("quality") == 0, "junk").otherwise(F.col("lang")).alias("domain"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents that bring the domains' expected words to MIX_TARGETS."""
+    docs = table(spark, sf_dir, "documents")
+    labelled = labelled_domains(docs, table(spark, sf_dir, "labels"))
+    return mix_to_targets(docs, labelled, MIX_TARGETS).drop("text", "lang", "source", "n_chars")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 ids."""
     return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
@@ -47,6 +67,12 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, tokenizer_path("piece_bpe_32k.model")).drop("text")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,8 +100,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_warc, op2_substring_dedup, op4_packing, op5_embedding_dedup, op7_toxicity,
-        op8_minhash_dedup, op9_exact_topk, op10_personal_data)}
+        op1_warc, op2_substring_dedup, op3_mixing, op4_packing, op5_embedding_dedup,
+        op6_token_counts, op7_toxicity, op8_minhash_dedup, op9_exact_topk, op10_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:
