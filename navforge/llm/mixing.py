@@ -145,9 +145,9 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     history = fit_rates(scored, [targets[d] for d in domains])
     rate = _rate(history, len(domains))
     unit = F.pmod(F.xxhash64("__id", "__h", F.lit(5)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    rated = scored.select(
+    rated = scored.dropDuplicates(["__id", "__h"]).select(
         "__id", "__h", F.col("__tokens").alias("n_tokens"), rate.alias("rate"),
-        *(F.col("__p")[k].alias(f"p_{d}") for k, d in enumerate(domains))).distinct()
+        *(F.col("__p")[k].alias(f"p_{d}") for k, d in enumerate(domains)))
     rated = rated.withColumn("copies", (F.floor("rate") + (
         unit < F.col("rate") - F.floor("rate")).cast("int")).cast("long"))
     left = docs.withColumns({"__k": F.col("doc_id").cast("long"),

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from navforge.llm.common import Scratch
+from navforge.llm.warc import archive_round_trip, read_warc, write_warc
+
+SCHEMA = "page_id long, url string, html string, record_type string"
+PAGES = [
+    (1, "u\r\n1", "a\r\n\r\nWARC/1.0\r\n\r\nContent-Length: 3\r\n\r\nx"), (2, None, None),
+    (3, "u", ""), (4, "u", "é\n" * 200_000), (5, "u", "é\n" * 200_000), (6, "w", "same"),
+    (6, "w", "same"), (7, "w", "b\n"), (None, "q", "same"), (None, "z", "alone"),
+    (8, "y", "x" * 900_000), (9, "y", "x\r"), (10, "y", "\r\n")]
+
+
+def digest(b: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(b).digest()).decode()
+
+
+def brute(rows, least):
+    best: dict[bytes, int] = {}
+    for i, _, h in rows:
+        b = (h or "").encode()
+        if i is not None:
+            best[b] = max(best.get(b, i), i)
+    out = Counter()
+    for i, _, h in rows:
+        b = (h or "").encode()
+        other = best.get(b)
+        response = len(b) < least or other is None or i == other
+        out[(i, len(b), digest(b), "response" if response else "revisit",
+             None if response else other)] += 1
+    return out
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    return spark.createDataFrame([(*p, "clash") for p in PAGES], SCHEMA)
+
+
+@pytest.mark.parametrize("least", [0, 3])
+def test_round_trip(pages, least):
+    got = archive_round_trip(pages, revisit_bytes=least).collect()
+    assert Counter(tuple(r) for r in got) == brute(PAGES, least)
+
+
+def test_chunks_rebuild_payloads(spark, pages):
+    scratch = Scratch(spark, "t")
+    write_warc(pages.filter("page_id is not null").dropDuplicates(["page_id"]),
+               scratch.path("a"), scratch, revisit_bytes=1 << 40)
+    rows = read_warc(spark, scratch.path("a"), chunk_bytes=1000).collect()
+    by: dict[str, list] = {}
+    for r in rows:
+        by.setdefault(r.record_id, []).append(r)
+    want = {f"urn:page:{i}": (h or "").encode() for i, _, h in PAGES if i is not None}
+    assert set(by) == set(want)
+    for key, chunks in by.items():
+        chunks.sort(key=lambda r: r.chunk_no)
+        assert [c.chunk_no for c in chunks] == list(range(len(chunks)))
+        assert [c.is_last for c in chunks] == [False] * (len(chunks) - 1) + [True]
+        so_far = b""
+        for c in chunks:
+            assert len(c.chunk) <= 1000
+            so_far += bytes(c.chunk)
+            assert (c.payload_bytes, c.payload_digest) == (len(so_far), digest(so_far))
+        assert so_far == want[key]
+
+
+def test_other_writers_records(spark, scratch):
+    """Per-record gzip members, warcinfo and metadata records, a payload without HTTP."""
+    import gzip
+
+    def member(kind, body, mime):
+        head = (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:x:{kind}>\r\n"
+                f"Content-Type: {mime}\r\nContent-Length: {len(body)}\r\n\r\n").encode()
+        return gzip.compress(head + body + b"\r\n\r\n")
+
+    with open(f"{scratch}/a.warc.gz", "wb") as f:
+        f.write(member("warcinfo", b"software: x\r\n", "application/warc-fields"))
+        f.write(member("response", b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n\xff\x00\r\nz",
+                       "application/http; msgtype=response"))
+        f.write(member("resource", b"plain\n", "text/plain"))
+    got = {r.record_type: bytes(r.chunk) for r in read_warc(spark, scratch).collect()}
+    assert got == {"warcinfo": b"software: x\r\n", "response": b"\xff\x00\r\nz",
+                   "resource": b"plain\n"}
+
+
+def test_cut_off_archive_is_an_error(spark, scratch):
+    import gzip
+
+    with open(f"{scratch}/a.warc.gz", "wb") as f:
+        f.write(gzip.compress(b"WARC/1.0\r\nContent-Length: 100\r\n\r\nshort"))
+    with pytest.raises(Exception, match="ends within a record"):
+        read_warc(spark, scratch).collect()
+
+
+def test_empty_table(pages):
+    assert archive_round_trip(pages.filter(F.lit(False))).collect() == []
