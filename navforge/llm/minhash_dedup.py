@@ -14,11 +14,13 @@ full sets; documents are grouped by the links' connected components.
    m documents gives m - 1 pairs, not m * m.  Signatures estimate each pair;
    each member's best pair is confirmed on full sets.
 4. Components by large-star and small-star.
-5. A bucket whose members lie in several components can still hide a link, so
-   its signatures are compared across components (in bounded tiles), the pairs
-   that may reach the threshold are confirmed, and 4 and 5 repeat until no link
-   is new and no pair is left.  In a dense group the first round joins nearly
-   all members, so few pairs remain; none is dropped.
+5. A bucket whose members lie in several components can still hide a link.  Its
+   signatures are compared across components, in pairs of bounded tiles; members
+   of a pair that may reach the threshold, in the first band that it shares,
+   meet again with their texts in the same tiles, where exact intersections come
+   from products of 0/1 matrices.  A tile returns the edges of a spanning forest
+   of its links, so a dense group of m documents that are nearly but not quite
+   linked costs time, never m * m rows.  Then 4 again.
 
 A pair at the threshold of 0.8 shares a band with probability 1 - 7e-6 and
 passes the signature screen (five standard deviations below) with 1 - 3e-7.
@@ -40,17 +42,18 @@ from navforge.llm.words import Words, mix
 
 HASHES = 150
 ROWS = 5
-#: Signatures compared at a time in one task.
+#: Members of a tile; a group is a pair of tiles.
 TILE = 1024
-#: Pairs kept for each two components of a tile while links are still found.
-PAIRS = 4
+#: Columns of a 0/1 matrix of sets that are multiplied at a time.
+COLUMNS = 4096
 
 _SKETCH = pa.schema([("row_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()),
                      ("s2", pa.int64()), ("sig", pa.binary()),
                      ("bands", pa.list_(pa.int64()))])
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _SCORED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.int32())])
-_CROSS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+_MEMBER = pa.schema([("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()),
+                     ("node", pa.int64()), ("component", pa.int64())])
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -175,39 +178,83 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _cross(least: int, pairs: int | None):
-    """Within each tile, pairs of different components that may reach the threshold;
-    with ``pairs``, so many for each two components and a word on whether there are more."""
+def _screen(least: int, rows: int):
+    """Members of each pair of tiles with a pair of different components that may reach
+    the threshold and shares no earlier band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in sorted_groups(batches, ["key", "i", "j"]):
-            comp, node = longs(g, "component"), longs(g, "node")
+            comp, tile = longs(g, "component"), longs(g, "tile")
             if len(comp) < 2 or (comp == comp[0]).all():
                 continue
+            i, j, band = longs(g, "i")[0], longs(g, "j")[0], int(longs(g, "band")[0])
             sig = _matrix(g, "sig")
-            found = []
-            for r in range(0, len(comp) - 1, 64):
-                same = (sig[r:r + 64, None, :] == sig[None, r + 1:, :]).sum(axis=2)
-                same[comp[r:r + 64, None] == comp[None, r + 1:]] = 0
-                x, y = np.nonzero(same >= least)
-                keep = y >= x  # each pair once
-                found += zip(same[x, y][keep], x[keep] + r, y[keep] + r + 1)
-            if pairs is not None:
-                found.sort(reverse=True)
-            left: dict[tuple[int, int], int] = {}
-            out = []
-            for _, x, y in found:
-                a, b = sorted((int(node[x]), int(node[y])))
-                if pairs is not None:
-                    two = (min(comp[x], comp[y]), max(comp[x], comp[y]))
-                    left[two] = left.get(two, 0) + 1
-                    if left[two] > pairs:
-                        if left[two] == pairs + 1:
-                            out.append((a, b, True))
-                        continue
-                if a != b:
-                    out.append((a, b, False))
-            if out:
-                yield from emit(_CROSS, *map(list, zip(*out)))
+            x, y = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+            used = np.zeros(len(comp), bool)
+            for r in range(0, len(x), 32):
+                xs = x[r:r + 32]
+                same = sig[xs, None, :] == sig[None, y, :]
+                ok = (same.sum(axis=2) >= least) & (comp[xs, None] != comp[None, y])
+                if band and ok.any():
+                    shared = same[:, :, :band * rows].reshape(len(xs), len(y), band, rows)
+                    ok &= ~shared.all(axis=3).any(axis=2)
+                a, b = np.nonzero(ok)
+                used[xs[a]] = used[y[b]] = True
+            at = np.flatnonzero(used)
+            if len(at):
+                yield from emit(_MEMBER, *(longs(g, c)[at] for c in _MEMBER.names))
+    return run
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, from products of 0/1 matrices."""
+    n = len(sets)
+    if n <= 4:
+        return np.array([[len(np.intersect1d(s, t, assume_unique=True)) for t in sets]
+                         for s in sets], np.float32).reshape(n, n)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1  # elements of one set alone meet nothing
+    owner, column = owner[count[column] > 1], number[column[count[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((n, n), np.float32)
+    for c in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, [c, c + COLUMNS])
+        m = np.zeros((n, COLUMNS), np.float32)
+        m[owner[lo:hi], column[lo:hi] - c] = 1
+        out += m @ m.T
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out
+
+
+def forest(link: np.ndarray) -> np.ndarray:
+    """For each row the first row of its component in a symmetric link matrix."""
+    x, y = np.nonzero(link)
+    label = np.arange(len(link))
+    while True:
+        low = label.copy()
+        np.minimum.at(low, x, label[y])
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _exact(k: int, per_cent: int):
+    """Edges of a spanning forest of the links within each pair of tiles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in sorted_groups(batches, ["key", "i", "j"]):
+            if g.num_rows < 2:
+                continue
+            sets = [s for _, texts in text_slices(g, "text") for s in shingle_sets(texts, k)]
+            size = np.array([len(s) for s in sets], np.float32)
+            both = intersections(sets)
+            union = size[:, None] + size[None, :] - both
+            link = (both > 0) & (100 * both.astype(np.float64) >= per_cent * union)
+            label, node = forest(link), longs(g, "node")
+            at = np.flatnonzero(node != node[label])
+            if len(at):
+                yield from emit(_PAIR, node[at], node[label[at]])
     return run
 
 
@@ -235,7 +282,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
                          .agg(F.min("row_id").alias("node")), "sets")
     nodes = sketch.join(sets.withColumnRenamed("node", "row_id"), ["s1", "s2", "n", "row_id"],
                         "left_semi").withColumnRenamed("row_id", "node")
-    banded = nodes.select("node", F.explode("bands").alias("key"))
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = scratch.write(banded.groupBy("key").agg(F.min("node").alias("leader"),
                                                       F.max("node").alias("top"),
                                                       F.count(F.lit(1)).alias("size"))
@@ -251,58 +298,44 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
     def side(df: DataFrame, value: str, end: str) -> DataFrame:
         return df.select(F.col("node").alias(end), F.col(value).alias(f"{value}_{end}"))
 
-    def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        full = (pairs.select("a", "b").join(side(texts, "text", "b"), "b")
-                .join(side(texts, "text", "a"), "a").select("a", "b", "text_a", "text_b"))
-        return scratch.write(full.mapInArrow(_confirm(words, per_cent), "a long, b long")
-                             .distinct(), name)
-
     star = (members.filter("node <> leader")
             .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     scored = (star.join(side(sigs, "sig", "b"), "b").join(side(sigs, "sig", "a"), "a")
               .select("a", "b", "sig_a", "sig_b")
               .mapInArrow(_estimate(least), "a long, b long, same int"))
-    tried = scratch.write(scored.groupBy("b").agg(
-        F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b"), "tried-0")
-    links = confirm(tried, "links-0")
+    best = scratch.write(scored.groupBy("b").agg(
+        F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b"), "best")
+    full = (best.join(side(texts, "text", "b"), "b").join(side(texts, "text", "a"), "a")
+            .select("a", "b", "text_a", "text_b"))
+    links = scratch.write(full.mapInArrow(_confirm(words, per_cent), "a long, b long"), "links")
     release_shuffles(spark)
-    labels = connected_components(links, scratch, "cc-0")
-    step, limit = 0, PAIRS
-    while True:
-        step += 1
-        here = members.join(labels, "node", "left").select(
-            "key", "node", "size", F.coalesce("component", "node").alias("component"))
-        here = scratch.write(here, f"here-{step}")
-        open_ = scratch.write(here.groupBy("key").agg(F.min("component").alias("x"),
-                                                      F.max("component").alias("y"))
-                              .filter("x < y").select("key"), f"open-{step}")
-        tiles = F.ceil(F.col("size") / TILE).cast("long")
-        tiled = (here.join(open_, "key").join(sigs, "node")
-                 .withColumn("tiles", tiles)
-                 .withColumn("t", F.pmod(F.xxhash64("node"), F.col("tiles")))
-                 .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                       F.col("tiles") - 1)))
-                 .select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"),
-                         "node", "component", "sig"))
-        cross = scratch.write(
-            tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_cross(least, limit), "a long, b long, more boolean"), f"cross-{step}")
-        more = not cross.filter("more").isEmpty()
-        tried_now = scratch.write(cross.filter("not more").select("a", "b").distinct()
-                                  .join(tried, ["a", "b"], "left_anti"), f"tried-{step}")
-        found = confirm(tried_now, f"links-{step}")
-        release_shuffles(spark)
-        tried = tried.unionByName(tried_now)
-        if found.isEmpty():
-            if not more:
-                break
-            if limit is None:
-                break
-            limit = None  # no link is new: now every pair that is left
-            continue
-        links = links.unionByName(found)
-        labels = connected_components(links, scratch, f"cc-{step}")
-        limit = PAIRS
+    labels = connected_components(links, scratch, "cc")
+
+    here = scratch.write(members.join(labels, "node", "left").select(
+        "key", "band", "node", "size", F.coalesce("component", "node").alias("component")),
+        "here")
+    split = scratch.write(here.groupBy("key").agg(F.min("component").alias("x"),
+                                                  F.max("component").alias("y"))
+                          .filter("x < y").select("key"), "split")
+    tiled = (here.join(split, "key").join(sigs, "node")
+             .withColumn("tiles", F.ceil(F.col("size") / TILE).cast("long"))
+             .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+             .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+             .select("key", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"),
+                     "tile", F.col("band").cast("long").alias("band"), "node", "component", "sig"))
+    tile = ["key", "i", "j"]
+    screened = scratch.write(
+        tiled.repartition(*tile).sortWithinPartitions(*tile)
+        .mapInArrow(_screen(least, rows), "key long, i long, j long, node long, component long"),
+        "screened")
+    release_shuffles(spark)
+    found = scratch.write(
+        screened.join(texts, "node").select(*tile, "node", "text")
+        .repartition(*tile).sortWithinPartitions(*tile)
+        .mapInArrow(_exact(words, per_cent), "a long, b long"), "found")
+    release_shuffles(spark)
+    if not found.isEmpty():
+        labels = connected_components(links.unionByName(found), scratch, "cc2")
     classes = scratch.write(sets.join(labels, "node", "left").select(
         "s1", "s2", "n", F.coalesce("component", "node").alias("component_id")), "classes")
     out = sketch.select("row_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
