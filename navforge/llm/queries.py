@@ -12,6 +12,7 @@ from navforge.llm.common import table
 from navforge.llm.embedding_dedup import near_vectors
 from navforge.llm.minhash_dedup import near_duplicates
 from navforge.llm.mixing import mix_to_targets
+from navforge.llm.oracle import SQL
 from navforge.llm.packing import pack_sequences
 from navforge.llm.pii import find_personal_data, fit_personal_data
 from navforge.llm.substring_dedup import substring_dedup
@@ -105,4 +106,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the operator; the tests compare the others with brute force."""
+    return dict(SQL)

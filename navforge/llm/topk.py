@@ -42,7 +42,8 @@ _FOUND = pa.schema([("qrow", pa.int64()), ("query_id", pa.int64()), ("vec_id", p
 def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
     """sqrt(w) * (mean, deviation) of each segment; the product of two rows bounds
     the inner product of their vectors from above."""
-    parts = [p for p in np.array_split(np.arange(x.shape[1]), segments) if len(p)]
+    parts = [p for p in np.array_split(np.arange(x.shape[1]), max(segments, 1))
+             if len(p)]
     cols = []
     for p in parts:
         w = np.sqrt(len(p))

@@ -56,4 +56,5 @@ def packed(vectors: DataFrame, id_col: str, vec_col: str, *, keep_zero: bool = T
 
 def matrix(batch: pa.RecordBatch, column: str = "vec") -> np.ndarray:
     c = batch.column(batch.schema.get_field_index(column))
-    return np.frombuffer(b"".join(c.to_pylist()), np.float64).reshape(len(c), -1)
+    data = np.frombuffer(b"".join(c.to_pylist()), np.float64)
+    return data.reshape(len(c), len(data) // max(len(c), 1))
