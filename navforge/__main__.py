@@ -1,6 +1,6 @@
 """Command line.
 
-    python -m navforge run --raw <csv_root> --lake <root> [--materialize persist|checkpoint|recompute]
+    python -m navforge run --raw <csv_root> --lake <root> [--materialize staged|checkpoint|recompute]
     python -m navforge run --lake <root>                 # rerun over the bronze tables in <root>
     python -m navforge run --raw <csv_root> --incremental <checkpoint_root> --lake <root>
     python -m navforge ingest --raw <dir> --dataset positions --target <path> --checkpoint <path>
@@ -24,8 +24,8 @@ def main(argv: list[str] | None = None) -> int:
                    help="append only raw files not loaded before (stream checkpoints here)")
     r.add_argument("--lake", required=True)
     r.add_argument("--format", default="parquet")
-    r.add_argument("--materialize", default="persist",
-                   choices=["persist", "checkpoint", "recompute"])
+    r.add_argument("--materialize", default="staged",
+                   choices=["staged", "checkpoint", "recompute"])
     r.add_argument("--workers", type=int, default=4, help="independent steps run at once")
     r.add_argument("--register", action="store_true",
                    help="also name the tables <layer>.<table> in the session catalog")

@@ -1,52 +1,47 @@
-"""Join helpers: size-checked broadcast with a shuffle join beyond the bound.
+"""Lookup joins whose right side may or may not be broadcast.
 
 Spark only broadcasts statically when it can estimate a side's size (file
 statistics of a written table).  Sides derived inside the same job (an
 aggregate of the fact table, a distinct of a dimension) have no trustworthy
 estimate, and AQE decides only after *both* join inputs have been shuffled — so
-the large side is shuffled anyway.  ``broadcast_if_small`` measures the exact
-row count and payload of the small side first (one cheap aggregate over a
-persisted frame), then either hints a broadcast (the large side is not
-shuffled at all) or leaves a plain shuffle join, where AQE's skew-join
-splitting handles hot keys.
+the large side is shuffled anyway.  ``size_side`` measures the exact row count
+and payload of such a side first (one aggregate job, nothing is kept) and hints
+a broadcast only under both bounds.
+
+Beyond the bounds ``split_join`` treats the keys by what they are: rows of hot
+keys join a size-checked broadcast of those keys' right-hand rows, so a key
+that holds a third of all rows is never gathered; rows whose key has a NULL
+part match nothing and bypass the join; all others meet in a shuffle join.
+Which way a row goes depends on its key alone, so a retried task routes alike.
 """
 
 from __future__ import annotations
 
-import threading
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from navforge.sources.staging import staged
+
 # Broadcast bound: rows are shipped to every executor, so keep it modest.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_BROADCAST_ROWS = 4_000_000
-
-
-_LOCAL = threading.local()  # small sides persisted by the current thread
-
-
-def _measured() -> list[DataFrame]:
-    if not hasattr(_LOCAL, "frames"):
-        _LOCAL.frames = []
-    return _LOCAL.frames
-
-
-def release_measured() -> None:
-    """Unpersist the small sides this thread measured (call once their jobs ran)."""
-    frames = _measured()
-    while frames:
-        frames.pop().unpersist()
+# Keys with more rows than this are joined by broadcast in a split join.
+DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class SizedSide:
+    """The right side of lookups: ``frame`` carries the hint when ``broadcast``."""
+
     frame: DataFrame
-    rows: int
-    payload_bytes: int
+    rows: int | None
+    payload_bytes: int | None
     broadcast: bool
+    checked: bool = True  # False: size unknown, the join is left to Spark
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -65,68 +60,66 @@ def conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
-                       max_rows: int | None = None) -> SizedSide:
-    """Persist ``df``, measure it, and hint a broadcast only under both bounds.
+def size_side(df: DataFrame) -> SizedSide:
+    """Measure ``df``; hint a broadcast under the session's bounds
+    ``navforge.broadcast.maxBytes`` and ``navforge.broadcast.maxRows``."""
+    rows, payload = measure(df)
+    small = (rows <= conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
+             and payload <= conf_int(df, "navforge.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES))
+    return SizedSide(F.broadcast(df) if small else df, rows, payload, small)
 
-    Bounds default to the session settings ``navforge.broadcast.maxBytes`` and
-    ``navforge.broadcast.maxRows`` (64 MB / 4M rows when unset).  The persisted
-    blocks are recomputed from lineage if an executor is lost.
-    """
-    if max_bytes is None:
-        max_bytes = conf_int(df, "navforge.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES)
-    if max_rows is None:
-        max_rows = conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _measured().append(cached)
-    rows, payload = measure(cached)
-    small = rows <= max_rows and payload <= max_bytes
-    return SizedSide(F.broadcast(cached) if small else cached, rows, payload, small)
-
-
-# A key with more rows than this is spread over SALT_BUCKETS shuffle partitions.
-DEFAULT_HOT_KEY_ROWS = 1_000_000
-DEFAULT_SALT_BUCKETS = 64
+
+def unsized(df: DataFrame) -> SizedSide:
+    return SizedSide(df, None, None, broadcast=False, checked=False)
 
 
-def salt(buckets: int) -> Column:
-    """A bucket in [0, buckets) spread evenly over rows, copies included."""
-    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets))
+def all_not_null(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 
 
-def salted_join(big: DataFrame, counted: DataFrame, key: list[str], count_column: str,
-                how: str = "left", hot_rows: int | None = None,
-                buckets: int | None = None) -> DataFrame:
-    """``big <how> JOIN counted USING (key)`` as a shuffle join that splits hot keys.
+def lookup_join(left: DataFrame, side: SizedSide, key: Sequence[str], how: str = "left",
+                counts: DataFrame | None = None) -> DataFrame:
+    """``left <how> JOIN side USING (key)`` for how = left or inner.
 
-    ``counted`` holds the right-hand rows with ``count_column`` = the key's number
-    of rows in ``big`` (NULL or small for keys that are not hot), so the hot keys
-    are known exactly.  Their (few) keys are
-    broadcast to tag hot rows; a hot row gets a salt from a hash of its position
-    in the input (so even exact copies of one row spread evenly) and the hot keys
-    of ``counted`` are replicated once per salt.  Rows with a NULL key part (which
-    never match) are spread the same way.  All other rows join on salt 0.  The
-    salt only routes rows; any salt gives the same result, and Spark reruns a
-    stage whole if a retried task could route differently.
+    ``counts`` (key columns and ``n``) may give how often keys occur in
+    ``left``; without it a narrow aggregate over ``left`` counts them when needed.
     """
-    hot_rows = hot_rows if hot_rows is not None else conf_int(
-        big, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
-    buckets = buckets if buckets is not None else conf_int(
-        big, "navforge.skew.saltBuckets", DEFAULT_SALT_BUCKETS)
-    # distinct: ``counted`` may repeat a key (a lookup that keeps fan-out)
-    hot = counted.where(F.col(count_column) > hot_rows).select(*key).distinct() \
-        .withColumn("__hot", F.lit(True))
-    hot_side = broadcast_if_small(hot).frame
-    tagged = big.join(hot_side, key, "left")
-    any_null = F.lit(False)
-    for k in key:
-        any_null = any_null | F.col(k).isNull()
-    spread = F.coalesce(F.col("__hot"), F.lit(False)) | any_null
-    left = tagged.withColumn("__salt", F.when(spread, salt(buckets))
-                             .otherwise(F.lit(0)).cast("int")).drop("__hot")
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))) \
-        .otherwise(F.array(F.lit(0)))
-    right = (counted.join(hot, key, "left")
-             .withColumn("__salt", F.explode(salts)).drop("__hot"))
-    return left.join(right, [*key, "__salt"], how).drop("__salt")
+    if side.broadcast or not side.checked:
+        return left.join(side.frame, list(key), how)
+    return split_join(left, side.frame, key, how, counts)
 
+
+def split_join(left: DataFrame, right: DataFrame, key: Sequence[str], how: str = "left",
+               counts: DataFrame | None = None) -> DataFrame:
+    """The join of a ``right`` too large to broadcast; see the module's text.
+
+    ``left`` is written to the shared staging folder first, as its parts are
+    read separately.  The bound for hot keys starts at ``navforge.skew.hotKeyRows``
+    and grows until the hot keys' right-hand rows fit a broadcast.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"split_join cannot do a {how} join")
+    key = list(key)
+    left = staged(left, "split-join")
+    columns = [*left.columns, *(c for c in right.columns if c not in key)]
+    keyed = left.where(all_not_null(key))
+    if counts is None:
+        counts = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    bound = conf_int(left, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
+    while True:
+        keys = staged(counts.where(F.col("n") > bound).select(*key), "hot-keys")
+        hot_keys = size_side(keys)
+        if not hot_keys.rows:
+            parts = [keyed.join(right, key, how)]
+            break
+        hot_right = size_side(staged(right.join(keys, key, "left_semi"), "hot-rows"))
+        if hot_keys.broadcast and hot_right.broadcast:
+            parts = [keyed.join(hot_keys.frame, key, "left_anti").join(right, key, how),
+                     keyed.join(hot_keys.frame, key, "left_semi").join(
+                         hot_right.frame, key, how)]
+            break
+        bound *= 4
+    if how == "left":
+        added = {f.name: F.lit(None).cast(f.dataType) for f in right.schema if f.name not in key}
+        parts.append(left.where(~all_not_null(key)).withColumns(added))
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])

@@ -101,3 +101,17 @@ def health_status(score: Column) -> Column:
 def pipeline_health(latest: DataFrame) -> DataFrame:
     """Latest metrics + Healthy / Warning / Critical (NULL score is Critical)."""
     return latest.withColumn("health_status", health_status(F.col("dq_score")))
+
+
+def rule_health(dataset: str, validated: DataFrame, codes: list[str]) -> DataFrame:
+    """Share of rows that pass each rule, with the health label of that score:
+    (dataset, dq_issue, passed_records, dq_score, health_status).  One aggregate."""
+    failed = [F.count_if(F.array_contains(ISSUES, c)) for c in codes]
+    counted = validated.agg(F.count(F.lit(1)).alias("n"), F.array(*failed).alias("failed"))
+    rows = counted.select("n", F.explode(F.arrays_zip(
+        "failed", F.array(*[F.lit(c) for c in codes]).alias("code"))).alias("x"))
+    passed = F.col("n") - F.col("x.failed")
+    score = F.round(F.try_divide(passed, F.col("n")) * 100, 2).cast("double")
+    return pipeline_health(rows.select(
+        F.lit(dataset).alias("dataset"), F.col("x.code").alias("dq_issue"),
+        passed.alias("passed_records"), score.alias("dq_score")))

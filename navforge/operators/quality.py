@@ -6,22 +6,16 @@ with a single plan built from a :class:`~navforge.specs.DatasetSpec`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navforge.functions.parse import parse_decimal, parse_timestamp, trimmed
 from navforge.functions.rules import issue_codes
-from navforge.operators.joins import (
-    DEFAULT_HOT_KEY_ROWS, broadcast_if_small, conf_int, salted_join,
-)
+from navforge.operators.joins import SizedSide, all_not_null, lookup_join, size_side, unsized
 from navforge.specs import DatasetSpec
 
 ISSUES = "dq_issues"
 _DUP_N = "__dup_n"
-_REF_N = "__ref_n"
 
 
 def standardize(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -35,10 +29,6 @@ def standardize(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
     )
 
 
-def _all_not_null(cols: tuple[str, ...] | list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-
-
 def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
                      measured: bool = True) -> DataFrame:
     """Add ``count_column``: how often the row's key occurs; NULL when a key part is NULL.
@@ -48,67 +38,49 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
     count per task).  Every other non-NULL key counts 1.  Same values as a
     left join of the full ``groupBy(key).count()``, without shuffling the
     wide rows when the repeated-key set is small.  When it is too large to
-    broadcast, the shuffle join salts the hot keys, whose row counts are known
-    from the set itself (:func:`~navforge.operators.joins.salted_join`).
+    broadcast, its own counts name the hot keys of the split join
+    (:func:`~navforge.operators.joins.split_join`).
     """
     repeated = (
-        df.where(_all_not_null(key))
+        df.where(all_not_null(key))
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias(_DUP_N))
         .where(F.col(_DUP_N) > 1)
     )
     cols = df.columns
-    if not measured:
-        joined = df.join(repeated, list(key), "left")
-    else:
-        side = broadcast_if_small(repeated)
-        joined = df.join(side.frame, list(key), "left") if side.broadcast else \
-            salted_join(df, side.frame, list(key), _DUP_N, "left")
-    count = F.when(_all_not_null(key), F.coalesce(F.col(_DUP_N), F.lit(1)))
+    side = size_side(repeated) if measured else unsized(repeated)
+    joined = lookup_join(df, side, key, "left",
+                         counts=repeated.withColumnRenamed(_DUP_N, "n"))
+    count = F.when(all_not_null(key), F.coalesce(F.col(_DUP_N), F.lit(1)))
     return joined.select(*cols, count.cast("bigint").alias(count_column))
 
 
-@dataclass(frozen=True)
-class PreparedKeys:
-    """Valid ids of a referenced dataset (column ``id``) and how to join them."""
-
-    frame: DataFrame
-    broadcast: bool  # size-checked and under the bound: hinted for a broadcast join
-    checked: bool = True  # False: size unknown, the join is left to Spark/AQE
-
-
-def prepare_reference(ref: DataFrame, dedupe: bool = True, measured: bool = True) -> PreparedKeys:
-    """The valid ids of a referenced dataset, ready to be looked up.
+def prepare_reference(ref: DataFrame, dedupe: bool = True, measured: bool = True) -> SizedSide:
+    """The valid ids (column ``id``) of a referenced dataset, ready to be looked up.
 
     ``dedupe=True`` keeps each id once, so a repeated id in the referenced
     table cannot multiply rows; ``dedupe=False`` keeps every copy and with it
-    the fan-out of a plain join.  Measured once, the result can serve every
+    the fan-out of a plain join.  Measured once, the result serves every
     dataset that references it (the broadcast hint survives projections).
     """
     keys = ref.select("id").where(F.col("id").isNotNull())
     keys = keys.distinct() if dedupe else keys
-    if not measured:
-        return PreparedKeys(keys, broadcast=False, checked=False)
-    side = broadcast_if_small(keys)
-    return PreparedKeys(side.frame, side.broadcast)
+    return size_side(keys) if measured else unsized(keys)
 
 
-def attach_reference(df: DataFrame, column: str, keys: PreparedKeys, out: str) -> DataFrame:
+def attach_reference(df: DataFrame, column: str, keys: SizedSide, out: str,
+                     narrow: DataFrame | None = None) -> DataFrame:
     """Left lookup of ``column`` in prepared ``keys``; ``out`` is NULL when unknown.
 
-    Past the broadcast bound the lookup is a shuffle join; the lookup column's
-    hot values are then found by one narrow aggregate over ``df`` (partial
-    counts, so a value holding a third of all rows costs one count per task)
-    and salted like the key-count join.
+    Past the broadcast bound the lookup column's hot values are counted over
+    ``narrow`` (a frame with the same rows but before earlier joins; default ``df``).
     """
-    side = keys.frame.select(F.col("id").alias(out))
-    if keys.broadcast or not keys.checked:
-        return df.join(side, df[column] == side[out], "left")
-    hot_rows = conf_int(df, "navforge.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
-    freq = (df.where(F.col(column).isNotNull()).groupBy(column)
-            .agg(F.count(F.lit(1)).alias(_REF_N)).where(F.col(_REF_N) > hot_rows))
-    counted = side.select(F.col(out).alias(column), F.col(out)).join(freq, column, "left")
-    return salted_join(df, counted, [column], _REF_N, "left").select(*df.columns, out)
+    side = SizedSide(keys.frame.select(F.col("id").alias(column), F.col("id").alias(out)),
+                     keys.rows, keys.payload_bytes, keys.broadcast, keys.checked)
+    source = df if narrow is None else narrow
+    counts = (source.select(column).where(F.col(column).isNotNull()).groupBy(column)
+              .agg(F.count(F.lit(1)).alias("n")))
+    return lookup_join(df, side, [column], "left", counts).select(*df.columns, out)
 
 
 def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] | None = None,
@@ -117,9 +89,9 @@ def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] |
     """Standardised rows + key count + reference lookups + ``dq_issues`` array.
 
     ``refs`` maps a referenced dataset to its silver table, or, with
-    ``prepared=True``, to its :class:`PreparedKeys` (see :func:`prepare_reference`).
+    ``prepared=True``, to its sized ids (see :func:`prepare_reference`).
     """
-    df = standardize(bronze, spec)
+    df = narrow = standardize(bronze, spec)
     if spec.key:
         df = attach_key_count(df, spec.key, spec.count_column, measured)
     for ref in spec.references:
@@ -127,7 +99,7 @@ def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] |
             raise ValueError(f"{spec.name}: reference dataset {ref.dataset!r} not given")
         keys = refs[ref.dataset] if prepared else \
             prepare_reference(refs[ref.dataset], dedupe_refs, measured)
-        df = attach_reference(df, ref.column, keys, ref.out)
+        df = attach_reference(df, ref.column, keys, ref.out, narrow)
     return df.withColumn(ISSUES, issue_codes(spec.rules))
 
 

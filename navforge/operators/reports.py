@@ -10,41 +10,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navforge.operators.joins import broadcast_if_small, salted_join
+from navforge.operators.joins import lookup_join, size_side, unsized
 
 KPI_VALUE = "decimal(38,2)"
 
 
-def latest_nav_rows(nav_daily: DataFrame, attrs: tuple[str, ...] = (),
-                    measured: bool = True) -> DataFrame:
+def latest_nav_rows(nav_daily: DataFrame, attrs: tuple[str, ...] = ()) -> DataFrame:
     """NAV on each fund's latest valuation date, one row per (fund, currency[, attrs]).
 
     A fund id repeated in the fund table repeats its NAV rows in
-    ``fund_nav_daily``; taking distinct (fund, date, currency, attrs, nav)
-    counts each NAV once per distinct attribute value.
+    ``fund_nav_daily``; distinct (fund, date, currency, attrs, nav) rows count
+    each NAV once per distinct attribute value.  One pass: a window over the
+    daily table, then the aggregate of the few latest rows.
     """
     cols = ["fund_id", "valuation_date", "currency", *attrs, "nav_amount"]
-    nav = nav_daily.select(*cols).distinct()
-    latest = nav.groupBy("fund_id").agg(F.max("valuation_date").alias("_latest"))
-    latest = latest.withColumnRenamed("fund_id", "_fid")
-    if measured:
-        latest = broadcast_if_small(latest).frame
-    cond = (nav["fund_id"] == latest["_fid"]) & (nav["valuation_date"] == latest["_latest"])
-    return nav.join(latest, cond, "inner").select(*cols)
+    newest = F.max("valuation_date").over(Window.partitionBy("fund_id"))
+    return (nav_daily.select(*cols).withColumn("_newest", newest)
+            .where(F.col("fund_id").isNotNull() & (F.col("valuation_date") == F.col("_newest")))
+            .select(*cols).distinct())
 
 
-def kpi_summary(nav_daily: DataFrame, cashflows: DataFrame, funds: DataFrame,
-                investors: DataFrame, measured: bool = True) -> DataFrame:
+def kpi_summary(nav_daily: DataFrame, transactions: DataFrame, funds: DataFrame,
+                investors: DataFrame) -> DataFrame:
     """Headline KPIs in long form ``(kpi, currency, value)``.
 
     total_nav: latest NAV of every fund, per currency; total_cashflow: sum of
-    all cashflow amounts, per currency; active_funds / active_investors:
+    all valid transactions' amounts, per currency, each transaction once (the
+    cashflow table repeats a fund whose id is repeated); active_funds / active_investors:
     distinct ids with status 'Active' (currency NULL).
     """
-    nav = (latest_nav_rows(nav_daily, measured=measured).groupBy("currency")
+    nav = (latest_nav_rows(nav_daily).groupBy("currency")
            .agg(F.sum("nav_amount").alias("value"))
            .select(F.lit("total_nav").alias("kpi"), "currency", "value"))
-    flows = (cashflows.groupBy("currency").agg(F.sum("total_amount").alias("value"))
+    flows = (transactions.groupBy("currency").agg(F.sum("amount").alias("value"))
              .select(F.lit("total_cashflow").alias("kpi"), "currency", "value"))
 
     def active(df: DataFrame, kpi: str) -> DataFrame:
@@ -61,19 +59,19 @@ def kpi_summary(nav_daily: DataFrame, cashflows: DataFrame, funds: DataFrame,
     return out
 
 
-def nav_by_fund_type(nav_daily: DataFrame, measured: bool = True) -> DataFrame:
+def nav_by_fund_type(nav_daily: DataFrame) -> DataFrame:
     """Latest NAV per fund type and currency, with the number of funds."""
-    rows = latest_nav_rows(nav_daily, ("fund_type",), measured)
+    rows = latest_nav_rows(nav_daily, ("fund_type",))
     return rows.groupBy("fund_type", "currency").agg(
         F.sum("nav_amount").cast(KPI_VALUE).alias("nav_amount"),
         F.count_distinct("fund_id").alias("fund_count"))
 
 
-def nav_by_manager_top(nav_daily: DataFrame, n: int = 10, measured: bool = True) -> DataFrame:
+def nav_by_manager_top(nav_daily: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` managers with the largest latest NAV, ranked within each currency
     (ties broken by manager name).  The ranking runs over the per-manager
     aggregate, whose size is bounded by managers x currencies."""
-    per = latest_nav_rows(nav_daily, ("manager",), measured).groupBy("manager", "currency").agg(
+    per = latest_nav_rows(nav_daily, ("manager",)).groupBy("manager", "currency").agg(
         F.sum("nav_amount").cast(KPI_VALUE).alias("nav_amount"))
     w = Window.partitionBy("currency").orderBy(F.col("nav_amount").desc(),
                                                F.col("manager").asc_nulls_last())
@@ -110,13 +108,9 @@ def price_outliers(prices: DataFrame, k: float = 3.0, measured: bool = True) ->
         F.avg(F.col("close_price").cast("double")).alias("mean_price"),
         F.stddev_samp(F.col("close_price").cast("double")).alias("stddev_price"),
         F.count(F.lit(1)).alias("_n"))
-    if not measured:
-        joined = prices.join(stats, key, "inner")
-    else:
-        side = broadcast_if_small(stats)
-        # past the broadcast bound: shuffle join with hot assets salted (counts are known)
-        joined = prices.join(side.frame, key, "inner") if side.broadcast else \
-            salted_join(prices, side.frame, key, "_n", "inner")
+    side = size_side(stats) if measured else unsized(stats)
+    joined = lookup_join(prices, side, key, "inner", counts=stats.select(
+        *key, F.col("_n").alias("n")))
     dev = F.abs(F.col("close_price").cast("double") - F.col("mean_price"))
     return (joined
             .where(dev > F.lit(k) * F.col("stddev_price"))
@@ -126,7 +120,8 @@ def price_outliers(prices: DataFrame, k: float = 3.0, measured: bool = True) ->
 
 def dq_trend(metrics_history: DataFrame) -> DataFrame:
     """Each metrics row with the previous score of the same dataset and the change."""
-    w = Window.partitionBy("dataset").orderBy("execution_date")
+    ties = [c for c in metrics_history.columns if c not in ("dataset", "execution_date")]
+    w = Window.partitionBy("dataset").orderBy("execution_date", *ties)
     prev = F.lag("dq_score").over(w)
     return (metrics_history.withColumn("previous_dq_score", prev)
             .withColumn("dq_score_change", F.col("dq_score") - F.col("previous_dq_score")))
@@ -142,31 +137,34 @@ def retention_cutoff(as_of: Column, layer: str) -> Column:
     return F.date_sub(as_of, n) if unit == "days" else F.add_months(as_of, -n)
 
 
-def apply_retention(df: DataFrame, date_col: str, layer: str,
-                    as_of: Column | None = None) -> DataFrame:
-    """Rows still inside the layer's retention window.  ``as_of`` defaults to the
-    newest date in the data itself (a scalar subquery: evaluated once, no join)."""
-    if as_of is None:
-        newest = df.sparkSession.sql(
-            f"SELECT * FROM {{df}} WHERE `{date_col}` >= "
-            f"{_cutoff_sql(layer, f'(SELECT max(`{date_col}`) FROM {{df}})')}", df=df)
-        return newest
-    return df.where(F.col(date_col) >= retention_cutoff(as_of, layer))
+def apply_retention(df: DataFrame, date_col: str, layer: str, as_of: Column) -> DataFrame:
+    """Rows still inside the layer's retention window before the date ``as_of``.
+    A text column (raw data) is read as a date; text that is none cannot age and
+    stays, as do NULLs."""
+    date = F.col(date_col)
+    if df.schema[date_col].dataType.typeName() == "string":
+        date = F.to_date(F.try_to_timestamp(F.trim(date), F.lit("yyyy-MM-dd")))
+    return df.where(F.coalesce(date >= retention_cutoff(as_of, layer), F.lit(True)))
 
 
-def _cutoff_sql(layer: str, as_of_sql: str) -> str:
-    unit, n = RETENTION[layer]
-    return f"date_sub({as_of_sql}, {n})" if unit == "days" else f"add_months({as_of_sql}, {-n})"
+def record_publications(nav_daily: DataFrame, published_at: Column,
+                        known: DataFrame | None = None) -> DataFrame:
+    """(valuation_date, published_at): when each date was first published.
+
+    ``nav_daily`` is overwritten each run, so its own timestamp is always the last
+    run's; ``known``, the record of earlier runs, keeps a date's first time.
+    """
+    now = nav_daily.select("valuation_date").distinct().withColumn("published_at", published_at)
+    rows = now if known is None else known.select(*now.columns).unionByName(now)
+    return rows.groupBy("valuation_date").agg(F.min("published_at").alias("published_at"))
 
 
-def sla_freshness(nav_daily: DataFrame, deadline_hour: int = 9) -> DataFrame:
-    """Per valuation date: publication time of the NAV table, the deadline
-    (next day at ``deadline_hour``:00) and whether it was met."""
+def sla_freshness(publications: DataFrame, deadline_hour: int = 9) -> DataFrame:
+    """Per valuation date: first publication, the deadline (next day at
+    ``deadline_hour``:00) and whether it was met."""
     deadline = F.to_timestamp(F.date_add("valuation_date", 1)) + F.make_interval(
         hours=F.lit(deadline_hour))
-    return (nav_daily.groupBy("valuation_date")
-            .agg(F.max("created_at").alias("published_at"))
-            .withColumn("deadline", deadline)
+    return (publications.withColumn("deadline", deadline)
             .withColumn("sla_met", F.col("published_at") <= F.col("deadline")))
 
 

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navforge.operators import gold, ops
-from navforge.operators.joins import broadcast_if_small
+from navforge.operators.joins import SizedSide
 from navforge.operators.quality import (
-    ISSUES, PreparedKeys, prepare_reference, quarantine_rows, valid_rows, validate,
+    ISSUES, prepare_reference, quarantine_rows, valid_rows, validate,
 )
 from navforge.sources.bronze import fixture_bronze
 from navforge.specs import DATASETS
@@ -32,14 +32,14 @@ class Chain:
         self.measured = measured
         self.run_ts = run_ts
         self._validated: dict[str, DataFrame] = {}
-        self._refs: dict[str, PreparedKeys] = {}
-        self._dims: dict[str, DataFrame] = {}
+        self._refs: dict[str, SizedSide] = {}
+        self._dims: dict[str, SizedSide] = {}
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
         return fixture_bronze(self.spark, self.sf_dir)
 
-    def reference(self, name: str) -> PreparedKeys:
+    def reference(self, name: str) -> SizedSide:
         """Valid ids of ``name``, prepared (and size-checked) once per chain."""
         if name not in self._refs:
             self._refs[name] = prepare_reference(self.silver(name), self.dedupe_refs,
@@ -61,36 +61,32 @@ class Chain:
         return quarantine_rows(self.validated(name))
 
     # -- gold ---------------------------------------------------------------
-    def dim(self, name: str) -> DataFrame:
-        """Gold dimension projection of a silver table, size-checked once per chain."""
+    def dim(self, name: str) -> SizedSide:
+        """Dimension of a silver table, size-checked once per chain."""
         if name not in self._dims:
-            d = gold.DIMENSIONS[name](self.silver(name))
-            self._dims[name] = broadcast_if_small(d).frame if self.measured else d
+            self._dims[name] = gold.dimension(self.silver(name), name, self.measured)
         return self._dims[name]
 
     @cached_property
     def fund_nav_daily(self) -> DataFrame:
-        return gold.fund_nav_daily(self.silver("positions"), self.dim("funds"),
-                                   dims_prepared=True)
+        return gold.fund_nav_daily(self.silver("positions"), self.dim("funds"))
 
     @cached_property
     def investor_positions(self) -> DataFrame:
         return gold.investor_positions(self.silver("positions"), self.dim("funds"),
-                                       self.dim("investors"), dims_prepared=True)
+                                       self.dim("investors"))
 
     @cached_property
     def fund_cashflows(self) -> DataFrame:
-        return gold.fund_cashflows(self.silver("transactions"), self.dim("funds"),
-                                   dims_prepared=True)
+        return gold.fund_cashflows(self.silver("transactions"), self.dim("funds"))
 
     @cached_property
     def asset_allocation(self) -> DataFrame:
-        return gold.asset_allocation(self.silver("positions"), self.dim("funds"),
-                                     dims_prepared=True)
+        return gold.asset_allocation(self.silver("positions"), self.dim("funds"))
 
     @cached_property
     def latest_nav(self) -> DataFrame:
-        return gold.latest_nav(self.fund_nav_daily, measured=self.measured)
+        return gold.latest_nav(self.fund_nav_daily)
 
     @cached_property
     def latest_cashflow_date(self) -> DataFrame:
@@ -99,7 +95,7 @@ class Chain:
     @cached_property
     def api_fund_summary(self) -> DataFrame:
         return gold.api_fund_summary(self.silver("funds"), self.fund_nav_daily,
-                                     self.silver("transactions"), measured=self.measured)
+                                     self.silver("transactions"))
 
     # -- ops ----------------------------------------------------------------
     @cached_property

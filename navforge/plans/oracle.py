@@ -82,40 +82,32 @@ def _validated_columns(spec: DatasetSpec) -> list[str]:
 
 
 def _gold_ctes() -> list[tuple[str, str]]:
-    dim = ("SELECT id AS fund_id_ref, name AS fund_name, type AS fund_type, manager "
-           "FROM silver_funds")
+    # A fact joins every silver row with its id; facts are aggregated after the join.
+    fund = "f.name AS fund_name, f.type AS fund_type, f.manager"
+    of_fund = "LEFT JOIN silver_funds f ON f.id = t.fund_id"
     return [
-        ("fund_dim", dim),
-        ("fund_nav_daily", """
-SELECT n.fund_id, n.valuation_date, n.currency, n.nav_amount, n.investor_count,
-       n.position_count, d.fund_name, d.fund_type, d.manager
-FROM (SELECT fund_id, valuation_date, currency,
-             CAST(sum(market_value) AS DECIMAL(28,2)) AS nav_amount,
-             count(DISTINCT investor_id) AS investor_count, count(*) AS position_count
-      FROM silver_positions GROUP BY fund_id, valuation_date, currency) n
-LEFT JOIN fund_dim d ON n.fund_id = d.fund_id_ref"""),
-        ("investor_positions", """
-SELECT p.investor_id, i.investor_name, i.country, i.risk_profile, i.investor_type,
-       p.fund_id, d.fund_name, d.fund_type, d.manager, p.valuation_date, p.currency,
-       CAST(sum(p.market_value) AS DECIMAL(28,2)) AS market_value,
-       CAST(sum(p.units) AS DECIMAL(28,4)) AS units, count(*) AS position_count
-FROM silver_positions p
-LEFT JOIN fund_dim d ON p.fund_id = d.fund_id_ref
-LEFT JOIN (SELECT id AS investor_id_ref, name AS investor_name, country, risk_profile,
-                  investor_type FROM silver_investors) i ON p.investor_id = i.investor_id_ref
+        ("fund_nav_daily", f"""
+WITH t AS (SELECT fund_id, valuation_date, currency,
+                  CAST(sum(market_value) AS DECIMAL(28,2)) AS nav_amount,
+                  count(DISTINCT investor_id) AS investor_count, count(*) AS position_count
+           FROM silver_positions GROUP BY ALL)
+SELECT t.*, {fund} FROM t {of_fund}"""),
+        ("investor_positions", f"""
+SELECT t.investor_id, i.name AS investor_name, i.country, i.risk_profile, i.investor_type,
+       t.fund_id, {fund}, t.valuation_date, t.currency,
+       CAST(sum(t.market_value) AS DECIMAL(28,2)) AS market_value,
+       CAST(sum(t.units) AS DECIMAL(28,4)) AS units, count(*) AS position_count
+FROM silver_positions t {of_fund} LEFT JOIN silver_investors i ON i.id = t.investor_id
 GROUP BY ALL"""),
-        ("fund_cashflows", """
-SELECT t.fund_id, d.fund_name, d.fund_type, d.manager, t.transaction_date,
-       t.transaction_type, t.currency,
+        ("fund_cashflows", f"""
+SELECT t.fund_id, {fund}, t.transaction_date, t.transaction_type, t.currency,
        CAST(sum(t.amount) AS DECIMAL(28,2)) AS total_amount, count(*) AS transaction_count,
        count(DISTINCT t.investor_id) AS investor_count
-FROM silver_transactions t LEFT JOIN fund_dim d ON t.fund_id = d.fund_id_ref
-GROUP BY ALL"""),
-        ("allocation_base", """
-SELECT p.fund_id, d.fund_name, d.fund_type, d.manager, p.valuation_date, p.asset_class,
-       p.currency, CAST(sum(p.market_value) AS DECIMAL(28,2)) AS market_value
-FROM silver_positions p LEFT JOIN fund_dim d ON p.fund_id = d.fund_id_ref
-GROUP BY ALL"""),
+FROM silver_transactions t {of_fund} GROUP BY ALL"""),
+        ("allocation_base", f"""
+SELECT t.fund_id, {fund}, t.valuation_date, t.asset_class, t.currency,
+       CAST(sum(t.market_value) AS DECIMAL(28,2)) AS market_value
+FROM silver_positions t {of_fund} GROUP BY ALL"""),
         ("allocation_totals", """
 SELECT fund_id, valuation_date, currency,
        CAST(sum(market_value) AS DECIMAL(38,2)) AS total_market_value
@@ -135,12 +127,9 @@ LEFT JOIN allocation_totals t
   ON b.fund_id = t.fund_id AND b.valuation_date = t.valuation_date
  AND b.currency = t.currency"""),
         ("latest_nav", """
-SELECT n.fund_id, n.fund_name AS latest_fund_name, n.valuation_date, n.currency,
-       n.nav_amount, n.investor_count, n.position_count
-FROM fund_nav_daily n
-JOIN (SELECT fund_id, max(valuation_date) AS latest_valuation_date
-      FROM fund_nav_daily GROUP BY fund_id) l USING (fund_id)
-WHERE n.valuation_date = l.latest_valuation_date"""),
+SELECT fund_id, valuation_date, currency, nav_amount, investor_count, position_count
+FROM fund_nav_daily
+QUALIFY rank() OVER (PARTITION BY fund_id ORDER BY valuation_date DESC) = 1"""),
         ("latest_cashflow_date", """
 SELECT fund_id, max(transaction_date) AS latest_transaction_date
 FROM silver_transactions GROUP BY fund_id"""),

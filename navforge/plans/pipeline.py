@@ -21,19 +21,19 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navforge.operators import gold, ops
-from navforge.operators.joins import broadcast_if_small, release_measured
 from navforge.operators.quality import (
-    prepare_reference, quarantine_rows, valid_rows, validate,
+    ISSUES, prepare_reference, quarantine_rows, valid_rows, validate,
 )
-from navforge.session import ensure_checkpoint_dir
+from navforge.operators.reports import apply_retention, record_publications
+from navforge.session import ensure_checkpoint_dir, size_shuffles
 from navforge.sources.bronze import spread
 from navforge.sources.sinks import Lakehouse
-from navforge.specs import DATASETS
+from navforge.sources.staging import release_staged, staged
+from navforge.specs import DATASETS, DIMENSIONS
 from navforge.streaming.ingest import ingest_new_files
 
 
@@ -47,8 +47,8 @@ class Timer:
 
     Steps of one wave are submitted from ``workers`` threads; Spark schedules
     their jobs side by side, so one step's driver-side planning and small
-    stages overlap another's tasks.  Each step releases the small sides it
-    measured (tracked per thread) when it ends.
+    stages overlap another's tasks.  Each step deletes the tables that it staged
+    (tracked per thread) when it ends.
     """
 
     def __init__(self, workers: int = 1) -> None:
@@ -60,7 +60,7 @@ class Timer:
         try:
             return fn()
         finally:
-            release_measured()
+            release_staged()
             if not name.startswith("_"):  # "_name": a group whose steps time themselves
                 self.steps[name] = round(time.perf_counter() - t0, 3)
 
@@ -96,13 +96,13 @@ def ingest_bronze_incremental(spark: SparkSession, lake: Lakehouse, raw_root: st
 def _materialize(df: DataFrame, mode: str) -> DataFrame:
     """How the validated frame is shared by its two split writes.
 
-    ``persist``: executor memory/disk, recomputed from lineage for lost blocks;
-    ``checkpoint``: written once to the shared ``spark.checkpoint.dir`` (lineage
-    cut, survives executor loss without recomputation; costs one extra write);
-    ``recompute``: nothing kept, each split recomputes validation (two scans).
+    ``staged``: written once to the shared folder, partitioned by validity, so each
+    split reads its own rows only; nothing is kept on executors.  ``checkpoint``:
+    the same by ``DataFrame.checkpoint``.  ``recompute``: nothing kept, each split
+    validates anew (two scans).
     """
-    if mode == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if mode == "staged":
+        return staged(df.withColumn("__valid", F.size(ISSUES) == 0), "validated", "__valid")
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -111,8 +111,12 @@ def _materialize(df: DataFrame, mode: str) -> DataFrame:
     raise ValueError(f"unknown materialize mode {mode!r}")
 
 
+def _split(df: DataFrame, valid: bool) -> DataFrame:
+    return df.where(F.col("__valid") == valid).drop("__valid") if "__valid" in df.columns else df
+
+
 def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_refs: bool = True,
-                 timer: Timer | None = None, materialize: str = "persist") -> None:
+                 timer: Timer | None = None, materialize: str = "staged") -> None:
     """Validate each dataset once; write the valid and the quarantine split, then
     append one metrics row per dataset.  References are read from silver tables
     written in this run: funds and investors form the first wave, the datasets
@@ -126,12 +130,9 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
             bronze = lake.read(spark, "bronze", name)
             validated = validate(bronze, spec, refs, dedupe_refs, prepared=True)
             shared = _materialize(validated, materialize)
-            try:
-                lake.write(valid_rows(shared, spec, run_ts), "silver", name)
-                lake.write(quarantine_rows(shared, run_ts), "ops", f"dq_{name}_quarantine")
-            finally:
-                if materialize == "persist":
-                    shared.unpersist()
+            lake.write(valid_rows(_split(shared, True), spec, run_ts), "silver", name)
+            lake.write(quarantine_rows(_split(shared, False), run_ts), "ops",
+                       f"dq_{name}_quarantine")
         return run_step
 
     referenced = {r.dataset for spec in DATASETS.values() for r in spec.references}
@@ -141,10 +142,7 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
     # valid ids of each referenced dataset, size-checked once for the whole wave
     prepared = {d: prepare_reference(lake.read(spark, "silver", d), dedupe_refs)
                 for d in sorted(referenced)}
-    try:
-        timer.wave({f"silver_{n}": step(n, prepared) for n in second})
-    finally:
-        release_measured()
+    timer.wave({f"silver_{n}": step(n, prepared) for n in second})
     # One append for the run: a metrics row per dataset, counted from the tables
     # as written (Parquet footers only).
     metrics = reduce(DataFrame.unionByName, [
@@ -159,33 +157,54 @@ def build_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
     timer = timer or Timer()
     silver = {n: lake.read(spark, "silver", n) for n in DATASETS}
     funds, positions, transactions = silver["funds"], silver["positions"], silver["transactions"]
-    # Dimensions are size-checked once for the whole layer; the broadcast hint
-    # (when granted) survives the projections each gold table applies.
-    dims = {n: broadcast_if_small(project(silver[n])).frame
-            for n, project in gold.DIMENSIONS.items()}
-    try:
-        timer.wave({
-            "fund_nav_daily": lambda: lake.write(
-                gold.fund_nav_daily(positions, dims["funds"], run_ts, dims_prepared=True),
-                "gold", "fund_nav_daily"),
-            "investor_positions": lambda: lake.write(
-                gold.investor_positions(positions, dims["funds"], dims["investors"], run_ts,
-                                        dims_prepared=True), "gold", "investor_positions"),
-            "fund_cashflows": lambda: lake.write(
-                gold.fund_cashflows(transactions, dims["funds"], run_ts, dims_prepared=True),
-                "gold", "fund_cashflows"),
-            "asset_allocation": lambda: lake.write(
-                gold.asset_allocation(positions, dims["funds"], run_ts, dims_prepared=True),
-                "gold", "asset_allocation"),
-        })
-    finally:
-        release_measured()
+    # Dimensions are size-checked once for the whole layer.
+    dims = {n: gold.dimension(silver[n], n) for n in DIMENSIONS}
+    timer.wave({
+        "fund_nav_daily": lambda: lake.write(
+            gold.fund_nav_daily(positions, dims["funds"], run_ts), "gold", "fund_nav_daily"),
+        "investor_positions": lambda: lake.write(
+            gold.investor_positions(positions, dims["funds"], dims["investors"], run_ts),
+            "gold", "investor_positions"),
+        "fund_cashflows": lambda: lake.write(
+            gold.fund_cashflows(transactions, dims["funds"], run_ts), "gold", "fund_cashflows"),
+        "asset_allocation": lambda: lake.write(
+            gold.asset_allocation(positions, dims["funds"], run_ts), "gold", "asset_allocation"),
+    })
     # The summary starts from the NAV table just written, not a recomputation.
     timer("api_fund_summary", lambda: lake.write(
         gold.api_fund_summary(funds, lake.read(spark, "gold", "fund_nav_daily"), transactions,
                               run_ts), "gold", "api_fund_summary"))
 
 
+def record_publication(spark: SparkSession, lake: Lakehouse, run_ts: Column) -> None:
+    """Keep ops/nav_publications: the first publication of each valuation date."""
+    known = lake.read(spark, "ops", "nav_publications") \
+        if lake.exists(spark, "ops", "nav_publications") else None
+    lake.write(record_publications(lake.read(spark, "gold", "fund_nav_daily"), run_ts, known),
+               "ops", "nav_publications")
+
+
+#: Date column that retention goes by, for each aged table.
+AGED = {
+    "bronze": {"transactions": "transaction_date", "positions": "valuation_date",
+               "market_prices": "price_date"},
+    "silver": {"transactions": "transaction_date", "positions": "valuation_date",
+               "market_prices": "price_date"},
+    "gold": {"fund_nav_daily": "valuation_date", "investor_positions": "valuation_date",
+             "fund_cashflows": "transaction_date", "asset_allocation": "valuation_date"},
+    "ops": {"dq_metrics": "execution_date"},
+}
+
+
+def retain(spark: SparkSession, lake: Lakehouse, as_of: dt.date) -> None:
+    """Rewrite every aged table of all four layers without what its layer's retention
+    window has left (raw dates that do not parse cannot age and stay)."""
+    for layer, tables in AGED.items():
+        for table, column in tables.items():
+            kept = apply_retention(lake.read(spark, layer, table), column, layer, F.lit(as_of))
+            lake.write(kept, layer, table)
+
+
 def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None) -> None:
     timer = timer or Timer()
     quarantines = {n: lake.read(spark, "ops", f"dq_{n}_quarantine") for n in DATASETS}
@@ -207,7 +226,7 @@ def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None)
 
 def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | None = None,
         run_ts: Column | None = None, dedupe_refs: bool = True,
-        materialize: str = "persist", workers: int = 4) -> dict[str, float]:
+        materialize: str = "staged", workers: int = 4) -> dict[str, float]:
     """Run every layer; ``bronze`` (dataset -> raw frame) is ingested first when
     given, else the bronze tables already in ``lake`` are used.  Independent
     steps run ``workers`` at a time (1 = one after another).  Returns the
@@ -216,8 +235,12 @@ def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | Non
     run_ts = run_ts if run_ts is not None else run_timestamp()
     if bronze is not None:
         ingest_bronze(lake, bronze, timer)
+    # Shuffles sized to the raw data, never below what the session is set to.
+    size_shuffles(spark, lake.layer_bytes(spark, "bronze"), min_partitions=int(
+        spark.conf.get("spark.sql.shuffle.partitions")))
     build_silver(spark, lake, run_ts, dedupe_refs, timer, materialize)
     build_gold(spark, lake, run_ts, timer)
+    record_publication(spark, lake, run_ts)
     build_ops(spark, lake, timer)
     return timer.steps
 

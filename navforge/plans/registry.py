@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,10 @@ from navforge.session import ensure_checkpoint_dir
 from navforge.sources.bronze import load_bronze_csv, row_counts, write_bronze_csv
 from navforge.sources.sinks import Lakehouse
 from navforge.streaming.ingest import ingest_new_files
-from navforge.specs import DATASETS, MARKET_PRICES, POSITIONS, TRANSACTIONS
+from navforge.specs import (
+    DATASETS, HEALTH_FALLBACK, HEALTH_THRESHOLDS, MARKET_PRICES, POSITIONS, TRANSACTIONS,
+    DatasetSpec,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,22 +160,51 @@ register("preview_silver_positions",
         Chain(spark, sf_dir).silver("positions")))
 
 
+_PREVIEWS = {
+    "investor_positions": ["investor_id", "investor_name", "country", "risk_profile",
+                           "investor_type", "fund_id", "fund_name", "fund_type", "manager",
+                           "valuation_date", "currency", "market_value", "units",
+                           "position_count"],
+    "fund_cashflows": ["fund_id", "fund_name", "fund_type", "manager", "transaction_date",
+                       "transaction_type", "currency", "total_amount", "transaction_count",
+                       "investor_count"],
+    "asset_allocation": ["fund_id", "valuation_date", "currency", "fund_name", "fund_type",
+                         "manager", "asset_class", "market_value", "total_market_value",
+                         "allocation_pct"],
+}
+for _attr, _cols in _PREVIEWS.items():
+    register(f"preview_{_attr}", _preview_sql(_attr, _cols, 10))(
+        lambda spark, sf_dir, attr=_attr, cols=_cols: getattr(Chain(spark, sf_dir), attr)
+        .orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(10))
+
+
 # -- raw CSV ingestion ------------------------------------------------------------
 def _scratch(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-_NULLIF = ", ".join(f"NULLIF({c}, '') AS {c}" for c in POSITIONS.bronze_columns)
+def _nullif(spec: DatasetSpec) -> str:
+    return ", ".join(f"NULLIF({c}, '') AS {c}" for c in spec.bronze_columns)
+
+
+_NULLIF = _nullif(POSITIONS)
+
+
+def _bronze_load_query(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _scratch(spark, "bronze-load")
+        write_bronze_csv(Chain(spark, sf_dir).bronze[name], f"{root}/{name}")
+        return load_bronze_csv(spark, root, (name,))[name]
+    return q
 
 
-@register("bronze_load", f"SELECT {_NULLIF} FROM bronze_positions")
-def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw positions written as CSV and loaded back through the bronze reader
-    (header, all text, columns matched by name).  Empty cells read as NULL."""
-    root = _scratch(spark, "bronze-load")
-    write_bronze_csv(Chain(spark, sf_dir).bronze["positions"], f"{root}/positions")
-    return load_bronze_csv(spark, root, ("positions",))["positions"]
+# Raw rows written as CSV and loaded back through the bronze reader (header checked,
+# all text).  Empty cells read as NULL.
+for _name, _spec in DATASETS.items():
+    register(f"bronze_load_{_name}", f"SELECT {_nullif(_spec)} FROM bronze_{_name}")(
+        _bronze_load_query(_name))
+register("bronze_load", f"SELECT {_NULLIF} FROM bronze_positions")(_bronze_load_query("positions"))
 
 
 @register("bronze_stream_ingest", f"SELECT {_NULLIF} FROM bronze_positions")
@@ -254,8 +287,8 @@ def _latest_sql(attrs: str) -> str:
 SELECT 'total_nav' AS kpi, currency, CAST(sum(nav_amount) AS DECIMAL(38,2)) AS value
 FROM {_latest_sql('')} GROUP BY currency
 UNION ALL
-SELECT 'total_cashflow', currency, CAST(sum(total_amount) AS DECIMAL(38,2))
-FROM fund_cashflows GROUP BY currency
+SELECT 'total_cashflow', currency, CAST(sum(amount) AS DECIMAL(38,2))
+FROM silver_transactions GROUP BY currency
 UNION ALL
 SELECT 'active_funds', NULL, CAST(count(DISTINCT id) AS DECIMAL(38,2))
 FROM silver_funds WHERE status = 'Active'
@@ -264,7 +297,7 @@ SELECT 'active_investors', NULL, CAST(count(DISTINCT id) AS DECIMAL(38,2))
 FROM silver_investors WHERE status = 'Active'""")
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Chain(spark, sf_dir)
-    return reports.kpi_summary(c.fund_nav_daily, c.fund_cashflows, c.silver("funds"),
+    return reports.kpi_summary(c.fund_nav_daily, c.silver("transactions"), c.silver("funds"),
                                c.silver("investors"))
 
 
@@ -320,30 +353,109 @@ def price_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.price_outliers(Chain(spark, sf_dir).silver("market_prices"))
 
 
-@register("retention_silver", """
+#: Prices made from all of ``part``: one asset per brand, and every 97th part priced
+#: far from the others (the market prices of the fixture have one or two per asset).
+_PART_PRICES = """
+SELECT p_brand AS asset_id, 'F' || CAST(p_partkey AS VARCHAR(20)) AS fund_id,
+       DATE '2024-01-31' AS price_date, 'EUR' AS currency,
+       CAST(CASE WHEN p_partkey % 97 = 5 THEN p_retailprice * 9 ELSE p_retailprice END
+            AS DECIMAL(18,2)) AS close_price
+FROM {part}"""
+
+
+@register("price_outliers_dense", f"""
+SELECT asset_id, fund_id, price_date, currency, close_price, round(mean_price, 6) AS mean_price,
+       round(stddev_price, 6) AS stddev_price
+FROM (SELECT *, avg(CAST(close_price AS DOUBLE)) OVER w AS mean_price,
+             stddev_samp(CAST(close_price AS DOUBLE)) OVER w AS stddev_price
+      FROM ({_PART_PRICES.replace('{part}', 'part')})
+      WINDOW w AS (PARTITION BY asset_id, currency))
+WHERE abs(CAST(close_price AS DOUBLE) - mean_price) > 3 * stddev_price""")
+def price_outliers_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = spark.sql(_PART_PRICES, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    out = reports.price_outliers(prices)
+    return out.withColumns({c: F.round(c, 6) for c in ("mean_price", "stddev_price")})
+
+
+# -- retention, as of dates that leave part of the data behind ---------------------
+_AS_OF = {"bronze": "1998-06-30", "silver": "1999-06-30", "gold": "2004-06-30"}
+
+
+@register("retention_bronze", f"""
+SELECT * FROM bronze_positions
+WHERE coalesce(try_strptime(trim(valuation_date), '%Y-%m-%d')
+               >= DATE '{_AS_OF['bronze']}' - INTERVAL 90 DAY, true)""")
+def retention_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.apply_retention(Chain(spark, sf_dir).bronze["positions"], "valuation_date",
+                                   "bronze", F.lit(_AS_OF["bronze"]).cast("date"))
+
+
+@register("retention_silver", f"""
 SELECT * FROM silver_positions
-WHERE valuation_date >= (SELECT max(valuation_date) FROM silver_positions) - INTERVAL 24 MONTH""")
+WHERE valuation_date >= DATE '{_AS_OF['silver']}' - INTERVAL 24 MONTH""")
 def retention_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.apply_retention(Chain(spark, sf_dir).silver("positions"), "valuation_date",
-                                   "silver")
+                                   "silver", F.lit(_AS_OF["silver"]).cast("date"))
 
 
-@register("retention_gold", """
+@register("retention_gold", f"""
 SELECT * FROM fund_nav_daily
-WHERE valuation_date >= (SELECT max(valuation_date) FROM fund_nav_daily) - INTERVAL 84 MONTH""")
+WHERE valuation_date >= DATE '{_AS_OF['gold']}' - INTERVAL 84 MONTH""")
 def retention_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.apply_retention(Chain(spark, sf_dir).fund_nav_daily, "valuation_date", "gold")
+    return reports.apply_retention(Chain(spark, sf_dir).fund_nav_daily, "valuation_date", "gold",
+                                   F.lit(_AS_OF["gold"]).cast("date"))
+
 
+@register("retention_ops", f"""
+SELECT {_METRIC_COLS} FROM dq_metrics""", with_fanout_run=True)
+def retention_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year after the later run's eve only that run's metrics are left."""
+    as_of = F.add_months(F.lit(_RUN_2.date()), 12)
+    return reports.apply_retention(_two_runs(spark, sf_dir), "execution_date", "ops",
+                                   as_of).drop("execution_date")
 
-@register("sla_freshness", """
-SELECT valuation_date, CAST(valuation_date + INTERVAL 1 DAY + INTERVAL 9 HOUR AS TIMESTAMP) AS deadline,
-       CAST(now() AS TIMESTAMP) <= CAST(valuation_date + INTERVAL 1 DAY + INTERVAL 9 HOUR AS TIMESTAMP)
-         AS sla_met
-FROM (SELECT DISTINCT valuation_date FROM fund_nav_daily)""")
+
+# -- publication deadline: two runs, the second republishes all dates --------------
+_FIRST_RUN, _SECOND_RUN = dt.datetime(1996, 1, 2, 8, 0), dt.datetime(1998, 3, 2, 8, 30)
+
+
+@register("sla_freshness", f"""
+SELECT valuation_date, published_at, valuation_date + INTERVAL 33 HOUR AS deadline,
+       published_at <= valuation_date + INTERVAL 33 HOUR AS sla_met
+FROM (SELECT DISTINCT valuation_date,
+             CASE WHEN valuation_date < TIMESTAMP '{_FIRST_RUN}' THEN TIMESTAMP '{_FIRST_RUN}'
+                  ELSE TIMESTAMP '{_SECOND_RUN}' END AS published_at
+      FROM fund_nav_daily)""")
 def sla_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First publication against the deadline: the first run knows the dates before it."""
+    nav = Chain(spark, sf_dir).fund_nav_daily
+    early = reports.record_publications(nav.where(F.col("valuation_date") < F.lit(_FIRST_RUN)),
+                                        F.lit(_FIRST_RUN))
+    return reports.sla_freshness(reports.record_publications(nav, F.lit(_SECOND_RUN), early))
+
+
+# -- health of single rules: all three labels occur --------------------------------
+def _rule_health_sql() -> str:
+    label = "CASE " + " ".join(f"WHEN dq_score >= {b} THEN '{name}'"
+                               for b, name in HEALTH_THRESHOLDS) + f" ELSE '{HEALTH_FALLBACK}' END"
+    parts = [f"""
+SELECT '{spec.name}' AS dataset, c.code AS dq_issue,
+       count(*) - count(*) FILTER (list_contains(v.dq_issues, c.code)) AS passed_records,
+       count(*) AS n
+FROM val_{spec.name} v, (SELECT unnest([{', '.join(f"'{r.code}'" for r in spec.rules)}]) AS code) c
+GROUP BY c.code""" for spec in DATASETS.values()]
+    return f"""
+SELECT dataset, dq_issue, passed_records, dq_score, {label} AS health_status
+FROM (SELECT *, round(CAST(passed_records AS DOUBLE) / n * 100, 2) AS dq_score
+      FROM ({' UNION ALL '.join(parts)}))"""
+
+
+@register("rule_health", _rule_health_sql())
+def rule_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Chain(spark, sf_dir)
-    nav = gold.fund_nav_daily(c.silver("positions"), c.silver("funds"), F.current_timestamp())
-    return reports.sla_freshness(nav).drop("published_at")
+    return reduce(DataFrame.unionByName, [
+        ops.rule_health(n, c.validated(n), [r.code for r in spec.rules])
+        for n, spec in DATASETS.items()])
 
 
 @register("investor_positions_masked", """

@@ -27,20 +27,19 @@ def bronze_schema(spec: DatasetSpec) -> T.StructType:
 
 
 def read_bronze_csv(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
-    """Load raw CSV with a header; every column as text, matched **by name**.
+    """Load raw CSV with a header; every column as text.
 
-    No type inference (one pass over the data is not spent on it); header
-    names come from the first line, so files whose columns are ordered
-    differently still land in the right columns, and a missing column fails
-    at analysis time instead of silently shifting values.
+    The fixed schema is checked against the header of **every** file: a file whose
+    columns are missing, renamed or in another order fails the load instead of
+    shifting values into the wrong columns.  No pass is spent on inference.
     """
-    raw = (
-        spark.read.option("header", "true")
-        .option("inferSchema", "false")
+    return (
+        spark.read.schema(bronze_schema(spec))
+        .option("header", "true")
+        .option("enforceSchema", "false")
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in spec.bronze_columns])
 
 
 def load_bronze_csv(spark: SparkSession, root: str,
@@ -51,13 +50,11 @@ def load_bronze_csv(spark: SparkSession, root: str,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than the cluster
-    has cores (e.g. one unsplittable file); inputs that are already split
-    finely enough are returned untouched, so large loads pay no shuffle."""
+    """Round-robin an input that comes from fewer files than the cluster has cores
+    (e.g. one unsplittable file); inputs of many files are returned untouched, so
+    large loads pay no shuffle.  Looks at file names only: no job runs."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def write_bronze_csv(df: DataFrame, path: str) -> None:

@@ -1,8 +1,11 @@
 """Table sinks: a lakehouse laid out as ``<root>/<layer>/<table>``.
 
-Overwrite replaces data and schema (Parquet rewrites its schema on overwrite);
-append adds rows (the metrics history).  The format is a parameter so a
-deployment with a table format on the classpath can switch to it.
+A table's data lies in a version folder that a small pointer file names.
+Overwrite writes a new version beside the old one and then replaces the pointer
+in one rename, so a failed job leaves the table as it was and readers see one
+version or the other; the version before is kept for readers that still use it.
+Append adds rows to the current version (the metrics history).  The format is a
+parameter so a deployment with a table format on the classpath can switch to it.
 
 Schemas of tables written (or read) through one ``Lakehouse`` are remembered,
 so reading a table back needs no schema-inference job.
@@ -11,6 +14,7 @@ so reading a table back needs no schema-inference job.
 from __future__ import annotations
 
 import threading
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +22,16 @@ from pyspark.sql import types as T
 
 
 _CATALOG_LOCK = threading.Lock()
+_POINTER = "_current"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(JVM, file system, path) of a path on any file system of Spark."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p = fs.makeQualified(p)
+    return jvm, fs, p
 
 
 def _nullable(dt: T.DataType) -> T.DataType:
@@ -43,16 +57,72 @@ class Lakehouse:
     register: bool = False
     _schemas: dict[str, T.StructType] = field(default_factory=dict, repr=False)
 
-    def path(self, layer: str, table: str) -> str:
+    def _root(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def _version(self, spark: SparkSession, layer: str, table: str) -> str | None:
+        """The current version's name, from the pointer file."""
+        jvm, fs, path = _hadoop(spark, f"{self._root(layer, table)}/{_POINTER}")
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _publish(self, spark: SparkSession, layer: str, table: str, version: str) -> None:
+        root, before = self._root(layer, table), self._version(spark, layer, table)
+        jvm, fs, pointer = _hadoop(spark, f"{root}/{_POINTER}")
+        new = jvm.org.apache.hadoop.fs.Path(f"{root}/_new-{version}")
+        out = fs.create(new, True)
+        out.write(bytearray(version, "utf-8"))
+        out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri())
+        overwrite = spark.sparkContext._gateway.new_array(
+            jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context.rename(new, pointer, overwrite)
+        for status in fs.listStatus(jvm.org.apache.hadoop.fs.Path(root)):
+            name = status.getPath().getName()
+            if name.startswith("v-") and name not in (version, before):
+                fs.delete(status.getPath(), True)
+
+    def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
+        return self._version(spark, layer, table) is not None
+
+    def path(self, layer: str, table: str, spark: SparkSession | None = None) -> str:
+        """The folder of the current version; a table not yet written gets one, to
+        which rows can be appended."""
+        spark = spark or SparkSession.active()
+        version = self._version(spark, layer, table)
+        if version is None:
+            version = f"v-{uuid.uuid4().hex}"
+            self._publish(spark, layer, table, version)
+        return f"{self._root(layer, table)}/{version}"
+
+    def layer_bytes(self, spark: SparkSession, layer: str) -> int:
+        """Bytes of the current versions of a layer's tables."""
+        jvm, fs, path = _hadoop(spark, f"{self.root.rstrip('/')}/{layer}")
+        if not fs.exists(path):
+            return 0
+        return sum(fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(
+            self.path(layer, s.getPath().getName(), spark))).getLength()
+            for s in fs.listStatus(path)
+            if self._version(spark, layer, s.getPath().getName()) is not None)
+
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               partition_by: list[str] | None = None) -> str:
-        path = self.path(layer, table)
-        writer = df.write.mode(mode).format(self.fmt)
+        spark = df.sparkSession
+        version = f"v-{uuid.uuid4().hex}"
+        path = f"{self._root(layer, table)}/{version}" if mode == "overwrite" \
+            else self.path(layer, table, spark)
+        writer = df.write.mode("append").format(self.fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(path)
+        if mode == "overwrite":
+            self._publish(spark, layer, table, version)
         known = self._schemas.get(path)
         schema = _nullable(df.schema)
         if mode == "append" and known is not None and known != schema:
@@ -73,7 +143,7 @@ class Lakehouse:
                       f"LOCATION '{path.replace(chr(39), chr(39) * 2)}'")
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        path = self.path(layer, table)
+        path = self.path(layer, table, spark)
         reader = spark.read.format(self.fmt)
         if path in self._schemas:
             return reader.schema(self._schemas[path]).load(path)

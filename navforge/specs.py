@@ -35,6 +35,26 @@ HEALTH_THRESHOLDS = ((99, "Healthy"), (95, "Warning"))
 HEALTH_FALLBACK = "Critical"
 
 
+# ---------------------------------------------------------------------------
+# Dimensions of the reporting tables
+# ---------------------------------------------------------------------------
+@dataclass(frozen=True)
+class Dimension:
+    """Attributes that a dataset adds to facts which carry its id as ``fact_key``."""
+
+    fact_key: str
+    attributes: dict[str, str]  # dataset column -> published column
+
+
+DIMENSIONS = {
+    "funds": Dimension("fund_id", {"name": "fund_name", "type": "fund_type",
+                                   "manager": "manager"}),
+    "investors": Dimension("investor_id", {
+        "name": "investor_name", "country": "country", "risk_profile": "risk_profile",
+        "investor_type": "investor_type"}),
+}
+
+
 # ---------------------------------------------------------------------------
 # Rule kinds
 # ---------------------------------------------------------------------------

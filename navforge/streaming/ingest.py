@@ -41,7 +41,12 @@ def ingest_new_files(spark: SparkSession, source_dir: str, spec: DatasetSpec, ta
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start(target))
-    query.awaitTermination()
+    # The query remembers its last 100 batches only, so they are gathered as it runs.
+    rows: dict[int, int] = {}
+    active = True
+    while active:
+        active = not query.awaitTermination(1)
+        rows.update((p["batchId"], int(p["numInputRows"] or 0)) for p in query.recentProgress)
     if query.exception() is not None:
         raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return sum(rows.values())

@@ -31,24 +31,85 @@ def test_stream_ingest_loads_each_file_once(spark, scratch):
 def test_materialize_modes_and_concurrency_agree(spark, scratch):
     bronze = fixture_bronze(spark, SF_SMALL)
     out = {}
-    for mode, workers in (("persist", 4), ("checkpoint", 4), ("recompute", 4), ("persist", 1)):
+    for mode, workers in (("staged", 4), ("checkpoint", 4), ("recompute", 4), ("staged", 1)):
         lake = Lakehouse(f"{scratch}/{mode}{workers}")
         pipeline.run(spark, lake, bronze=bronze, materialize=mode, workers=workers)
         out[(mode, workers)] = sorted(map(tuple, lake.read(spark, "gold", "asset_allocation")
                                           .drop("created_at").collect()), key=str)
-    first = out[("persist", 4)]
+    first = out[("staged", 4)]
     assert all(v == first for v in out.values())  # modes and sequential vs concurrent agree
 
 
 def test_retention_windows(spark):
     df = spark.createDataFrame([(dt.date(2024, 6, 30),), (dt.date(2024, 4, 1),),
                                 (dt.date(2022, 7, 1),), (dt.date(2022, 6, 29),)], "d date")
-    silver = [r["d"] for r in reports.apply_retention(df, "d", "silver").collect()]
+    newest = F.lit(dt.date(2024, 6, 30))
+    silver = [r["d"] for r in reports.apply_retention(df, "d", "silver", newest).collect()]
     assert sorted(silver) == [dt.date(2022, 7, 1), dt.date(2024, 4, 1), dt.date(2024, 6, 30)]
-    bronze = [r["d"] for r in reports.apply_retention(df, "d", "bronze").collect()]
+    bronze = [r["d"] for r in reports.apply_retention(df, "d", "bronze", newest).collect()]
     assert sorted(bronze) == [dt.date(2024, 4, 1), dt.date(2024, 6, 30)]
     as_of = F.lit(dt.date(2024, 7, 1))
     assert reports.apply_retention(df, "d", "ops", as_of).count() == 2
+    raw = spark.createDataFrame([(" 2024-06-30 ",), ("2020-01-01",), ("n/a",), (None,)], "d string")
+    assert [r["d"] for r in reports.apply_retention(raw, "d", "bronze", newest).collect()] == [
+        " 2024-06-30 ", "n/a", None]
+
+
+def test_retention_step_rewrites_all_layers(spark, scratch):
+    lake = Lakehouse(f"{scratch}/lake")
+    pipeline.run(spark, lake, bronze=fixture_bronze(spark, SF_SMALL),
+                 run_ts=F.lit(dt.datetime(1999, 1, 1)).cast("timestamp"))
+    newest = lake.read(spark, "silver", "positions").agg(F.max("valuation_date")).first()[0]
+    before = {(a, t): lake.read(spark, a, t).count() for a in pipeline.AGED
+              for t in pipeline.AGED[a]}
+    pipeline.retain(spark, lake, newest + dt.timedelta(days=400))
+    after = {k: lake.read(spark, *k).count() for k in before}
+    assert all(after[k] <= before[k] for k in before)
+    for k in (("bronze", "positions"), ("silver", "positions"), ("ops", "dq_metrics")):
+        assert after[k] < before[k], k
+    cutoff = lake.read(spark, "gold", "fund_nav_daily").agg(F.min("valuation_date")).first()[0]
+    assert cutoff >= dt.date(newest.year - 6, newest.month, 1)  # seven years before as_of
+
+
+def test_csv_header_in_another_order_fails(spark, scratch):
+    import os
+
+    import pytest
+
+    from navforge.sources.bronze import read_bronze_csv
+
+    cols = list(INVESTORS.bronze_columns)
+    os.makedirs(f"{scratch}/raw")
+    for name, header in (("a", cols), ("b", [cols[1], cols[0], *cols[2:]])):
+        with open(f"{scratch}/raw/{name}.csv", "w") as f:
+            f.write(",".join(header) + "\n" + ",".join(f"{c}-{name}" for c in header) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bronze_csv(spark, f"{scratch}/raw", INVESTORS).collect()
+    assert read_bronze_csv(spark, f"{scratch}/raw/a.csv", INVESTORS).count() == 1
+
+
+def test_overwrite_keeps_the_table_when_the_job_fails(spark, scratch):
+    import pytest
+
+    lake = Lakehouse(f"{scratch}/lake")
+    lake.write(spark.range(5).toDF("x"), "gold", "t")
+    bad = spark.range(5).select(F.raise_error(F.lit("stop")).cast("long").alias("x"))
+    with pytest.raises(Exception, match="stop"):
+        lake.write(bad, "gold", "t")
+    assert lake.read(spark, "gold", "t").count() == 5
+    lake.write(spark.range(3).toDF("x"), "gold", "t")
+    assert Lakehouse(f"{scratch}/lake").read(spark, "gold", "t").count() == 3
+    lake.write(lake.read(spark, "gold", "t").where("x > 0"), "gold", "t")  # reads what it replaces
+    assert lake.read(spark, "gold", "t").count() == 2
+
+
+def test_publications_keep_the_first_time(spark):
+    nav = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 1),),
+                                 (dt.date(2024, 1, 2),)], "valuation_date date")
+    one, two = dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 4, 8)
+    first = reports.record_publications(nav.limit(1), F.lit(one))
+    got = {r[0]: r[1] for r in reports.record_publications(nav, F.lit(two), first).collect()}
+    assert got == {dt.date(2024, 1, 1): one, dt.date(2024, 1, 2): two}
 
 
 def test_mask_investor_names(spark):
@@ -74,12 +135,12 @@ def test_sla_freshness(spark):
     nav = spark.createDataFrame(
         [(dt.date(2024, 1, 1), dt.datetime(2024, 1, 2, 8, 59)),
          (dt.date(2024, 1, 2), dt.datetime(2024, 1, 3, 9, 1))],
-        "valuation_date date, created_at timestamp")
+        "valuation_date date, published_at timestamp")
     got = {r["valuation_date"]: r["sla_met"] for r in reports.sla_freshness(nav).collect()}
     assert got == {dt.date(2024, 1, 1): True, dt.date(2024, 1, 2): False}
 
 
-def test_price_outliers_broadcast_and_salted_paths_agree(spark):
+def test_price_outliers_broadcast_and_split_paths_agree(spark):
     from decimal import Decimal
 
     rows = [("A1", "F1", dt.date(2024, 3, d), "EUR", Decimal("10.0000")) for d in range(1, 21)]
@@ -89,14 +150,13 @@ def test_price_outliers_broadcast_and_salted_paths_agree(spark):
         rows, "asset_id string, fund_id string, price_date date, currency string, "
               "close_price decimal(18,4)")
     fast = sorted(map(tuple, reports.price_outliers(prices).collect()), key=str)
-    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "5",
-            "navforge.skew.saltBuckets": "4"}
+    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "5"}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        salted = sorted(map(tuple, reports.price_outliers(prices).collect()), key=str)
+        split = sorted(map(tuple, reports.price_outliers(prices).collect()), key=str)
     finally:
         for k in conf:
             spark.conf.unset(k)
-    assert salted == fast
+    assert split == fast
     assert [(r[0], r[2]) for r in fast] == [("A1", dt.date(2024, 3, 21))]

@@ -160,8 +160,8 @@ def test_latest_nav_is_per_fund_across_currencies(spark):
          ("F1", dt.date(2024, 1, 1), "USD", Decimal("2.00"), 1, 1, "A")],
         "fund_id string, valuation_date date, currency string, nav_amount decimal(28,2), "
         "investor_count long, position_count long, fund_name string")
-    got = [(r["currency"], r["latest_fund_name"]) for r in gold.latest_nav(nav).collect()]
-    assert got == [("EUR", "A")]
+    got = [(r["currency"], r["fund_id"]) for r in gold.latest_nav(nav).collect()]
+    assert got == [("EUR", "F1")]
 
 
 def test_gold_aggregate_first_equals_join_first_with_repeated_dimension_rows(spark):
@@ -197,27 +197,27 @@ def test_specs_hold_46_rules():
     assert len(set(codes)) == 46
 
 
-def test_key_count_salted_fallback_matches_plain_join(spark):
-    """Repeated-key set over the broadcast bound: shuffle join with salted hot keys."""
+def test_key_count_split_fallback_matches_plain_join(spark):
+    """Repeated-key set over the broadcast bound: shuffle join with split hot keys."""
     rows = [("a", i) for i in range(5)] + [("b", 10), ("b", 11), ("c", 20)] + \
         [(None, 30 + i) for i in range(3)]
     df = spark.createDataFrame(rows, "id string, x int")
     plain = sorted(map(tuple, attach_key_count(df, ("id",), "n", measured=False).collect()),
                    key=str)
-    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "2",
-            "navforge.skew.saltBuckets": "4"}
+    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "2"}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        salted_df = attach_key_count(df, ("id",), "n", measured=True)
-        plan = salted_df._jdf.queryExecution().executedPlan().toString()
-        salted = sorted(map(tuple, salted_df.collect()), key=str)
+        split_df = attach_key_count(df, ("id",), "n", measured=True)
+        plan = split_df._jdf.queryExecution().executedPlan().toString()
+        split = sorted(map(tuple, split_df.collect()), key=str)
     finally:
         for k in conf:
             spark.conf.unset(k)
-    assert "__salt" in plan
-    assert salted == plain
-    assert {r[1]: r[2] for r in salted} == {0: 5, 1: 5, 2: 5, 3: 5, 4: 5, 10: 2, 11: 2, 20: 1,
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    assert "monotonically_increasing_id" not in plan
+    assert split == plain
+    assert {r[1]: r[2] for r in split} == {0: 5, 1: 5, 2: 5, 3: 5, 4: 5, 10: 2, 11: 2, 20: 1,
                                              30: None, 31: None, 32: None}
 
 
@@ -237,15 +237,14 @@ def test_size_shuffles_targets_partition_bytes(spark):
             spark.conf.set(k, v)
 
 
-def test_reference_lookup_salted_fallback_matches_broadcast(spark):
+def test_reference_lookup_split_fallback_matches_broadcast(spark):
     base = spark.createDataFrame(
         [(f"T{i}", "F1" if i < 6 else ("F2" if i < 8 else None if i == 8 else "F9"))
          for i in range(10)], "id string, fund_id string")
     funds = spark.createDataFrame([("F1",), ("F2",), ("F3",)], "id string")
     fast = sorted(map(tuple, attach_reference(base, "fund_id", prepare_reference(funds),
                                               "valid_fund_id").collect()), key=str)
-    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "3",
-            "navforge.skew.saltBuckets": "4"}
+    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "3"}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
@@ -253,39 +252,28 @@ def test_reference_lookup_salted_fallback_matches_broadcast(spark):
         assert not keys.broadcast
         out = attach_reference(base, "fund_id", keys, "valid_fund_id")
         assert out.columns == ["id", "fund_id", "valid_fund_id"]
-        salted = sorted(map(tuple, out.collect()), key=str)
+        split = sorted(map(tuple, out.collect()), key=str)
     finally:
         for k in conf:
             spark.conf.unset(k)
-    assert salted == fast
+    assert split == fast
     assert sum(1 for r in fast if r[2] == "F1") == 6
 
 
-def test_salt_spreads_exact_copies(spark):
-    from navforge.operators.joins import salt
-
-    copies = spark.createDataFrame([("a", 1)] * 400, "k string, v int").repartition(2)
-    counts = {r["s"]: r["n"] for r in copies.select(salt(8).alias("s")).groupBy("s")
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert set(counts) == set(range(8))
-    assert max(counts.values()) < 3 * 400 / 8
-
-
-def test_reference_lookup_salted_fallback_keeps_fan_out_mode(spark):
+def test_reference_lookup_split_fallback_keeps_fan_out_mode(spark):
     base = spark.createDataFrame([(f"T{i}", "F1" if i < 6 else "F2") for i in range(8)],
                                  "id string, fund_id string")
     funds = spark.createDataFrame([("F1",), ("F1",), ("F2",)], "id string")
     plain = attach_reference(base, "fund_id", prepare_reference(funds, dedupe=False),
                              "valid_fund_id").count()
-    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "3",
-            "navforge.skew.saltBuckets": "4"}
+    conf = {"navforge.broadcast.maxRows": "1", "navforge.skew.hotKeyRows": "3"}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
         keys = prepare_reference(funds, dedupe=False)
-        salted = attach_reference(base, "fund_id", keys, "valid_fund_id").count()
+        split = attach_reference(base, "fund_id", keys, "valid_fund_id").count()
     finally:
         for k in conf:
             spark.conf.unset(k)
     assert not keys.broadcast
-    assert salted == plain == 6 * 2 + 2
+    assert split == plain == 6 * 2 + 2
