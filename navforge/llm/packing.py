@@ -16,8 +16,10 @@ the ids are shuffled once.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,11 +36,11 @@ LENGTH = 2048
 END_ID = 1
 #: Gaps below this many ids are left as padding rather than filled with slivers.
 LEAST_GAP = 32
-#: Chunks whose ids a task remembers.
-CACHE = 300_000
+#: Texts that each process encodes both ways.
+COMPARE = 20
 
-_ODD = re.compile(r"(?:\A|\s) | (?:\s|\Z)")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Characters on whose classes all versions of Unicode agree.
+_COMMON = re.compile("[\t-\r\x20-\x7e\xc0-\u024f]*")
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
                     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
@@ -47,14 +49,16 @@ _PIECE_DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens
 
 
 class Encoder:
-    """Ids of whole texts by a ``tokenizers`` file, remembering frequent chunks.
+    """Ids of whole texts by a ``tokenizers`` file; strings of special tokens are
+    plain text.
 
-    A single space between two characters that are not white space always
-    begins a pre-token of a byte-level BPE, so a text may be cut there and each
-    distinct chunk be encoded once.  Strings of special tokens are plain text.
+    ``ranks_path`` may name the same vocabulary as ranks (with its ``pattern``):
+    texts of ASCII and Latin letters are then encoded by ``tiktoken``, which gives
+    the same ids about four times faster.  Each process compares the two on its
+    first texts, and any difference is an error.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks_path: str | None = None, pattern: str | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,38 +68,47 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = "<u4" if self.wide else "<u2"
-        self.first: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
+        self.code = "I" if self.wide else "H"
+        self.quick = None
+        if ranks_path:
+            import tiktoken
 
-    def _learn(self, known: dict[str, bytes], chunks: set[str], lead: str) -> None:
-        if len(known) + len(chunks) > CACHE:
-            known.clear()
-        new = [c for c in chunks if c not in known]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast([lead + c for c in new],
-                                                              add_special_tokens=False)):
-            known[c] = np.array(e.ids, self.dtype).tobytes()
+            with open(ranks_path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.quick = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
+                                           special_tokens={}).encode_ordinary
+        self.to_compare = COMPARE
+
+    def _exact(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        self._learn(self.first, {p[0] for p in parts}, "")
-        inner: set[str] = set()
-        for p in parts:
-            inner.update(p[1:])
-        self._learn(self.inner, inner, " ")
-        get = self.inner.__getitem__
-        return [b"".join([self.first[p[0]], *map(get, p[1:])]) for p in parts]
+        if self.quick is None:
+            return self._exact(texts)
+        out = [array(self.code, self.quick(t)).tobytes() if _COMMON.fullmatch(t) else None
+               for t in texts]
+        rare = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rare, self._exact([texts[i] for i in rare])):
+            out[i] = ids
+        if self.to_compare > 0:
+            some = texts[:self.to_compare]
+            self.to_compare -= len(some)
+            if out[:len(some)] != self._exact(some):
+                raise ValueError("ranks_path does not hold the vocabulary of the tokenizer")
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def _encoded(path: str, end_id: int | None):
+def _encoded(path: str, end_id: int | None, ranks: tuple[str, str] | None):
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
                         ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:
-            _encoders[path] = Encoder(path)
+            _encoders[path] = Encoder(path, *(ranks or ()))
         enc = _encoders[path]
         end = b"" if end_id is None else np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
@@ -273,7 +286,8 @@ def _cut(plan: Plan, wide: bool, with_ids: bool):
     return run
 
 
-def pack_sequences(docs: DataFrame, tokenizer_path: str, *, length: int = LENGTH,
+def pack_sequences(docs: DataFrame, tokenizer_path: str, *,
+                   ranks: tuple[str, str] | None = None, length: int = LENGTH,
                    end_id: int | None = END_ID, least_gap: int = LEAST_GAP,
                    with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
@@ -281,14 +295,15 @@ def pack_sequences(docs: DataFrame, tokenizer_path: str, *, length: int = LENGTH
 
     Every row of ``docs`` is packed, repeated ones as often as they occur; a null
     text is empty (its only id is ``end_id``; without one it has no piece).
-    Sequences hold at most ``length`` ids, gapless from offset 0.
+    Sequences hold at most ``length`` ids, gapless from offset 0.  ``ranks`` is the
+    (path, pattern) of the same vocabulary for a quicker encoder, see Encoder.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     base = docs.select(F.monotonically_increasing_id().alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    tokens = scratch.write(base.mapInArrow(_encoded(tokenizer_path, end_id),
+    tokens = scratch.write(base.mapInArrow(_encoded(tokenizer_path, end_id, ranks),
                                            "row long, doc_id long, n long, ids binary"), "tokens")
     keyed = tokens.withColumns({"part": F.shiftright("row", 33), "rest": F.col("n") % length,
                                 "full": F.floor(F.col("n") / length).cast("long")})

@@ -40,6 +40,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
 
 
+def tokenizer_ranks() -> tuple[str, str]:
+    """The vocabulary of byte_bpe_50k.json as ranks, and its pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 #: Shares of all words that the mixture aims at.
 MIX_TARGETS = {"en": 0.48, "de": 0.17, "fr": 0.17, "es": 0.16, "junk": 0.02}
 
@@ -60,7 +67,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 ids."""
-    return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path(),
+                          ranks=tokenizer_ranks(), with_ids=False)
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from navforge.llm.packing import make_plan, pack_sequences, shortest_pack_first
-from navforge.llm.queries import tokenizer_path
+from navforge.llm.packing import Encoder, make_plan, pack_sequences, shortest_pack_first
+from tests.conftest import SF_MEDIUM
+from navforge.llm.queries import tokenizer_path, tokenizer_ranks
 
 
 @pytest.fixture(scope="module")
@@ -66,8 +67,9 @@ def test_plan_places_every_rest_once(least_gap):
             assert sum(cap - sum(t for _, t in v) for v in places.values()) < 2 * cap
 
 
-def test_pieces_equal_the_tokenizer(spark, docs, rows, tokenizer):
-    got = pack_sequences(docs, tokenizer_path(), length=256).collect()
+@pytest.mark.parametrize("ranks", [None, tokenizer_ranks()])
+def test_pieces_equal_the_tokenizer(spark, docs, rows, tokenizer, ranks):
+    got = pack_sequences(docs, tokenizer_path(), length=256, ranks=ranks).collect()
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in got:
         by_doc[r.doc_id].append(r)
@@ -100,13 +102,35 @@ def test_pieces_equal_the_tokenizer(spark, docs, rows, tokenizer):
 
 def test_spaces_and_special_strings(spark, tokenizer):
     texts = ["a  b", " a", "a ", "a \n b", "  x y", "<|endoftext|> z <|endoftext|>", "  ",
-             "x  y", "don't  'tis it's", "1 2  3", "\x1c x \x1c", "é à", "a\r\n b", "🙂 🙂x"]
+             "x  y", "don't  'tis it's", "1 2  3", "\x1c x \x1c", "é à", "a\r\n b", "🙂 🙂x",
+             "ⅷ ², ½x", "日本 語", "ﬁ ﬂ", "naïve Größe", "a_b c_1", "x\u3000y z", "Ǆ ʰ x"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in
-           pack_sequences(df, tokenizer_path(), with_ids=False).collect()}
-    for i, t in enumerate(texts):
-        ids = encoded(tokenizer, t)
-        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), t
+    for ranks in (None, tokenizer_ranks()):
+        got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in pack_sequences(
+            df, tokenizer_path(), ranks=ranks, with_ids=False).collect()}
+        for i, t in enumerate(texts):
+            ids = encoded(tokenizer, t)
+            assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), t
+
+
+def test_all_documents_equal_the_tokenizer(tokenizer):
+    """Both encoders over every document of a table."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{SF_MEDIUM}/documents.parquet", columns=["text"])["text"].to_pylist()
+    want = [np.array(e.ids, "<u2").tobytes()
+            for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for encoder in (Encoder(tokenizer_path()), Encoder(tokenizer_path(), *tokenizer_ranks())):
+        assert encoder.encode(texts) == want
+
+
+def test_other_ranks_are_an_error():
+    import public_tokenizers
+
+    other = Encoder(tokenizer_path(), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                    public_tokenizers.PATTERN)
+    with pytest.raises(ValueError, match="vocabulary"):
+        other.encode(["the information of a document"])
 
 
 def test_empty_table_and_extra_columns(spark, docs, no_docs):
