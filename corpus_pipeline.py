@@ -20,7 +20,9 @@ from navforge.llm.minhash_dedup import near_duplicates
 from navforge.llm.mixing import mix_to_targets
 from navforge.llm.packing import pack_sequences
 from navforge.llm.pii import find_personal_data, fit_personal_data
-from navforge.llm.queries import MIX_TARGETS, labelled_domains, tokenizer_path
+from navforge.llm.queries import (
+    MIX_TARGETS, labelled_domains, tokenizer_path, tokenizer_ranks,
+)
 from navforge.llm.toxicity import fit_labels, score_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -63,7 +65,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
-    return pack_sequences(docs, tokenizer_path(), with_ids=False)
+    return pack_sequences(docs, tokenizer_path(), ranks=tokenizer_ranks(), with_ids=False)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -82,8 +84,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, applied to ``documents``."""
     scratch = Scratch(spark, "corpus")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = scratch.write(stage(spark, docs, sf_dir), name)
+        if before:
+            scratch.drop(before)  # the stage after it has been written
+        before = name
         release_shuffles(spark)
     return docs
