@@ -30,24 +30,21 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "cc") -
     step = 0
     while True:
         step += 1
-        low = scratch.write(e.groupBy(F.col("large").alias("node"))
-                            .agg(F.min("small").alias("m")), f"{name}-{step}-low")
-        big = scratch.write(
+        names = [f"{name}-{step}-low", f"{name}-{step}-moved", f"{name}-{step}-low2"]
+        low = scratch.write(e.groupBy(F.col("large").alias("node")).agg(
+            F.min("small").alias("m"), F.max("small").alias("most")), names[0])
+        moved = scratch.write(
             e.join(low, e["small"] == low["node"], "left")
             .select("large", F.coalesce("m", "small").alias("small"),
-                    F.col("m").isNotNull().alias("moved")).distinct(), f"{name}-{step}-large")
-        low2 = scratch.write(big.groupBy(F.col("large").alias("node"))
-                             .agg(F.min("small").alias("m"), F.max("small").alias("most")),
-                             f"{name}-{step}-low2")
-        done = (big.filter("moved").isEmpty() and low2.filter("m < most").isEmpty())
-        rest = (big.join(low2, big["large"] == low2["node"]).filter("small <> m")
+                    F.col("m").isNotNull().alias("moved")), names[1])
+        if low.filter("m < most").isEmpty() and moved.filter("moved").isEmpty():
+            break  # every edge leads to a node without smaller neighbours: stars
+        low2 = scratch.write(moved.groupBy(F.col("large").alias("node"))
+                             .agg(F.min("small").alias("m")), names[2])
+        rest = (moved.join(low2, moved["large"] == low2["node"]).filter("small <> m")
                 .select(F.col("small").alias("large"), F.col("m").alias("small")))
-        if not done:
-            e = scratch.write(rest.union(low2.select("node", "m")).distinct(), f"{name}-{step}")
-            scratch.drop(f"{name}-{step - 1}")
-        scratch.drop(f"{name}-{step}-low", f"{name}-{step}-large", f"{name}-{step}-low2")
-        if done:
-            break
+        e = scratch.write(rest.union(low2.select("node", "m")).distinct(), f"{name}-{step}")
+        scratch.drop(f"{name}-{step - 1}", *names)
     stars = e.select(F.col("large").alias("node"), F.col("small").alias("component"))
     centres = stars.select(F.col("component").alias("node"), "component").distinct()
     return scratch.write(stars.union(centres), f"{name}-labels")

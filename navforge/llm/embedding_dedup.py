@@ -171,6 +171,7 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "
     described = scratch.write(joined.join(lowest, "component").select(
         "s1", "s2", "dim", "component_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "described")
+    scratch.drop("classes", "coded", "buckets", "parts", "cc-labels")
     linked = all_rows.select("id", "s1", "s2", "dim").join(described, ["s1", "s2", "dim"]).select(
         F.col("id").alias("vec_id"), "n_links", "component_id")
     # The rows that take no part: null ids, and those that packed() leaves out.

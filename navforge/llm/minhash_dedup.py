@@ -9,10 +9,10 @@ full sets; documents are grouped by the links' connected components.
    multiply-shift universal hashes, and one key per band of ROWS minima.
 2. Documents with equal sets collapse to the one with the smallest id, so
    thousands of exact copies count once from here on.
-3. Buckets of equal band keys are aggregated to (smallest member, count); every
-   member of a bucket with company is paired with that leader only: a bucket of
-   m documents gives m - 1 pairs, not m * m.  Signatures estimate each pair;
-   each member's best pair is confirmed on full sets.
+3. Buckets of equal band keys are aggregated to (smallest member, count).  A member
+   of a bucket with company meets the leaders of its buckets only, and is paired
+   with the one it shares most bands with: at most one pair for each document.
+   Signatures screen the pairs, full sets confirm them.
 4. Components by large-star and small-star.
 5. A bucket whose members lie in several components can still hide a link.  Its
    signatures are compared across components, in pairs of bounded tiles; members
@@ -51,7 +51,6 @@ _SKETCH = pa.schema([("row_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64(
                      ("s2", pa.int64()), ("sig", pa.binary()),
                      ("bands", pa.list_(pa.int64()))])
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_SCORED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.int32())])
 _MEMBER = pa.schema([("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()),
                      ("node", pa.int64()), ("component", pa.int64())])
 
@@ -118,21 +117,13 @@ def _matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return np.frombuffer(data, np.uint32).reshape(len(c), -1)
 
 
-def _estimate(least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                same = (_matrix(batch, "sig_a") == _matrix(batch, "sig_b")).sum(axis=1)
-                at = np.flatnonzero(same >= least)
-                yield from emit(_SCORED, longs(batch, "a")[at], longs(batch, "b")[at],
-                                same[at].astype(np.int32))
-    return run
-
-
-def _confirm(k: int, per_cent: int):
-    """Pairs whose full sets have 100 * intersection >= per_cent * union."""
+def _confirm(k: int, per_cent: int, least: int):
+    """Pairs whose full sets have 100 * intersection >= per_cent * union, among those
+    whose signatures agree ``least`` times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            same = (_matrix(batch, "sig_a") == _matrix(batch, "sig_b")).sum(axis=1)
+            batch = batch.take(pa.array(np.flatnonzero(same >= least)))
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
                 left, right = (
@@ -282,33 +273,32 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
                          .agg(F.min("row_id").alias("node")), "sets")
     nodes = sketch.join(sets.withColumnRenamed("node", "row_id"), ["s1", "s2", "n", "row_id"],
                         "left_semi").withColumnRenamed("row_id", "node")
+    nodes = scratch.write(nodes.select("node", "sig", "bands"), "nodes")
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = scratch.write(banded.groupBy("key").agg(F.min("node").alias("leader"),
                                                       F.max("node").alias("top"),
                                                       F.count(F.lit(1)).alias("size"))
                             .filter("leader < top").drop("top"), "buckets")
-    members = scratch.write(banded.join(buckets, "key").distinct(), "members")
-    sigs = scratch.write(nodes.join(members.select("node").distinct(), "node", "left_semi")
-                         .select("node", "sig").distinct(), "sigs")
+    members = scratch.write(banded.join(buckets, "key"), "members")
+    # A node's best leader is the one it shares most bands with.
+    best = scratch.write(
+        members.filter("node <> leader").groupBy("leader", "node").count().groupBy("node").agg(
+            F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader")), "best")
+    wanted = best.select("node").union(buckets.select("leader")).distinct()
     texts = scratch.write(
-        base.withColumnRenamed("row_id", "node")
-        .join(members.select("node").distinct(), "node", "left_semi").distinct(), "texts")
+        base.withColumnRenamed("row_id", "node").join(wanted, "node", "left_semi")
+        .join(nodes.select("node", "sig"), "node"), "texts")
     release_shuffles(spark)
 
-    def side(df: DataFrame, value: str, end: str) -> DataFrame:
-        return df.select(F.col("node").alias(end), F.col(value).alias(f"{value}_{end}"))
-
-    star = (members.filter("node <> leader")
-            .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    scored = (star.join(side(sigs, "sig", "b"), "b").join(side(sigs, "sig", "a"), "a")
-              .select("a", "b", "sig_a", "sig_b")
-              .mapInArrow(_estimate(least), "a long, b long, same int"))
-    best = scratch.write(scored.groupBy("b").agg(
-        F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    full = (best.join(side(texts, "text", "b"), "b").join(side(texts, "text", "a"), "a")
-            .select("a", "b", "text_a", "text_b"))
-    links = scratch.write(full.mapInArrow(_confirm(words, per_cent), "a long, b long"), "links")
-    release_shuffles(spark)
+    def side(end: str, column: str) -> DataFrame:
+        return texts.select(F.col("node").alias(column), F.col("text").alias(f"text_{end}"),
+                            F.col("sig").alias(f"sig_{end}"))
+
+    full = (best.join(side("b", "node"), "node").join(side("a", "leader"), "leader")
+            .select(F.col("leader").alias("a"), F.col("node").alias("b"), "text_a", "text_b",
+                    "sig_a", "sig_b"))
+    links = scratch.write(full.mapInArrow(_confirm(words, per_cent, least), "a long, b long"),
+                          "links")
     labels = connected_components(links, scratch, "cc")
 
     here = scratch.write(members.join(labels, "node", "left").select(
@@ -317,7 +307,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
     split = scratch.write(here.groupBy("key").agg(F.min("component").alias("x"),
                                                   F.max("component").alias("y"))
                           .filter("x < y").select("key"), "split")
-    tiled = (here.join(split, "key").join(sigs, "node")
+    tiled = (here.join(split, "key").join(texts.select("node", "sig"), "node")
              .withColumn("tiles", F.ceil(F.col("size") / TILE).cast("long"))
              .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
              .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
@@ -330,14 +320,15 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
         "screened")
     release_shuffles(spark)
     found = scratch.write(
-        screened.join(texts, "node").select(*tile, "node", "text")
+        screened.join(texts.select("node", "text"), "node").select(*tile, "node", "text")
         .repartition(*tile).sortWithinPartitions(*tile)
         .mapInArrow(_exact(words, per_cent), "a long, b long"), "found")
-    release_shuffles(spark)
     if not found.isEmpty():
         labels = connected_components(links.unionByName(found), scratch, "cc2")
     classes = scratch.write(sets.join(labels, "node", "left").select(
         "s1", "s2", "n", F.coalesce("component", "node").alias("component_id")), "classes")
+    scratch.drop("sets", "nodes", "buckets", "members", "best", "texts", "links", "here", "split",
+                 "screened", "found", "cc-labels", "cc2-labels")
     out = sketch.select("row_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("row_id"))
     component = F.when(F.col("row_id").isNotNull(), component)

@@ -243,7 +243,7 @@ def archive_round_trip(pages: DataFrame, *, id_col: str = "page_id", payload_col
         .select(number("own").alias(id_col), "record_type", number("other").alias("refers_to"),
                 "declared_digest", "payload_bytes", "payload_digest"))
     last = scratch.write(last, "records")
-    scratch.drop("winners")
+    scratch.drop("winners", "archive")
     checked = F.when(F.col("payload_digest") == F.col("declared_digest"), F.col("payload_digest")) \
         .otherwise(F.raise_error(F.concat(F.lit("digest of a record differs: "),
                                           F.col("declared_digest"))))
