@@ -64,16 +64,15 @@ def _dataset_ctes(spec: DatasetSpec, dedupe_refs: bool, p: str = "") -> list[tup
     cases = ", ".join(f"CASE WHEN {_predicate(r)} THEN {_q(r.code)} END" for r in spec.rules)
     ctes.append((f"{p}val_{n}", f"SELECT *, list_filter([{cases}], lambda x: x IS NOT NULL) "
                              f"AS dq_issues FROM {cur}"))
-    helpers = set(spec.helper_columns)
-    keep = [c for c in _validated_columns(spec) if c not in helpers and c != "dq_issues"]
     dates = [f"CAST({d.parsed} AS DATE) AS {d.out}" for d in spec.dates]
+    keep = silver_columns(spec)[:-len(dates) or None]
     ctes.append((f"{p}silver_{n}", f"SELECT {', '.join(keep + dates)} FROM {p}val_{n} "
                                 f"WHERE len(dq_issues) = 0"))
     ctes.append((f"{p}quarantine_{n}", f"SELECT * FROM {p}val_{n} WHERE len(dq_issues) > 0"))
     return ctes
 
 
-def _validated_columns(spec: DatasetSpec) -> list[str]:
+def validated_columns(spec: DatasetSpec) -> list[str]:
     cols = spec.trimmed_columns + [d.parsed for d in spec.dates] + [d.out for d in spec.decimals]
     if spec.count_column:
         cols.append(spec.count_column)
@@ -81,6 +80,11 @@ def _validated_columns(spec: DatasetSpec) -> list[str]:
     return cols + ["dq_issues"]
 
 
+def silver_columns(spec: DatasetSpec) -> list[str]:
+    helpers = {*spec.helper_columns, "dq_issues"}
+    return [c for c in validated_columns(spec) if c not in helpers] + [d.out for d in spec.dates]
+
+
 def _gold_ctes() -> list[tuple[str, str]]:
     # A fact joins every silver row with its id; facts are aggregated after the join.
     fund = "f.name AS fund_name, f.type AS fund_type, f.manager"
@@ -198,7 +202,7 @@ def with_chain(select: str, dedupe_refs: bool = True, with_fanout_run: bool = Fa
 
 def quarantine_select(spec: DatasetSpec) -> str:
     cols = [c if c != "dq_issues" else "array_to_string(dq_issues, ',') AS dq_issues"
-            for c in _validated_columns(spec)]
+            for c in validated_columns(spec)]
     return f"SELECT {', '.join(cols)} FROM quarantine_{spec.name}"
 
 

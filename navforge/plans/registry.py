@@ -172,12 +172,33 @@ _PREVIEWS = {
                          "manager", "asset_class", "market_value", "total_market_value",
                          "allocation_pct"],
 }
+_PREVIEWS["api_fund_summary"] = [
+    "fund_id", "fund_name", "fund_type", "base_currency", "status", "domicile", "manager",
+    "risk_level", "valuation_date", "currency", "nav_amount", "investor_count", "position_count",
+    "latest_transaction_date", "api_version"]
 for _attr, _cols in _PREVIEWS.items():
     register(f"preview_{_attr}", _preview_sql(_attr, _cols, 10))(
         lambda spark, sf_dir, attr=_attr, cols=_cols: getattr(Chain(spark, sf_dir), attr)
         .orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(10))
 
 
+def _ordered_head(df: DataFrame, cols: list[str], n: int) -> DataFrame:
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(n)
+
+
+for _name, _spec in DATASETS.items():
+    _cols = oracle.validated_columns(_spec)
+    if _name != "positions":  # registered above
+        _valid = oracle.silver_columns(_spec)
+        register(f"preview_silver_{_name}", _preview_sql(f"silver_{_name}", _valid, 20))(
+            lambda spark, sf_dir, name=_name, cols=_valid: _ordered_head(
+                Chain(spark, sf_dir).silver(name), cols, 20))
+    register(f"preview_quarantine_{_name}", _preview_sql(
+        f"({oracle.quarantine_select(_spec)})", _cols, 20))(
+        lambda spark, sf_dir, name=_name, cols=_cols: _ordered_head(
+            issues_as_text(Chain(spark, sf_dir).quarantine(name)), cols, 20))
+
+
 # -- raw CSV ingestion ------------------------------------------------------------
 def _scratch(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory."""
