@@ -9,8 +9,9 @@ few telling words out of its dictionaries).  As both share the ordinary part, a
 window of ordinary words compresses to the same length under either; a window
 with toxic words is shorter under the toxic dictionary.
 
-A document's features are the largest saving of a window and the total of clear
-savings; a logistic threshold is calibrated on labelled documents that neither
+A document's features are the largest saving of a window, the total of clear
+savings, and the savings of single words of the windows that save anything (the
+smallest windows, which no neighbour sways); a logistic threshold is calibrated on labelled documents that neither
 dictionary has seen.  Scores use nothing but the text.
 """
 
@@ -73,7 +74,8 @@ class Model:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def features(self, text: str) -> list[float]:
-        """Largest saving of a window, total of clear savings, log of the windows' number."""
+        """Largest saving of a window, total of clear savings, log of the windows' number;
+        largest saving of a word alone, number of words with a clear one."""
         if not hasattr(self, "_pair"):
             # Bytes that no text matches keep the ordinary part at equal distance.
             blank = np.random.default_rng(3).integers(248, 256, len(self.toxic), np.uint8)
@@ -84,14 +86,21 @@ class Model:
         # The lead stands in both dictionaries: every window then holds a match,
         # so that further savings count from the first byte.
         lead = self.ordinary[:40] + b" "
-        most, total, n = 0, 0, 0
+        most, total, n, word, words = 0, 0, 0, 0, 0
         for w in windows(text):
-            w = lead + w + b" "
-            saved = len(plain(w)) - len(toxic(w))
+            x = lead + w + b" "
+            saved = len(plain(x)) - len(toxic(x))
             most = max(most, saved)
             total += saved if saved >= 3 else 0
             n += 1
-        return [most, math.sqrt(total), math.log1p(n)]
+            if saved >= 1:
+                # The words alone, where no other word sways the parse.
+                for one in set(w.split()):
+                    x = lead + one + b" "
+                    s = len(plain(x)) - len(toxic(x))
+                    word = max(word, s)
+                    words += s >= 2
+        return [most, math.sqrt(total), math.log1p(n), word, math.sqrt(words)]
 
     def score(self, text: str) -> float:
         if not self.weights or not text.strip():
@@ -165,23 +174,35 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
     return [float(v) for v in w]
 
 
-def fit(rows: list[tuple[str, int, bool]]) -> Model:
-    """A model of (text, label, for calibration) rows."""
-    toxic = _distinct([t for t, y, c in rows if y and not c])
-    ordinary = _distinct([t for t, y, c in rows if not y and not c])
-    check = [(t, y) for t, y, c in rows if c]
-    y = np.array([y for _, y in check], float)
-    prior = float(np.mean([y for _, y, _ in rows])) if rows else 0.0
-    if not toxic or not ordinary or not 0 < y.sum() < len(y):
-        return Model(prior=prior)
+def _dictionaries(rows: list[tuple[str, int, bool]]) -> Model | None:
+    """Dictionary contents from labelled texts; None without both classes."""
+    toxic = _distinct([t for t, y, _ in rows if y])
+    ordinary = _distinct([t for t, y, _ in rows if not y])
     samples = [w for t in ordinary for w in windows(t, 16)[::10]]
+    if not toxic or not samples:
+        return None
     try:
         trained = zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself
         trained = b" ".join(samples)[-ORDINARY_BYTES:]
     lead = samples[0][:40].ljust(40)
     marks = b"".join(b" " + g for g in telling_fragments(toxic, ordinary))[-TOXIC_BYTES:] + b" "
-    model = Model(lead + trained, marks, [0.0], prior)
+    return Model(lead + trained, marks)
+
+
+def fit(rows: list[tuple[str, int, bool]]) -> Model:
+    """A model of (text, label, for calibration) rows: the dictionaries are made from
+    the others, the threshold is calibrated on those, which they have not seen."""
+    prior = float(np.mean([y for _, y, _ in rows])) if rows else 0.0
+    model = _dictionaries([r for r in rows if not r[2]])
+    check = [(t, y) for t, y, c in rows if c]
+    if model is None or len({y for _, y in check}) < 2:
+        # Too few labels to spare some: the same texts serve for both.
+        model, check = _dictionaries(rows), [(t, y) for t, y, _ in rows]
+    if model is None:
+        return Model(prior=prior)
+    y = np.array([y for _, y in check], float)
+    model.prior = prior
     model.weights = _logistic(np.array([model.features(t) for t, _ in check]), y)
     return model
 
@@ -198,7 +219,7 @@ def fit_labels(docs: DataFrame, labels: DataFrame) -> Model:
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
             .join(F.broadcast(sample), "doc_id").filter("text is not null")
-            .select("doc_id", "text", "y", (F.pmod(order, F.lit(3)) == 0).alias("c")).collect())
+            .select("doc_id", "text", "y", (F.pmod(order, F.lit(5)) == 0).alias("c")).collect())
     return fit([(r.text, r.y, r.c) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))])
 
 
