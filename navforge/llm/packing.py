@@ -329,7 +329,7 @@ def pack_sequences(docs: DataFrame, tokenizer_path: str, *,
     run = here.rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = (keyed.withColumns({"nth": F.row_number().over(here) - 1,
                                  "sofar": F.sum("full").over(run) - F.col("full")})
-              .join(offsets, ["part", "rest"])
+              .join(offsets.hint("merge"), ["part", "rest"])
               .select("doc_id", "n", "ids", (F.col("nth") + F.col("docs_before")).alias("rank"),
                       (F.col("sofar") + F.col("whole_before")).alias("whole")))
     from tokenizers import Tokenizer
