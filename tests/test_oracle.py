@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from navforge.plans import registry
 from tests.conftest import SF_SMALL
 from tools.compare import digest, duck
 
-ORACLE = entry.oracle_sql()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     s = digest(df.columns, [tuple(r) for r in df.collect()])
     rel = con.sql(ORACLE[name])
     d = digest(rel.columns, rel.fetchall())
@@ -28,8 +29,10 @@ def test_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    without = set(entry.queries()) - set(ORACLE)
+    without = set(registry.queries()) - set(ORACLE)
     assert not without, without
+    assert set(registry.queries()) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
