@@ -71,8 +71,7 @@ def main(argv: list[str]) -> None:
         "# Physical plans\n",
         f"Generated by `tools/plans.py` on `{os.path.basename(sf_dir)}` (local[*], AQE on). Each "
         "operator reads the tables written by the pipeline and is executed; below is "
-        "the executed (final adaptive) plan. Size-checked small sides appear as "
-        "`InMemoryRelation` under a `BroadcastExchange`.\n",
+        "the executed (final adaptive) plan. Nothing is cached.\n",
     ]
     for name, build in cases.items():
         plan = _tree_and_scans(build())
