@@ -42,8 +42,9 @@ from navforge.llm.words import Words, mix
 
 HASHES = 150
 ROWS = 5
-#: Members of a tile; a group is a pair of tiles.
+#: Bounds of a tile, members and (on average) shingles of their sets; a group is a pair of tiles.
 TILE = 1024
+TILE_SHINGLES = 1 << 21
 #: Columns of a 0/1 matrix of sets that are multiplied at a time.
 COLUMNS = 4096
 
@@ -143,9 +144,10 @@ def _confirm(k: int, per_cent: int, least: int):
     return run
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """The runs of equal keys of a partition sorted by them, one record batch each."""
-    held: list[pa.RecordBatch] = []
+def sorted_pieces(batches: Iterator[pa.RecordBatch], keys: list[str]
+                  ) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """(whether a run of equal keys begins, a piece of the run) of a partition sorted by
+    them; a piece lies within one batch."""
     last = None
     for batch in batches:
         if not batch.num_rows:
@@ -155,18 +157,34 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         for c in cols:
             new[1:] |= c[1:] != c[:-1]
         first = tuple(c[0] for c in cols)
-        if last is not None and first != last:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
         edges = [0, *np.flatnonzero(new), batch.num_rows]
         for a, b in zip(edges[:-1], edges[1:]):
-            if a and held:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
-            held.append(batch.slice(a, b - a))
+            yield bool(a) or first != last, batch.slice(a, b - a)
         last = tuple(c[-1] for c in cols)
+
+
+def _whole(pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One batch of all rows.  Bytes get 64-bit offsets: with 32 bits a column of over
+    2 GiB comes back as several batches."""
+    if len(pieces) == 1:
+        return pieces[0]
+    large = {pa.binary(): pa.large_binary(), pa.string(): pa.large_string()}
+    table = pa.Table.from_batches(pieces)
+    table = table.cast(pa.schema([f.with_type(large.get(f.type, f.type)) for f in table.schema]))
+    [batch] = table.combine_chunks().to_batches()
+    return batch
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The runs of equal keys of a partition sorted by them, one record batch each."""
+    held: list[pa.RecordBatch] = []
+    for new, piece in sorted_pieces(batches, keys):
+        if new and held:
+            yield _whole(held)
+            held = []
+        held.append(piece)
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield _whole(held)
 
 
 def _screen(least: int, rows: int):
@@ -232,20 +250,30 @@ def forest(link: np.ndarray) -> np.ndarray:
 
 
 def _exact(k: int, per_cent: int):
-    """Edges of a spanning forest of the links within each pair of tiles."""
+    """Edges of a spanning forest of the links within each pair of tiles.  Texts become
+    sets as they arrive; a tile holds no texts."""
+    def edges(nodes: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if len(sets) < 2:
+            return
+        size = np.array([len(s) for s in sets], np.float32)
+        both = intersections(sets)
+        union = size[:, None] + size[None, :] - both
+        link = (both > 0) & (100 * both.astype(np.float64) >= per_cent * union)
+        label, node = forest(link), np.concatenate(nodes)
+        at = np.flatnonzero(node != node[label])
+        if len(at):
+            yield from emit(_PAIR, node[at], node[label[at]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in sorted_groups(batches, ["key", "i", "j"]):
-            if g.num_rows < 2:
-                continue
-            sets = [s for _, texts in text_slices(g, "text") for s in shingle_sets(texts, k)]
-            size = np.array([len(s) for s in sets], np.float32)
-            both = intersections(sets)
-            union = size[:, None] + size[None, :] - both
-            link = (both > 0) & (100 * both.astype(np.float64) >= per_cent * union)
-            label, node = forest(link), longs(g, "node")
-            at = np.flatnonzero(node != node[label])
-            if len(at):
-                yield from emit(_PAIR, node[at], node[label[at]])
+        nodes, sets = [], []
+        for new, piece in sorted_pieces(batches, ["key", "i", "j"]):
+            if new:
+                yield from edges(nodes, sets)
+                nodes, sets = [], []
+            nodes.append(longs(piece, "node"))
+            for _, texts in text_slices(piece, "text"):
+                sets += shingle_sets(texts, k)
+        yield from edges(nodes, sets)
     return run
 
 
@@ -273,13 +301,14 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
                          .agg(F.min("row_id").alias("node")), "sets")
     nodes = sketch.join(sets.withColumnRenamed("node", "row_id"), ["s1", "s2", "n", "row_id"],
                         "left_semi").withColumnRenamed("row_id", "node")
-    nodes = scratch.write(nodes.select("node", "sig", "bands"), "nodes")
-    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    nodes = scratch.write(nodes.select("node", "n", "sig", "bands"), "nodes")
+    banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
+    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TILE_SHINGLES))
     buckets = scratch.write(banded.groupBy("key").agg(F.min("node").alias("leader"),
                                                       F.max("node").alias("top"),
-                                                      F.count(F.lit(1)).alias("size"))
+                                                      tiles.cast("long").alias("tiles"))
                             .filter("leader < top").drop("top"), "buckets")
-    members = scratch.write(banded.join(buckets, "key"), "members")
+    members = scratch.write(banded.drop("n").join(buckets, "key"), "members")
     # A node's best leader is the one it shares most bands with.
     best = scratch.write(
         members.filter("node <> leader").groupBy("leader", "node").count().groupBy("node").agg(
@@ -302,13 +331,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
     labels = connected_components(links, scratch, "cc")
 
     here = scratch.write(members.join(labels, "node", "left").select(
-        "key", "band", "node", "size", F.coalesce("component", "node").alias("component")),
+        "key", "band", "node", "tiles", F.coalesce("component", "node").alias("component")),
         "here")
     split = scratch.write(here.groupBy("key").agg(F.min("component").alias("x"),
                                                   F.max("component").alias("y"))
                           .filter("x < y").select("key"), "split")
     tiled = (here.join(split, "key").join(texts.select("node", "sig"), "node")
-             .withColumn("tiles", F.ceil(F.col("size") / TILE).cast("long"))
              .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
              .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
              .select("key", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"),

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,43 @@ def test_chain_of_links_needs_more_rounds(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 2)
 
 
+def test_tiles_are_bounded_by_shingles(spark, monkeypatch):
+    """Few long documents make as many tiles as many short ones; no link is lost."""
+    monkeypatch.setattr(minhash_dedup, "TILE_SHINGLES", 300)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[8 * i:8 * i + 120])) for i in range(30)]
+    rows += [(100 + i, " ".join(words[:100] + [f"x{i}"] * 3)) for i in range(40)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"),
+                          words=2).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 2)
+
+
+@pytest.mark.parametrize("piece", [1, 7])
+def test_pieces_of_a_tile_are_all_read(piece, monkeypatch):
+    """A tile that arrives in several batches, and a combined table of several batches
+    (as columns beyond 2 GiB are), keep every row."""
+    text = "a b c d e f g h".encode()
+    whole = pa.RecordBatch.from_pydict({
+        "key": [1] * 7 + [2] * 3, "i": [0] * 10, "j": [0] * 10, "node": list(range(10)),
+        "text": [text] * 10})
+    batches = [whole.slice(i, piece) for i in range(0, 10, piece)]
+    groups = list(minhash_dedup.sorted_groups(iter(batches), ["key", "i", "j"]))
+    assert [g.column(3).to_pylist() for g in groups] == [list(range(7)), [7, 8, 9]]
+    held = []
+    monkeypatch.setattr(minhash_dedup, "_whole", held.append)
+    edges = [e for b in minhash_dedup._exact(2, 80)(iter(batches)) for e in b.to_pylist()]
+    assert not held  # no tile of texts is built
+    assert {(e["a"], e["b"]) for e in edges} == {(n, 0) for n in range(1, 7)} | {(8, 7), (9, 7)}
+
+
+def test_combined_bytes_beyond_32_bit_offsets():
+    """Bytes that several 32-bit arrays would be needed for stay one batch (no large data:
+    the offsets' width decides)."""
+    one = pa.RecordBatch.from_pydict({"key": [1], "text": [b"x"]})
+    [g] = minhash_dedup.sorted_groups(iter([one, one]), ["key"])
+    assert g.num_rows == 2 and pa.types.is_large_binary(g.schema.field("text").type)
+
+
 def test_empty_table(no_docs):
     assert near_duplicates(no_docs).collect() == []
 
