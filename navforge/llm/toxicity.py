@@ -159,14 +159,14 @@ def telling_fragments(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     return sorted(kept, key=lambda g: -chance[g])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Newton steps with a slight ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> list[float]:
+    """Newton steps with a slight ridge; ``c`` are the rows' weights."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (y - p) - 0.05 * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
+        grad = x.T @ (c * (y - p)) - 0.05 * w
+        hess = (x * (c * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w += step
         if np.abs(step).max() < 1e-8:
@@ -190,10 +190,17 @@ def _dictionaries(rows: list[tuple[str, int, bool]]) -> Model | None:
     return Model(lead + trained, marks)
 
 
-def fit(rows: list[tuple[str, int, bool]]) -> Model:
+def fit(rows: list[tuple[str, int, bool]], stands_for: tuple[float, float] = (1.0, 1.0)
+        ) -> Model:
     """A model of (text, label, for calibration) rows: the dictionaries are made from
-    the others, the threshold is calibrated on those, which they have not seen."""
-    prior = float(np.mean([y for _, y, _ in rows])) if rows else 0.0
+    the others, the threshold is calibrated on those, which they have not seen.
+
+    A row of class 0 or 1 counts as ``stands_for`` that many labelled documents, so
+    prior and threshold are those of the whole, not of the sample's mix.
+    """
+    weigh = np.array(stands_for, float)
+    prior = float(np.average([y for _, y, _ in rows], weights=weigh[[y for _, y, _ in rows]])) \
+        if rows else 0.0
     model = _dictionaries([r for r in rows if not r[2]])
     check = [(t, y) for t, y, c in rows if c]
     if model is None or len({y for _, y in check}) < 2:
@@ -203,15 +210,20 @@ def fit(rows: list[tuple[str, int, bool]]) -> Model:
         return Model(prior=prior)
     y = np.array([y for _, y in check], float)
     model.prior = prior
-    model.weights = _logistic(np.array([model.features(t) for t, _ in check]), y)
+    c = weigh[y.astype(int)]  # on average 1, so that the ridge weighs as much at all sizes
+    model.weights = _logistic(np.array([model.features(t) for t, _ in check]), y, c / c.mean())
     return model
 
 
 def fit_labels(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from a bounded sample of the labelled documents that are not held out."""
+    """Learn from a bounded sample of the labelled documents that are not held out.
+
+    The classes are sampled apart; their totals over all these documents weight them.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                           F.col("toxic").cast("int").alias("y")) \
         .filter(F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
+    total = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     order = F.xxhash64("doc_id", F.lit(7))
     sample = known.filter("y = 1").orderBy(order, "doc_id").limit(SAMPLE_TOXIC).unionByName(
         known.filter("y = 0").orderBy(order, "doc_id").limit(SAMPLE_ORDINARY))
@@ -220,7 +232,10 @@ def fit_labels(docs: DataFrame, labels: DataFrame) -> Model:
                         F.col("text").cast("string").alias("text"))
             .join(F.broadcast(sample), "doc_id").filter("text is not null")
             .select("doc_id", "text", "y", (F.pmod(order, F.lit(5)) == 0).alias("c")).collect())
-    return fit([(r.text, r.y, r.c) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))])
+    stands_for = tuple(max(1.0, total.get(y, 0) / most)
+                       for y, most in enumerate((SAMPLE_ORDINARY, SAMPLE_TOXIC)))
+    return fit([(r.text, r.y, r.c) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))],
+               stands_for)
 
 
 def _scored(model: Model, columns: list[str]):
@@ -237,7 +252,7 @@ def _scored(model: Model, columns: list[str]):
 def score_toxicity(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1 (replacing a column of that name).
 
-    Null and empty texts get the sample's share of toxic documents.
+    Null and empty texts get the share of toxic documents among the labelled ones.
     """
     ship(docs.sparkSession)
     docs = docs.drop(column)

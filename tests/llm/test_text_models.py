@@ -62,6 +62,31 @@ def test_toxicity_learns_from_text_alone(labelled):
     assert (a.ordinary, a.toxic, a.weights) == (b.ordinary, b.toxic, b.weights)
 
 
+def test_toxicity_threshold_is_free_of_the_sample_bounds(spark, labelled, monkeypatch):
+    """A sample capped for one class keeps the prior and the scores' meaning."""
+    docs, labels, truth = labelled
+    learned = [y for i, _, y in truth if zlib.crc32(str(i).encode()) % 5]
+    whole = toxicity.fit_labels(docs, labels)
+    assert whole.prior == pytest.approx(np.mean(learned))
+    monkeypatch.setattr(toxicity, "SAMPLE_ORDINARY", sum(learned))
+    capped = toxicity.fit_labels(docs, labels)
+    assert capped.prior == pytest.approx(whole.prior, abs=1e-9)
+    assert toxicity.score_toxicity(docs.limit(1).withColumn("text", F.lit("")),
+                                   capped).first().score == capped.prior
+
+
+def test_toxicity_calibration_weights():
+    """A row that stands for four others counts as the four."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((400, 2))
+    y = (x[:, 0] + rng.standard_normal(400) > 1).astype(float)
+    four = np.where(y == 0, 4.0, 1.0)
+    again = np.repeat(np.arange(400), four.astype(int))
+    want = toxicity._logistic(x[again], y[again], np.ones(len(again)))
+    assert np.allclose(toxicity._logistic(x, y, four), want)
+    assert toxicity._logistic(x, y, np.ones(400))[0] > want[0] + 1
+
+
 def test_toxicity_edge_rows(labelled, docs, no_docs):
     train, labels, _ = labelled
     model = toxicity.fit_labels(train, labels.unionByName(
