@@ -36,11 +36,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates (5-word
-    shingles, 0.8).  Of rows that share a doc_id one stays; rows without id all stay."""
-    groups = near_duplicates(docs, words=5, per_cent=80)
-    gone = groups.filter("not kept").select("doc_id").distinct()
-    rest = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti")
-    one = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    shingles, 0.8).  Rows that share a doc_id are one document, and one of them that
+    is kept stays, with words if there is one; rows without id all stay."""
+    groups = near_duplicates(docs, words=5, per_cent=80, text_hash=True)
+    stay = groups.filter("kept").groupBy("doc_id").agg(
+        F.min_by("text_hash", F.struct(F.col("n_shingles") == 0, "text_hash")).alias("__hash"))
+    rest = docs.join(stay, "doc_id")
+    other = F.xxhash64(F.col("text").cast("binary")) != F.col("__hash")
+    one = W.partitionBy("doc_id").orderBy(other)
     rest = rest.withColumn("__nth", F.row_number().over(one)).filter("__nth = 1")
     return rest.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 

@@ -13,7 +13,7 @@ full sets; documents are grouped by the links' connected components.
    of a bucket with company meets the leaders of its buckets only, and is paired
    with the one it shares most bands with: at most one pair for each document.
    Signatures screen the pairs, full sets confirm them.
-4. Components by large-star and small-star.
+4. Components by large-star and small-star.  Sets of one id are linked as well.
 5. A bucket whose members lie in several components can still hide a link.  Its
    signatures are compared across components, in pairs of bounded tiles; members
    of a pair that may reach the threshold, in the first band that it shares,
@@ -105,9 +105,13 @@ def _sketch(k: int, hashes: int, rows: int):
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(sets) + 1) * bands, pa.int32()),
                     pa.array(key.ravel()))
-                yield from emit(_SKETCH, part.column(part.schema.get_field_index("row_id")), n,
+                schema, h = _SKETCH, part.schema.get_field_index("h")
+                if h >= 0:
+                    schema = _SKETCH.append(pa.field("h", pa.int64()))
+                yield from emit(schema, part.column(part.schema.get_field_index("row_id")), n,
                                 digest[:, 0], digest[:, 1],
-                                pa.array([r.tobytes() for r in sig], pa.binary()), lists)
+                                pa.array([r.tobytes() for r in sig], pa.binary()), lists,
+                                *([part.column(h)] if h >= 0 else []))
     return run
 
 
@@ -278,12 +282,14 @@ def _exact(k: int, per_cent: int):
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hashes: int = HASHES,
-                    rows: int = ROWS) -> DataFrame:
+                    rows: int = ROWS, text_hash: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Null or wordless texts have an empty set and stand alone.  Rows that share a
     ``doc_id`` count as one node (linked when any of their texts is).  Rows with
     a null ``doc_id`` are linked with nothing and get a null component and kept.
+    ``text_hash`` adds a column of that name, xxhash64 of the text, which tells
+    rows of one ``doc_id`` apart.
     """
     if hashes % rows:
         raise ValueError("rows must divide hashes")
@@ -294,9 +300,10 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
     least = max(rows, int(hashes * (p - 5 * (p * (1 - p) / hashes) ** 0.5)))
     base = docs.select(F.col("doc_id").cast("long").alias("row_id"),
                        F.col("text").cast("binary").alias("text"))
+    hashed = base.withColumn("h", F.xxhash64("text")) if text_hash else base
     sketch = scratch.write(
-        base.mapInArrow(_sketch(words, hashes, rows), "row_id long, n long, s1 long, s2 long, "
-                        "sig binary, bands array<long>"), "sketch")
+        hashed.mapInArrow(_sketch(words, hashes, rows), "row_id long, n long, s1 long, s2 long, "
+                          "sig binary, bands array<long>" + ", h long" * text_hash), "sketch")
     sets = scratch.write(sketch.filter("n > 0 and row_id is not null").groupBy("s1", "s2", "n")
                          .agg(F.min("row_id").alias("node")), "sets")
     nodes = sketch.join(sets.withColumnRenamed("node", "row_id"), ["s1", "s2", "n", "row_id"],
@@ -328,6 +335,17 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
                     "sig_a", "sig_b"))
     links = scratch.write(full.mapInArrow(_confirm(words, per_cent, least), "a long, b long"),
                           "links")
+    # The sets of one id are linked by the id, which is no smaller than their nodes.
+    filled = sketch.filter("n > 0 and row_id is not null").select("row_id", "s1", "s2", "n")
+    one = F.struct("s1", "s2", "n")
+    several = scratch.write(filled.groupBy("row_id").agg(F.min(one).alias("x"),
+                                                         F.max(one).alias("y"))
+                            .filter("x <> y").select("row_id"), "several")
+    if not several.isEmpty():
+        same = (filled.join(several, "row_id").join(sets, ["s1", "s2", "n"])
+                .filter("node <> row_id").select(F.col("row_id").alias("a"),
+                                                 F.col("node").alias("b")))
+        links = scratch.write(links.unionByName(same.distinct()), "linked")
     labels = connected_components(links, scratch, "cc")
 
     here = scratch.write(members.join(labels, "node", "left").select(
@@ -355,11 +373,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
         labels = connected_components(links.unionByName(found), scratch, "cc2")
     classes = scratch.write(sets.join(labels, "node", "left").select(
         "s1", "s2", "n", F.coalesce("component", "node").alias("component_id")), "classes")
-    scratch.drop("sets", "nodes", "buckets", "members", "best", "texts", "links", "here", "split",
-                 "screened", "found", "cc-labels", "cc2-labels")
-    out = sketch.select("row_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
+    scratch.drop("sets", "nodes", "buckets", "members", "best", "texts", "links", "linked", "several",
+                 "here", "split", "screened", "found", "cc-labels", "cc2-labels")
+    out = sketch.drop("sig", "bands").join(classes, ["s1", "s2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("row_id"))
     component = F.when(F.col("row_id").isNotNull(), component)
     return out.select(F.col("row_id").alias("doc_id"), F.col("n").alias("n_shingles"),
                       component.alias("component_id"),
-                      (F.col("row_id") == component).alias("kept"))
+                      (F.col("row_id") == component).alias("kept"),
+                      *([F.col("h").alias("text_hash")] if text_hash else []))

@@ -93,6 +93,20 @@ def test_combined_bytes_beyond_32_bit_offsets():
     assert g.num_rows == 2 and pa.types.is_large_binary(g.schema.field("text").type)
 
 
+def test_texts_of_one_id_are_one_node(spark):
+    """Linked by the id alone, also where none of its texts has the id as its node."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(3, a), (4, b), (5, a), (5, c), (6, c), (7, a), (7, b), (8, d), (9, d), (9, None),
+            (2, d), (2, ""), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(df, words=2, text_hash=True)
+    want = {(r.doc_id, r.h) for r in df.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    got = got.collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 2)
+    assert {r.component_id for r in got if r.doc_id in (3, 4, 5, 6, 7)} == {3}
+    assert {(r.doc_id, r.text_hash) for r in got} == want
+
+
 def test_empty_table(no_docs):
     assert near_duplicates(no_docs).collect() == []
 

@@ -51,6 +51,19 @@ def test_near_duplicate_stage(stages):
     assert Counter(r.doc_id for r in stages["near_duplicates"].collect()) == Counter(want)
 
 
+def test_every_group_keeps_one_row(spark):
+    """Ids with two texts: no group loses all its rows, none keeps two, and words go
+    before none."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, b), (6, None), (6, c), (7, c), (7, ""), (8, ""), (None, a)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, "
+                               "lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, df, SF_SMALL)
+    assert got.columns == COLUMNS
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(
+        [(3, a), (6, c), (7, ""), (8, ""), (None, a)])
+
+
 def test_personal_data_stage(stages):
     model = pii.fit_personal_data(stages["near_duplicates"])
     before = {r.doc_id: r for r in stages["near_duplicates"].collect()}
