@@ -7,8 +7,9 @@ card number that is torn apart, an address whose dots are spelled differently.
 
 The graph of a document has the words as nodes, *chain* edges between words
 that touch but for white space, and *skip* edges from each word to the next
-word of the document that repeats it or resembles it (same digits; same letters
-but for case and punctuation).  Labels are the kinds and ``outside``.
+word of the document that repeats it or resembles it (the same last 7 or 10
+digits, also of a number in several words; the same four parts of an address;
+same letters but for case and punctuation).  Labels are the kinds and ``outside``.
 Parameters are piecewise estimates from counts over all documents, with the
 base spans as labels: how often a word of a certain shape has a label, how
 often the ends of chain and of skip edges agree.  Loopy belief propagation, all
@@ -117,13 +118,25 @@ def shape(word: str) -> str:
     return f"{bucket}:{runs}:{'a' * min(letters, 2)}:{marks}:{valid}{small}"
 
 
-def likeness(word: str) -> str | None:
-    """Words with the same likeness are joined by skip edges."""
+def likenesses(word: str, before: str = "") -> list[str]:
+    """Words that share a likeness are joined by skip edges.  ``before`` are the digits
+    of the words that the word may carry on: parts of a number resemble its end."""
     digits = re.sub("[^0-9]", "", word)
-    if len(digits) >= 7 and not any(c.isalpha() for c in word):
-        return "d" + digits[-10:] if len(digits) >= 10 else "d" + digits
     plain = re.sub(r"[\W_]", "", word).lower()
-    return "w" + plain if len(plain) >= 6 else None
+    if any(c.isalpha() for c in word):
+        return ["w" + plain] if len(plain) >= 6 else []
+    out = []
+    joined = (before + digits)[-10:] if len(digits) < 10 else digits[-10:]
+    if len(joined) >= 7:
+        out.append("d" + joined[-7:])
+    if len(joined) == 10:
+        out.append("d" + joined)
+    if len(digits) < 7 and len(plain) >= 6:
+        out.append("w" + plain)
+    parts = re.findall("[0-9]+", word)
+    if len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts):
+        out.append("i" + ".".join(str(int(p)) for p in parts))
+    return out
 
 
 class Graph:
@@ -146,12 +159,16 @@ class Graph:
                       or self.places[i][1] == self.places[i + 1][0]]
         last: dict[str, int] = {}
         self.skip = []
+        touches = {j for _, j in self.chain}
+        before = ""
         for i, t in enumerate(self.tokens):
-            key = likeness(t)
-            if key is not None:
-                if key in last:
-                    self.skip.append((last[key], i))
-                last[key] = i
+            if i not in touches:
+                before = ""
+            keys = likenesses(t, before)
+            self.skip += [(j, i) for j in sorted({last[k] for k in keys if k in last})]
+            last.update((k, i) for k in keys)
+            number = "@" not in t and not any(c.isalpha() for c in t)
+            before = (before + re.sub("[^0-9]", "", t))[-10:] if number else ""
 
 
 @dataclass

@@ -159,6 +159,18 @@ def test_skip_edges_carry_labels(spark):
     assert got[1002].redacted_text == got[1002].text
 
 
+@pytest.mark.parametrize("text,edges", [
+    ("+1-555-271-8281 or 271-8281", [(0, 1)]),  # in full, later in part
+    ("+15552718281 or (555) 271-8281 or 271-8281", [(0, 2), (2, 3)]),
+    ("call 555 271 8281 or 555-271-8281", [(2, 3)]),  # split, later in one word
+    ("10.0.0.1 is 10-0-0-1, not 10.0.0.2", [(0, 1)]),
+    ("me@example.org ME@example.org", [(0, 1)]),
+    ("271-8281 or 271-8282", []), ("555 and 271 and 8281 or 5552718281", []),
+])
+def test_skip_edges_join_parts_of_a_number(text, edges):
+    assert pii.Graph(text, pii.base_spans(text)).skip == edges
+
+
 def test_propagation_is_exact_on_trees():
     """Against the sum over all labellings of a small tree."""
     rng = np.random.default_rng(0)
