@@ -10,7 +10,8 @@ does not meet in one task; revisits travel as narrow rows.
 Reading: a gzip file is one task's stream of lines.  The reader follows
 Content-Length and turns every record into rows (record identifier, chunk
 number, data), each with the payload's length and digest up to there, so it
-holds one chunk of a record at a time, never a whole payload.
+holds one chunk and one line of a record at a time.  A payload without line
+feeds is one line, which Spark's reader and the Python worker hold whole.
 """
 
 from __future__ import annotations
@@ -126,12 +127,13 @@ class _Record:
         self.held_size = 0
 
     def add(self, data: bytes, limit: int) -> Iterator[tuple]:
-        while data:
-            take = data[:limit - self.held_size]
-            data = data[len(take):]
+        at = 0
+        while at < len(data):
+            take = data[at:at + limit - self.held_size]
+            at += len(take)
             self.held.append(take)
             self.held_size += len(take)
-            if self.held_size == limit and data:
+            if self.held_size == limit and at < len(data):
                 yield self.row(False)
 
     def row(self, last: bool) -> tuple:

@@ -101,3 +101,14 @@ def test_cut_off_archive_is_an_error(spark, scratch):
 
 def test_empty_table(pages):
     assert archive_round_trip(pages.filter(F.lit(False))).collect() == []
+
+
+def test_chunks_of_a_long_line_take_linear_time():
+    import time
+
+    from navforge.llm.warc import _Record
+
+    line, rec, begin = b"x" * (1 << 24), _Record(), time.process_time()
+    rows = [*rec.add(line, 1 << 10), rec.row(True)]
+    assert time.process_time() - begin < 3
+    assert b"".join(r[6] for r in rows) == line and len(rows) == 1 << 14
