@@ -49,13 +49,14 @@ _PIECE_DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens
 
 
 class Encoder:
-    """Ids of whole texts by a ``tokenizers`` file; strings of special tokens are
-    plain text.
+    """Ids of whole texts by a ``tokenizers`` file, without the special tokens that it
+    would add; the string of a special token in a text gets that token's id.
 
     ``ranks_path`` may name the same vocabulary as ranks (with its ``pattern``):
     texts of ASCII and Latin letters are then encoded by ``tiktoken``, which gives
-    the same ids about four times faster.  Each process compares the two on its
-    first texts, and any difference is an error.
+    the same ids about four times faster; texts that hold an added token's string
+    are not among them.  Each process compares the two on its first texts, and any
+    difference is an error.
     """
 
     def __init__(self, path: str, ranks_path: str | None = None, pattern: str | None = None):
@@ -65,7 +66,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = "<u4" if self.wide else "<u2"
         self.code = "I" if self.wide else "H"
@@ -86,8 +88,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.quick is None:
             return self._exact(texts)
-        out = [array(self.code, self.quick(t)).tobytes() if _COMMON.fullmatch(t) else None
-               for t in texts]
+        out = [array(self.code, self.quick(t)).tobytes()
+               if _COMMON.fullmatch(t) and not self.added.search(t) else None for t in texts]
         rare = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(rare, self._exact([texts[i] for i in rare])):
             out[i] = ids

@@ -17,9 +17,7 @@ from navforge.llm.queries import tokenizer_path, tokenizer_ranks
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def encoded(tokenizer, text):
@@ -110,6 +108,7 @@ def test_spaces_and_special_strings(spark, tokenizer):
             df, tokenizer_path(), ranks=ranks, with_ids=False).collect()}
         for i, t in enumerate(texts):
             ids = encoded(tokenizer, t)
+            assert ("<|endoftext|>" in t) == (50256 in ids)
             assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), t
 
 
