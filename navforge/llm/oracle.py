@@ -87,5 +87,80 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10"""
 
+#: A-Z only.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Buckets of all words of a table, by the reflected CRC-32 of their bytes, bit by bit.
+_WORDS = f"""SELECT {{}}unnest(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+          FROM {{}}"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+            list_transform(range(octet_length(encode(word))),
+              lambda i: CAST('0x' || substr(hex(encode(word)), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+          lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT) for i in range(8)]),
+            lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END))))"""
+
+OP12 = f"""
+WITH w AS ({_WORDS.format("doc_id, ", "documents")}), v AS ({_WORDS.format("", "benchmark")}),
+     crc AS (SELECT word, {_CRC} % 10000 AS bucket
+             FROM (SELECT word FROM w UNION SELECT word FROM v)),
+     s AS (SELECT bucket, count(*) AS n FROM w JOIN crc USING (word) GROUP BY bucket),
+     t AS (SELECT bucket, count(*) AS n FROM v JOIN crc USING (word) GROUP BY bucket),
+     total AS (SELECT coalesce((SELECT sum(n) FROM s), 0) AS s, coalesce((SELECT sum(n) FROM t), 0) AS t),
+     gain AS (SELECT s.bucket, CAST(floor(1000 * ln(
+                CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST(total.s + 10000 AS DOUBLE)
+                / (CAST(s.n + 1 AS DOUBLE) * CAST(total.t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+              FROM s LEFT JOIN t USING (bucket), total),
+     f AS (SELECT doc_id, count(*) AS n, sum(gain) AS weight
+           FROM w JOIN crc USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+     d AS (SELECT doc_id, CAST(coalesce(f.n, 0) AS BIGINT) AS n_features,
+                  CAST(coalesce(f.weight, 0) AS BIGINT) AS weight,
+                  CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+           FROM documents LEFT JOIN f USING (doc_id)),
+     x AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln(
+                  (h + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM d),
+     r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank,
+                  count(*) OVER () AS n FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM x LEFT JOIN r USING (doc_id)"""
+
+OP13 = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+                  {_SPLIT.format("coalesce(text, '')")} AS w FROM documents),
+     l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                  max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+     f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                  CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+                  || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+                  || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t)
+                          THEN 'C' ELSE '' END
+                  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                  || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+           FROM t LEFT JOIN l USING (doc_id)),
+     cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+               FROM f GROUP BY part, fails),
+     letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+     orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+                FROM letters a, letters b, letters c, letters d, letters e
+                WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+     steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS filter,
+                      substr(filter_order, 1, step - 1) AS before
+               FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+     counted AS (
+       SELECT part, filter_order, step, filter,
+              sum(CASE WHEN translate(fails, before || filter, '') = fails THEN n ELSE 0 END) AS kept,
+              sum(CASE WHEN removes THEN n ELSE 0 END) AS removed,
+              sum(CASE WHEN contains(fails, filter) AND NOT removes THEN n ELSE 0 END) AS redundant,
+              sum(CASE WHEN fails = filter THEN n ELSE 0 END) AS unique_fails,
+              sum(CASE WHEN removes THEN good ELSE 0 END) AS good_lost,
+              sum(CASE WHEN removes THEN toxic ELSE 0 END) AS toxic_lost
+       FROM (SELECT *, contains(fails, filter) AND translate(fails, before, '') = fails AS removes
+             FROM cells, steps) GROUP BY part, filter_order, step, filter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM counted"""
+
 SQL = {"op1_warc": OP1, "op2_substring_dedup": OP2, "op5_embedding_dedup": OP5,
-       "op8_minhash_dedup": OP8, "op9_exact_topk": OP9}
+       "op8_minhash_dedup": OP8, "op9_exact_topk": OP9, "op12_importance_resampling": OP12,
+       "op13_filter_audit": OP13}

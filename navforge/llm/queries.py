@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from navforge.llm.common import table
 from navforge.llm.embedding_dedup import near_vectors
+from navforge.llm.filter_audit import audit_filters
 from navforge.llm.minhash_dedup import near_duplicates
 from navforge.llm.mixing import mix_to_targets
 from navforge.llm.oracle import SQL
 from navforge.llm.packing import pack_sequences
 from navforge.llm.pii import find_personal_data, fit_personal_data
+from navforge.llm.resampling import importance_resample
 from navforge.llm.substring_dedup import substring_dedup
 from navforge.llm.token_counts import count_tokens
 from navforge.llm.topk import exact_top_k
@@ -107,10 +109,21 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(docs, fit_personal_data(docs)).drop("text", "added")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents of 20 words, drawn by their likeness to the benchmark."""
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, in every order, per language."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_warc, op2_substring_dedup, op3_mixing, op4_packing, op5_embedding_dedup,
-        op6_token_counts, op7_toxicity, op8_minhash_dedup, op9_exact_topk, op10_personal_data)}
+        op6_token_counts, op7_toxicity, op8_minhash_dedup, op9_exact_topk, op10_personal_data,
+        op12_importance_resampling, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
