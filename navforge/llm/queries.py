@@ -16,6 +16,7 @@ from navforge.llm.mixing import mix_to_targets
 from navforge.llm.oracle import SQL
 from navforge.llm.packing import pack_sequences
 from navforge.llm.pii import find_personal_data, fit_personal_data
+from navforge.llm.pitman_yor import score_documents
 from navforge.llm.resampling import importance_resample
 from navforge.llm.substring_dedup import substring_dedup
 from navforge.llm.token_counts import count_tokens
@@ -109,6 +110,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(docs, fit_personal_data(docs)).drop("text", "added")
 
 
+def op11_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from those that are not held out."""
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return score_documents(table(spark, sf_dir, "documents"), remainder == 2)
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents of 20 words, drawn by their likeness to the benchmark."""
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -123,7 +130,7 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_warc, op2_substring_dedup, op3_mixing, op4_packing, op5_embedding_dedup,
         op6_token_counts, op7_toxicity, op8_minhash_dedup, op9_exact_topk, op10_personal_data,
-        op12_importance_resampling, op13_filter_audit)}
+        op11_pitman_yor, op12_importance_resampling, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
