@@ -66,39 +66,45 @@ CANDIDATES = 8
 #: Concentration of both levels.
 THETA = 1.0
 #: Customers up to which the distribution of the tables is tabled.
-EXACT = 100
-#: Customers from which seating goes on in steps of a 1024th of those seated.
-MANY = 1 << 20
+EXACT = 250
+#: Customers from which seating goes on in steps of a 256th of those seated.
+MANY = 1 << 14
 
 UNKNOWN, END = 0, 1  # ids; other words from 2 on
 _END = b"\n"  # the end token in word lists; no word holds white space
 _SPACE = re.compile(rb"[ \t-\r]")
-# Rows between keys: a, b, c, d are packed arrays or word lists.
-_MAIL = "dest long, kind int, src long, total long, x long, y long, a binary, b binary, c binary, d binary"
+# Rows between keys: a to f are packed arrays or word lists.
+_BLOBS = "abcdef"
+_MAIL = ("dest long, kind int, src long, total long, x long, y long, "
+         + ", ".join(f"{c} binary" for c in _BLOBS))
 _MAIL_ARROW = pa.schema([("dest", pa.int64()), ("kind", pa.int32()), ("src", pa.int64()),
                          ("total", pa.int64()), ("x", pa.int64()), ("y", pa.int64()),
-                         *[(c, pa.binary()) for c in "abcd"]])
+                         *[(c, pa.binary()) for c in _BLOBS]])
 _SCORES = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
                      ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                      ("base_score", pa.float64()), ("score", pa.float64())])
 # Kinds of rows.
-BLOCK, WORDS, PAIRS, SEATS, ANSWER, CONTEXT, PARENT, SCORES = range(8)
+(BLOCK, WORDS, PAIRS, PLACES, REPEATED, ALL_WORDS, SEATS, ANSWER, CONTEXT, PARENT,
+ SCORES) = range(11)
 
 
 # ---------------------------------------------------------------------------
 # Packed arrays and rows
 # ---------------------------------------------------------------------------
+_zip, _unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(a: np.ndarray) -> bytes:
     """Integers as compressed byte planes, as many as the largest needs."""
     a = np.ascontiguousarray(a, np.int64).view("<u8")
     width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
     planes = a.view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return bytes([width]) + _zip.compress(planes.tobytes())
 
 
 def unpack(b: bytes) -> np.ndarray:
     width = b[0]
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8)
+    planes = np.frombuffer(_unzip.decompress(b[1:]), np.uint8)
     out = np.zeros((len(planes) // width, 8), np.uint8)
     out[:, :width] = planes.reshape(width, -1).T
     return out.reshape(-1).view("<i8")
@@ -114,7 +120,7 @@ def unpack_sorted(b: bytes) -> np.ndarray:
 
 def row(dest: int, kind: int, src: int = 0, total: int = 0, x: int = 0, y: int = 0,
         **blobs: bytes) -> pa.RecordBatch:
-    values = [dest, kind, src, total, x, y, *[blobs.get(c) for c in "abcd"]]
+    values = [dest, kind, src, total, x, y, *map(blobs.get, _BLOBS)]
     return pa.RecordBatch.from_arrays(
         [pa.array([v], f.type) for v, f in zip(values, _MAIL_ARROW)], schema=_MAIL_ARROW)
 
@@ -148,6 +154,10 @@ def cut(text: bytes, size: int) -> Iterator[tuple[bytes, bool]]:
     yield text[at:] if at else text, True
 
 
+def checksums(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+
+
 class _Block:
     def __init__(self, number: int):
         self.number = number
@@ -166,12 +176,18 @@ class _Block:
         self.size += len(codes)
 
     def row(self) -> pa.RecordBatch:
-        codes = np.concatenate(self.tokens)
-        held = np.repeat([p[3] for p in self.pieces], [p[4] for p in self.pieces])
-        count = np.bincount(codes[~held], minlength=len(self.code))
+        """The word list is in order of checksums, and so in order of any number of shards."""
+        words = list(self.code)
+        order = np.argsort(checksums(words), kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        codes = place[np.concatenate(self.tokens)]
         pieces = np.array(self.pieces, np.int64).T
-        return row(self.number, BLOCK, total=len(codes), x=len(self.code), a=pack(codes),
-                   b=b" ".join(self.code), c=pack(pieces.ravel()), d=pack(count))
+        pieces[5] = place[pieces[5]]
+        learned = np.repeat(pieces[3] == 0, pieces[4])
+        return row(self.number, BLOCK, total=len(codes), x=len(words), a=pack(codes),
+                   b=b" ".join([words[i] for i in order]), c=pack(pieces.ravel()),
+                   d=pack(np.bincount(codes[learned], minlength=len(words))))
 
 
 def _blocks(tokens: int, size: int):
@@ -201,20 +217,16 @@ def _blocks(tokens: int, size: int):
 # ---------------------------------------------------------------------------
 # 2. Vocabulary
 # ---------------------------------------------------------------------------
-def _shard_of(words: list[bytes], shards: int) -> np.ndarray:
-    return (np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % shards)
-
-
 def _to_shards(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 words, count = r["b"].split(b" "), unpack(r["d"])
-                shard = _shard_of(words, shards)
-                order = np.argsort(shard, kind="stable")
-                for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                    yield row(int(shard[at[0]]), WORDS, r["dest"],
-                              a=b" ".join([words[i] for i in at]), b=pack(count[at]))
+                shard = checksums(words) * np.uint64(shards) >> np.uint64(32)
+                edges = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(words)]
+                for i, j in zip(edges[:-1], edges[1:]):
+                    yield row(int(shard[i]), WORDS, r["dest"], a=b" ".join(words[i:j]),
+                              b=pack(count[i:j]))
     return run
 
 
@@ -245,74 +257,105 @@ def _count_words(shards: int):
 # ---------------------------------------------------------------------------
 class _Tokens:
     """A block's tokens with the vocabulary's answers, and its distinct pairs in the
-    order of their buckets."""
-
-    def __init__(self, block: dict, answers: list[dict], shards: int, buckets: int, split: int):
-        words, codes = block["b"].split(b" "), unpack(block["a"])
-        order = np.argsort(_shard_of(words, shards), kind="stable")
-        ids, count = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        ids[order] = np.concatenate([unpack(r["a"]) for r in answers])
-        count[order] = np.concatenate([unpack(r["b"]) for r in answers])
+    order of their buckets, then contexts, then words."""
+
+    def __init__(self, block: dict, answers: list[dict], buckets: int, split: int):
+        codes = unpack(block["a"])
+        ids = np.concatenate([unpack(r["a"]) for r in answers])
+        count = np.concatenate([unpack(r["b"]) for r in answers])
         self.uid, self.doc_id, self.has_id, held, self.n, lead = unpack(block["c"]).reshape(6, -1)
-        self.held = held.astype(bool)
         self.count = count[codes]
+        self.held = held.astype(bool)
+        self.first = np.cumsum(self.n) - self.n
         before = np.empty_like(codes)
         before[1:] = codes[:-1]
-        self.first = np.cumsum(self.n) - self.n
         before[self.first] = lead
-        # All unknown words are one.
-        ids, count = np.append(ids, UNKNOWN), np.append(count, 0)
-        same = np.where(ids == UNKNOWN, len(words), np.arange(len(words) + 1))
-        key, inverse = np.unique(same[before] * len(ids) + same[codes], return_inverse=True)
-        u, w = ids[key // len(ids)], ids[key % len(ids)]
-        n = np.bincount(inverse, np.repeat(~self.held, self.n), len(key)).astype(np.int64)
-        self.context_count = count[key // len(ids)]
-        parts = 1 + self.context_count // split
+        ids, at, number = np.unique(ids, return_index=True, return_inverse=True)
+        key, inverse = np.unique(number[before] * len(ids) + number[codes], return_inverse=True)
+        at_u, at_w = np.divmod(key, len(ids))
+        u, w, size = ids[at_u], ids[at_w], np.where(ids == UNKNOWN, 0, count[at])[at_u]
+        n = np.bincount(inverse, np.repeat(held == 0, self.n), len(key)).astype(np.int64)
+        # A context's tokens lie in 1 + size // split buckets; pairs of the unknown one anywhere.
+        parts = (1 + size // split).view(np.uint64)
         spread = mix(w.view(np.uint64)) >> np.uint64(1)
-        sub = np.where(u == UNKNOWN, spread, spread % parts.view(np.uint64))
-        bucket = (mix(mix(u.view(np.uint64)) ^ sub) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((w, u, bucket))
+        sub = np.where(u == UNKNOWN, spread, spread % parts)
+        bucket = mix(mix(u.view(np.uint64)) ^ sub) % np.uint64(buckets)
+        if buckets <= 1 << 16:
+            bucket = bucket.astype(np.uint16)  # sorted by radix
+        order = np.argsort(bucket, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        self.u, self.w, self.pair_n, self.bucket = u[order], w[order], n[order], bucket[order]
-        self.context_count, self.split = self.context_count[order], parts[order] > 1
-        self.pair = place[inverse]
+        self.u, self.w, self.pair_n = u[order], w[order], n[order]
+        self.bucket, self.size = bucket[order].astype(np.int64), size[order]
+        self.split, self.pair = (parts > 1)[order], place[inverse]
         self.edges = np.append(np.flatnonzero(np.diff(self.bucket, prepend=-1)), len(order))
 
 
-def _to_buckets(shards: int, buckets: int, split: int):
+def _to_buckets(buckets: int, split: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, kinds in groups(batches):
-            t = _Tokens(kinds[BLOCK][0], kinds[WORDS], shards, buckets, split)
+            t = _Tokens(kinds[BLOCK][0], kinds[WORDS], buckets, split)
             for i, j in zip(t.edges[:-1], t.edges[1:]):
                 large, at = np.unique(t.u[i:j][t.split[i:j]], return_index=True)
-                counts = t.context_count[i:j][t.split[i:j]][at]
+                sizes = t.size[i:j][t.split[i:j]][at]
                 yield row(int(t.bucket[i]), PAIRS, number, a=pack_sorted(t.u[i:j]),
                           b=pack(t.w[i:j]), c=pack(t.pair_n[i:j]),
-                          d=pack(np.concatenate([large, counts])))
+                          d=pack(np.concatenate([large, sizes])))
     return run
 
 
-def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row of distinct pairs a bucket (x, y: pairs of one and of two tokens), and for
-    each block the places of its pairs."""
-    for bucket, kinds in groups(batches):
-        rows = kinds[PAIRS]
-        us = [unpack_sorted(r["a"]) for r in rows]
-        u, at_u = np.unique(np.concatenate(us), return_inverse=True)
-        w, at_w = np.unique(np.concatenate([unpack(r["b"]) for r in rows]), return_inverse=True)
-        key, inverse = np.unique(at_u * len(w) + at_w, return_inverse=True)
-        n = np.bincount(inverse, np.concatenate([unpack(r["c"]) for r in rows]),
-                        len(key)).astype(np.int64)
-        large = np.concatenate([unpack(r["d"]).reshape(2, -1) for r in rows], axis=1)
-        _, one = np.unique(large[0], return_index=True)
-        yield row(bucket, PAIRS, x=int((n == 1).sum()), y=int((n == 2).sum()),
-                  a=pack_sorted(u[key // len(w)]), b=pack(w[key % len(w)]), c=pack(n),
-                  d=pack(large[:, one].ravel()))
-        at = 0
-        for r, own in zip(rows, us):
-            yield row(bucket, BLOCK, r["src"], a=pack(inverse[at:at + len(own)]))
-            at += len(own)
+def by_range(words: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ``words`` in order of the parent's ranges, and where each range begins and ends."""
+    words = words[np.argsort(words % ranges, kind="stable")]
+    return words, np.append(np.flatnonzero(np.diff(words % ranges, prepend=-1)), len(words))
+
+
+def _merge_pairs(ranges: int):
+    """For each bucket a row of all its pairs (x, y: those of one and of two tokens) and
+    one of what the sweeps need of those of two tokens and more; for the parent's ranges
+    the bucket's words with the number of their pairs of one token, which always have one
+    table; for each block the places of its pairs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, kinds in groups(batches):
+            rows = kinds[PAIRS]
+            us = [unpack_sorted(r["a"]) for r in rows]
+            contexts, at_u = np.unique(np.concatenate(us), return_inverse=True)
+            ids, at_w = np.unique(np.concatenate([unpack(r["b"]) for r in rows]),
+                                  return_inverse=True)
+            key, inverse = np.unique(at_u * len(ids) + at_w, return_inverse=True)
+            at_u, at_w = np.divmod(key, len(ids))
+            n = np.bincount(inverse, np.concatenate([unpack(r["c"]) for r in rows]),
+                            len(key)).astype(np.int64)
+            large = np.concatenate([unpack(r["d"]).reshape(2, -1) for r in rows], axis=1)
+            large = large[:, np.unique(large[0], return_index=True)[1]]
+            size = np.bincount(at_u, n, len(contexts)).astype(np.int64)
+            size[np.searchsorted(contexts, large[0])] = large[1]
+            words, edges = by_range(ids[ids != UNKNOWN], ranges)
+            place = np.full(len(ids), len(words))  # of the unknown word: after all others
+            place[np.searchsorted(ids, words)] = np.arange(len(words))
+            word = place[at_w]
+            single = n == 1
+            yield row(bucket, PAIRS, x=int(single.sum()), y=int((n == 2).sum()),
+                      a=pack(np.bincount(at_u, minlength=len(contexts))), b=pack(size),
+                      c=pack(n), d=pack(word), e=pack_sorted(contexts), f=pack(words))
+            ones = np.bincount(word[single], minlength=len(words) + 1)
+            for i, j in zip(edges[:-1], edges[1:]):
+                yield row(int(words[i] % ranges), ALL_WORDS, bucket,
+                          a=pack_sorted(words[i:j]), b=pack(ones[i:j]))
+
+            more = n > 1
+            keep = np.bincount(at_u[more], minlength=len(contexts))
+            some = (keep > 0) | np.isin(contexts, large[0])
+            used = np.unique(word[more])  # training pairs hold no unknown word
+            yield row(bucket, REPEATED, a=pack(keep[some]), b=pack(np.bincount(
+                at_u[single], minlength=len(contexts))[some]), c=pack(n[more]),
+                d=pack(np.searchsorted(used, word[more])), e=pack_sorted(contexts[some]),
+                f=pack(np.concatenate([words[used], large[0]])), x=len(used))
+            at = 0
+            for r, own in zip(rows, us):
+                yield row(bucket, PLACES, r["src"], a=pack(inverse[at:at + len(own)]))
+                at += len(own)
+    return run
 
 
 # ---------------------------------------------------------------------------
@@ -389,7 +432,7 @@ def _one_by_one(c, others, q, theta, d, rng) -> tuple[np.ndarray, np.ndarray]:
             + np.where(opened, np.log(a) - np.log(-np.expm1(-np.maximum(gap, 1e-300))), 0)))
         end, new = np.minimum(seen + 1, top), opened.astype(np.float64)
         if many.any():
-            step = np.minimum(m + np.floor(m / 1024), top)
+            step = np.minimum(m + np.floor(m / 256), top)
             tables = rng.poisson(np.maximum(h * (step / top) ** e - start, 0))
             end, new = np.where(many, step, end), np.where(many, tables, new)
             new = np.minimum(new, end - m)
@@ -410,13 +453,11 @@ def seat(c: np.ndarray, others: np.ndarray, q: np.ndarray, theta: float, d: floa
     c, others = c.astype(np.float64), others.astype(np.float64)
     few, more = np.flatnonzero((c > 1) & (c <= EXACT)), np.flatnonzero(c > EXACT)
     t[few] = _by_table(c[few], others[few], q[few], theta, d, rng)
-    best = np.full(len(more), -np.inf)
-    for _ in range(candidates if len(more) else 0):
-        tables, weight = _one_by_one(c[more], others[more], q[more], theta, d, rng)
-        weight += rng.gumbel(size=len(more))
-        better = weight > best
-        best[better] = weight[better]
-        t[more[better]] = tables[better]
+    if len(more):
+        tables, weight = (x.reshape(candidates, -1) for x in _one_by_one(
+            *(np.tile(x[more], candidates) for x in (c, others, q)), theta, d, rng))
+        best = np.argmax(weight + rng.gumbel(size=weight.shape), axis=0)
+        t[more] = tables[best, np.arange(len(more))]
     return t
 
 
@@ -425,121 +466,124 @@ def discount(once: int, twice: int) -> float:
     return min(max(once / (once + 2 * twice), 0.05), 0.95) if once + twice else 0.5
 
 
-class _Bucket:
-    """A bucket's pairs; ``words`` are its distinct known words by range of the parent."""
-
-    def __init__(self, pairs: dict, ranges: int):
-        self.u, self.w, self.c = unpack_sorted(pairs["a"]), unpack(pairs["b"]), unpack(pairs["c"])
-        self.contexts, self.at = np.unique(self.u, return_inverse=True)
-        self.size = np.bincount(self.at, self.c).astype(np.int64)
-        self.large, counts = unpack(pairs["d"]).reshape(2, -1)
-        self.large_at = np.searchsorted(self.contexts, self.large)
-        self.size[self.large_at] = counts
-        words = np.unique(self.w)
-        words = words[words != UNKNOWN]
-        self.words = words[np.argsort(words % ranges, kind="stable")]
-        self.edges = np.append(np.flatnonzero(np.diff(self.words % ranges, prepend=-1)),
-                               len(self.words))
-        by_id = np.argsort(self.words)
-        place = np.searchsorted(self.words[by_id], self.w).clip(max=max(len(words) - 1, 0))
-        self.word_at = by_id[place] if len(words) else np.zeros(len(self.w), np.int64)
-
-    def tables(self, t: np.ndarray, split: list[dict]) -> np.ndarray:
+class _Contexts:
+    """Contexts of a bucket with their pairs: ``a`` pairs of each context, ``b`` an other
+    number of each, ``c`` tokens of each pair, ``d`` places of their words in ``f``."""
+
+    def __init__(self, r: dict):
+        pairs, self.extra, self.c = unpack(r["a"]), unpack(r["b"]), unpack(r["c"])
+        self.word, self.contexts, self.words = unpack(r["d"]), unpack_sorted(r["e"]), unpack(r["f"])
+        self.at = np.repeat(np.arange(len(pairs)), pairs)
+
+    def tables(self, own: np.ndarray, split: list[dict]) -> np.ndarray:
         """Tables of each context, those in other buckets included."""
-        out = np.bincount(self.at, t).astype(np.int64)
         for r in split:
-            out[np.searchsorted(self.contexts, r["src"])] = r["total"]
-        return out
+            at = np.searchsorted(self.contexts, r["src"])
+            if at < len(self.contexts) and self.contexts[at] == r["src"]:
+                own[at] = r["total"]
+        return own
 
     def parent(self, answers: list[dict], model: dict) -> np.ndarray:
         """The parent's probability of each pair's word."""
-        n, all_tables, d = model["customers"], model["tables"], model["d_parent"]
-        rest = (model["theta"] + d * all_tables) / (model["theta"] + n) / (model["known"] + 1)
-        if not len(self.words):
-            return np.full(len(self.w), rest)
-        c = np.concatenate([unpack(r["a"]) for r in answers])
-        t = np.concatenate([unpack(r["b"]) for r in answers])
-        own = (c - d * t) / (model["theta"] + n)
-        return np.where(self.w == UNKNOWN, 0, own[self.word_at]) + rest
-
-    def send(self, number: int, t: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(self.words), np.int64)
-        known = self.w != UNKNOWN
-        np.add.at(sums, self.word_at[known], t[known])
-        yield row(number, SEATS, total=int(t.sum()), a=pack(t))
-        for i, j in zip(self.edges[:-1], self.edges[1:]):
-            yield row(int(self.words[i] % ranges), PARENT, number, a=pack_sorted(self.words[i:j]),
-                      b=pack(sums[i:j]))
-        own = np.bincount(self.at, t).astype(np.int64)
-        for u, at in zip(self.large.tolist(), self.large_at.tolist()):
-            yield row(number, CONTEXT, u, total=int(own[at]))
+        n, d, theta = model["customers"], model["d_parent"], model["theta"]
+        rest = (theta + d * model["tables"]) / (theta + n) / (model["known"] + 1)
+        own = [(unpack(r["a"]) - d * unpack(r["b"])) / (theta + n) + rest for r in answers]
+        return np.concatenate([*own, [rest]])[self.word]
 
 
 def _seat_contexts(ranges: int, model: dict | None, seed: tuple, candidates: int):
     """Redraws the tables of a bucket's contexts (without model: one table a pair)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, kinds in groups(batches):
-            b = _Bucket(kinds[PAIRS][0], ranges)
-            t = np.minimum(b.c, 1)
+            [r] = kinds[REPEATED]
+            b = _Contexts(r)
+            words, large = b.words[:r["x"]], b.words[r["x"]:]
+            t = np.ones(len(b.c), np.int64)
             if model is not None:
                 t = unpack(kinds[SEATS][0]["a"])
-                others = b.tables(t, kinds[CONTEXT])[b.at] - t
+                own = b.extra + np.bincount(b.at, t, len(b.contexts)).astype(np.int64)
+                others = b.tables(own, kinds[CONTEXT])[b.at] - t
                 t = seat(b.c, others, b.parent(kinds[ANSWER], model), model["theta"], model["d"],
                          np.random.default_rng([*seed, number]), candidates)
-            yield from b.send(number, t, ranges)
+            yield row(number, SEATS, a=pack(t))
+            sums = np.bincount(b.word, t, len(words)).astype(np.int64)
+            edges = np.append(np.flatnonzero(np.diff(words % ranges, prepend=-1)), len(words))
+            for i, j in zip(edges[:-1], edges[1:]):
+                yield row(int(words[i] % ranges), PARENT, number, a=pack_sorted(words[i:j]),
+                          b=pack(sums[i:j]))
+            own = b.extra + np.bincount(b.at, t, len(b.contexts)).astype(np.int64)
+            for u, n in zip(large.tolist(), own[np.searchsorted(b.contexts, large)].tolist()):
+                yield row(number, CONTEXT, u, total=n)
     return run
 
 
 def _seat_parent(model: dict | None, seed: tuple, candidates: int):
-    """Redraws the tables of a range of the parent's words, and answers the buckets."""
+    """Redraws the tables of a range of the parent's words, and answers the buckets.
+    The range's own row holds words, customers that never change, customers, tables."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, kinds in groups(batches):
-            asked = [unpack_sorted(r["a"]) for r in kinds[PARENT]]
-            words, at = np.unique(np.concatenate(asked), return_inverse=True)
-            c = np.bincount(at, np.concatenate([unpack(r["b"]) for r in kinds[PARENT]]))
-            c = c.astype(np.int64)
+            if model is None:
+                words, at = np.unique(np.concatenate(
+                    [unpack_sorted(r["a"]) for r in kinds[ALL_WORDS]]), return_inverse=True)
+                fixed = np.bincount(at, np.concatenate([unpack(r["b"]) for r in kinds[ALL_WORDS]]),
+                                    len(words)).astype(np.int64)
+            else:
+                [before] = kinds[SEATS]
+                words, fixed = unpack_sorted(before["a"]), unpack(before["b"])
+            asked = [np.searchsorted(words, unpack_sorted(r["a"])) for r in kinds[PARENT]]
+            c = fixed.copy()
+            for r, at in zip(kinds[PARENT], asked):
+                c[at] += unpack(r["b"])
             t = np.minimum(c, 1)
             if model is not None:
-                before = unpack(kinds[SEATS][0]["a"])  # the words are the same each time
-                t = seat(c, model["tables"] - before, np.full(len(c), 1 / (model["known"] + 1)),
-                         model["theta"], model["d_parent"],
-                         np.random.default_rng([*seed, number]), candidates)
-            yield row(number, SEATS, total=int(t.sum()), x=int((c == 1).sum()),
-                      y=int((c == 2).sum()), a=pack(t))
-            i = 0
-            for r, own in zip(kinds[PARENT], asked):
-                some = at[i:i + len(own)]
-                yield row(r["src"], ANSWER, number, a=pack(c[some]), b=pack(t[some]))
-                i += len(own)
+                t = seat(c, model["tables"] - unpack(before["d"]),
+                         np.full(len(c), 1 / (model["known"] + 1)), model["theta"],
+                         model["d_parent"], np.random.default_rng([*seed, number]), candidates)
+            yield row(number, SEATS, int(c.sum()), total=int(t.sum()), x=int((c == 1).sum()),
+                      y=int((c == 2).sum()), a=pack_sorted(words), b=pack(fixed), c=pack(c),
+                      d=pack(t))
+            for r, at in zip(kinds[PARENT], asked):
+                yield row(r["src"], ANSWER, number, a=pack(c[at]), b=pack(t[at]))
     return run
 
 
+def _answer_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Customers and tables, in each sample, of all words of each bucket."""
+    for number, kinds in groups(batches):
+        words = unpack_sorted(kinds[SEATS][0]["a"])
+        samples = [(r["y"], unpack(r["c"]), unpack(r["d"])) for r in kinds[SEATS]]
+        for r in kinds[ALL_WORDS]:
+            at = np.searchsorted(words, unpack_sorted(r["a"]))
+            for s, c, t in samples:
+                yield row(r["src"], ANSWER, number, y=s, a=pack(c[at]), b=pack(t[at]))
+
+
 # ---------------------------------------------------------------------------
 # 5. Scores
 # ---------------------------------------------------------------------------
-def _pair_scores(ranges: int, models: list[dict]):
+def _pair_scores(models: list[dict]):
     """log10 of each pair's probability, averaged over the samples (``y``), for the blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, kinds in groups(batches):
-            b = _Bucket(kinds[PAIRS][0], ranges)
-            size = b.size[b.at]
-            total = np.zeros(len(b.c))
+            b = _Contexts(kinds[PAIRS][0])
+            t, total = np.minimum(b.c, 1), np.zeros(len(b.c))
             for s, model in enumerate(models):
                 of = {k: [r for r in kinds[k] if r["y"] == s] for k in (SEATS, CONTEXT, ANSWER)}
-                t = unpack(of[SEATS][0]["a"])
-                new = model["theta"] + model["d"] * b.tables(t, of[CONTEXT])[b.at]
+                t[b.c > 1] = unpack(of[SEATS][0]["a"])
+                own = np.bincount(b.at, t, len(b.contexts)).astype(np.int64)
+                new = model["theta"] + model["d"] * b.tables(own, of[CONTEXT])[b.at]
                 total += (b.c - model["d"] * t + new * b.parent(of[ANSWER], model)) / (
-                    model["theta"] + size)
+                    model["theta"] + b.extra[b.at])
             score = np.log10(total / len(models)).astype("<f4")
-            for r in kinds[BLOCK]:
+            for r in kinds[PLACES]:
                 yield row(r["src"], SCORES, number, a=score[unpack(r["a"])].tobytes())
     return run
 
 
-def _document_scores(shards: int, buckets: int, split: int, known: int, tokens: int):
+def _document_scores(buckets: int, split: int, known: int, tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, kinds in groups(batches):
-            t = _Tokens(kinds[BLOCK][0], kinds[WORDS], shards, buckets, split)
+            t = _Tokens(kinds[BLOCK][0], kinds[WORDS], buckets, split)
             score = np.concatenate([np.frombuffer(r["a"], "<f4") for r in kinds[SCORES]])
             base = np.log10((t.count + 1) / (tokens + known + 1))
             sums = [np.add.reduceat(x, t.first) for x in (
@@ -581,51 +625,56 @@ def score_documents(docs: DataFrame, held_out: Column, *, sweeps: int = SWEEPS,
         _count_words(shards)), "vocabulary")
     tokens, known = (n or 0 for n in vocabulary.agg(F.sum("total"), F.sum("x")).first())
 
-    texts = blocks.drop("d").withColumn("d", F.lit(None).cast("binary")).unionByName(vocabulary)
+    empty = F.lit(None).cast("binary")
+    texts = blocks.withColumns({"b": empty, "d": empty}).unionByName(vocabulary)
     pairs = scratch.write(gathered(
-        gathered(texts, _to_buckets(shards, buckets, split)), _merge_pairs), "pairs")
-    merged = pairs.filter(F.col("kind") == PAIRS)
-    once, twice = (n or 0 for n in merged.agg(F.sum("x"), F.sum("y")).first())
-    model = {"theta": theta, "d": discount(once, twice), "known": known}
+        gathered(texts, _to_buckets(buckets, split)), _merge_pairs(buckets)), "pairs")
 
     def kind(df: DataFrame, *kinds: int) -> DataFrame:
         return df.filter(F.col("kind").isin(*kinds))
 
-    def sweep(i: int, now: dict | None) -> tuple[DataFrame, dict]:
-        """Mail to the buckets after sweep i, and the model's totals."""
-        mail = merged if now is None else merged.unionByName(state)
+    once, twice = (n or 0 for n in kind(pairs, PAIRS).agg(F.sum("x"), F.sum("y")).first())
+    model = {"theta": theta, "d": discount(once, twice), "known": known}
+
+    def sweep(i: int, state: DataFrame | None, now: dict | None):
+        """After sweep i: mail to the buckets, the parent's rows, the model's totals."""
+        mail = kind(pairs, REPEATED)
         seats = scratch.write(gathered(
-            mail, _seat_contexts(buckets, now, (seed, i, 0), candidates)), f"seats-{i}")
-        asked = kind(seats, PARENT)
-        if now is not None:
-            asked = asked.unionByName(kind(scratch.read(f"parent-{i - 1}", seats), SEATS))
+            mail.unionByName(state) if state else mail,
+            _seat_contexts(buckets, now, (seed, i, 0), candidates)), f"seats-{i}")
+        # The parent's rows of the sweep before; at first, all words of the buckets.
+        held = kind(scratch.read(f"parent-{i - 1}", seats), SEATS) if now else \
+            kind(pairs, ALL_WORDS)
         parent = scratch.write(gathered(
-            asked, _seat_parent(now, (seed, i, 1), candidates)), f"parent-{i}")
-        customers = kind(seats, SEATS).agg(F.sum("total")).first()[0]
-        tables, one, two = kind(parent, SEATS).agg(F.sum("total"), F.sum("x"), F.sum("y")).first()
+            kind(seats, PARENT).unionByName(held),
+            _seat_parent(now, (seed, i, 1), candidates)), f"parent-{i}")
+        own = kind(parent, SEATS)
+        sums = own.agg(*[F.sum(c) for c in ("src", "total", "x", "y")]).first()
+        customers, tables, one, two = (n or 0 for n in sums)
         # A split context's tables over all its buckets.
         parts = kind(seats, CONTEXT)
         whole = parts.groupBy("src").agg(F.sum("total").alias("total"))
-        after = kind(seats, SEATS).unionByName(kind(parent, ANSWER)).unionByName(
+        state = kind(seats, SEATS).unionByName(kind(parent, ANSWER)).unionByName(
             parts.drop("total").join(whole, "src").select(seats.columns))
-        return after, {**model, "customers": customers or 0, "tables": tables or 0,
-                       "d_parent": now["d_parent"] if now else discount(one or 0, two or 0)}
+        return state, own, {**model, "customers": customers, "tables": tables,
+                            "d_parent": now["d_parent"] if now else discount(one, two)}
 
-    state, now = sweep(0, None)
-    kept = [(state, now)]
+    kept = [sweep(0, None, None)]
     for i in range(1, sweeps + 1):
-        state, now = sweep(i, now)
-        kept.append((state, now))
+        kept.append(sweep(i, kept[-1][0], kept[-1][2]))
         if len(kept) > max(1, min(samples, sweeps)):
             kept.pop(0)
             scratch.drop(f"seats-{i - len(kept)}", f"parent-{i - len(kept)}")
-    mail = pairs
-    for s, (after, _) in enumerate(kept):
-        mail = mail.unionByName(after.withColumn("y", F.lit(s).cast("long")))
-    scores = gathered(mail, _pair_scores(buckets, [m for _, m in kept]))
+    asked, mail = kind(pairs, ALL_WORDS), kind(pairs, PAIRS, PLACES)
+    for s, (state, own, _) in enumerate(kept):
+        number = F.lit(s).cast("long")
+        asked = asked.unionByName(own.withColumn("y", number))
+        mail = mail.unionByName(kind(state, SEATS, CONTEXT).withColumn("y", number))
+    scores = gathered(mail.unionByName(gathered(asked, _answer_all)),
+                      _pair_scores([m for *_, m in kept]))
     parts = (texts.unionByName(scores).repartition("dest")
              .sortWithinPartitions("dest", "kind", "src")
-             .mapInArrow(_document_scores(shards, buckets, split, known, tokens),
+             .mapInArrow(_document_scores(buckets, split, known, tokens),
                          "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, "
                          "base_score double, score double"))
     whole = parts.groupBy("uid").agg(  # a long text has a row in each of its blocks
