@@ -61,8 +61,10 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(self.path(name))
+    def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """The table as read back; ``by``: a folder ``name/by=value`` for each value."""
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(self.path(name))
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame | None = None) -> DataFrame:

@@ -175,8 +175,9 @@ class _Block:
                             self.code[lead]))
         self.size += len(codes)
 
-    def row(self) -> pa.RecordBatch:
-        """The word list is in order of checksums, and so in order of any number of shards."""
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """The tokens, and the word list in order of checksums, and so in order of any
+        number of shards."""
         words = list(self.code)
         order = np.argsort(checksums(words), kind="stable")
         place = np.empty(len(words), np.int64)
@@ -185,9 +186,9 @@ class _Block:
         pieces = np.array(self.pieces, np.int64).T
         pieces[5] = place[pieces[5]]
         learned = np.repeat(pieces[3] == 0, pieces[4])
-        return row(self.number, BLOCK, total=len(codes), x=len(words), a=pack(codes),
-                   b=b" ".join([words[i] for i in order]), c=pack(pieces.ravel()),
-                   d=pack(np.bincount(codes[learned], minlength=len(words))))
+        yield row(self.number, BLOCK, total=len(codes), a=pack(codes), b=pack(pieces.ravel()))
+        yield row(self.number, WORDS, x=len(words), a=b" ".join([words[i] for i in order]),
+                  b=pack(np.bincount(codes[learned], minlength=len(words))))
 
 
 def _blocks(tokens: int, size: int):
@@ -206,11 +207,11 @@ def _blocks(tokens: int, size: int):
                         block.add(uid, doc_id.as_py(), held.as_py(), words, lead)
                         lead = words[-1]
                     if block.size >= tokens:
-                        yield block.row()
+                        yield from block.rows()
                         number += 1
                         block = _Block(number)
         if block.size:
-            yield block.row()
+            yield from block.rows()
     return run
 
 
@@ -221,7 +222,7 @@ def _to_shards(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                words, count = r["b"].split(b" "), unpack(r["d"])
+                words, count = r["a"].split(b" "), unpack(r["b"])
                 shard = checksums(words) * np.uint64(shards) >> np.uint64(32)
                 edges = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(words)]
                 for i, j in zip(edges[:-1], edges[1:]):
@@ -263,7 +264,7 @@ class _Tokens:
         codes = unpack(block["a"])
         ids = np.concatenate([unpack(r["a"]) for r in answers])
         count = np.concatenate([unpack(r["b"]) for r in answers])
-        self.uid, self.doc_id, self.has_id, held, self.n, lead = unpack(block["c"]).reshape(6, -1)
+        self.uid, self.doc_id, self.has_id, held, self.n, lead = unpack(block["b"]).reshape(6, -1)
         self.count = count[codes]
         self.held = held.astype(bool)
         self.first = np.cumsum(self.n) - self.n
@@ -574,9 +575,9 @@ def _pair_scores(models: list[dict]):
                 new = model["theta"] + model["d"] * b.tables(own, of[CONTEXT])[b.at]
                 total += (b.c - model["d"] * t + new * b.parent(of[ANSWER], model)) / (
                     model["theta"] + b.extra[b.at])
-            score = np.log10(total / len(models)).astype("<f4")
+            score = np.log10(total / len(models)).astype("<f4").view("<u4").astype(np.int64)
             for r in kinds[PLACES]:
-                yield row(r["src"], SCORES, number, a=score[unpack(r["a"])].tobytes())
+                yield row(r["src"], SCORES, number, a=pack(score[unpack(r["a"])]))
     return run
 
 
@@ -584,10 +585,11 @@ def _document_scores(buckets: int, split: int, known: int, tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, kinds in groups(batches):
             t = _Tokens(kinds[BLOCK][0], kinds[WORDS], buckets, split)
-            score = np.concatenate([np.frombuffer(r["a"], "<f4") for r in kinds[SCORES]])
+            score = np.concatenate([unpack(r["a"]) for r in kinds[SCORES]])
+            score = score.astype("<u4").view("<f4").astype(np.float64)
             base = np.log10((t.count + 1) / (tokens + known + 1))
             sums = [np.add.reduceat(x, t.first) for x in (
-                (t.count > 0).astype(np.int64), base, score.astype(np.float64)[t.pair])]
+                (t.count > 0).astype(np.int64), base, score[t.pair])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(t.uid), pa.array(t.doc_id, mask=t.has_id == 0), pa.array(t.held),
                  pa.array(t.n), *map(pa.array, sums)], schema=_SCORES)
@@ -617,16 +619,17 @@ def score_documents(docs: DataFrame, held_out: Column, *, sweeps: int = SWEEPS,
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(held_out, F.lit(False)).alias("held"),
                        F.col("text").cast("binary").alias("text"))
-    blocks = scratch.write(base.mapInArrow(_blocks(block_tokens, block_bytes), _MAIL), "blocks")
+    blocks = scratch.write(base.mapInArrow(_blocks(block_tokens, block_bytes), _MAIL), "blocks",
+                           by="kind")
     size, entries = blocks.agg(F.sum("total"), F.sum("x")).first()
     shards, buckets = -(-(entries or 1) // shard), -(-(size or 1) // shard)
     vocabulary = scratch.write(gathered(
-        blocks.select("dest", "b", "d").mapInArrow(_to_shards(shards), _MAIL),
-        _count_words(shards)), "vocabulary")
+        blocks.filter(F.col("kind") == WORDS).select("dest", "a", "b")
+        .mapInArrow(_to_shards(shards), _MAIL), _count_words(shards)), "vocabulary")
+    scratch.drop(f"blocks/kind={WORDS}")
     tokens, known = (n or 0 for n in vocabulary.agg(F.sum("total"), F.sum("x")).first())
 
-    empty = F.lit(None).cast("binary")
-    texts = blocks.withColumns({"b": empty, "d": empty}).unionByName(vocabulary)
+    texts = blocks.filter(F.col("kind") == BLOCK).unionByName(vocabulary)
     pairs = scratch.write(gathered(
         gathered(texts, _to_buckets(buckets, split)), _merge_pairs(buckets)), "pairs")
 
