@@ -15,8 +15,8 @@ full sets; documents are grouped by the links' connected components.
    Signatures screen the pairs, full sets confirm them.
 4. Components by large-star and small-star.  Sets of one id are linked as well.
 5. A bucket whose members lie in several components can still hide a link.  Its
-   signatures are compared across components, in pairs of bounded tiles; members
-   of a pair that may reach the threshold, in the first band that it shares,
+   signatures are compared across components, in pairs of bounded tiles, of which
+   those of the bucket's largest component never meet each other; members of a pair that may reach the threshold, in the first band that it shares,
    meet again with their texts in the same tiles, where exact intersections come
    from products of 0/1 matrices.  A tile returns the edges of a spanning forest
    of its links, so a dense group of m documents that are nearly but not quite
@@ -24,6 +24,7 @@ full sets; documents are grouped by the links' connected components.
 
 A pair at the threshold of 0.8 shares a band with probability 1 - 7e-6 and
 passes the signature screen (five standard deviations below) with 1 - 3e-7.
+A shingle is known by 64 bits, made from cryptographic digests of its words.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navforge.llm.common import Scratch, emit, longs, release_shuffles, text_slices
@@ -45,6 +46,8 @@ ROWS = 5
 #: Bounds of a tile, members and (on average) shingles of their sets; a group is a pair of tiles.
 TILE = 1024
 TILE_SHINGLES = 1 << 21
+#: Most bits of the bitmap that drops rows before a shuffle (broadcast: an eighth in bytes).
+FILTER_BITS = 1 << 27
 #: Columns of a 0/1 matrix of sets that are multiplied at a time.
 COLUMNS = 4096
 
@@ -122,13 +125,21 @@ def _matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return np.frombuffer(data, np.uint32).reshape(len(c), -1)
 
 
-def _confirm(k: int, per_cent: int, least: int):
-    """Pairs whose full sets have 100 * intersection >= per_cent * union, among those
-    whose signatures agree ``least`` times."""
+def _alike(least: int):
+    """Pairs whose signatures agree ``least`` times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             same = (_matrix(batch, "sig_a") == _matrix(batch, "sig_b")).sum(axis=1)
-            batch = batch.take(pa.array(np.flatnonzero(same >= least)))
+            at = np.flatnonzero(same >= least)
+            if len(at):
+                yield from emit(_PAIR, longs(batch, "a")[at], longs(batch, "b")[at])
+    return run
+
+
+def _confirm(k: int, per_cent: int):
+    """Pairs whose full sets have 100 * intersection >= per_cent * union."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
                 left, right = (
@@ -148,6 +159,28 @@ def _confirm(k: int, per_cent: int, least: int):
     return run
 
 
+def of_ids(df: DataFrame, ids: DataFrame, column: str = "node") -> DataFrame:
+    """Rows of ``df`` whose ``column`` is in ``ids`` (distinct longs), few others being
+    shuffled: a bitmap of the hashed ids, of at most FILTER_BITS bits, drops most rows
+    where they are read.  Where ids outnumber its bits it drops little; the join that
+    follows is exact either way."""
+    bits = min(max(16 * ids.count(), 1 << 15), FILTER_BITS)
+    bits = 1 << (bits - 1).bit_length()
+
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+
+    bitmap = ids.select(place(column).alias("p")).groupBy(
+        F.bitmap_bucket_number("p").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))
+    at = F.bitmap_bit_position(place(column))
+    hit = F.expr("shiftright(cast(conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), "
+                 "16, 10) as int), cast(__at % 8 as int)) & 1")
+    marked = df.withColumn("__bucket", F.bitmap_bucket_number(place(column))).withColumn("__at", at)
+    near = marked.join(F.broadcast(bitmap), "__bucket").filter(hit == 1)
+    return near.select(df.columns).join(ids, column, "left_semi")
+
+
 def sorted_pieces(batches: Iterator[pa.RecordBatch], keys: list[str]
                   ) -> Iterator[tuple[bool, pa.RecordBatch]]:
     """(whether a run of equal keys begins, a piece of the run) of a partition sorted by
@@ -310,31 +343,36 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
                         "left_semi").withColumnRenamed("row_id", "node")
     nodes = scratch.write(nodes.select("node", "n", "sig", "bands"), "nodes")
     banded = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TILE_SHINGLES))
     buckets = scratch.write(banded.groupBy("key").agg(F.min("node").alias("leader"),
-                                                      F.max("node").alias("top"),
-                                                      tiles.cast("long").alias("tiles"))
+                                                      F.max("node").alias("top"))
                             .filter("leader < top").drop("top"), "buckets")
-    members = scratch.write(banded.drop("n").join(buckets, "key"), "members")
+    members = scratch.write(banded.join(buckets, "key"), "members")
     # A node's best leader is the one it shares most bands with.
     best = scratch.write(
         members.filter("node <> leader").groupBy("leader", "node").count().groupBy("node").agg(
             F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader")), "best")
-    wanted = best.select("node").union(buckets.select("leader")).distinct()
-    texts = scratch.write(
-        base.withColumnRenamed("row_id", "node").join(wanted, "node", "left_semi")
-        .join(nodes.select("node", "sig"), "node"), "texts")
+    wanted = scratch.write(best.select("node").union(buckets.select("leader")).distinct(), "wanted")
+    sigs = scratch.write(of_ids(nodes.select("node", "sig"), wanted), "sigs")
+
+    def texts(ids: DataFrame, name: str) -> DataFrame:
+        ids = scratch.write(ids.distinct(), f"{name}-ids")
+        return scratch.write(of_ids(base.withColumnRenamed("row_id", "node"), ids), name)
+
+    def pairs(of: DataFrame, by: DataFrame, column: str) -> DataFrame:
+        def side(end: str) -> DataFrame:
+            return by.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}"))
+
+        return of.join(side("b"), "b").join(side("a"), "a").select(
+            "a", "b", f"{column}_a", f"{column}_b")
+
+    led = best.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    alike = scratch.write(pairs(led, sigs, "sig").mapInArrow(_alike(least), "a long, b long"),
+                          "alike")
+    ends = texts(alike.select(F.col("a").alias("node")).union(alike.select("b")), "ends")
+    links = scratch.write(pairs(alike, ends, "text").mapInArrow(
+        _confirm(words, per_cent), "a long, b long"), "links")
+    scratch.drop("ends")
     release_shuffles(spark)
-
-    def side(end: str, column: str) -> DataFrame:
-        return texts.select(F.col("node").alias(column), F.col("text").alias(f"text_{end}"),
-                            F.col("sig").alias(f"sig_{end}"))
-
-    full = (best.join(side("b", "node"), "node").join(side("a", "leader"), "leader")
-            .select(F.col("leader").alias("a"), F.col("node").alias("b"), "text_a", "text_b",
-                    "sig_a", "sig_b"))
-    links = scratch.write(full.mapInArrow(_confirm(words, per_cent, least), "a long, b long"),
-                          "links")
     # The sets of one id are linked by the id, which is no smaller than their nodes.
     filled = sketch.filter("n > 0 and row_id is not null").select("row_id", "s1", "s2", "n")
     one = F.struct("s1", "s2", "n")
@@ -349,14 +387,30 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
     labels = connected_components(links, scratch, "cc")
 
     here = scratch.write(members.join(labels, "node", "left").select(
-        "key", "band", "node", "tiles", F.coalesce("component", "node").alias("component")),
-        "here")
-    split = scratch.write(here.groupBy("key").agg(F.min("component").alias("x"),
-                                                  F.max("component").alias("y"))
-                          .filter("x < y").select("key"), "split")
-    tiled = (here.join(split, "key").join(texts.select("node", "sig"), "node")
-             .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
-             .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+        "key", "band", "node", "n", F.coalesce("component", "node").alias("component")), "here")
+    # Of a bucket in several components: the largest one, and the tiles of the others
+    # (numbered first) and of its own.
+    by_component = here.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+
+    def tiles(members: Column, shingles: Column) -> Column:
+        return F.ceil(F.greatest(members / TILE, shingles / TILE_SHINGLES)).cast("long")
+
+    split = scratch.write(
+        by_component.groupBy("key").agg(
+            F.max(F.struct("members", "shingles", "component")).alias("main"),
+            F.sum("members").alias("members"), F.sum("shingles").alias("shingles"))
+        .filter(F.col("members") > F.col("main.members"))
+        .select("key", F.col("main.component").alias("main"),
+                tiles(F.col("members") - F.col("main.members"),
+                      F.col("shingles") - F.col("main.shingles")).alias("others"),
+                tiles(F.col("main.members"), F.col("main.shingles")).alias("own")), "split")
+    hashed_node, is_main = F.xxhash64("node"), F.col("component") == F.col("main")
+    number = F.when(is_main, F.col("others") + F.pmod(hashed_node, F.col("own"))).otherwise(
+        F.pmod(hashed_node, F.col("others")))
+    meets = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("own"))
+    tiled = (here.join(split, "key").join(sigs, "node").withColumn("tile", number)
+             .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), meets - 1)))
              .select("key", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"),
                      "tile", F.col("band").cast("long").alias("band"), "node", "component", "sig"))
     tile = ["key", "i", "j"]
@@ -366,15 +420,17 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, per_cent: int = 80, hash
         "screened")
     release_shuffles(spark)
     found = scratch.write(
-        screened.join(texts.select("node", "text"), "node").select(*tile, "node", "text")
+        screened.join(texts(screened.select("node"), "tiled-texts"), "node")
+        .select(*tile, "node", "text")
         .repartition(*tile).sortWithinPartitions(*tile)
         .mapInArrow(_exact(words, per_cent), "a long, b long"), "found")
     if not found.isEmpty():
         labels = connected_components(links.unionByName(found), scratch, "cc2")
     classes = scratch.write(sets.join(labels, "node", "left").select(
         "s1", "s2", "n", F.coalesce("component", "node").alias("component_id")), "classes")
-    scratch.drop("sets", "nodes", "buckets", "members", "best", "texts", "links", "linked", "several",
-                 "here", "split", "screened", "found", "cc-labels", "cc2-labels")
+    scratch.drop("sets", "nodes", "buckets", "members", "best", "wanted", "sigs", "alike", "links",
+                 "linked", "several", "here", "split", "screened", "tiled-texts", "found",
+                 "cc-labels", "cc2-labels")
     out = sketch.drop("sig", "bands").join(classes, ["s1", "s2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("row_id"))
     component = F.when(F.col("row_id").isNotNull(), component)

@@ -13,7 +13,8 @@ WINDOW - PERIOD + 1 words at the same offset.  The steps:
 1. anchors, range-partitioned and sorted by hash; those that meet an equal
    neighbour are repeated (about a third of a row per word, one shuffle);
 2. the repeated anchors gathered by document and joined with its text; each
-   extends to the windows that contain it, hashed to 96 bits;
+   extends to the windows that contain it, hashed to 96 bits of independent halves of
+   the words' digests;
 3. the windows, range-partitioned and sorted by (hash, document, start): all
    but the first of each run of equal hashes are repeats.  Range partitions
    split a hash that millions of documents share, and sorted runs are read as
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navforge.llm.common import Scratch, emit, longs, release_shuffles, text_slices
-from navforge.llm.words import BASE_A, BASE_B, Words
+from navforge.llm.words import Words
 
 WINDOW = 20
 PERIOD = 13
@@ -136,8 +137,8 @@ def _candidate_windows(window: int, period: int):
                 if len(at):
                     d = w.doc[at]
                     yield from emit(
-                        _WINDOW, w.windows(at, window, BASE_A).view(np.int64),
-                        (w.windows(at, window, BASE_B) >> np.uint64(32)).astype(np.uint32)
+                        _WINDOW, w.windows(at, window).view(np.int64),
+                        (w.windows(at, window, 1) >> np.uint64(32)).astype(np.uint32)
                         .view(np.int32), longs(part, "doc")[d], longs(part, "tag")[d],
                         (at - w.first[:-1][d]).astype(np.int32))
     return run

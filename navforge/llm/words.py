@@ -7,33 +7,20 @@ characters.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterable
+from hashlib import blake2b
+
 import numpy as np
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-#: Odd bases of the polynomial hashes (fixed values).
-BASE_WORD = 0x9E3779B97F4A7C15
+#: Odd multipliers (fixed values).
 BASE_A = 0xD1342543DE82EF95
-BASE_B = 0xAEF17502108EF2D9
-_MASK = (1 << 64) - 1
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64 for i < n (kept per process)."""
-    if base not in _powers or len(_powers[base][0]) < n:
-        m = max(n, 1 << 16)
-        inv = pow(base, -1, 1 << 64)
-        up, down = np.full(m, base, np.uint64), np.full(m, inv, np.uint64)
-        up[0] = down[0] = 1
-        _powers[base] = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
-    a, b = _powers[base]
-    return a[:n], b[:n]
+_CHAIN = np.uint64(BASE_A)
+#: Digests of words that a process keeps.
+KEPT_DIGESTS = 1 << 17
+_digests: dict[bytes, bytes] = {}
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -45,25 +32,30 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[start:end) for each span, free of its position."""
-    up, down = _power(base, len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+def digests(words: Iterable[bytes]) -> np.ndarray:
+    """BLAKE2b digests of words, two 64-bit halves each."""
+    if len(_digests) > KEPT_DIGESTS:
+        _digests.clear()
+    out = []
+    for w in words:
+        d = _digests.get(w)
+        if d is None:
+            d = _digests[w] = blake2b(w, digest_size=16).digest()
+        out.append(d)
+    return np.frombuffer(b"".join(out), "<u8").reshape(-1, 2)
 
 
 class Words:
     """The words of a list of texts.
 
-    ``first[i]:first[i + 1]`` are the indexes of document i's words; ``hash`` is
-    a 64-bit hash of each word.
+    ``first[i]:first[i + 1]`` are the indexes of document i's words; ``hash`` holds
+    two independent 64-bit hashes of each word, halves of a cryptographic digest.
     """
 
     def __init__(self, texts: list[bytes], lower: bool = False):
-        data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-        if lower:
-            data = _LOWER[data]
+        joined = b" ".join(texts) + b" "
+        self.joined = joined.lower() if lower else joined  # of bytes: A-Z alone
+        data = np.frombuffer(self.joined, np.uint8)
         self.data = data
         word = np.zeros(len(data) + 2, np.int8)
         word[1:-1] = ~_SPACE[data]
@@ -79,9 +71,19 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            self._hash = spans_hash(_BYTE[self.data], self.start, self.end, BASE_WORD)
+            code: dict[bytes, int] = defaultdict()
+            code.default_factory = code.__len__
+            words = self.joined.split()  # at the same six bytes
+            at = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+            self._hash = digests(code)[at].T.copy()
         return self._hash
 
-    def windows(self, start: np.ndarray, size: int, base: int = BASE_A) -> np.ndarray:
-        """Hash of the ``size`` words from each word index on."""
-        return spans_hash(self.hash, start, start + size, base)
+    def windows(self, start: np.ndarray, size: int, half: int = 0) -> np.ndarray:
+        """Hash of the ``size`` words from each word index on, from one half of their
+        digests.  Every word is mixed in by steps that are not linear together, so that
+        no pattern of words makes two sequences collide."""
+        h, x = self.hash[half], np.full(len(start), size, np.uint64)
+        for i in range(size):
+            x = (x ^ h[start + i]) * _CHAIN
+            x ^= x >> np.uint64(29)
+        return mix(x)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pyarrow as pa
@@ -121,3 +122,51 @@ def test_components(spark):
     assert got == want
     none = connected_components(df.limit(0), Scratch(spark, "t"))
     assert none.collect() == []
+
+
+def thue_morse(n, a="a", b="b"):
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_of_thue_morse_letters_differ(spark, size):
+    """Sequences on which hashes that are polynomials modulo a power of two collide."""
+    x, y = thue_morse(size), thue_morse(size, "b", "a")
+    rows = [(1, " ".join([x, "c"] * 12)), (2, " ".join([y, "c"] * 12)),
+            (3, f"{x} {y} {x}"), (4, f"{y} {x} {y} q")]
+    rows += [(10 + i, " ".join({"a": "u", "b": "v"}[c] for c in w) + " ." * i)
+             for i, w in enumerate((x, y))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k in (2, 5):
+        got = near_duplicates(df, words=k).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, k)
+
+
+def test_large_group_in_several_components(spark, monkeypatch):
+    """A bucket's largest component meets the others in tiles; no link is lost."""
+    monkeypatch.setattr(minhash_dedup, "TILE", 8)
+    rng = random.Random(6)
+    common = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(90):
+        some = list(common)
+        for _ in range(rng.randint(0, 9)):
+            some[rng.randrange(60)] = f"x{rng.randint(0, 5)}"
+        rows.append((i, " ".join(some)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k in (2, 5):
+        got = near_duplicates(df, words=k).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, k)
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 27])
+def test_of_ids_is_exact_with_any_bitmap(spark, monkeypatch, bits):
+    monkeypatch.setattr(minhash_dedup, "FILTER_BITS", bits)
+    df = spark.range(20_000).select((F.col("id") - 10_000).alias("node"), F.col("id").alias("v"))
+    ids = df.filter("node % 3 = 0").select("node")
+    got = minhash_dedup.of_ids(df.union(df.limit(0)), ids)
+    assert got.count() == ids.count() and got.filter("node % 3 <> 0").isEmpty()
+    assert minhash_dedup.of_ids(df, ids.limit(0)).isEmpty()

@@ -77,3 +77,17 @@ def test_empty_table(no_docs):
 def test_bad_cover(docs):
     with pytest.raises(ValueError):
         substring_dedup(docs, period=13, cover=(0, 1))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_of_thue_morse_letters_differ(spark, size):
+    """Sequences on which hashes that are polynomials modulo a power of two collide."""
+    x, y = "a", "b"
+    while len(x) < size:
+        x, y = x + y, y + x
+    rows = [(1, " ".join([x, "c", "d"] * 8)), (2, " ".join([y, "c", "d"] * 8)),
+            (3, " ".join([y, "c", "d"] * 9)), (4, " ".join(x)), (5, " ".join(y))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup(df, digest=True).collect()
+    assert Counter((r.doc_id, r.n_removed) for r in got) == Counter(
+        (i, keep.count(False)) for i, _, keep in brute(rows, 20))
