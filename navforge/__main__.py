@@ -27,6 +27,9 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--materialize", default="staged",
                    choices=["staged", "checkpoint", "recompute"])
     r.add_argument("--workers", type=int, default=4, help="independent steps run at once")
+    r.add_argument("--run-id", help="a run repeated under its id adds no second metrics rows")
+    r.add_argument("--by-day", action="store_true",
+                   help="divide the fact tables of silver and gold into a folder for each day")
     r.add_argument("--register", action="store_true",
                    help="also name the tables <layer>.<table> in the session catalog")
     r.add_argument("--keep-fanout", action="store_true",
@@ -57,15 +60,16 @@ def main(argv: list[str] | None = None) -> int:
         from navforge.sources.bronze import load_bronze_csv
         from navforge.sources.sinks import Lakehouse
 
-        lake = Lakehouse(args.lake, args.format, register=args.register)
+        lake = Lakehouse(args.lake, args.format, register=args.register,
+                         days=pipeline.DAYS if args.by_day else {})
         bronze = None
         if args.raw and args.incremental:
             pipeline.ingest_bronze_incremental(spark, lake, args.raw, args.incremental)
         elif args.raw:
-            bronze = load_bronze_csv(spark, args.raw)
+            bronze = load_bronze_csv(spark, args.raw, keep_malformed=True)
         steps = pipeline.run(spark, lake, bronze=bronze,
                              dedupe_refs=not args.keep_fanout, materialize=args.materialize,
-                             workers=args.workers)
+                             workers=args.workers, run_id=args.run_id)
         print(json.dumps(steps))
     elif args.cmd == "ingest":
         from navforge.specs import DATASETS

@@ -12,15 +12,24 @@ from pyspark.sql import functions as F
 from navforge.functions.parse import parse_decimal, parse_timestamp, trimmed
 from navforge.functions.rules import issue_codes
 from navforge.operators.joins import SizedSide, all_not_null, lookup_join, size_side, unsized
-from navforge.specs import DatasetSpec
+from navforge.specs import MALFORMED_LINE, RAW_LINE, DatasetSpec
 
 ISSUES = "dq_issues"
 _DUP_N = "__dup_n"
 
 
 def standardize(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Trim + rename every bronze column, then add parsed dates and decimals."""
-    base = bronze.select(*[trimmed(c, spec.rename.get(c, c)) for c in spec.bronze_columns])
+    """Trim + rename every bronze column, then add parsed dates and decimals.
+
+    Of a malformed line (``raw_line`` not null) every column is NULL: its cells cannot
+    be told apart, so that none counts as a key or a reference.
+    """
+    cells = [trimmed(c, spec.rename.get(c, c)) for c in spec.bronze_columns]
+    if RAW_LINE in bronze.columns:
+        fits = F.col(RAW_LINE).isNull()
+        cells = [F.when(fits, trimmed(c)).alias(spec.rename.get(c, c))
+                 for c in spec.bronze_columns] + [F.col(RAW_LINE)]
+    base = bronze.select(*cells)
     return base.select(
         "*",
         *[parse_timestamp(d.raw).alias(d.parsed) for d in spec.dates],
@@ -100,11 +109,15 @@ def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] |
         keys = refs[ref.dataset] if prepared else \
             prepare_reference(refs[ref.dataset], dedupe_refs, measured)
         df = attach_reference(df, ref.column, keys, ref.out, narrow)
-    return df.withColumn(ISSUES, issue_codes(spec.rules))
+    issues = issue_codes(spec.rules)
+    if RAW_LINE in df.columns:  # a malformed line has this issue and no other
+        issues = F.when(F.col(RAW_LINE).isNotNull(), F.array(F.lit(MALFORMED_LINE))).otherwise(
+            issues)
+    return df.withColumn(ISSUES, issues)
 
 
 def _published(validated: DataFrame, spec: DatasetSpec) -> DataFrame:
-    drop = set(spec.helper_columns) | {ISSUES}
+    drop = set(spec.helper_columns) | {ISSUES, RAW_LINE}
     keep = [c for c in validated.columns if c not in drop]
     dates = [F.to_date(F.col(d.parsed)).alias(d.out) for d in spec.dates]
     return validated.select(*keep, *dates)

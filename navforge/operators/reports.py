@@ -137,14 +137,19 @@ def retention_cutoff(as_of: Column, layer: str) -> Column:
     return F.date_sub(as_of, n) if unit == "days" else F.add_months(as_of, -n)
 
 
-def apply_retention(df: DataFrame, date_col: str, layer: str, as_of: Column) -> DataFrame:
-    """Rows still inside the layer's retention window before the date ``as_of``.
-    A text column (raw data) is read as a date; text that is none cannot age and
-    stays, as do NULLs."""
+def aged(df: DataFrame, date_col: str, layer: str, as_of: Column) -> Column:
+    """Whether a row has left the layer's retention window before the date ``as_of``.
+    A text column (raw data) is read as a date; text that is none cannot age, nor do
+    NULLs."""
     date = F.col(date_col)
     if df.schema[date_col].dataType.typeName() == "string":
         date = F.to_date(F.try_to_timestamp(F.trim(date), F.lit("yyyy-MM-dd")))
-    return df.where(F.coalesce(date >= retention_cutoff(as_of, layer), F.lit(True)))
+    return F.coalesce(date < retention_cutoff(as_of, layer), F.lit(False))
+
+
+def apply_retention(df: DataFrame, date_col: str, layer: str, as_of: Column) -> DataFrame:
+    """Rows still inside the layer's retention window before the date ``as_of``."""
+    return df.where(~aged(df, date_col, layer, as_of))
 
 
 def record_publications(nav_daily: DataFrame, published_at: Column,

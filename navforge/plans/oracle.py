@@ -182,8 +182,11 @@ def _ops_ctes() -> list[tuple[str, str]]:
 FANOUT = "fo_"
 
 
-def chain_ctes(dedupe_refs: bool = True, with_fanout_run: bool = False) -> list[tuple[str, str]]:
-    ctes = [(f"bronze_{n}", ADAPTER_SQL[n].strip()) for n in DATASETS]
+def chain_ctes(dedupe_refs: bool = True, with_fanout_run: bool = False,
+               bronze: dict[str, str] | None = None) -> list[tuple[str, str]]:
+    """``bronze``: other raw rows of a dataset, as SQL over its usual ones (``{rows}``)."""
+    ctes = [(f"bronze_{n}", (bronze or {}).get(n, "{rows}").replace(
+        "{rows}", ADAPTER_SQL[n].strip())) for n in DATASETS]
     for spec in DATASETS.values():
         ctes += _dataset_ctes(spec, dedupe_refs)
     ctes += _gold_ctes() + _ops_ctes()
@@ -194,9 +197,10 @@ def chain_ctes(dedupe_refs: bool = True, with_fanout_run: bool = False) -> list[
     return ctes
 
 
-def with_chain(select: str, dedupe_refs: bool = True, with_fanout_run: bool = False) -> str:
+def with_chain(select: str, dedupe_refs: bool = True, with_fanout_run: bool = False,
+               bronze: dict[str, str] | None = None) -> str:
     body = ",\n".join(f"{name} AS (\n{sql.strip()}\n)"
-                      for name, sql in chain_ctes(dedupe_refs, with_fanout_run))
+                      for name, sql in chain_ctes(dedupe_refs, with_fanout_run, bronze))
     return f"WITH {body}\n{select.strip()}"
 
 

@@ -28,13 +28,13 @@ from navforge.operators import gold, ops
 from navforge.operators.quality import (
     ISSUES, prepare_reference, quarantine_rows, valid_rows, validate,
 )
-from navforge.operators.reports import apply_retention, record_publications
+from navforge.operators.reports import aged, record_publications, retention_cutoff
 from navforge.session import ensure_checkpoint_dir, size_shuffles
 from navforge.sources.bronze import spread
 from navforge.sources.sinks import Lakehouse
 from navforge.sources.staging import release_staged, staged
 from navforge.specs import DATASETS, DIMENSIONS
-from navforge.streaming.ingest import ingest_new_files
+from navforge.streaming.ingest import ingest_table
 
 
 def run_timestamp(now: dt.datetime | None = None) -> Column:
@@ -85,11 +85,12 @@ def ingest_bronze_incremental(spark: SparkSession, lake: Lakehouse, raw_root: st
                               checkpoint_root: str, timer: Timer | None = None) -> None:
     """Append to ``bronze/<dataset>`` the raw files of ``<raw_root>/<dataset>/`` not
     loaded before (file stream, available-now trigger, one checkpoint per dataset
-    under ``checkpoint_root``, which must be shared storage on a cluster)."""
+    under ``checkpoint_root``, which must be shared storage on a cluster).  Retention
+    and other overwrites of the tables may come between two calls."""
     timer = timer or Timer()
     root, ckpt = raw_root.rstrip("/"), checkpoint_root.rstrip("/")
-    timer.wave({f"bronze_{n}": (lambda n=n, spec=spec: ingest_new_files(
-        spark, f"{root}/{n}", spec, lake.path("bronze", n), f"{ckpt}/{n}", lake.fmt))
+    timer.wave({f"bronze_{n}": (lambda n=n, spec=spec: ingest_table(
+        spark, f"{root}/{n}", spec, lake, f"{ckpt}/{n}"))
         for n, spec in DATASETS.items()})
 
 
@@ -116,7 +117,8 @@ def _split(df: DataFrame, valid: bool) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_refs: bool = True,
-                 timer: Timer | None = None, materialize: str = "staged") -> None:
+                 timer: Timer | None = None, materialize: str = "staged",
+                 run_id: str | None = None) -> None:
     """Validate each dataset once; write the valid and the quarantine split, then
     append one metrics row per dataset.  References are read from silver tables
     written in this run: funds and investors form the first wave, the datasets
@@ -149,7 +151,8 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
         ops.dq_metrics_written(n, lake.read(spark, "bronze", n), lake.read(spark, "silver", n),
                                lake.read(spark, "ops", f"dq_{n}_quarantine"), run_ts)
         for n in DATASETS])
-    timer("dq_metrics", lambda: lake.write(metrics, "ops", "dq_metrics", mode="append"))
+    timer("dq_metrics", lambda: lake.write(
+        metrics, "ops", "dq_metrics", mode="append", batch=(f"run-{run_id}", 0) if run_id else None))
 
 
 def build_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
@@ -196,13 +199,75 @@ AGED = {
 }
 
 
-def retain(spark: SparkSession, lake: Lakehouse, as_of: dt.date) -> None:
-    """Rewrite every aged table of all four layers without what its layer's retention
-    window has left (raw dates that do not parse cannot age and stay)."""
+#: Fact tables to divide by day: ``Lakehouse(root, days=DAYS)``.
+DAYS = {(layer, table): column for layer in ("silver", "gold")
+        for table, column in AGED[layer].items()}
+
+
+def retain(spark: SparkSession, lake: Lakehouse, as_of: dt.date) -> dict[str, int]:
+    """Delete from every aged table of all four layers what its layer's retention window
+    has left (raw dates that do not parse cannot age and stay).
+
+    A table divided by day loses the folders of its aged days, and nothing is read or
+    written.  Of another table only the folders that hold aged rows are rewritten; one
+    without any is left alone.  Returns the days or folders touched by table."""
+    out = {}
     for layer, tables in AGED.items():
+        cutoff = spark.range(1).select(retention_cutoff(F.lit(as_of), layer)).first()[0]
         for table, column in tables.items():
-            kept = apply_retention(lake.read(spark, layer, table), column, layer, F.lit(as_of))
-            lake.write(kept, layer, table)
+            if lake.version(spark, layer, table).partition_by == [column]:
+                touched = len(lake.drop_days(spark, layer, table, cutoff))
+            else:
+                gone = aged(lake.read(spark, layer, table), column, layer, F.lit(as_of))
+                touched = lake.delete_where(spark, layer, table, gone)
+            out[f"{layer}/{table}"] = touched
+    return out
+
+
+def refresh_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
+                 positions: DataFrame | None = None,
+                 transactions: DataFrame | None = None) -> dict[str, list[dt.date]]:
+    """Bring the gold facts up to date after rows of some days have come, gone or changed.
+
+    ``positions`` and ``transactions`` are those silver rows (their day suffices).  Only
+    these days of the silver facts are read, by partition, and only these days of the
+    gold facts replaced; the summary is then made from the facts.  The tables must be
+    divided by day (``Lakehouse(root, days=DAYS)``).  Equals a full ``build_gold`` as
+    long as the dimensions are the same.  Returns the days by silver table."""
+    changed = {"positions": positions, "transactions": transactions}
+    days = {n: sorted(r[0] for r in df.select(AGED["silver"][n]).distinct().collect())
+            for n, df in changed.items() if df is not None}  # as many rows as days
+    silver = {n: lake.read(spark, "silver", n) for n in DATASETS}
+    part = {n: silver[n].where(F.col(AGED["silver"][n]).isin(d)) for n, d in days.items() if d}
+    funds = gold.dimension(silver["funds"], "funds")
+    if "positions" in part:
+        investors = gold.dimension(silver["investors"], "investors")
+        for table, rows in (
+                ("fund_nav_daily", gold.fund_nav_daily(part["positions"], funds, run_ts)),
+                ("investor_positions",
+                 gold.investor_positions(part["positions"], funds, investors, run_ts)),
+                ("asset_allocation", gold.asset_allocation(part["positions"], funds, run_ts))):
+            lake.replace_days(rows, "gold", table)
+            _empty_days(spark, lake, table, days["positions"], part["positions"])
+    if "transactions" in part:
+        lake.replace_days(gold.fund_cashflows(part["transactions"], funds, run_ts), "gold",
+                          "fund_cashflows")
+        _empty_days(spark, lake, "fund_cashflows", days["transactions"], part["transactions"])
+    if part:
+        lake.write(gold.api_fund_summary(
+            silver["funds"], lake.read(spark, "gold", "fund_nav_daily"), silver["transactions"],
+            run_ts), "gold", "api_fund_summary")
+    return days
+
+
+def _empty_days(spark: SparkSession, lake: Lakehouse, table: str, days: list[dt.date],
+                rows: DataFrame) -> None:
+    """Days of which no silver row is left go from a gold table too."""
+    column = AGED["gold"][table]
+    left = {r[0] for r in rows.select(column).distinct().collect()}
+    gone = [d for d in days if d not in left]
+    if gone:
+        lake.delete_where(spark, "gold", table, F.col(column).isin(gone))
 
 
 def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None) -> None:
@@ -226,11 +291,13 @@ def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None)
 
 def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | None = None,
         run_ts: Column | None = None, dedupe_refs: bool = True,
-        materialize: str = "staged", workers: int = 4) -> dict[str, float]:
+        materialize: str = "staged", workers: int = 4,
+        run_id: str | None = None) -> dict[str, float]:
     """Run every layer; ``bronze`` (dataset -> raw frame) is ingested first when
     given, else the bronze tables already in ``lake`` are used.  Independent
-    steps run ``workers`` at a time (1 = one after another).  Returns the
-    seconds spent per step."""
+    steps run ``workers`` at a time (1 = one after another).  A run that is repeated
+    under its ``run_id`` adds no second set of metrics.  Returns the seconds spent per
+    step."""
     timer = Timer(workers)
     run_ts = run_ts if run_ts is not None else run_timestamp()
     if bronze is not None:
@@ -238,7 +305,7 @@ def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | Non
     # Shuffles sized to the raw data, never below what the session is set to.
     size_shuffles(spark, lake.layer_bytes(spark, "bronze"), min_partitions=int(
         spark.conf.get("spark.sql.shuffle.partitions")))
-    build_silver(spark, lake, run_ts, dedupe_refs, timer, materialize)
+    build_silver(spark, lake, run_ts, dedupe_refs, timer, materialize, run_id)
     build_gold(spark, lake, run_ts, timer)
     record_publication(spark, lake, run_ts)
     build_ops(spark, lake, timer)

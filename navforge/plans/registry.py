@@ -17,13 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navforge.operators import gold, ops, reports
-from navforge.operators.quality import attach_key_count, attach_reference, standardize
+from navforge.operators.quality import (
+    attach_key_count, attach_reference, quarantine_rows, standardize, validate,
+)
 from navforge.plans import oracle
 from navforge.plans.chain import Chain, issues_as_text
 from navforge.session import ensure_checkpoint_dir
-from navforge.sources.bronze import load_bronze_csv, row_counts, write_bronze_csv
+from navforge.plans import pipeline
+from navforge.sources.bronze import load_bronze_csv, read_bronze_csv, row_counts, write_bronze_csv
+from navforge.sources.fixtures import ADAPTER_SQL
 from navforge.sources.sinks import Lakehouse
-from navforge.streaming.ingest import ingest_new_files
+from navforge.streaming.ingest import ingest_new_files, ingest_table
 from navforge.specs import (
     DATASETS, HEALTH_FALLBACK, HEALTH_THRESHOLDS, MARKET_PRICES, POSITIONS, TRANSACTIONS,
     DatasetSpec,
@@ -35,11 +39,12 @@ _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None, with_fanout_run: bool = False):
+def register(name: str, sql: str | None = None, with_fanout_run: bool = False,
+             bronze: dict[str, str] | None = None):
     def deco(fn: Query) -> Query:
         _QUERIES[name] = fn
         if sql is not None:
-            _ORACLE[name] = oracle.with_chain(sql, with_fanout_run=with_fanout_run)
+            _ORACLE[name] = oracle.with_chain(sql, with_fanout_run=with_fanout_run, bronze=bronze)
         return fn
     return deco
 
@@ -486,3 +491,115 @@ SELECT investor_id, sha256(investor_name) AS investor_name_hash, country, risk_p
 FROM investor_positions""")
 def investor_positions_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.mask_investor_names(Chain(spark, sf_dir).investor_positions)
+
+
+# -- raw files with lines of too few and of too many cells --------------------------
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+#: Rows of the fixture that the stand-in file cuts short, or gives a cell too many.
+_SHORT = "coalesce(right(asset_id, 1) = '7' AND right(price_date, 1) IN ('1', '5'), false)"
+_LONG = "coalesce(right(asset_id, 1) = '3' AND right(price_date, 1) IN ('2', '6'), false)"
+_CELLS = [f"coalesce({c}, '')" for c in MARKET_PRICES.bronze_columns]
+_LINE = (" || ',' || ".join(_CELLS[:-1])
+         + f" || CASE WHEN {_SHORT} THEN '' ELSE ',' || {_CELLS[-1]} END"
+         + f" || CASE WHEN {_LONG} THEN ',more' ELSE '' END")
+_RAGGED = ["asset_id", "fund_id", "price_date_raw", "currency", "key_count", "dq_issues"]
+
+
+@register("quarantine_malformed_lines", f"""
+SELECT {', '.join(_RAGGED[:-1])}, array_to_string(dq_issues, ',') AS dq_issues,
+       CAST(NULL AS VARCHAR) AS raw_line FROM quarantine_market_prices
+UNION ALL
+SELECT {', '.join(f'NULL AS {c}' for c in _RAGGED[:-1])}, 'MALFORMED_LINE' AS dq_issues,
+       {_LINE} AS raw_line
+FROM ({{rows}}) WHERE {_SHORT} OR {_LONG}""".replace("{rows}", ADAPTER_SQL["market_prices"]),
+          bronze={"market_prices": f"SELECT * FROM ({{rows}}) WHERE NOT ({_SHORT} OR {_LONG})"})
+def quarantine_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantine of market prices read from CSV files some of whose lines do not fit."""
+    chain, root = Chain(spark, sf_dir), _scratch(spark, "ragged")
+    # No line holds the separator given, so that lines are written as they are.
+    (chain.bronze["market_prices"].select(F.expr(_LINE).alias(
+        ",".join(MARKET_PRICES.bronze_columns)))
+     .write.options(header="true", sep="\x01", ignoreLeadingWhiteSpace="false",
+                    ignoreTrailingWhiteSpace="false").csv(root))
+    raw = read_bronze_csv(spark, root, MARKET_PRICES, keep_malformed=True)
+    refs = {r.dataset: chain.reference(r.dataset) for r in MARKET_PRICES.references}
+    rows = quarantine_rows(validate(raw, MARKET_PRICES, refs, prepared=True))
+    return issues_as_text(rows).select(*_RAGGED, "raw_line")
+
+
+# -- one commit path of streams, batches and retention ------------------------------
+@register("bronze_ingest_retain", f"""
+SELECT {', '.join(f"nullif({c}, '') AS {c}" for c in POSITIONS.bronze_columns)}
+FROM bronze_positions
+WHERE coalesce(currency <> 'EUR', true)
+   OR coalesce(try_strptime(trim(valuation_date), '%Y-%m-%d')
+               >= DATE '{_AS_OF['bronze']}' - INTERVAL 90 DAY, true)""")
+def bronze_ingest_retain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions in euro are loaded, aged, then the others loaded; repeats add nothing."""
+    rows, root = Chain(spark, sf_dir).bronze["positions"], _scratch(spark, "ingest-retain")
+    lake = Lakehouse(f"{root}/lake")
+    euro = F.coalesce(F.col("currency") == "EUR", F.lit(False))
+
+    def ingest() -> None:
+        ingest_table(spark, f"{root}/raw/*", POSITIONS, lake, f"{root}/checkpoint")
+
+    write_bronze_csv(rows.where(euro), f"{root}/raw/first")
+    ingest()
+    lake.delete_where(spark, "bronze", "positions", reports.aged(
+        lake.read(spark, "bronze", "positions"), "valuation_date", "bronze",
+        F.lit(_AS_OF["bronze"]).cast("date")))
+    write_bronze_csv(rows.where(~euro), f"{root}/raw/second")
+    ingest()
+    ingest()
+    return lake.read(spark, "bronze", "positions").select(*POSITIONS.bronze_columns)
+
+
+@register("retention_by_day", f"""
+SELECT * FROM silver_positions
+WHERE valuation_date >= DATE '{_AS_OF['silver']}' - INTERVAL 24 MONTH""")
+def retention_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver positions divided by day after the folders of their aged days are dropped."""
+    lake = Lakehouse(_scratch(spark, "by-day"), days=pipeline.DAYS)
+    lake.write(Chain(spark, sf_dir).silver("positions"), "silver", "positions")
+    cutoff = spark.range(1).select(reports.retention_cutoff(
+        F.lit(_AS_OF["silver"]).cast("date"), "silver")).first()[0]
+    lake.drop_days(spark, "silver", "positions", cutoff)
+    return lake.read(spark, "silver", "positions")
+
+
+@register("gold_refresh", "SELECT 'allocation' AS part, fund_id, valuation_date, currency, "
+          "asset_class, market_value, total_market_value, allocation_pct, "
+          "NULL AS investor_count FROM asset_allocation UNION ALL "
+          "SELECT 'nav', fund_id, valuation_date, currency, NULL, nav_amount, NULL, NULL, "
+          "investor_count FROM fund_nav_daily")
+def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold facts of positions after the rows of late years, and late rows of early days,
+    are appended to silver and the gold of their days is made anew."""
+    chain = Chain(spark, sf_dir)
+    lake = Lakehouse(_scratch(spark, "refresh"), days=pipeline.DAYS)
+    for n in DATASETS:
+        lake.write(chain.silver(n), "silver", n)
+    rows = lake.read(spark, "silver", "positions")
+    late = (F.col("valuation_date") >= "1997-06-01") | (
+        (F.col("valuation_date") < "1992-06-01") & (F.col("asset_class") == "Bond"))
+    lake.write(rows.where(late), "arrivals", "positions")
+    lake.write(rows.where(~late), "silver", "positions")
+    now = pipeline.run_timestamp()
+    pipeline.build_gold(spark, lake, now)
+    arrived = lake.read(spark, "arrivals", "positions")
+    lake.write(arrived, "silver", "positions", mode="append")
+    pipeline.refresh_gold(spark, lake, now, positions=arrived)
+    allocation = lake.read(spark, "gold", "asset_allocation").select(
+        F.lit("allocation").alias("part"), "fund_id", "valuation_date", "currency", "asset_class",
+        "market_value", "total_market_value", "allocation_pct",
+        F.lit(None).cast("long").alias("investor_count"))
+    nav = lake.read(spark, "gold", "fund_nav_daily").select(
+        F.lit("nav").alias("part"), "fund_id", "valuation_date", "currency",
+        F.lit(None).cast("string").alias("asset_class"), F.col("nav_amount").alias("market_value"),
+        F.lit(None).cast("decimal(38,2)").alias("total_market_value"),
+        F.lit(None).cast(allocation.schema["allocation_pct"].dataType).alias("allocation_pct"),
+        "investor_count")
+    return allocation.unionByName(nav)

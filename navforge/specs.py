@@ -28,6 +28,9 @@ TRANSACTION_TYPES = ("Subscription", "Redemption", "Switch", "Dividend")
 ASSET_CLASSES = ("Equity", "Bond", "Cash", "ETF", "Alternative")
 
 DATE_FORMAT = "yyyy-MM-dd"
+# Own addition: raw lines with too many or too few cells, and the column of their text.
+MALFORMED_LINE = "MALFORMED_LINE"
+RAW_LINE = "raw_line"
 API_VERSION = "v1"
 
 # Health thresholds on dq_score (inclusive lower bounds), best first.
