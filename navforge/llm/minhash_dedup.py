@@ -24,7 +24,7 @@ full sets; documents are grouped by the links' connected components.
 
 A pair at the threshold of 0.8 shares a band with probability 1 - 7e-6 and
 passes the signature screen (five standard deviations below) with 1 - 3e-7.
-A shingle is known by 64 bits, made from cryptographic digests of its words.
+A shingle is known by a 64-bit hash.
 """
 
 from __future__ import annotations

@@ -13,8 +13,8 @@ WINDOW - PERIOD + 1 words at the same offset.  The steps:
 1. anchors, range-partitioned and sorted by hash; those that meet an equal
    neighbour are repeated (about a third of a row per word, one shuffle);
 2. the repeated anchors gathered by document and joined with its text; each
-   extends to the windows that contain it, hashed to 96 bits of independent halves of
-   the words' digests;
+   extends to the windows that contain it, hashed to 96 bits, from
+   two hashes of each word;
 3. the windows, range-partitioned and sorted by (hash, document, start): all
    but the first of each run of equal hashes are repeats.  Range partitions
    split a hash that millions of documents share, and sorted runs are read as

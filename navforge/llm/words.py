@@ -7,8 +7,6 @@ characters.
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable
 from hashlib import blake2b
 
 import numpy as np
@@ -17,10 +15,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Odd multipliers (fixed values).
 BASE_A = 0xD1342543DE82EF95
-_CHAIN = np.uint64(BASE_A)
-#: Digests of words that a process keeps.
-KEPT_DIGESTS = 1 << 17
-_digests: dict[bytes, bytes] = {}
+_CHAIN, _SECOND = np.uint64(BASE_A), np.uint64(0x9E3779B97F4A7C15)
+#: Bytes beyond which a word is hashed by itself.
+LONG = 64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -32,24 +29,39 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def digests(words: Iterable[bytes]) -> np.ndarray:
-    """BLAKE2b digests of words, two 64-bit halves each."""
-    if len(_digests) > KEPT_DIGESTS:
-        _digests.clear()
-    out = []
-    for w in words:
-        d = _digests.get(w)
-        if d is None:
-            d = _digests[w] = blake2b(w, digest_size=16).digest()
-        out.append(d)
-    return np.frombuffer(b"".join(out), "<u8").reshape(-1, 2)
+def word_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each word data[start:end).
+
+    Eight bytes a step are mixed into two chains by exclusive-or, product and shift,
+    which are not linear together.  The chains shift by different widths, so that a
+    difference of bytes which later bytes cancel in one stays in the other; both
+    hashes depend on both chains.  Longer words have a BLAKE2b digest.
+    """
+    padded = np.frombuffer(data + bytes(8), np.uint8)
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    size = end - start
+    a = size.astype(np.uint64) * _SECOND + _CHAIN
+    b = size.astype(np.uint64) * _CHAIN + _SECOND
+    live, done = np.flatnonzero(size <= LONG), 0
+    while len(live):
+        left = np.minimum(size[live] - done, 8).astype(np.uint64)
+        bits = eight[start[live] + done] << (np.uint64(64) - left * np.uint64(8))
+        x, y = (a[live] ^ bits) * _CHAIN, (b[live] ^ bits) * _SECOND
+        a[live], b[live] = x ^ x >> np.uint64(29), y ^ y >> np.uint64(32)
+        done += 8
+        live = live[size[live] > done]
+    out = np.stack([mix(a + mix(b)), mix(b ^ a * _SECOND)])
+    for i in np.flatnonzero(size > LONG):
+        digest = blake2b(data[start[i]:end[i]], digest_size=16).digest()
+        out[:, i] = np.frombuffer(digest, "<u8")
+    return out
 
 
 class Words:
     """The words of a list of texts.
 
     ``first[i]:first[i + 1]`` are the indexes of document i's words; ``hash`` holds
-    two independent 64-bit hashes of each word, halves of a cryptographic digest.
+    two 64-bit hashes of each word.
     """
 
     def __init__(self, texts: list[bytes], lower: bool = False):
@@ -71,17 +83,13 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            code: dict[bytes, int] = defaultdict()
-            code.default_factory = code.__len__
-            words = self.joined.split()  # at the same six bytes
-            at = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
-            self._hash = digests(code)[at].T.copy()
+            self._hash = word_hashes(self.joined, self.start, self.end)
         return self._hash
 
     def windows(self, start: np.ndarray, size: int, half: int = 0) -> np.ndarray:
-        """Hash of the ``size`` words from each word index on, from one half of their
-        digests.  Every word is mixed in by steps that are not linear together, so that
-        no pattern of words makes two sequences collide."""
+        """Hash of the ``size`` words from each word index on, from one of their hashes.
+        Words are mixed in by steps that are not linear together, so that no pattern of
+        words makes two sequences collide."""
         h, x = self.hash[half], np.full(len(start), size, np.uint64)
         for i in range(size):
             x = (x ^ h[start + i]) * _CHAIN
