@@ -579,7 +579,8 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold facts of positions after the rows of late years, and late rows of early days,
     are appended to silver and the gold of their days is made anew."""
     chain = Chain(spark, sf_dir)
-    lake = Lakehouse(_scratch(spark, "refresh"), days=pipeline.DAYS)
+    lake = Lakehouse(_scratch(spark, "refresh"), days={
+        k: c for k, c in pipeline.DAYS.items() if c == "valuation_date"})
     for n in DATASETS:
         lake.write(chain.silver(n), "silver", n)
     rows = lake.read(spark, "silver", "positions")
