@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from navforge.operators.quality import ISSUES
-from navforge.specs import HEALTH_FALLBACK, HEALTH_THRESHOLDS
+from navforge.specs import (
+    HEALTH_FALLBACK, HEALTH_THRESHOLDS, MALFORMED_LINE, RAW_LINE, DatasetSpec,
+)
+
 
 def dq_metrics(dataset: str, bronze: DataFrame, validated: DataFrame,
                run_ts: Column | None = None) -> DataFrame:
@@ -40,6 +43,30 @@ def _metrics_row(counts: DataFrame, dataset: str, run_ts: Column | None) -> Data
     return out
 
 
+def observed_counts(validated: DataFrame, spec: DatasetSpec) -> list[Column]:
+    """Aggregates for ``DataFrame.observe`` on validated rows: all rows (``rows``), those
+    without issues (``valid``), and those with each code."""
+    codes = [r.code for r in spec.rules] + [MALFORMED_LINE] * (RAW_LINE in validated.columns)
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(F.size(ISSUES) == 0).alias("valid"),
+            *[F.count_if(F.array_contains(ISSUES, c)).alias(c) for c in codes]]
+
+
+def dq_metrics_observed(spark: SparkSession, dataset: str, total: int, counts: dict[str, int],
+                        run_ts: Column | None = None) -> DataFrame:
+    """Metrics row from counts observed while the rows were written."""
+    one = spark.createDataFrame(
+        [(total, counts["valid"], counts["rows"] - counts["valid"])],
+        "total_records long, valid_records long, invalid_records long")
+    return _metrics_row(one, dataset, run_ts)
+
+
+def dq_issue_summary_observed(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
+    """The issue summary from the datasets' observed counts (a row for each code that occurs)."""
+    rows = [(name, code, n) for name, found in counts.items() for code, n in found.items()
+            if n and code not in ("rows", "valid")]
+    return spark.createDataFrame(rows, "dataset string, dq_issue string, issue_count long")
+
+
 def dq_metrics_written(dataset: str, bronze: DataFrame, valid: DataFrame,
                        quarantine: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Metrics row from the tables as written (bronze, silver, quarantine).

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from navforge.operators import gold, ops
@@ -118,12 +118,15 @@ def _split(df: DataFrame, valid: bool) -> DataFrame:
 
 def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_refs: bool = True,
                  timer: Timer | None = None, materialize: str = "staged",
-                 run_id: str | None = None) -> None:
+                 run_id: str | None = None) -> dict[str, dict[str, int]]:
     """Validate each dataset once; write the valid and the quarantine split, then
-    append one metrics row per dataset.  References are read from silver tables
+    append one metrics row per dataset.  Returns, by dataset, how many rows and rows
+    with each code were written: counted by the job that writes the validated rows
+    (not where ``materialize`` is ``recompute``, which has no such job).  References are read from silver tables
     written in this run: funds and investors form the first wave, the datasets
     referencing them the second."""
     timer = timer or Timer()
+    counts: dict[str, dict[str, int]] = {}
 
     def step(name: str, refs: dict[str, DataFrame]) -> Callable[[], None]:
         spec = DATASETS[name]
@@ -131,7 +134,12 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
         def run_step() -> None:
             bronze = lake.read(spark, "bronze", name)
             validated = validate(bronze, spec, refs, dedupe_refs, prepared=True)
+            if materialize != "recompute":
+                seen = Observation()
+                validated = validated.observe(seen, *ops.observed_counts(validated, spec))
             shared = _materialize(validated, materialize)
+            if materialize != "recompute":
+                counts[name] = seen.get
             lake.write(valid_rows(_split(shared, True), spec, run_ts), "silver", name)
             lake.write(quarantine_rows(_split(shared, False), run_ts), "ops",
                        f"dq_{name}_quarantine")
@@ -145,14 +153,20 @@ def build_silver(spark: SparkSession, lake: Lakehouse, run_ts: Column, dedupe_re
     prepared = {d: prepare_reference(lake.read(spark, "silver", d), dedupe_refs)
                 for d in sorted(referenced)}
     timer.wave({f"silver_{n}": step(n, prepared) for n in second})
-    # One append for the run: a metrics row per dataset, counted from the tables
-    # as written (Parquet footers only).
-    metrics = reduce(DataFrame.unionByName, [
-        ops.dq_metrics_written(n, lake.read(spark, "bronze", n), lake.read(spark, "silver", n),
-                               lake.read(spark, "ops", f"dq_{n}_quarantine"), run_ts)
-        for n in DATASETS])
+
+    def metrics_row(n: str) -> DataFrame:
+        bronze = lake.read(spark, "bronze", n)
+        if n in counts:  # without fan-out the validated rows are the raw ones
+            total = counts[n]["rows"] if dedupe_refs else bronze.count()
+            return ops.dq_metrics_observed(spark, n, total, counts[n], run_ts)
+        return ops.dq_metrics_written(n, bronze, lake.read(spark, "silver", n),
+                                      lake.read(spark, "ops", f"dq_{n}_quarantine"), run_ts)
+
+    # One append for the run: a metrics row per dataset.
+    metrics = reduce(DataFrame.unionByName, [metrics_row(n) for n in DATASETS])
     timer("dq_metrics", lambda: lake.write(
         metrics, "ops", "dq_metrics", mode="append", batch=(f"run-{run_id}", 0) if run_id else None))
+    return counts
 
 
 def build_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
@@ -270,9 +284,17 @@ def _empty_days(spark: SparkSession, lake: Lakehouse, table: str, days: list[dt.
         lake.delete_where(spark, "gold", table, F.col(column).isin(gone))
 
 
-def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None) -> None:
+def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None,
+              counts: dict[str, dict[str, int]] | None = None) -> None:
+    """``counts``: those that ``build_silver`` returns; without them the quarantine
+    tables are read for the issue summary."""
     timer = timer or Timer()
-    quarantines = {n: lake.read(spark, "ops", f"dq_{n}_quarantine") for n in DATASETS}
+
+    def issue_summary() -> DataFrame:
+        if counts and set(counts) == set(DATASETS):
+            return ops.dq_issue_summary_observed(spark, counts)
+        return ops.dq_issue_summary({n: lake.read(spark, "ops", f"dq_{n}_quarantine")
+                                     for n in DATASETS})
 
     def latest_then_health() -> None:  # health reads the latest summary just written
         timer("dq_latest_summary", lambda: lake.write(
@@ -284,7 +306,7 @@ def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None)
 
     timer.wave({
         "dq_issue_summary": lambda: lake.write(
-            ops.dq_issue_summary(quarantines), "ops", "dq_issue_summary"),
+            issue_summary(), "ops", "dq_issue_summary"),
         "_latest_then_health": latest_then_health,
     })
 
@@ -305,10 +327,10 @@ def run(spark: SparkSession, lake: Lakehouse, bronze: dict[str, DataFrame] | Non
     # Shuffles sized to the raw data, never below what the session is set to.
     size_shuffles(spark, lake.layer_bytes(spark, "bronze"), min_partitions=int(
         spark.conf.get("spark.sql.shuffle.partitions")))
-    build_silver(spark, lake, run_ts, dedupe_refs, timer, materialize, run_id)
+    counts = build_silver(spark, lake, run_ts, dedupe_refs, timer, materialize, run_id)
     build_gold(spark, lake, run_ts, timer)
     record_publication(spark, lake, run_ts)
-    build_ops(spark, lake, timer)
+    build_ops(spark, lake, timer, counts)
     return timer.steps
 
 

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navforge.operators import gold, ops, reports
+from navforge.operators import distinct, gold, ops, reports
 from navforge.operators.quality import (
     attach_key_count, attach_reference, quarantine_rows, standardize, validate,
 )
@@ -604,3 +604,50 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast(allocation.schema["allocation_pct"].dataType).alias("allocation_pct"),
         "investor_count")
     return allocation.unionByName(nav)
+
+
+# -- counts taken while rows are written --------------------------------------------
+@register("dq_counts_observed", """
+SELECT dataset, dq_issue, issue_count FROM dq_issue_summary
+UNION ALL SELECT dataset, '(total)', total_records FROM dq_metrics
+UNION ALL SELECT dataset, '(valid)', valid_records FROM dq_metrics
+UNION ALL SELECT dataset, '(invalid)', invalid_records FROM dq_metrics""")
+def dq_counts_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and issue summary of a run whose counts come from the jobs that write."""
+    lake = Lakehouse(_scratch(spark, "observed"))
+    pipeline.ingest_bronze(lake, Chain(spark, sf_dir).bronze)
+    counts = pipeline.build_silver(spark, lake, pipeline.run_timestamp())
+    pipeline.build_ops(spark, lake, counts=counts)
+    metrics = lake.read(spark, "ops", "dq_metrics")
+    return reduce(DataFrame.unionByName, [lake.read(spark, "ops", "dq_issue_summary")] + [
+        metrics.select("dataset", F.lit(f"({c})").alias("dq_issue"),
+                       F.col(f"{c}_records").alias("issue_count"))
+        for c in ("total", "valid", "invalid")])
+
+
+# -- distinct investors over any days, from daily sets ------------------------------
+_RANGES = {"1995": ("1995-01-01", "1995-12-31"), "first half of 1996": ("1996-01-01", "1996-06-30"),
+           "all": ("0001-01-01", "9999-12-31")}
+
+
+@register("investors_between", " UNION ALL ".join(f"""
+SELECT '{name}' AS days, fund_id, currency, count(DISTINCT investor_id) AS investor_count
+FROM silver_positions WHERE valuation_date BETWEEN DATE '{a}' AND DATE '{b}'
+GROUP BY fund_id, currency""" for name, (a, b) in _RANGES.items()))
+def investors_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct investors per fund and currency over ranges of days; the positions are
+    read once, in two loads, and the ranges are counted from the daily sets."""
+    lake = Lakehouse(_scratch(spark, "sets"))
+    positions = Chain(spark, sf_dir).silver("positions")
+    early = F.col("valuation_date") < "1996-03-01"
+    for part in (positions.where(early), positions.where(~early)):
+        known = lake.read(spark, "gold", "investor_codes") \
+            if lake.exists(spark, "gold", "investor_codes") else None
+        lake.write(distinct.number_ids(part, known=known), "gold", "investor_codes", "append")
+        lake.write(distinct.daily_sets(part, lake.read(spark, "gold", "investor_codes")),
+                   "gold", "investor_sets", "append")
+    sets = lake.read(spark, "gold", "investor_sets")
+    return reduce(DataFrame.unionByName, [
+        distinct.distinct_ids(sets.where(F.col("valuation_date").between(a, b)),
+                              ["fund_id", "currency"]).select(F.lit(name).alias("days"), "*")
+        for name, (a, b) in _RANGES.items()])
