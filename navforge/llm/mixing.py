@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,7 +108,9 @@ def _rate(history: list[list[float]], size: int) -> Column:
 
 
 def fit_rates(scored: DataFrame, targets: list[float]) -> list[list[float]]:
-    """Steps of the projected gradient; targets are shares of all tokens."""
+    """Steps of the projected gradient; targets are shares of all tokens.  Targets that
+    are still missed after STEPS steps, such as those of domains without tokens, give a
+    warning with the largest difference."""
     size = len(targets)
     goal = [t / sum(targets) for t in targets]
     history: list[list[float]] = []
@@ -127,6 +130,9 @@ def fit_rates(scored: DataFrame, targets: list[float]) -> list[list[float]]:
             break
         # Row sums of the Gram matrix of tokens * posteriors bound its eigenvalues.
         history.append([excess[k] / first[k] if first[k] > 0 else 0.0 for k in range(size)])
+    else:
+        warnings.warn(f"shares of tokens differ from the targets by up to "
+                      f"{max(map(abs, excess)) / total:.2%} after {STEPS} steps", stacklevel=2)
     return history
 
 
@@ -139,18 +145,13 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     new = ["n_tokens", "rate", "copies", *(f"p_{d}" for d in domains)]
     docs = docs.drop(*new)
     prior, weights = fit_domains(docs, labelled, domains)
-    key = [F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.col("text")).alias("__h")]
-    scored = scratch.write(posteriors(docs.select("text", *key), prior, weights)
-                           .drop("text"), "scored")
+    scored = scratch.write(posteriors(docs, prior, weights), "scored")
     history = fit_rates(scored, [targets[d] for d in domains])
-    rate = _rate(history, len(domains))
-    unit = F.pmod(F.xxhash64("__id", "__h", F.lit(5)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    rated = scored.dropDuplicates(["__id", "__h"]).select(
-        "__id", "__h", F.col("__tokens").alias("n_tokens"), rate.alias("rate"),
+    unit = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text")), F.lit(5)),
+                  F.lit(1 << 52)) / F.lit(float(1 << 52))
+    rated = scored.withColumn("rate", _rate(history, len(domains)))
+    copies = F.floor("rate") + (unit < F.col("rate") - F.floor("rate")).cast("int")
+    return rated.select(
+        *docs.columns, F.col("__tokens").alias("n_tokens"), "rate",
+        copies.cast("long").alias("copies"),
         *(F.col("__p")[k].alias(f"p_{d}") for k, d in enumerate(domains)))
-    rated = rated.withColumn("copies", (F.floor("rate") + (
-        unit < F.col("rate") - F.floor("rate")).cast("int")).cast("long"))
-    left = docs.withColumns({"__k": F.col("doc_id").cast("long"),
-                             "__t": F.xxhash64(F.col("text"))})
-    return left.join(rated, left["__k"].eqNullSafe(rated["__id"])
-                     & (left["__t"] == rated["__h"])).select(*docs.columns, *new)
