@@ -109,6 +109,11 @@ def validate(bronze: DataFrame, spec: DatasetSpec, refs: dict[str, DataFrame] |
         keys = refs[ref.dataset] if prepared else \
             prepare_reference(refs[ref.dataset], dedupe_refs, measured)
         df = attach_reference(df, ref.column, keys, ref.out, narrow)
+    return attach_issues(df, spec)
+
+
+def attach_issues(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Add (or replace) ``dq_issues`` of rows that have their key count and lookups."""
     issues = issue_codes(spec.rules)
     if RAW_LINE in df.columns:  # a malformed line has this issue and no other
         issues = F.when(F.col(RAW_LINE).isNotNull(), F.array(F.lit(MALFORMED_LINE))).otherwise(

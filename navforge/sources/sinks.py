@@ -10,7 +10,8 @@ names it beside the others.  The pointer also records
   stream, a rerun job) adds nothing, whatever was overwritten or aged in between;
 * the table's schema, so that reading needs no inference, and rows appended with
   more columns leave the others' as they are (null in the older rows);
-* the column by whose values the folders are divided, if any.
+* the column by whose values the folders are divided, if any;
+* the folder of each named part, for tables whose parts are replaced one by one.
 
 The folders of the pointer before are kept for readers that still use them.  A table
 has one writer at a time.  The format is a parameter so a deployment with a table
@@ -74,6 +75,7 @@ class Version:
     schema: dict | None = None
     partition_by: list[str] = field(default_factory=list)
     batches: dict[str, int] = field(default_factory=dict)
+    parts: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass
@@ -174,10 +176,47 @@ class Lakehouse:
         batches = dict(now.batches if now else {})
         if batch:
             batches[batch[0]] = batch[1]
+        parts = now.parts if now and mode == "append" else {}
         self._publish(spark, layer, table, Version(folders, json.loads(schema.json()),
-                                                   list(partition_by), batches), now)
+                                                   list(partition_by), batches, parts), now)
         return True
 
+    def save_parts(self, rows: dict[str, DataFrame], layer: str, table: str
+                   ) -> tuple[Version, Version | None]:
+        """Write the named parts of a table, one folder each, without publishing them;
+        give the result to ``publish_parts``."""
+        spark = next(iter(rows.values())).sparkSession
+        now = self.version(spark, layer, table)
+        day = self.days.get((layer, table))
+        partition_by = now.partition_by if now else [day] if day else []
+        schema = self.read(spark, layer, table).schema if now else T.StructType()
+        parts = dict(now.parts if now else {})
+        replaced = {parts[name] for name in rows if name in parts}
+        for name, df in rows.items():
+            parts[name] = self._save(df, layer, table, partition_by)
+            schema = _merged(schema, _nullable(df.schema))
+        folders = [f for f in (now.folders if now else []) if f not in replaced]
+        folders += [parts[name] for name in rows]
+        return Version(folders, json.loads(schema.json()), partition_by,
+                       now.batches if now else {}, parts), now
+
+    def publish_parts(self, spark: SparkSession, layer: str, table: str,
+                      saved: tuple[Version, Version | None]) -> None:
+        self._publish(spark, layer, table, *saved)
+
+    def write_parts(self, rows: dict[str, DataFrame], layer: str, table: str) -> None:
+        """Replace the named parts of a table, or add them: all are published by one
+        rename.  Other parts stay as they are, so writing a part again changes nothing
+        else.  Overwriting or compacting the table ends its parts."""
+        spark = next(iter(rows.values())).sparkSession
+        self.publish_parts(spark, layer, table, self.save_parts(rows, layer, table))
+
+    def read_part(self, spark: SparkSession, layer: str, table: str, part: str,
+                  version: Version | None = None) -> DataFrame:
+        """The rows of one named part, of a version that may not be published yet."""
+        now = version or self.version(spark, layer, table)
+        return self._load(spark, now, [f"{self._root(layer, table)}/{now.parts[part]}"])
+
     def compact(self, spark: SparkSession, layer: str, table: str) -> None:
         """Rewrite a table of many appended folders as one."""
         if len(self.paths(spark, layer, table)) > 1:
@@ -189,7 +228,7 @@ class Lakehouse:
         are rewritten (null: stays).  Returns the number of folders touched."""
         now = self.version(spark, layer, table)
         gone = F.coalesce(gone, F.lit(False))
-        folders, touched = [], 0
+        folders, parts, touched = [], dict(now.parts), 0
         for folder in now.folders:
             rows = self._load(spark, now, [f"{self._root(layer, table)}/{folder}"])
             if rows.where(gone).isEmpty():
@@ -197,10 +236,11 @@ class Lakehouse:
                 continue
             touched += 1
             folders.append(self._save(rows.where(~gone), layer, table, now.partition_by))
+            parts.update({name: folders[-1] for name, f in now.parts.items() if f == folder})
         if touched:
             schema = now.schema or json.loads(self.read(spark, layer, table).schema.json())
             self._publish(spark, layer, table, Version(folders, schema, now.partition_by,
-                                                       now.batches), now)
+                                                       now.batches, parts), now)
         return touched
 
     def drop_days(self, spark: SparkSession, layer: str, table: str, before: dt.date) -> list[str]:
