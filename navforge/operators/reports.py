@@ -178,3 +178,93 @@ def mask_investor_names(investor_positions: DataFrame) -> DataFrame:
     cols = [F.sha2(F.col("investor_name"), 256).alias("investor_name_hash")
             if c == "investor_name" else F.col(c) for c in investor_positions.columns]
     return investor_positions.select(*cols)
+
+
+#: Of a normal distribution the standard deviation is this many times the median
+#: absolute deviation, so that ``ROBUST_K`` times it stands for 3.5 standard deviations.
+NORMAL_MAD = 1.4826
+ROBUST_K = 3.5
+
+
+def price_outliers_robust(prices: DataFrame, k: float = ROBUST_K,
+                          accuracy: int = 10_000) -> DataFrame:
+    """Prices further than ``k`` robust standard deviations from their asset's median
+    (per asset and currency).
+
+    Mean and deviation grow with the outlier itself: below 11 prices none can be three
+    sample deviations away.  The median and the median absolute deviation (``mad``; half
+    the prices lie within it) do not move.  Both are lower medians from Spark's mergeable
+    quantile sketch: exact up to ``accuracy`` prices per group, beyond it within a rank of
+    n / accuracy, so that a hot asset is a bounded sketch per task.  If more than half of
+    an asset's prices are equal, ``mad`` is 0 and every other price of it is an outlier.
+    """
+    key = ["asset_id", "currency"]
+
+    def median(df: DataFrame, column: str, name: str) -> DataFrame:
+        return df.groupBy(*key).agg(F.percentile_approx(column, 0.5, accuracy).alias(name),
+                                    F.count(F.lit(1)).alias("_n"))
+
+    def attach(df: DataFrame, stats: DataFrame) -> DataFrame:
+        return lookup_join(df, size_side(stats.drop("_n")), key, "inner",
+                           counts=stats.select(*key, F.col("_n").alias("n")))
+
+    rows = attach(prices, median(prices, "close_price", "median_price")).withColumn(
+        "_deviation", F.abs(F.col("close_price") - F.col("median_price")))
+    rows = attach(rows, median(rows, "_deviation", "mad"))
+    factor = F.lit(round(k * NORMAL_MAD * 10_000)).cast("int")  # decimals, no rounding of doubles
+    return (rows.where(F.col("_deviation") * 10_000 > F.col("mad") * factor)
+            .select("asset_id", "fund_id", "price_date", "currency", "close_price",
+                    "median_price", "mad"))
+
+
+def keyed_pseudonym(column: Column, secret: str) -> Column:
+    """HMAC-SHA256 of a text under a secret, as hex: equal texts get equal pseudonyms,
+    and without the secret a pseudonym cannot be found by hashing guessed texts.
+
+    Built from Spark's own functions.  The secret is part of the plan, so whoever sees
+    the driver's plans or event log can read it.
+    """
+    block = secret.encode()
+    if len(block) > 64:
+        raise ValueError("the secret may have at most 64 bytes")
+    block = block.ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    digest = F.unhex(F.sha2(F.concat(inner, F.encode(column, "UTF-8")), 256))
+    return F.sha2(F.concat(outer, digest), 256)
+
+
+QUASI_IDENTIFIERS = ("country", "risk_profile", "investor_type")
+#: What is hidden, step by step, of investors that are too few to a group.
+GENERALISATION = ((), ("country",), ("country", "risk_profile"), QUASI_IDENTIFIERS)
+
+
+def k_anonymous_investors(investors: DataFrame, secret: str, k: int) -> DataFrame:
+    """Investors for publication: a keyed pseudonym, no name, and country, risk profile and
+    type such that every published group of equal values holds at least ``k`` investors.
+
+    Groups of ``k`` or more keep their values; of the investors left over the country is
+    hidden ('*'), then the risk profile, then the type, each time publishing the groups
+    that then are large enough.  Fewer than ``k`` that remain with everything hidden are
+    withheld.  A NULL value is a value of its own.  ``id`` must be unique, as in silver.
+    Group sizes come from counts per combination of values, never from sorted groups.
+    """
+    left, out = investors.select("id", *QUASI_IDENTIFIERS), []
+    for hidden in GENERALISATION:
+        shown = [F.lit("*").alias(c) if c in hidden else F.col(c) for c in QUASI_IDENTIFIERS]
+        keys = [c for c in QUASI_IDENTIFIERS if c not in hidden]
+        if keys:
+            sizes = left.groupBy(*[F.col(c).alias(f"_{c}") for c in keys]).agg(
+                F.count(F.lit(1)).alias("group_size"))
+            # One row per combination of values: the category lists bound them.
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+            rows = left.join(size_side(sizes).frame, same, "inner")
+        else:  # everything hidden: one group
+            rows = left.withColumn("group_size", F.lit(left.count()).cast("long"))
+        out.append(rows.where(F.col("group_size") >= k).select(
+            keyed_pseudonym(F.col("id"), secret).alias("investor_pseudonym"), *shown,
+            "group_size"))
+        left = rows.where(F.col("group_size") < k).select("id", *QUASI_IDENTIFIERS)
+    published = out[0]
+    for part in out[1:]:
+        published = published.unionByName(part)
+    return published

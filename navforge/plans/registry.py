@@ -23,7 +23,7 @@ from navforge.operators.quality import (
 from navforge.plans import oracle
 from navforge.plans.chain import Chain, issues_as_text
 from navforge.session import ensure_checkpoint_dir
-from navforge.plans import pipeline
+from navforge.plans import loads, pipeline
 from navforge.sources.bronze import load_bronze_csv, read_bronze_csv, row_counts, write_bronze_csv
 from navforge.sources.fixtures import ADAPTER_SQL
 from navforge.sources.sinks import Lakehouse
@@ -651,3 +651,100 @@ def investors_between(spark: SparkSession, sf_dir: str) -> DataFrame:
         distinct.distinct_ids(sets.where(F.col("valuation_date").between(a, b)),
                               ["fund_id", "currency"]).select(F.lit(name).alias("days"), "*")
         for name, (a, b) in _RANGES.items()])
+
+
+# -- validation load by load ---------------------------------------------------------
+def _loads_query(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Silver and quarantine of a dataset after its raw rows, and those of the tables
+        that it refers to, came in three loads (dealt row by row, so that copies of a key
+        and ids come late)."""
+        root = _scratch(spark, "loads")
+        lake, chain, now = Lakehouse(f"{root}/lake"), Chain(spark, sf_dir), pipeline.run_timestamp()
+        names = [*(r.dataset for r in DATASETS[name].references), name]
+        for n in names:
+            (chain.bronze[n].withColumn("part", F.monotonically_increasing_id() % 3)
+             .write.partitionBy("part").parquet(f"{root}/raw/{n}"))
+        for load in range(3):
+            loads.apply_load(spark, lake, load, {
+                n: spark.read.parquet(f"{root}/raw/{n}").where(F.col("part") == load).drop("part")
+                for n in names}, now, buckets=8)
+        valid = lake.read(spark, "silver", name).drop("processed_at")
+        invalid = issues_as_text(lake.read(spark, "ops", f"dq_{name}_quarantine"))
+        return valid.withColumn("layer", F.lit("silver")).unionByName(
+            invalid.drop("quarantined_at").withColumn("layer", F.lit("quarantine")),
+            allowMissingColumns=True)
+    return q
+
+
+for _name in ("transactions", "market_prices"):
+    register(f"loads_{_name}", f"""
+SELECT *, 'silver' AS layer FROM silver_{_name}
+UNION ALL BY NAME
+SELECT *, 'quarantine' AS layer FROM ({oracle.quarantine_select(DATASETS[_name])})""")(
+        _loads_query(_name))
+
+
+# -- price outliers by median and median absolute deviation --------------------------
+def _robust_sql(table: str) -> str:
+    return f"""
+SELECT * FROM (WITH m AS (SELECT asset_id, currency, quantile_disc(close_price, 0.5) AS median_price
+           FROM {table} GROUP BY asset_id, currency),
+     d AS (SELECT p.*, m.median_price, abs(p.close_price - m.median_price) AS deviation
+           FROM {table} p JOIN m ON p.asset_id = m.asset_id AND p.currency = m.currency),
+     s AS (SELECT asset_id, currency, quantile_disc(deviation, 0.5) AS mad
+           FROM d GROUP BY asset_id, currency)
+SELECT d.asset_id, d.fund_id, d.price_date, d.currency, d.close_price, d.median_price, s.mad
+FROM d JOIN s ON d.asset_id = s.asset_id AND d.currency = s.currency
+WHERE 10000 * CAST(d.deviation AS DECIMAL(28,4)) > 51891 * CAST(s.mad AS DECIMAL(28,4)))"""
+
+
+@register("price_outliers_robust", _robust_sql("silver_market_prices"))
+def price_outliers_robust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.price_outliers_robust(Chain(spark, sf_dir).silver("market_prices"))
+
+
+@register("price_outliers_robust_dense", _robust_sql(
+    f"({_PART_PRICES.replace('{part}', 'part')})"))
+def price_outliers_robust_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.price_outliers_robust(
+        spark.sql(_PART_PRICES, part=spark.read.parquet(f"{sf_dir}/part.parquet")))
+
+
+# -- investors published under keyed pseudonyms and in groups of at least k ----------
+_K = 5
+_SECRET = "registered query"  # stands for the session's secret; the oracle needs it too
+
+
+def _hmac_sql(column: str, secret: str) -> str:
+    block = secret.encode().ljust(64, b"\0")
+    inner, outer = (bytes(b ^ pad for b in block).hex() for pad in (0x36, 0x5C))
+    return (f"sha256(from_hex('{outer}') || from_hex(sha256(from_hex('{inner}') "
+            f"|| encode({column}))))")
+
+
+def _generalised_sql() -> str:
+    """Each step publishes the groups of at least k among the investors left over."""
+    ctes, left = [], "people"
+    for i, hidden in enumerate(reports.GENERALISATION):
+        cols = ", ".join(f"'*' AS {c}" if c in hidden else c for c in reports.QUASI_IDENTIFIERS)
+        ctes.append(f"g{i} AS (SELECT id, {cols} FROM {left})")
+        ctes.append(f"n{i} AS (SELECT *, count(*) OVER (PARTITION BY "
+                    f"{', '.join(reports.QUASI_IDENTIFIERS)}) AS group_size FROM g{i})")
+        ctes.append(f"l{i} AS (SELECT p.* FROM {left} p JOIN n{i} USING (id) "
+                    f"WHERE group_size < {_K})")
+        left = f"l{i}"
+    steps = range(len(reports.GENERALISATION))
+    published = " UNION ALL ".join(
+        f"SELECT * FROM n{i} WHERE group_size >= {_K}" for i in steps)
+    return f"""
+SELECT * FROM (WITH people AS (SELECT id, country, risk_profile, investor_type FROM silver_investors),
+{', '.join(ctes)}
+SELECT {_hmac_sql('id', _SECRET)} AS investor_pseudonym, {', '.join(reports.QUASI_IDENTIFIERS)},
+       group_size
+FROM ({published}))"""
+
+
+@register("investors_k_anonymous", _generalised_sql())
+def investors_k_anonymous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.k_anonymous_investors(Chain(spark, sf_dir).silver("investors"), _SECRET, _K)
