@@ -186,8 +186,8 @@ NORMAL_MAD = 1.4826
 ROBUST_K = 3.5
 
 
-def price_outliers_robust(prices: DataFrame, k: float = ROBUST_K,
-                          accuracy: int = 10_000) -> DataFrame:
+def price_outliers_robust(prices: DataFrame, k: float = ROBUST_K, accuracy: int = 10_000,
+                          min_prices: int = 3) -> DataFrame:
     """Prices further than ``k`` robust standard deviations from their asset's median
     (per asset and currency).
 
@@ -197,12 +197,15 @@ def price_outliers_robust(prices: DataFrame, k: float = ROBUST_K,
     quantile sketch: exact up to ``accuracy`` prices per group, beyond it within a rank of
     n / accuracy, so that a hot asset is a bounded sketch per task.  If more than half of
     an asset's prices are equal, ``mad`` is 0 and every other price of it is an outlier.
+    Of fewer than ``min_prices`` prices (NULLs not counted) none is: of two, neither
+    can be called the odd one.
     """
     key = ["asset_id", "currency"]
 
     def median(df: DataFrame, column: str, name: str) -> DataFrame:
-        return df.groupBy(*key).agg(F.percentile_approx(column, 0.5, accuracy).alias(name),
-                                    F.count(F.lit(1)).alias("_n"))
+        return df.where(F.col(column).isNotNull()).groupBy(*key).agg(
+            F.percentile_approx(column, 0.5, accuracy).alias(name),
+            F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_prices)
 
     def attach(df: DataFrame, stats: DataFrame) -> DataFrame:
         return lookup_join(df, size_side(stats.drop("_n")), key, "inner",

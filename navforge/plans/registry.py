@@ -689,7 +689,7 @@ SELECT *, 'quarantine' AS layer FROM ({oracle.quarantine_select(DATASETS[_name])
 def _robust_sql(table: str) -> str:
     return f"""
 SELECT * FROM (WITH m AS (SELECT asset_id, currency, quantile_disc(close_price, 0.5) AS median_price
-           FROM {table} GROUP BY asset_id, currency),
+           FROM {table} GROUP BY asset_id, currency HAVING count(close_price) >= 3),
      d AS (SELECT p.*, m.median_price, abs(p.close_price - m.median_price) AS deviation
            FROM {table} p JOIN m ON p.asset_id = m.asset_id AND p.currency = m.currency),
      s AS (SELECT asset_id, currency, quantile_disc(deviation, 0.5) AS mad
