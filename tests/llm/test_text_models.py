@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -241,6 +242,30 @@ def test_trie_shares_prefixes(pieces):
         assert (n, pytest.approx(s)) == (want[0], want[1])
 
 
+@pytest.mark.parametrize("few,block", [(256, 1 << 16), (3, 7), (1, 50), (10**9, 11)])
+def test_trie_scores_words_of_any_length(pieces, monkeypatch, few, block):
+    """Depths computed together, words computed alone, blocks that cut a word: all equal."""
+    monkeypatch.setattr(token_counts, "FEW", few)
+    monkeypatch.setattr(token_counts, "BLOCK", block)
+    rng, some = random.Random(4), [p for p in list(pieces)[:2000]]
+    words = {b"".join(rng.choice(some) for _ in range(rng.choice([1, 2, 8, 60])))
+             for _ in range(150)}
+    words |= {w + b"xx" for w in list(words)[:40]} | {w + b"yabc" for w in list(words)[:40]}
+    words |= {b"a" * 300, b"a" * 301, bytes(range(256)), "一二".encode() * 90}
+    words = sorted(words)
+    vocabulary = token_counts.Vocabulary(pieces)
+    tokens, score = token_counts.trie_counts(words, vocabulary)
+    for w, n, s in zip(words, tokens, score):
+        want = token_counts.one_word(w, pieces, vocabulary.longest)
+        assert n == want[0] and math.isclose(s, want[1], rel_tol=1e-9)
+
+
+def test_bytes_shared_with_the_word_before():
+    words = sorted({b"a" * n + t for n in (0, 1, 63, 64, 65, 200) for t in (b"", b"\0", b"b")} - {b""})
+    want = [0] + [len(os.path.commonprefix([a, b])) for a, b in zip(words, words[1:])]
+    assert token_counts.shared_bytes(words).tolist() == want
+
+
 def test_token_counts_empty(no_docs):
     assert token_counts.count_tokens(no_docs, tokenizer_path("piece_bpe_32k.model")).collect() == []
 
