@@ -10,8 +10,10 @@ does not meet in one task; revisits travel as narrow rows.
 Reading: a gzip file is one task's stream of lines.  The reader follows
 Content-Length and turns every record into rows (record identifier, chunk
 number, data), each with the payload's length and digest up to there, so it
-holds one chunk and one line of a record at a time.  A payload without line
-feeds is one line, which Spark's reader and the Python worker hold whole.
+holds one chunk and one line of a record at a time.  Payloads over a chunk are
+written in HTTP's chunked transfer coding, whose chunks end with a line feed, so
+that no payload of these archives is one long line; the reader decodes it.  Lines
+of other archives that are longer are held whole, by Spark's reader and the worker.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from pyspark.sql import functions as F
 
 from navforge.llm.common import Scratch, ship
 
-#: Payload bytes of a chunk row.
+#: Payload bytes of a chunk row, and of a chunk of the transfer coding.
 CHUNK_BYTES = 1 << 18
+#: Lines that a Python worker takes from an Arrow batch at a time.
+LINES = 64
 #: Base32 alphabet (fixed value).
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: The date all records carry; archives of one table are then equal byte for byte.
@@ -92,18 +96,37 @@ def _head(kind: str, extra: list[Column], block: Column) -> Column:
         F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block)
 
 
+def transfer_chunks(payload: Column, size: Column) -> Column:
+    """The payload in chunked transfer coding, as text."""
+    last = F.floor((size - 1) / F.lit(CHUNK_BYTES)).cast("int")
+
+    def chunk(i: Column) -> Column:
+        data = F.substring(payload, i * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES))
+        return F.concat(F.hex(F.octet_length(data).cast("long")), F.lit("\r\n"),
+                        data.cast("string"), F.lit("\r\n"))
+
+    coded = F.array_join(F.transform(F.sequence(F.lit(0), last), chunk), "")
+    return F.concat(coded, F.lit("0\r\n\r\n"))
+
+
 def write_warc(pages: DataFrame, path: str, scratch: Scratch, *, id_col: str = "page_id",
                payload_col: str = "html", uri_col: str | None = "url",
                revisit_bytes: int = 0) -> None:
     """Write one record per row under ``path`` (gzip, any file system of Spark).
 
     The payload is bytes or text in UTF-8, null as empty; line ends in a URI are
-    escaped.  Further columns are not archived.
+    escaped.  Payloads over CHUNK_BYTES are in chunked transfer coding; digests are
+    those of the payload itself.  Further columns are not archived.
     """
     responses, revisits = plan_records(pages, id_col, payload_col, uri_col, revisit_bytes, scratch)
-    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-                          "Content-Length: "), F.col("size").cast("string"), F.lit("\r\n\r\n"))
-    full = _head("response", [], F.concat(http, F.col("payload").cast("string")))
+    kind = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n")
+    http = F.concat(kind, F.lit("Content-Length: "), F.col("size").cast("string"),
+                    F.lit("\r\n\r\n"))
+    coded = F.concat(kind, F.lit("Transfer-Encoding: chunked\r\n\r\n"),
+                     transfer_chunks(F.col("payload"), F.col("size")))
+    message = F.when(F.col("size") > CHUNK_BYTES, coded).otherwise(
+        F.concat(http, F.col("payload").cast("string")))
+    full = _head("response", [], message)
     bare = _head("revisit", [
         F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
               f"\r\nWARC-Refers-To: <{_ID}"), F.col("refers_to").cast("string"),
@@ -125,6 +148,55 @@ class _Record:
         self.no = 0
         self.held: list[bytes] = []
         self.held_size = 0
+        self.coded = False     # the payload is in chunked transfer coding
+        self.todo = 0          # bytes to come of a chunk of that coding
+        self.line = b""        # a line of that coding, as far as it is read
+        self.expect = "first"  # first or further size line, end of a chunk, trailer
+
+    def decoded(self, data: bytes) -> Iterator[bytes]:
+        """The payload in ``data``.  Where the first line is no chunk size, the archive
+        holds the payload as it is (some writers decode and keep the header)."""
+        at = 0
+        while at < len(data):
+            if not self.coded:
+                yield data[at:]
+                return
+            if self.todo:
+                piece = data[at:at + self.todo]
+                at += len(piece)
+                self.todo -= len(piece)
+                self.expect = "end" if not self.todo else "data"
+                yield piece
+                continue
+            if self.expect == "trailer":
+                return
+            end = data.find(b"\n", at)
+            stop = len(data) if end < 0 else end + 1
+            self.line += data[at:stop]
+            at = stop
+            digits = self.line.partition(b";")[0].strip()
+            if end < 0 and (self.expect != "first" or len(self.line) <= 32):
+                continue
+            line, self.line = self.line, b""
+            if self.expect == "end":
+                if digits:
+                    raise ValueError(f"a chunk is longer than its size: {line[:40]!r}")
+                self.expect = "size"
+            elif end >= 0 and 0 < len(digits) <= 16 and not digits.strip(
+                    b"0123456789abcdefABCDEF"):
+                self.todo = int(digits, 16)
+                self.expect = "data" if self.todo else "trailer"
+            elif self.expect == "first":
+                self.coded = False
+                yield line
+            else:
+                raise ValueError(f"no size of a chunk: {line[:40]!r}")
+
+    def rest(self) -> bytes:
+        """What was read of a first line that the record's end cut off."""
+        line = self.line if self.coded and self.expect == "first" else b""
+        self.line = b""
+        return line
 
     def add(self, data: bytes, limit: int) -> Iterator[tuple]:
         at = 0
@@ -184,9 +256,16 @@ def _chunks(limit: int, http_types: tuple[str, ...] = ("response", "revisit", "r
             rec.left -= len(data)
             if rec.in_http:
                 rec.in_http = data not in (b"\r\n", b"\n")
+                name, _, value = data.partition(b":")
+                if name.strip().lower() == b"transfer-encoding":
+                    rec.coded = value.strip().lower() == b"chunked"
+            elif rec.coded:
+                for piece in rec.decoded(data):
+                    yield from rec.add(piece, limit)
             else:
                 yield from rec.add(data, limit)
             if not rec.left:
+                yield from rec.add(rec.rest(), limit)
                 yield rec.row(True)
                 rec = None
         if rec is not None:
@@ -195,7 +274,9 @@ def _chunks(limit: int, http_types: tuple[str, ...] = ("response", "revisit", "r
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lines():
             for batch in batches:
-                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for i in range(0, batch.num_rows, LINES):
+                    part = batch.slice(i, LINES)
+                    yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
 
         held, size = [], 0
         for row in records(lines()):
@@ -216,8 +297,9 @@ def read_warc(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES) ->
     """The chunked record table of gzip WARC files (one member or one per record).
 
     Every record has at least one row; ``is_last`` marks its last, whose
-    payload_bytes and payload_digest are those of the full payload.  A record
-    that the file's end cuts off raises an error.
+    payload_bytes and payload_digest are those of the full payload, without a chunked
+    transfer coding.  A record that the file's end cuts off raises an error, so does a
+    coding that contradicts itself; one that its record cuts off ends the payload there.
     """
     ship(spark)
     lines = (spark.read.option("lineSep", "\n").text(path)

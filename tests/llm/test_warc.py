@@ -90,6 +90,57 @@ def test_other_writers_records(spark, scratch):
                    "resource": b"plain\n"}
 
 
+CODED = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: Chunked\r\n\r\n"
+
+
+@pytest.mark.parametrize("body,payload", [
+    (b"3\r\na\nb\r\nA;x=1\r\n0123\r\n\r\n89\r\n0\r\nT: u\r\n\r\n", b"a\nb0123\r\n\r\n89"),
+    (b"0\r\n\r\n", b""), (b"5\r\nabc", b"abc"), (b"<html>\nplain\n", b"<html>\nplain\n"),
+    (b"no line end", b"no line end"), (b"abc", b"abc"), (b"", b"")])
+def test_chunked_transfer_coding(spark, scratch, body, payload):
+    import gzip
+
+    block = CODED + body
+    head = (f"WARC/1.0\r\nWARC-Type: response\r\nContent-Type: application/http\r\n"
+            f"Content-Length: {len(block)}\r\n\r\n").encode()
+    with open(f"{scratch}/a.warc.gz", "wb") as f:
+        f.write(gzip.compress(head + block + b"\r\n\r\n"))
+    rows = sorted(read_warc(spark, scratch, chunk_bytes=4).collect(), key=lambda r: r.chunk_no)
+    assert b"".join(bytes(r.chunk) for r in rows) == payload
+    assert (rows[-1].payload_bytes, rows[-1].payload_digest) == (len(payload), digest(payload))
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 1 << 10])
+def test_coding_cut_anywhere(pieces):
+    from navforge.llm.warc import _Record
+
+    body = b"".join(b"%x\r\n%s\r\n" % (n, b"\n" * n) for n in (1, 17, 300)) + b"0\r\n\r\n"
+    rec = _Record()
+    rec.coded = True
+    got = b"".join(p for i in range(0, len(body), pieces) for p in rec.decoded(body[i:i + pieces]))
+    assert got == b"\n" * 318
+    with pytest.raises(ValueError, match="longer than its size"):
+        rec = _Record()
+        rec.coded = True
+        list(rec.decoded(b"1\r\nab\r\n"))
+
+
+def test_own_archives_hold_no_long_line(spark, pages):
+    """Whatever the payload; a chunk's cut may fall within a character."""
+    scratch = Scratch(spark, "t")
+    text = "x" + "é" * 400_000
+    rows = spark.createDataFrame([(1, "u", text), (2, "u", "y" * (1 << 18))],
+                                 "page_id long, url string, html string")
+    write_warc(rows, scratch.path("a"), scratch)
+    longest = spark.read.option("lineSep", "\n").text(scratch.path("a")).selectExpr(
+        "max(octet_length(value))").first()[0]
+    assert longest <= (1 << 18) + 2
+    got = {r.record_id: (r.payload_bytes, r.payload_digest)
+           for r in read_warc(spark, scratch.path("a")).filter("is_last").collect()}
+    assert got == {"urn:page:1": (800_001, digest(text.encode())),
+                   "urn:page:2": (1 << 18, digest(b"y" * (1 << 18)))}
+
+
 def test_cut_off_archive_is_an_error(spark, scratch):
     import gzip
 
