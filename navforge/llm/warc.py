@@ -96,17 +96,22 @@ def _head(kind: str, extra: list[Column], block: Column) -> Column:
         F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block)
 
 
-def transfer_chunks(payload: Column, size: Column) -> Column:
-    """The payload in chunked transfer coding, as text."""
-    last = F.floor((size - 1) / F.lit(CHUNK_BYTES)).cast("int")
+def transfer_chunks(payload: Column) -> Column:
+    """The payload in chunked transfer coding, as text.
 
-    def chunk(i: Column) -> Column:
-        data = F.substring(payload, i * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES))
-        return F.concat(F.hex(F.octet_length(data).cast("long")), F.lit("\r\n"),
-                        data.cast("string"), F.lit("\r\n"))
+    The payload is the variable of an outer lambda: each chunk then cuts its bytes out
+    of one value instead of deriving the whole payload again.
+    """
+    def coded(whole: Column) -> Column:
+        def chunk(i: Column) -> Column:
+            data = F.substring(whole, i * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES))
+            return F.concat(F.hex(F.octet_length(data).cast("long")), F.lit("\r\n"),
+                            data.cast("string"), F.lit("\r\n"))
+
+        last = F.floor((F.octet_length(whole) - 1) / F.lit(CHUNK_BYTES)).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), last), chunk), "")
 
-    coded = F.array_join(F.transform(F.sequence(F.lit(0), last), chunk), "")
-    return F.concat(coded, F.lit("0\r\n\r\n"))
+    return F.concat(F.transform(F.array(payload), coded)[0], F.lit("0\r\n\r\n"))
 
 
 def write_warc(pages: DataFrame, path: str, scratch: Scratch, *, id_col: str = "page_id",
@@ -123,7 +128,7 @@ def write_warc(pages: DataFrame, path: str, scratch: Scratch, *, id_col: str = "
     http = F.concat(kind, F.lit("Content-Length: "), F.col("size").cast("string"),
                     F.lit("\r\n\r\n"))
     coded = F.concat(kind, F.lit("Transfer-Encoding: chunked\r\n\r\n"),
-                     transfer_chunks(F.col("payload"), F.col("size")))
+                     transfer_chunks(F.col("payload")))
     message = F.when(F.col("size") > CHUNK_BYTES, coded).otherwise(
         F.concat(http, F.col("payload").cast("string")))
     full = _head("response", [], message)
