@@ -1,7 +1,7 @@
 """Rule kinds to Spark Columns.
 
-Every rule becomes ``CASE WHEN <violation> THEN '<code>' END``; the codes of one
-row are gathered in spec order and the NULLs dropped, so a row carries every
+Every rule becomes ``CASE WHEN <violation> THEN '<code>' ELSE '' END``; the codes of
+one row are gathered in spec order and the empty ones dropped, so a row carries every
 rule it breaks (no short-circuit).
 """
 
@@ -58,5 +58,7 @@ def _(rule: Known) -> Column:
 
 
 def issue_codes(rules: tuple[Rule, ...] | list[Rule]) -> Column:
-    """``array<string>`` of the codes of all violated rules, in rule order."""
-    return F.array_compact(F.array(*[F.when(violation(r), F.lit(r.code)) for r in rules]))
+    """``array<string>`` of the codes of all violated rules, in rule order (empty texts for
+    the others are removed by a function that Spark compiles, unlike ``array_compact``)."""
+    return F.array_remove(F.array(*[
+        F.when(violation(r), F.lit(r.code)).otherwise(F.lit("")) for r in rules]), "")

@@ -60,12 +60,16 @@ def conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
+def fits_broadcast(df: DataFrame, rows: int, payload: int) -> bool:
+    return (rows <= conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
+            and payload <= conf_int(df, "navforge.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES))
+
+
 def size_side(df: DataFrame) -> SizedSide:
     """Measure ``df``; hint a broadcast under the session's bounds
     ``navforge.broadcast.maxBytes`` and ``navforge.broadcast.maxRows``."""
     rows, payload = measure(df)
-    small = (rows <= conf_int(df, "navforge.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
-             and payload <= conf_int(df, "navforge.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES))
+    small = fits_broadcast(df, rows, payload)
     return SizedSide(F.broadcast(df) if small else df, rows, payload, small)
 
 

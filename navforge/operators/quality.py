@@ -6,16 +6,22 @@ with a single plan built from a :class:`~navforge.specs.DatasetSpec`.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navforge.functions.parse import parse_decimal, parse_timestamp, trimmed
 from navforge.functions.rules import issue_codes
-from navforge.operators.joins import SizedSide, all_not_null, lookup_join, size_side, unsized
+from navforge.operators.joins import (
+    SizedSide, all_not_null, fits_broadcast, lookup_join, size_side, unsized,
+)
+from navforge.session import ensure_checkpoint_dir
 from navforge.specs import MALFORMED_LINE, RAW_LINE, DatasetSpec
 
 ISSUES = "dq_issues"
 _DUP_N = "__dup_n"
+_HASH = "__key_hash"
 
 
 def standardize(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -38,6 +44,39 @@ def standardize(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
     )
 
 
+def _repeated(keyed: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    return (keyed.groupBy(*key).agg(F.count(F.lit(1)).alias(_DUP_N))
+            .where(F.col(_DUP_N) > 1))
+
+
+def _repeated_sized(keyed: DataFrame, key: tuple[str, ...]) -> tuple[DataFrame, SizedSide]:
+    """Keys that occur more than once, with their counts, and the same sized for a join.
+
+    The keys' 64-bit hashes are counted first, so that one narrow row a key is shuffled
+    and once only; keys are then counted exactly among the rows whose hash came up again
+    (equal hashes of different keys drop out there).  A bound of the repeated keys'
+    number and bytes comes from the same hashes; only past it are they measured.  If
+    the hashes themselves are too many to broadcast, all keys are counted.
+    """
+    spark = keyed.sparkSession
+    ensure_checkpoint_dir(spark)
+    width = reduce(lambda a, b: a + b, [F.octet_length(c) + F.lit(8) for c in key])
+    again = (keyed.select(F.xxhash64(*key).alias(_HASH), width.alias("w"))
+             .groupBy(_HASH).agg(F.count(F.lit(1)).alias("n"), F.max("w").alias("w"))
+             .where(F.col("n") > 1).checkpoint())
+    keys = F.expr("n div 2")  # of one hash: each repeated key takes two rows or more
+    found = again.agg(F.count(F.lit(1)).alias("hashes"), F.sum(keys).alias("rows"),
+                      F.sum(keys * (F.col("w") + F.lit(28))).alias("payload")).first()
+    hashes, rows, payload = (int(x or 0) for x in found)
+    if fits_broadcast(keyed, hashes, 8 * hashes):
+        keyed = keyed.join(F.broadcast(again.select(_HASH)),
+                           F.xxhash64(*key) == F.col(_HASH), "left_semi")
+    repeated = _repeated(keyed, key)
+    if fits_broadcast(keyed, rows, payload):
+        return repeated, SizedSide(F.broadcast(repeated), rows, payload, True)
+    return repeated, size_side(repeated)
+
+
 def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
                      measured: bool = True) -> DataFrame:
     """Add ``count_column``: how often the row's key occurs; NULL when a key part is NULL.
@@ -50,14 +89,13 @@ def attach_key_count(df: DataFrame, key: tuple[str, ...], count_column: str,
     broadcast, its own counts name the hot keys of the split join
     (:func:`~navforge.operators.joins.split_join`).
     """
-    repeated = (
-        df.where(all_not_null(key))
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias(_DUP_N))
-        .where(F.col(_DUP_N) > 1)
-    )
+    keyed = df.where(all_not_null(key)).select(*key)
+    if measured:
+        repeated, side = _repeated_sized(keyed, key)
+    else:
+        repeated = _repeated(keyed, key)
+        side = unsized(repeated)
     cols = df.columns
-    side = size_side(repeated) if measured else unsized(repeated)
     joined = lookup_join(df, side, key, "left",
                          counts=repeated.withColumnRenamed(_DUP_N, "n"))
     count = F.when(all_not_null(key), F.coalesce(F.col(_DUP_N), F.lit(1)))
