@@ -2,9 +2,11 @@
 
 A count of distinct investors cannot be added up over days.  Here each group of a
 fact keeps its set instead: investors are numbered once, and a set is bits over these
-numbers, in pieces of 32,768 (Spark's bitmap functions).  Sets of any days are merged
-by OR and counted exactly, without the positions being read again.  Both aggregates
-are combined map-side, so a fund that holds most rows costs one partial set a task.
+numbers, in words of 64: only words that hold a bit are kept, so that a set of few ids
+takes a row or so for each, never more rows than ids, and a dense one a row for 64.
+Sets of any days are merged by OR and counted exactly, without the positions being read
+again.  Both aggregates are hash aggregates of fixed width, combined map-side, so a fund
+that holds most rows costs one partial set a task.
 """
 
 from __future__ import annotations
@@ -39,17 +41,16 @@ def number_ids(rows: DataFrame, column: str = "investor_id",
 
 def daily_sets(rows: DataFrame, codes: DataFrame, group: Sequence[str] = GROUP,
                column: str = "investor_id", measured: bool = True) -> DataFrame:
-    """Per group and piece of codes the set of ids (null ids count in none)."""
-    pairs = rows.where(F.col(column).isNotNull()).select(*group, column).distinct()
+    """Per group and word of codes the set of ids (null ids count in none)."""
+    pairs = rows.where(F.col(column).isNotNull()).select(*group, column)
     side = size_side(codes) if measured else unsized(codes)
     coded = lookup_join(pairs, side, [column], "inner", counts=(
         pairs.groupBy(column).agg(F.count(F.lit(1)).alias("n"))))
-    return coded.groupBy(*group, F.bitmap_bucket_number("code").alias("piece")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("investors"))
+    return coded.groupBy(*group, F.shiftright("code", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(code & 63 as int))")).alias("investors"))
 
 
 def distinct_ids(sets: DataFrame, by: Sequence[str]) -> DataFrame:
     """Exact distinct counts of any coarser group, from the sets alone."""
-    pieces = sets.groupBy(*by, "piece").agg(F.bitmap_or_agg("investors").alias("investors"))
-    return pieces.groupBy(*by).agg(
-        F.sum(F.bitmap_count("investors")).alias("investor_count"))
+    words = sets.groupBy(*by, "word").agg(F.bit_or("investors").alias("investors"))
+    return words.groupBy(*by).agg(F.sum(F.bit_count("investors")).alias("investor_count"))

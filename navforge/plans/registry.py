@@ -636,9 +636,11 @@ FROM silver_positions WHERE valuation_date BETWEEN DATE '{a}' AND DATE '{b}'
 GROUP BY fund_id, currency""" for name, (a, b) in _RANGES.items()))
 def investors_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct investors per fund and currency over ranges of days; the positions are
-    read once, in two loads, and the ranges are counted from the daily sets."""
+    validated once and read in two loads, and the ranges are counted from the daily sets."""
     lake = Lakehouse(_scratch(spark, "sets"))
-    positions = Chain(spark, sf_dir).silver("positions")
+    lake.write(Chain(spark, sf_dir).silver("positions").select(*distinct.GROUP, "investor_id"),
+               "silver", "positions")
+    positions = lake.read(spark, "silver", "positions")
     early = F.col("valuation_date") < "1996-03-01"
     for part in (positions.where(early), positions.where(~early)):
         known = lake.read(spark, "gold", "investor_codes") \

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from navforge.functions.rules import issue_codes
+from navforge.operators import distinct
 from navforge.operators.quality import attach_key_count
 from navforge.specs import POSITIONS
 
@@ -16,6 +17,27 @@ def _final(df) -> str:
     return qe.executedPlan().toString().split("+- == Initial Plan ==")[0]
 
 
+def test_sparse_sets_take_a_row_an_id_and_no_empty_bits(spark):
+    rows = spark.range(3000).selectExpr(
+        "concat('F', id % 1000) as fund_id", "date'2024-01-01' as valuation_date",
+        "'EUR' as currency", "concat('I', id * 7919 % 3000) as investor_id")
+    codes = rows.select("investor_id", F.expr(
+        "cast(substr(investor_id, 2) as long) * 1000").alias("code"))
+    sets = distinct.daily_sets(rows, codes)
+    size = sets.select(F.count(F.lit(1)), F.sum(F.octet_length(F.col("investors").cast("string"))))
+    n, payload = size.first()
+    assert n <= 3000 and payload <= 21 * n
+    assert {r.investor_count for r in distinct.distinct_ids(sets, ["fund_id"]).collect()} == {3}
+    # Every bit of a word, the sign's too, and codes past 2**33.
+    wide = spark.range(200).select(F.col("id").cast("string").alias("investor_id"),
+                                   (F.col("id") + (1 << 33)).alias("code"))
+    rows = wide.select(F.lit("F").alias("fund_id"), F.lit("d").alias("valuation_date"),
+                       F.lit("EUR").alias("currency"), "investor_id")
+    sets = distinct.daily_sets(rows.union(rows), wide)
+    assert sets.count() == 4
+    assert distinct.distinct_ids(sets, ["fund_id"]).first().investor_count == 200
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_keys_are_counted_among_repeated_hashes_only(spark, monkeypatch, collide):
     df = spark.range(400).selectExpr(
