@@ -240,7 +240,8 @@ def retain(spark: SparkSession, lake: Lakehouse, as_of: dt.date) -> dict[str, in
 
 def refresh_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
                  positions: DataFrame | None = None,
-                 transactions: DataFrame | None = None) -> dict[str, list[dt.date]]:
+                 transactions: DataFrame | None = None,
+                 timer: Timer | None = None) -> dict[str, list[dt.date]]:
     """Bring the gold facts up to date after rows of some days have come, gone or changed.
 
     ``positions`` and ``transactions`` are those silver rows (their day suffices).  Only
@@ -253,20 +254,34 @@ def refresh_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
             for n, df in changed.items() if df is not None}  # as many rows as days
     silver = {n: lake.read(spark, "silver", n) for n in DATASETS}
     part = {n: silver[n].where(F.col(AGED["silver"][n]).isin(d)) for n, d in days.items() if d}
+    # Days of which no silver row is left
+    gone = {}
+    for n, kept in part.items():
+        left = {r[0] for r in kept.select(AGED["silver"][n]).distinct().collect()}
+        gone[n] = [d for d in days[n] if d not in left]
     funds = gold.dimension(silver["funds"], "funds")
+
+    def step(table: str, n: str, make: Callable[[], DataFrame]) -> Callable[[], None]:
+        def run_step() -> None:
+            lake.replace_days(make(), "gold", table)
+            _empty_days(spark, lake, table, gone[n])
+        return run_step
+
+    steps = {}
     if "positions" in part:
-        investors = gold.dimension(silver["investors"], "investors")
-        for table, rows in (
-                ("fund_nav_daily", gold.fund_nav_daily(part["positions"], funds, run_ts)),
-                ("investor_positions",
-                 gold.investor_positions(part["positions"], funds, investors, run_ts)),
-                ("asset_allocation", gold.asset_allocation(part["positions"], funds, run_ts))):
-            lake.replace_days(rows, "gold", table)
-            _empty_days(spark, lake, table, days["positions"], part["positions"])
+        rows, investors = part["positions"], gold.dimension(silver["investors"], "investors")
+        steps = {
+            "fund_nav_daily": step("fund_nav_daily", "positions", lambda: gold.fund_nav_daily(
+                rows, funds, run_ts)),
+            "investor_positions": step("investor_positions", "positions", lambda:
+                                       gold.investor_positions(rows, funds, investors, run_ts)),
+            "asset_allocation": step("asset_allocation", "positions", lambda:
+                                     gold.asset_allocation(rows, funds, run_ts))}
     if "transactions" in part:
-        lake.replace_days(gold.fund_cashflows(part["transactions"], funds, run_ts), "gold",
-                          "fund_cashflows")
-        _empty_days(spark, lake, "fund_cashflows", days["transactions"], part["transactions"])
+        steps["fund_cashflows"] = step("fund_cashflows", "transactions", lambda:
+                                       gold.fund_cashflows(part["transactions"], funds, run_ts))
+    if steps:
+        (timer or Timer()).wave(steps)
     if part:
         lake.write(gold.api_fund_summary(
             silver["funds"], lake.read(spark, "gold", "fund_nav_daily"), silver["transactions"],
@@ -274,14 +289,10 @@ def refresh_gold(spark: SparkSession, lake: Lakehouse, run_ts: Column,
     return days
 
 
-def _empty_days(spark: SparkSession, lake: Lakehouse, table: str, days: list[dt.date],
-                rows: DataFrame) -> None:
+def _empty_days(spark: SparkSession, lake: Lakehouse, table: str, gone: list[dt.date]) -> None:
     """Days of which no silver row is left go from a gold table too."""
-    column = AGED["gold"][table]
-    left = {r[0] for r in rows.select(column).distinct().collect()}
-    gone = [d for d in days if d not in left]
     if gone:
-        lake.delete_where(spark, "gold", table, F.col(column).isin(gone))
+        lake.delete_where(spark, "gold", table, F.col(AGED["gold"][table]).isin(gone))
 
 
 def build_ops(spark: SparkSession, lake: Lakehouse, timer: Timer | None = None,

@@ -581,18 +581,21 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = Chain(spark, sf_dir)
     lake = Lakehouse(_scratch(spark, "refresh"), days={
         k: c for k, c in pipeline.DAYS.items() if c == "valuation_date"})
-    for n in DATASETS:
-        lake.write(chain.silver(n), "silver", n)
-    rows = lake.read(spark, "silver", "positions")
+    timer = pipeline.Timer(workers=4)
+    # All positions wait in a table that is not divided by day: silver gets each row once.
+    timer.wave({f"silver_{n}": (lambda n=n, rows=chain.silver(n): lake.write(
+        rows, "incoming" if n == "positions" else "silver", n)) for n in DATASETS})
+    rows = lake.read(spark, "incoming", "positions")
     late = (F.col("valuation_date") >= "1997-06-01") | (
         (F.col("valuation_date") < "1992-06-01") & (F.col("asset_class") == "Bond"))
-    lake.write(rows.where(late), "arrivals", "positions")
-    lake.write(rows.where(~late), "silver", "positions")
+    timer.wave({
+        "arrivals": lambda: lake.write(rows.where(late), "arrivals", "positions"),
+        "rest": lambda: lake.write(rows.where(~late), "silver", "positions")})
     now = pipeline.run_timestamp()
-    pipeline.build_gold(spark, lake, now)
+    pipeline.build_gold(spark, lake, now, timer)
     arrived = lake.read(spark, "arrivals", "positions")
     lake.write(arrived, "silver", "positions", mode="append")
-    pipeline.refresh_gold(spark, lake, now, positions=arrived)
+    pipeline.refresh_gold(spark, lake, now, positions=arrived, timer=timer)
     allocation = lake.read(spark, "gold", "asset_allocation").select(
         F.lit("allocation").alias("part"), "fund_id", "valuation_date", "currency", "asset_class",
         "market_value", "total_market_value", "allocation_pct",

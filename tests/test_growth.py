@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from navforge.functions.rules import issue_codes
 from navforge.operators import distinct, gold
 from navforge.operators.quality import attach_key_count
-from navforge.specs import POSITIONS
+from navforge.plans import pipeline
+from navforge.plans.chain import Chain
+from navforge.sources.sinks import Lakehouse
+from navforge.specs import DATASETS, POSITIONS
+from tests.conftest import SF_SMALL
 
 
 def _final(df) -> str:
@@ -97,3 +101,24 @@ def test_gold_groups_facts_once_and_counts_copies(spark):
         sorted(map(tuple, want.collect()), key=str)
     for df in (held, shares):  # above the first broadcast: one aggregate, partial and final
         assert _final(df).split("BroadcastExchange")[0].count("HashAggregate") == 2
+
+
+def test_refresh_steps_go_side_by_side(spark, tmp_path):
+    """Tables are replaced by the timer's threads; a day without rows left goes from all."""
+    lake = Lakehouse(str(tmp_path / "lake"), days=pipeline.DAYS)
+    now = pipeline.run_timestamp()
+    silver = {n: Chain(spark, SF_SMALL).silver(n) for n in DATASETS}
+    few = (F.col("valuation_date") < "1995-04-01")
+    for n, rows in silver.items():
+        lake.write(rows.where(few) if n == "positions" else rows, "silver", n)
+    pipeline.build_gold(spark, lake, now)
+    rows = lake.read(spark, "silver", "positions")
+    day = rows.agg(F.min("valuation_date")).first()[0]
+    gone = spark.createDataFrame([(day,)], "valuation_date date")
+    lake.write(rows.where(F.col("valuation_date") != F.lit(day)), "silver", "positions")
+    timer = pipeline.Timer(workers=4)
+    assert pipeline.refresh_gold(spark, lake, now, positions=gone, timer=timer) == {
+        "positions": [day]}
+    assert set(timer.steps) == {"fund_nav_daily", "investor_positions", "asset_allocation"}
+    for table in timer.steps:
+        assert lake.read(spark, "gold", table).agg(F.min("valuation_date")).first()[0] > day
