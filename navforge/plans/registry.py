@@ -617,10 +617,10 @@ UNION ALL SELECT dataset, '(valid)', valid_records FROM dq_metrics
 UNION ALL SELECT dataset, '(invalid)', invalid_records FROM dq_metrics""")
 def dq_counts_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics and issue summary of a run whose counts come from the jobs that write."""
-    lake = Lakehouse(_scratch(spark, "observed"))
-    pipeline.ingest_bronze(lake, Chain(spark, sf_dir).bronze)
-    counts = pipeline.build_silver(spark, lake, pipeline.run_timestamp())
-    pipeline.build_ops(spark, lake, counts=counts)
+    lake, timer = Lakehouse(_scratch(spark, "observed")), pipeline.Timer(workers=4)
+    pipeline.ingest_bronze(lake, Chain(spark, sf_dir).bronze, timer)
+    counts = pipeline.build_silver(spark, lake, pipeline.run_timestamp(), timer=timer)
+    pipeline.build_ops(spark, lake, timer, counts=counts)
     metrics = lake.read(spark, "ops", "dq_metrics")
     return reduce(DataFrame.unionByName, [lake.read(spark, "ops", "dq_issue_summary")] + [
         metrics.select("dataset", F.lit(f"({c})").alias("dq_issue"),
