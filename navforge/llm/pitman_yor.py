@@ -38,17 +38,19 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navforge.llm.common import Scratch
+from navforge.llm.common import SLICE_BYTES, Scratch
 from navforge.llm.minhash_dedup import sorted_groups
 from navforge.llm.words import mix
 
@@ -98,16 +100,18 @@ def pack(a: np.ndarray) -> bytes:
     """Integers as compressed byte planes, as many as the largest needs."""
     a = np.ascontiguousarray(a, np.int64).view("<u8")
     width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
-    planes = a.view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + _zip.compress(planes.tobytes())
+    planes = np.empty((width, len(a)), np.uint8)
+    for i in range(width):
+        planes[i] = (a >> 8 * i).astype(np.uint8)
+    return bytes([width]) + _zip.compress(planes)
 
 
 def unpack(b: bytes) -> np.ndarray:
-    width = b[0]
-    planes = np.frombuffer(_unzip.decompress(b[1:]), np.uint8)
-    out = np.zeros((len(planes) // width, 8), np.uint8)
-    out[:, :width] = planes.reshape(width, -1).T
-    return out.reshape(-1).view("<i8")
+    planes = np.frombuffer(_unzip.decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    out = planes[0].astype(np.int64)
+    for i in range(1, len(planes)):
+        out |= planes[i].astype(np.int64) << 8 * i
+    return out
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
@@ -118,6 +122,21 @@ def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b))
 
 
+def ranked(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct numbers (none negative) in order, where each comes first, and the
+    rank of each entry: by one sort of numbers that carry their places, where both fit."""
+    bits = len(a).bit_length()
+    if not len(a) or int(a.max()).bit_length() + bits > 63:
+        return np.unique(a, return_index=True, return_inverse=True)
+    s = np.sort(a << bits | np.arange(len(a)))
+    at = s & (1 << bits) - 1
+    s >>= bits
+    new = np.append(True, s[1:] != s[:-1])
+    rank = np.empty(len(a), np.int64)
+    rank[at] = np.cumsum(new) - 1
+    return s[new], at[new], rank
+
+
 def row(dest: int, kind: int, src: int = 0, total: int = 0, x: int = 0, y: int = 0,
         **blobs: bytes) -> pa.RecordBatch:
     values = [dest, kind, src, total, x, y, *map(blobs.get, _BLOBS)]
@@ -158,58 +177,113 @@ def checksums(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
 
 
+def split_words(data: bytes, only_spaces: bool = False
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of the words one after the other, where each word begins in ``data``,
+    and their lengths."""
+    a = np.frombuffer(data, np.uint8)
+    inside = a != 0x20
+    if not only_spaces:
+        inside &= a - np.uint8(9) > 4  # wraps below 9
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    return a[inside], edges[::2], edges[1::2] - edges[::2]
+
+
+def word_array(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    offsets = np.append(0, np.cumsum(lengths))
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths),
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def joined(words: pa.Array) -> bytes:
+    """Words with a space between them."""
+    offsets, data = (np.frombuffer(b, t) if b else np.empty(0, t)
+                     for b, t in zip(words.buffers()[1:], (np.int64, np.uint8)))
+    edges = offsets[words.offset:words.offset + len(words) + 1]
+    out = np.full(edges[-1] - edges[0] + len(words), 0x20, np.uint8)
+    inside = np.ones(len(out), bool)
+    inside[edges[1:] - edges[0] + np.arange(len(words))] = False
+    out[inside] = data[edges[0]:edges[-1]]
+    return out[:-1].tobytes()
+
+
+def numbered(lists: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of some arrays, and the number of each entry."""
+    chunks = pa.chunked_array(lists, pa.large_binary()).dictionary_encode().chunks
+    return chunks[-1].dictionary, np.concatenate(
+        [c.indices.to_numpy(zero_copy_only=False) for c in chunks]).astype(np.int64)
+
+
 class _Block:
+    """Texts of a block: arrays of words, in which an empty one is the end token, and
+    their pieces with the word before each."""
+
     def __init__(self, number: int):
         self.number = number
-        self.code: dict[bytes, int] = defaultdict()
-        self.code.default_factory = self.code.__len__
-        self.code[_END]
-        self.tokens: list[np.ndarray] = []
+        self.words: list[pa.Array] = []
         self.pieces: list[tuple] = []
+        self.leads: list[bytes] = []
         self.size = 0
 
-    def add(self, uid: int, doc_id: int | None, held: bool, words: list[bytes], lead: bytes):
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        self.tokens.append(codes)
-        self.pieces.append((uid, doc_id or 0, doc_id is not None, held, len(codes),
-                            self.code[lead]))
-        self.size += len(codes)
-
     def rows(self) -> Iterator[pa.RecordBatch]:
         """The tokens, and the word list in order of checksums, and so in order of any
         number of shards."""
-        words = list(self.code)
+        distinct, codes = numbered([*self.words, pa.array(self.leads, pa.large_binary())])
+        words = [w or _END for w in joined(distinct).split(b" ")]
         order = np.argsort(checksums(words), kind="stable")
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        codes = place[np.concatenate(self.tokens)]
-        pieces = np.array(self.pieces, np.int64).T
-        pieces[5] = place[pieces[5]]
+        codes, leads = np.split(place[codes], [self.size])
+        pieces = np.array([*zip(*self.pieces), leads], np.int64)
         learned = np.repeat(pieces[3] == 0, pieces[4])
         yield row(self.number, BLOCK, total=len(codes), a=pack(codes), b=pack(pieces.ravel()))
-        yield row(self.number, WORDS, x=len(words), a=b" ".join([words[i] for i in order]),
+        yield row(self.number, WORDS, x=len(words), a=b" ".join([words[i] for i in order.tolist()]),
                   b=pack(np.bincount(codes[learned], minlength=len(words))))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], uid: int, size: int) -> Iterator[list[tuple]]:
+    """(uid, doc_id, held, part, whether it is the last) of all texts, some MB at a time."""
+    some, length = [], 0
+    for batch in batches:
+        for doc_id, held, text in zip(*(batch.column(i) for i in range(3))):
+            uid += 1
+            for part, last in cut(text.as_py() or b"", size):
+                some.append((uid, doc_id.as_py(), held.as_py(), part, last))
+                length += len(part)
+                if length >= SLICE_BYTES:
+                    yield some
+                    some, length = [], 0
+    if some:
+        yield some
+
+
 def _blocks(tokens: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
-        number, uid = place << 32, place << 36
+        number, before, lead = place << 32, None, b""
         block = _Block(number)
-        for batch in batches:
-            for doc_id, held, text in zip(*(batch.column(i) for i in range(3))):
-                uid, lead = uid + 1, _END
-                for part, last in cut(text.as_py() or b"", size):
-                    words = part.lower().split()  # of bytes: A-Z, and at 0x20, 0x09-0x0D
-                    if last:
-                        words.append(_END)
-                    if words:
-                        block.add(uid, doc_id.as_py(), held.as_py(), words, lead)
-                        lead = words[-1]
-                    if block.size >= tokens:
-                        yield from block.rows()
-                        number += 1
-                        block = _Block(number)
+        for some in _pieces(batches, place << 36, size):
+            # Of bytes: A-Z, and at 0x20, 0x09-0x0D.
+            data, begin, lengths = split_words(b" ".join([p[3] for p in some]).lower())
+            stop = np.searchsorted(begin, np.cumsum([len(p[3]) + 1 for p in some]))
+            last = np.array([p[4] for p in some])
+            words = word_array(data, np.insert(lengths, stop[last], 0))
+            stop += np.cumsum(last)
+            at = start = 0
+            for (uid, doc_id, held, _, _), end in zip(some, stop.tolist()):
+                if uid != before:
+                    before, lead = uid, b""
+                if end > at:
+                    block.pieces.append((uid, doc_id or 0, doc_id is not None, held, end - at))
+                    block.leads.append(lead)
+                    block.size += end - at
+                    at, lead = end, words[end - 1].as_py()
+                if block.size >= tokens:
+                    block.words.append(words[start:at])
+                    yield from block.rows()
+                    number, start = number + 1, at
+                    block = _Block(number)
+            block.words.append(words[start:at])
         if block.size:
             yield from block.rows()
     return run
@@ -235,20 +309,21 @@ def _count_words(shards: int):
     """Answers blocks with ids and counts; the first row has the shard's known words and tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, kinds in groups(batches):
-            lists = [(r["src"], r["a"].split(b" "), unpack(r["b"]).tolist()) for r in kinds[WORDS]]
-            total: Counter = Counter()
-            for _, words, count in lists:
-                for w, n in zip(words, count):
-                    total[w] += n
-            known = sorted((-n, w) for w, n in total.items() if n and w != _END)
-            ids = {w: 2 + i * shards + shard for i, (_, w) in enumerate(known)}
-            if total[_END]:
-                ids[_END] = END
-            tokens, size = total.total(), len(ids)
-            for block, words, _ in lists:
-                yield row(block, WORDS, shard, total=tokens, x=size,
-                          a=pack(np.array([ids.get(w, UNKNOWN) for w in words], np.int64)),
-                          b=pack(np.array([total[w] for w in words], np.int64)))
+            rows = kinds[WORDS]
+            lists = [word_array(*split_words(r["a"], only_spaces=True)[::2]) for r in rows]
+            words, codes = numbered(lists)
+            total = np.bincount(codes, np.concatenate([unpack(r["b"]) for r in rows]),
+                                len(words)).astype(np.int64)
+            end = pc.equal(words, pa.scalar(_END, words.type)).to_numpy(zero_copy_only=False)
+            order = pc.array_sort_indices(words).to_numpy().astype(np.int64)
+            order = order[((total > 0) & ~end)[order]]
+            order = order[np.argsort(-total[order], kind="stable")]
+            ids = np.where(end & (total > 0), END, UNKNOWN)
+            ids[order] = 2 + np.arange(len(order)) * shards + shard
+            tokens, size = int(total.sum()), int((ids != UNKNOWN).sum())
+            for r, at in zip(rows, np.split(codes, np.cumsum([len(x) for x in lists])[:-1])):
+                yield row(r["src"], WORDS, shard, total=tokens, x=size, a=pack(ids[at]),
+                          b=pack(total[at]))
                 tokens = size = 0
     return run
 
@@ -271,8 +346,8 @@ class _Tokens:
         before = np.empty_like(codes)
         before[1:] = codes[:-1]
         before[self.first] = lead
-        ids, at, number = np.unique(ids, return_index=True, return_inverse=True)
-        key, inverse = np.unique(number[before] * len(ids) + number[codes], return_inverse=True)
+        ids, at, number = ranked(ids)
+        key, _, inverse = ranked(number[before] * len(ids) + number[codes])
         at_u, at_w = np.divmod(key, len(ids))
         u, w, size = ids[at_u], ids[at_w], np.where(ids == UNKNOWN, 0, count[at])[at_u]
         n = np.bincount(inverse, np.repeat(held == 0, self.n), len(key)).astype(np.int64)
@@ -320,10 +395,9 @@ def _merge_pairs(ranges: int):
         for bucket, kinds in groups(batches):
             rows = kinds[PAIRS]
             us = [unpack_sorted(r["a"]) for r in rows]
-            contexts, at_u = np.unique(np.concatenate(us), return_inverse=True)
-            ids, at_w = np.unique(np.concatenate([unpack(r["b"]) for r in rows]),
-                                  return_inverse=True)
-            key, inverse = np.unique(at_u * len(ids) + at_w, return_inverse=True)
+            contexts, _, at_u = ranked(np.concatenate(us))
+            ids, _, at_w = ranked(np.concatenate([unpack(r["b"]) for r in rows]))
+            key, _, inverse = ranked(at_u * len(ids) + at_w)
             at_u, at_w = np.divmod(key, len(ids))
             n = np.bincount(inverse, np.concatenate([unpack(r["c"]) for r in rows]),
                             len(key)).astype(np.int64)
@@ -373,6 +447,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + series - np.log(shift)
 
 
+@lru_cache(maxsize=4)
 def log_stirling(d: float, most: int) -> np.ndarray:
     """log of the generalised Stirling numbers: [c, t] weighs all seatings of c
     customers at t tables, each by the product of (1 - d)(2 - d)... over its tables."""
@@ -387,27 +462,50 @@ def log_stirling(d: float, most: int) -> np.ndarray:
     return out
 
 
+def add_up(a: np.ndarray) -> None:
+    """Running sums down the columns, in place."""
+    if len(a) > a.shape[1]:
+        np.cumsum(a, axis=0, out=a)
+    else:
+        for i in range(1, len(a)):
+            a[i] += a[i - 1]
+
+
 def _by_table(c, others, q, theta, d, rng) -> np.ndarray:
     """Tables of words with 2 to EXACT customers, from their exact distribution."""
     t = np.ones(len(c))
     if not len(c):
         return t
-    ways = log_stirling(d, int(c.max()))
-    order = np.argsort(c, kind="stable")
+    ways = log_stirling(d, EXACT)
+    order = np.argsort(c.astype(np.uint16), kind="stable")  # sorted by radix
     for at in np.split(order, np.flatnonzero(np.diff(c[order])) + 1):
         n = int(c[at[0]])
-        k = np.arange(1, n)
+        k = np.arange(1, n)[:, None]
         for some in np.array_split(at, -(-len(at) * n // (1 << 20))):
-            new = np.log((theta + d * (others[some, None] + k)) * q[some, None])
-            p = np.empty((len(some), n))
-            p[:, 0] = 0
-            np.cumsum(new, axis=1, out=p[:, 1:])
-            p += ways[n, 1:n + 1]
-            p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
-            t[some] = 1 + (p < rng.random(len(some))[:, None] * p[:, -1:]).sum(axis=1)
+            p = np.zeros((n, len(some)))  # a column for each word
+            np.log((theta + d * (others[some] + k)) * q[some], out=p[1:])
+            add_up(p)
+            p += ways[n, 1:n + 1, None]
+            p -= p.max(axis=0)
+            np.exp(p, out=p)
+            add_up(p)
+            t[some] = 1 + (p < rng.random(len(some)) * p[-1]).sum(axis=0)
     return t
 
 
+def _next_table(m, k, top, e, a, h, start, draw, d) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Up to the next new table: customers then seated, whether it opened, log weight."""
+    with np.errstate(over="ignore"):
+        at = top * ((draw + start) / h) ** (1 / e)
+    seen = np.clip(np.ceil(at) - 1, m, top)  # customers who sit when the table opens
+    opened, end = seen < top, np.minimum(seen + 1, top)
+    stop = h * (seen / top) ** e
+    gap = np.where(opened, h * (end / top) ** e - stop, 1.0)
+    weight = log_gamma(seen - d * k) - log_gamma(m - d * k) + stop - start + np.where(
+        opened, np.log(a) - np.log(-np.expm1(-np.maximum(gap, 1e-300))), 0)
+    return end, opened.astype(np.float64), weight
+
+
 def _one_by_one(c, others, q, theta, d, rng) -> tuple[np.ndarray, np.ndarray]:
     """(tables, log importance weight) of words whose customers sit down one after the
     other.  The hazard of a new table when n sit is that of the restaurant, a / n, times
@@ -421,22 +519,19 @@ def _one_by_one(c, others, q, theta, d, rng) -> tuple[np.ndarray, np.ndarray]:
         a = (theta + d * (others[live] + k)) * q[live]  # of a new table
         h = a / e  # the integral of the hazard up to n is h * (n / c) ** e
         start = h * (m / top) ** e
-        with np.errstate(over="ignore"):
-            at = top * ((rng.exponential(size=len(live)) + start) / h) ** (1 / e)
-        seen = np.clip(np.ceil(at) - 1, m, top)  # customers who sit when the table opens
-        opened = seen < top
-        stop = h * (seen / top) ** e
-        gap = np.where(opened, h * (np.minimum(seen + 1, top) / top) ** e - stop, 1.0)
+        draw = rng.exponential(size=len(live))
         many = m >= MANY  # steps add no weight: the hazard hardly changes within one
-        weight[live] += np.where(many, 0, (
-            log_gamma(seen - d * k) - log_gamma(m - d * k) + stop - start
-            + np.where(opened, np.log(a) - np.log(-np.expm1(-np.maximum(gap, 1e-300))), 0)))
-        end, new = np.minimum(seen + 1, top), opened.astype(np.float64)
         if many.any():
-            step = np.minimum(m + np.floor(m / 256), top)
-            tables = rng.poisson(np.maximum(h * (step / top) ** e - start, 0))
-            end, new = np.where(many, step, end), np.where(many, tables, new)
+            end = np.minimum(m + np.floor(m / 256), top)
+            new = rng.poisson(np.maximum(h * (end / top) ** e - start, 0))
             new = np.minimum(new, end - m)
+            some = np.flatnonzero(~many)
+        else:
+            end, new, some = np.empty(len(live)), np.empty(len(live)), slice(None)
+        if not many.all():
+            end[some], new[some], change = _next_table(
+                *(x[some] for x in (m, k, top, e, a, h, start, draw)), d)
+            weight[live[some]] += change
         n[live], t[live] = end, k + new
         live = live[end < top]
     return t, weight
@@ -524,8 +619,8 @@ def _seat_parent(model: dict | None, seed: tuple, candidates: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, kinds in groups(batches):
             if model is None:
-                words, at = np.unique(np.concatenate(
-                    [unpack_sorted(r["a"]) for r in kinds[ALL_WORDS]]), return_inverse=True)
+                words, _, at = ranked(np.concatenate(
+                    [unpack_sorted(r["a"]) for r in kinds[ALL_WORDS]]))
                 fixed = np.bincount(at, np.concatenate([unpack(r["b"]) for r in kinds[ALL_WORDS]]),
                                     len(words)).astype(np.int64)
             else:

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,3 +187,100 @@ def test_hot_pair_and_hot_context(spark):
     for r in got:
         by_context[r[2]].append(r[6] / r[2])
     assert max(map(max, by_context.values())) < 0
+
+
+def test_vocabulary_makes_no_python_call_per_word():
+    """Words are counted, sorted and numbered as arrays; a loop over them took a fifth of
+    the Python tasks' CPU seconds."""
+    words = [b"w%d" % (i * 7919 % 6000) for i in range(6000)]
+    n = np.arange(6000) % 5
+    rows = [r for block, some in ((3, slice(0, 4000)), (9, slice(2000, 6000)))
+            for r in (py.row(0, py.WORDS, block, a=b" ".join(words[some] + [py._END]),
+                             b=py.pack(np.append(n[some], block))),)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        out = list(py._count_words(4)(iter([pa.Table.from_batches(rows).combine_chunks()
+                                            .to_batches()[0]])))
+    finally:
+        sys.setprofile(None)
+    assert calls < 2000
+    total = Counter()
+    for some in (slice(0, 4000), slice(2000, 6000)):
+        total.update(dict(zip(words[some], n[some].tolist())))
+    known = sorted((-c, w) for w, c in total.items() if c)
+    ids = {w: 2 + 4 * i for i, (_, w) in enumerate(known)} | {py._END: py.END}
+    total[py._END] = 12
+    first, second = (b.to_pylist()[0] for b in out)
+    assert (first["total"], first["x"]) == (total.total(), len(ids))
+    assert (second["total"], second["x"]) == (0, 0)
+    for r, some in ((first, slice(0, 4000)), (second, slice(2000, 6000))):
+        own = words[some] + [py._END]
+        assert py.unpack(r["a"]).tolist() == [ids.get(w, py.UNKNOWN) for w in own]
+        assert py.unpack(r["b"]).tolist() == [total[w] for w in own]
+
+
+def test_words_as_arrays_equal_split():
+    texts = [b"", b" ", b"a", b"  a\tb\n\x0bc\x0c\rd  ", b"x\x1cy\x85z \x00 \xff\xa0 \x08 \x0e \x1f!",
+             b"one two one " * 50]
+    for text in texts:
+        data, begin, lengths = py.split_words(text)
+        words = py.word_array(data, lengths)
+        assert words.to_pylist() == text.split()
+        assert [text[i:i + n] for i, n in zip(begin, lengths)] == text.split()
+    distinct, codes = py.numbered([words, words.slice(1, 3), words.slice(0, 0)])
+    want = words.to_pylist() + words.to_pylist()[1:4]
+    assert [distinct[int(c)].as_py() for c in codes] == want and len(distinct) == 2
+    assert py.joined(words.slice(1, 4)) == b"two one one two"
+    data, _, lengths = py.split_words(b"a \n b\tc", only_spaces=True)
+    assert py.word_array(data, lengths).to_pylist() == [b"a", b"\n", b"b\tc"]
+
+
+def test_ranked_equals_unique():
+    rng = np.random.default_rng(3)
+    for a in (np.array([], np.int64), np.array([7]), np.zeros(16, np.int64), rng.integers(0, 9, 1000),
+              rng.integers(0, 1 << 40, 1000), rng.integers(0, 1 << 62, 1000) >> rng.integers(0, 3, 1000)):
+        for got, want in zip(py.ranked(a), np.unique(a, return_index=True, return_inverse=True)):
+            assert got.tolist() == want.tolist()
+
+
+def test_blocks_hold_the_words_of_their_pieces(monkeypatch):
+    """Whatever the sizes of slices, parts and blocks; ids below 0 and null, empty texts."""
+    class Context:
+        get = classmethod(lambda c: c)
+        partitionId = classmethod(lambda c: 2)
+
+    monkeypatch.setattr(py, "TaskContext", Context)
+    texts = [b"A bc  D " * 9, None, b" \n\t" * 40, b"", b"e" * 100, b" f G\x0bh" * 30, b"A"]
+    ids = [4, -5, None, 6, 7, 8, 9]
+    held = [False, True, False, False, True, False, True]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held),
+                                        pa.array(texts, pa.binary())], ["doc_id", "held", "text"])
+    want = [[w.lower() for w in (t or b"").split()] + [py._END] for t in texts]
+    for limit, tokens, size in ((1 << 20, 1 << 20, 1 << 20), (1, 10, 7), (50, 7, 20), (10, 1, 1000)):
+        monkeypatch.setattr(py, "SLICE_BYTES", limit)
+        rows = [b.to_pylist()[0] for b in py._blocks(tokens, size)(iter([batch, batch]))]
+        got, seen = defaultdict(list), {}
+        for block, listed in zip(rows[::2], rows[1::2]):
+            words = listed["a"].split(b" ")
+            assert block["dest"] == listed["dest"] and listed["x"] == len(set(words)) == len(words)
+            codes = py.unpack(block["a"])
+            pieces = py.unpack(block["b"]).reshape(6, -1)
+            assert block["total"] == len(codes) == pieces[4].sum()
+            at, learned = 0, []
+            for uid, doc_id, has_id, is_held, n, lead in pieces.T.tolist():
+                assert words[lead] == (got[uid] or [py._END])[-1]
+                got[uid] += [words[c] for c in codes[at:at + n]]
+                learned += [] if is_held else codes[at:at + n].tolist()
+                seen[uid] = (doc_id if has_id else None, bool(is_held))
+                at += n
+            assert py.unpack(listed["b"]).tolist() == np.bincount(
+                learned, minlength=len(words)).tolist()
+        assert [got[u] for u in sorted(got)] == want * 2
+        assert [seen[u] for u in sorted(seen)] == list(zip(ids, held)) * 2
+        assert tokens > 1000 or len(rows) > 2
